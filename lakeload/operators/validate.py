@@ -69,3 +69,23 @@ def assert_no_null_keys(df: DataFrame, keys: Sequence[str], what: str = "source"
         cond = c if cond is None else (cond | c)
     if cond is not None and not df.filter(cond).isEmpty():
         raise DuplicateKeyError(f"{what} has NULL values in key columns ({', '.join(keys)})")
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
+    """One determined survivor per key: the smallest row by ``order_by`` (default: all other columns).
+
+    An aggregate ``min(struct(...))`` with map-side combine, not a window: a hot key never gathers its
+    rows in one task.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    order = list(order_by) if order_by is not None else rest
+    tail = [c for c in rest if c not in order]
+    v = F.min(F.struct(*[F.col(c) for c in order + tail])).alias("_ll_first")
+    return df.groupBy(*keys).agg(v).select(*keys, *[F.col(f"_ll_first.{c}").alias(c) for c in order + tail]).select(
+        *df.columns
+    )
+
+
+def count_distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``n_keys``: number of distinct key tuples, NULL values counted as values."""
+    return df.select(*keys).distinct().agg(F.count(F.lit(1)).alias("n_keys"))
