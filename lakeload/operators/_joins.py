@@ -26,18 +26,50 @@ def key_condition(left_keys: Sequence[str], right_keys: Sequence[str], null_safe
     return cond
 
 
-def check_merge_source(source: DataFrame, keys: Sequence[str], allow_null_keys: bool) -> None:
-    """One aggregate job: each key at most once, and (unless allowed) no NULL in a key column."""
-    grouped = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    bad = F.col("_n") > 1
-    if not allow_null_keys:
+DUP_MARKER = "lakeload: merge source"
+
+
+def unique_rows(source: DataFrame, keys: Sequence[str], allow_null_keys: bool) -> DataFrame:
+    """One row per key, checked lazily inside the plan.
+
+    ``min(struct(row))`` and ``max(struct(row))`` per key (partial aggregation: a hot key sends one
+    row per map task); identical copies collapse, two different rows for one key fail the job through
+    ``raise_error`` when the plan runs, as does a NULL key unless allowed. The output is
+    hash-partitioned on the keys, which a following join on the keys reuses.
+    """
+    rest = [c for c in source.columns if c not in keys]
+    if rest:
+        row = F.struct(*[F.col(c) for c in rest])
+        agg = source.groupBy(*keys).agg(F.min(row).alias("_ll_lo"), F.max(row).alias("_ll_hi"))
+        differs = ~F.col("_ll_lo").eqNullSafe(F.col("_ll_hi"))
+    else:
+        agg = source.select(*keys).distinct()
+        differs = F.lit(False)
+    bad = differs
+    msg = F.concat(F.lit(f"{DUP_MARKER} has different rows for one key of ({', '.join(keys)})"))
+    out = agg.filter(F.when(bad, F.raise_error(msg)).otherwise(F.lit(True)))
+    if not allow_null_keys and keys:
+        any_null = None
         for k in keys:
-            bad = bad | F.col(k).isNull()
-    row = grouped.filter(bad).select(*keys, "_n").first()
-    if row is not None:
-        if row["_n"] > 1:
-            raise DuplicateKeyError(f"merge source has {row['_n']} rows for key {tuple(row[k] for k in keys)}")
-        raise DuplicateKeyError(f"merge source has a NULL key value in ({', '.join(keys)})")
+            c = F.col(k).isNull()
+            any_null = c if any_null is None else (any_null | c)
+        null_msg = F.lit(f"{DUP_MARKER} has a NULL value in a key column of ({', '.join(keys)})")
+        out = out.filter(F.when(any_null, F.raise_error(null_msg)).otherwise(F.lit(True)))
+    if rest:
+        out = out.select(*keys, *[F.col(f"_ll_lo.{c}").alias(c) for c in rest])
+    return out.select(*source.columns)
+
+
+def translate_errors(fn, *args, **kwargs):
+    """Run ``fn``; a failure raised by :func:`unique_rows` surfaces as ``DuplicateKeyError``."""
+    try:
+        return fn(*args, **kwargs)
+    except DuplicateKeyError:
+        raise
+    except Exception as e:  # the JVM error class differs between Spark versions
+        if DUP_MARKER in str(e):
+            raise DuplicateKeyError(str(e).split("\n")[0][:500]) from e
+        raise
 
 
 def max_value(df: DataFrame, column: str) -> int:

@@ -31,6 +31,9 @@ MAX_RANGE_PARTITIONS = 200_000
 def _range_partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions is None:
         num_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        initial = df.sparkSession.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        if initial:
+            num_partitions = max(num_partitions, int(initial))
     if not 1 <= num_partitions <= MAX_RANGE_PARTITIONS:
         raise ValueError(f"range partitions must be in 1..{MAX_RANGE_PARTITIONS}, got {num_partitions}")
     return num_partitions
@@ -50,13 +53,16 @@ def number_rows(
     """
     if not order_by:
         raise ValueError("number_rows needs at least one order column")
+    # Without an explicit count the range exchange starts at spark.sql.shuffle.partitions and AQE
+    # coalesces adjacent ranges to the advisory size; coalesced partitions stay contiguous and in
+    # order, so (partition, position) still orders the rows globally.
     n = _range_partitions(df, num_partitions)
     hashable = [c for c in df.columns if not isinstance(df.schema[c].dataType, MapType)]
     order = [F.col(c).asc_nulls_first() for c in order_by] + [F.col(_TIE), F.col(_SEQ)]
     ranged = (
         df.withColumn(_TIE, F.xxhash64(*hashable))
         .withColumn(_SEQ, F.monotonically_increasing_id())
-        .repartitionByRange(n, *order)
+        .repartitionByRange(*([num_partitions] if num_partitions else []), *order)
         .sortWithinPartitions(*order)
         .withColumn(_PID, F.spark_partition_id())
         # monotonically_increasing_id = (partition << 33) + position within the partition

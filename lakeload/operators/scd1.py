@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.operators._joins import SRC, check_merge_source, key_condition, max_value, prefixed
+from lakeload.operators._joins import SRC, key_condition, max_value, prefixed, translate_errors, unique_rows
 from lakeload.operators.numbering import number_rows
 from lakeload.plans.roles import HASH_COL, attribute_columns, resolve_keys, sk_column, sk_name_for
 
@@ -32,6 +32,7 @@ def scd1_merge(
     null_safe_keys: bool = False,
     check_source: bool = True,
     num_partitions: int | None = None,
+    max_sk: int | None = None,
 ) -> DataFrame:
     """Upsert by key.
 
@@ -45,8 +46,9 @@ def scd1_merge(
     missing = [c for c in needed if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks gold columns {missing}")
+    source = source.select(*needed)
     if check_source:
-        check_merge_source(source, ks, null_safe_keys)
+        source = unique_rows(source, ks, null_safe_keys)
     src = prefixed(source, SRC, needed)
     cond = key_condition(ks, [SRC + k for k in ks], null_safe_keys)
 
@@ -58,5 +60,6 @@ def scd1_merge(
         ]
     )
     new_rows = src.join(gold.select(*ks), cond, "left_anti").select(*[F.col(SRC + c).alias(c) for c in needed])
-    inserts = number_rows(new_rows, ks, sk, max_value(gold, sk), num_partitions)
+    base = max_value(gold, sk) if max_sk is None else int(max_sk)
+    inserts = translate_errors(number_rows, new_rows, ks, sk, base, num_partitions)
     return updated.unionByName(inserts.select(*gold.columns))

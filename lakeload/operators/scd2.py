@@ -17,9 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.functions.dates import stamp_to_timestamp, to_stamp
-from lakeload.operators._joins import SRC, check_merge_source, key_condition, max_value, prefixed
+from lakeload.operators._joins import SRC, key_condition, max_value, prefixed, translate_errors, unique_rows
 from lakeload.operators.numbering import number_rows
-from lakeload.sources.store import materialize
 from lakeload.plans.roles import (
     ACTION_COL,
     CREATED_COL,
@@ -150,6 +149,7 @@ def scd2_merge(
     null_safe_keys: bool = False,
     check_source: bool = True,
     num_partitions: int | None = None,
+    max_sk: int | None = None,
 ) -> DataFrame:
     """Merged dimension (all versions).
 
@@ -157,6 +157,9 @@ def scd2_merge(
     ``new_insert`` inserts open since ``190001010000``; ``exist_insert`` inserts created = now;
     equal rows do nothing (``ignore``, snapshot source) or close the open version (``close``,
     difference feed); with ``close_missing`` open versions of keys absent from the source close.
+
+    The source must hold one row per key (identical copies collapse); otherwise, or with a NULL
+    key unless ``null_safe_keys``, :class:`DuplicateKeyError` is raised.
     """
     if on_same_hash not in (IGNORE, CLOSE):
         raise ValueError(f"on_same_hash must be {IGNORE!r} or {CLOSE!r}")
@@ -167,9 +170,9 @@ def scd2_merge(
     missing = [c for c in data_cols if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks gold columns {missing}")
-    if check_source:
-        check_merge_source(source, ks, null_safe_keys)
     source = source.select(*data_cols)
+    if check_source:
+        source = unique_rows(source, ks, null_safe_keys)
 
     acts = _actions_frame(source, gold, ks, sk, stamp, "full" if close_missing else "left", null_safe_keys)
     act = F.col(_ACT)
@@ -186,17 +189,22 @@ def scd2_merge(
         F.col(_ACT),
         F.coalesce(close_if, F.lit(False)).alias("_ll_close"),
         F.coalesce(insert_if, F.lit(False)).alias("_ll_insert"),
+    ).filter(F.col("_ll_close") | F.col("_ll_insert"))
+    # One materialised, numbered action table feeds closes and inserts: ordering inserts first
+    # (then by key) makes the inserts' numbers 1..k in key order; the other rows' numbers are unused.
+    staged = staged.withColumn("_ll_grp", F.when(F.col("_ll_insert"), F.lit(0)).otherwise(F.lit(1)))
+    base = max_value(gold, sk) if max_sk is None else int(max_sk)
+    numbered = translate_errors(
+        number_rows, staged, ["_ll_grp", *[SRC + k for k in ks]], "_ll_new_sk", base, num_partitions
     )
-    # one write of the source-sized action table feeds both closes and inserts
-    staged = materialize(staged.filter(F.col("_ll_close") | F.col("_ll_insert")), "scd2-actions")
 
-    closes = staged.filter("_ll_close").select(F.col(_T + "sk").alias(sk), F.lit(stamp).alias("_ll_close_at"))
-    new_rows = staged.filter("_ll_insert").select(
+    closes = numbered.filter("_ll_close").select(F.col(_T + "sk").alias(sk), F.lit(stamp).alias("_ll_close_at"))
+    inserts = numbered.filter("_ll_insert").select(
         *[F.col(SRC + c).alias(c) for c in data_cols],
+        F.col("_ll_new_sk").alias(sk),
         F.when(F.col(_ACT) == NEW_INSERT, F.lit(DEFAULT_START)).otherwise(F.lit(stamp)).alias(CREATED_COL),
         F.lit(OPEN_END).alias(UPDATED_COL),
     )
-    inserts = number_rows(new_rows, ks, sk, max_value(gold, sk), num_partitions)
 
     is_open = F.col(UPDATED_COL).eqNullSafe(F.lit(OPEN_END))
     history = gold.filter(~is_open)

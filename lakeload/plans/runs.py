@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lakeload.functions.dates import to_day, to_stamp
 from lakeload.functions.text import remove_accents
-from lakeload.operators._joins import max_value
+from lakeload.operators._joins import max_value, translate_errors, unique_rows
 from lakeload.operators.prepare import add_load_date, prepare_silver, rename_keys
 from lakeload.operators.scd1 import scd1_create, scd1_merge
 from lakeload.operators.scd2 import IGNORE, scd2_create, scd2_merge
@@ -147,13 +147,15 @@ def load_gold(
     if not path_exists(spark, silver_path):
         return _audit(run_date, "gold", table_name, "skipped", started, message=f"silver table {silver_path} does not exist")
     kind = scd_type(table_name)
-    source = read_silver(spark, silver_path).distinct()
+    source = read_silver(spark, silver_path)
     keys = key_columns(source.columns)
     gold_path = layout.gold(table_name)
     stamp = to_stamp(run_date)
     if not table_exists(spark, gold_path):
         sk = sk_name_for(table_name)
-        out = scd1_create(source, keys, sk) if kind == 1 else scd2_create(source, keys, sk)
+        source = unique_rows(source, keys, allow_null_keys=False)
+        create = scd1_create if kind == 1 else scd2_create
+        out = translate_errors(create, source, keys, sk)
         before, status = 0, "created"
     else:
         if source.isEmpty():
@@ -162,9 +164,11 @@ def load_gold(
         sk = sk_column(gold.columns)
         before = max_value(gold, sk)
         if kind == 1:
-            out = scd1_merge(gold, source, keys)
+            out = scd1_merge(gold, source, keys, max_sk=before)
         else:
-            out = scd2_merge(gold, source, keys, stamp, on_same_hash=on_same_hash, close_missing=close_missing)
+            out = scd2_merge(
+                gold, source, keys, stamp, on_same_hash=on_same_hash, close_missing=close_missing, max_sk=before
+            )
         status = "merged"
     obs = Observation(f"gold_{table_name}")
     metrics = [F.count(F.lit(1)).alias("rows"), F.sum((F.col(sk) > F.lit(before)).cast("long")).alias("inserted")]
