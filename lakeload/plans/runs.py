@@ -148,6 +148,25 @@ def load_gold(
         return _audit(run_date, "gold", table_name, "skipped", started, message=f"silver table {silver_path} does not exist")
     kind = scd_type(table_name)
     source = read_silver(spark, silver_path)
+    if table_exists(spark, layout.gold(table_name)) and source.isEmpty():
+        return _audit(run_date, "gold", table_name, "skipped", started, message="silver load is empty")
+    return merge_into_gold(spark, layout, table_name, source, run_date, on_same_hash, close_missing, kind, started)
+
+
+def merge_into_gold(
+    spark: SparkSession,
+    layout: Layout,
+    table_name: str,
+    source: DataFrame,
+    run_date,
+    on_same_hash: str = IGNORE,
+    close_missing: bool = False,
+    kind: int | None = None,
+    started: _dt.datetime | None = None,
+) -> dict:
+    """Create the dimension from ``source`` or merge ``source`` into it; write the next version."""
+    started = started or _now()
+    kind = kind or scd_type(table_name)
     keys = key_columns(source.columns)
     gold_path = layout.gold(table_name)
     stamp = to_stamp(run_date)
@@ -158,8 +177,6 @@ def load_gold(
         out = translate_errors(create, source, keys, sk)
         before, status = 0, "created"
     else:
-        if source.isEmpty():
-            return _audit(run_date, "gold", table_name, "skipped", started, message="silver load is empty")
         gold = read_table(spark, gold_path)
         sk = sk_column(gold.columns)
         before = max_value(gold, sk)
@@ -177,7 +194,7 @@ def load_gold(
             F.sum((F.col(UPDATED_COL) == F.lit(OPEN_END)).cast("long")).alias("open"),
             F.sum((F.col(UPDATED_COL) == F.lit(stamp)).cast("long")).alias("closed"),
         ]
-    write_table(out.observe(obs, *metrics), gold_path)
+    translate_errors(write_table, out.observe(obs, *metrics), gold_path)
     m = obs.get
     return _audit(
         run_date, "gold", table_name, status, started, rows_out=m["rows"], inserted=m["inserted"],
