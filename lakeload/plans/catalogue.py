@@ -38,6 +38,7 @@ from lakeload.operators.scd2 import (
     scd2_as_of,
     scd2_create,
     scd2_current,
+    scd2_history,
     scd2_latest,
     scd2_merge,
 )
@@ -459,6 +460,12 @@ def q_remove_accents(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", remove_accents("text").alias("text"))
 
 
+@query("remove_accents_exact", "SELECT doc_id, strip_accents(text) AS text FROM documents")
+def q_remove_accents_exact(spark, sf):
+    """The exact variant (Arrow-batched pandas UDF, NFD + drop Mn per string), whole texts."""
+    return _t(spark, sf, "documents").select("doc_id", remove_accents("text", exact=True).alias("text"))
+
+
 @query("remove_accents_sql", "SELECT conv_id, turn, strip_accents(text) AS text FROM conversations")
 def q_remove_accents_sql(spark, sf):
     register_sql_functions(spark)
@@ -715,6 +722,25 @@ def q_scd2_as_of(spark, sf):
     return scd2_as_of(cust_gold_day2(spark, sf), "202403091200")
 
 
+@query(
+    "scd2_history",
+    "WITH " + SQL_CUST_M2 + """
+SELECT KEY_c_custkey, SK_customer, strftime(strptime(created_date, '%Y%m%d%H%M'), '%Y-%m-%d %H:%M') AS valid_from,
+       strftime(strptime(updated_date, '%Y%m%d%H%M'), '%Y-%m-%d %H:%M') AS valid_to,
+       updated_date = '999912312359' AS is_current
+FROM m2_m
+""",
+)
+def q_scd2_history(spark, sf):
+    h = scd2_history(cust_gold_day2(spark, sf))
+    return h.select(
+        "KEY_c_custkey", "SK_customer",
+        F.date_format("valid_from", "yyyy-MM-dd HH:mm").alias("valid_from"),
+        F.date_format("valid_to", "yyyy-MM-dd HH:mm").alias("valid_to"),
+        "is_current",
+    )
+
+
 # ------------------------------------------------------------------ N1/N3 facts and star reads
 @query(
     "fact_sk_lookup",
