@@ -1,27 +1,53 @@
 """Driver-side file-system metadata through Hadoop's FileSystem API (listing, existence).
 
-Only folder names are handled here, never data.
+Only folder names are handled here, never data. Sessions without JVM access (remote sessions) fall
+back to the local file system for plain paths.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 
-def _fs_and_path(spark: SparkSession, path: str):
-    jvm = spark._jvm
+def _hadoop(spark: SparkSession, path: str):
+    try:
+        jvm = spark._jvm
+        conf = spark._jsc.hadoopConfiguration()
+    except Exception:  # no py4j gateway
+        return None
+    if jvm is None:
+        return None
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+    return p.getFileSystem(conf), p
+
+
+def _local(path: str) -> str:
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    if "://" in path:
+        raise OSError(f"cannot list {path} without JVM access")
+    return path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_and_path(spark, path)
+    h = _hadoop(spark, path)
+    if h is None:
+        return os.path.exists(_local(path))
+    fs, p = h
     return bool(fs.exists(p))
 
 
 def list_dir_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path`` (empty if it does not exist)."""
-    fs, p = _fs_and_path(spark, path)
+    h = _hadoop(spark, path)
+    if h is None:
+        local = _local(path)
+        if not os.path.isdir(local):
+            return []
+        return sorted(n for n in os.listdir(local) if os.path.isdir(os.path.join(local, n)))
+    fs, p = h
     if not fs.exists(p):
         return []
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
@@ -29,5 +55,4 @@ def list_dir_names(spark: SparkSession, path: str) -> list[str]:
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A folder written by a finished Spark job carries ``_SUCCESS``."""
-    fs, p = _fs_and_path(spark, path.rstrip("/") + "/_SUCCESS")
-    return bool(fs.exists(p))
+    return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
