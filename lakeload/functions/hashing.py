@@ -23,7 +23,7 @@ def row_hash(df: DataFrame, columns: Sequence[str], mode: str = SAFE) -> Column:
 
     ``compat``: undelimited concatenation of the string forms in the given order, NULL as ''
     (so ``('ab','c')`` and ``('a','bc')`` collide, kept for parity with existing loads).
-    ``safe``: columns sorted by name, each value written as ``<length>:<value>``, NULL as ``~``;
+    ``safe``: columns sorted by name, each value written as ``<byte length>:<value>``, NULL as ``~``;
     the encoding is prefix-free, so different rows never share an input string.
     """
     if not columns:
@@ -34,7 +34,26 @@ def row_hash(df: DataFrame, columns: Sequence[str], mode: str = SAFE) -> Column:
         parts = []
         for c in sorted(columns):
             s = _as_text(df, c)
-            parts.append(F.coalesce(F.concat(F.length(s).cast("string"), F.lit(":"), s), F.lit("~")))
+            parts.append(F.coalesce(F.concat(F.octet_length(s).cast("string"), F.lit(":"), s), F.lit("~")))
     else:
         raise ValueError(f"unknown hash mode {mode!r}")
     return F.sha2(F.concat(*parts), 256)
+
+
+def row_fingerprint(df: DataFrame, columns: Sequence[str]) -> Column:
+    """128-bit row identity for grouping: two differently seeded ``xxhash64`` over the typed values and
+    a NULL mask (hash functions skip NULLs, so the mask keeps ``(NULL, 'x')`` apart from ``('x', NULL)``).
+
+    Cheap (no string casts) and used only to tell rows *of the same key* apart, where a collision of
+    two different rows has probability about 2**-128.
+    """
+    cols = [c for c in columns if not isinstance(df.schema[c].dataType, MapType)]
+    if len(cols) != len(columns):
+        raise TypeError("map columns cannot be fingerprinted")
+    if not cols:
+        return F.struct(F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"))
+    mask = F.array(*[F.col(c).isNull() for c in cols])
+    return F.struct(
+        F.xxhash64(F.lit(1), *[F.col(c) for c in cols], mask).alias("h1"),
+        F.xxhash64(F.lit(2), *[F.col(c) for c in cols], mask).alias("h2"),
+    )

@@ -1,12 +1,11 @@
 """Duplicate-key validation: over the distinct rows of the non-ignored columns, a frame is valid iff
 no key tuple occurs in two different rows. Identical rows are not a violation.
 
-One job, two partial-aggregated shuffles over (keys, 32-byte row fingerprint) instead of whole rows:
+One job, two partial-aggregated shuffles over (keys, 16-byte row fingerprint) instead of whole rows:
 ``distinct`` (map-side combine collapses copies before the shuffle) and a count per key (map-side
 combine emits one row per key and task, so a hot key does not pile up in one task). The fingerprint
-is SHA-256 over the prefix-free encoding of the non-key columns, so distinct rows keep distinct
-fingerprints (a 64-bit hash would collide at this scale). NULL key values form a group of their own,
-as in ``dropDuplicates``.
+only has to tell apart rows that share a key; at 128 bits two such rows collide with probability
+about 2**-128. NULL key values form a group of their own, as in ``dropDuplicates``.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.functions.hashing import SAFE, row_hash
+from lakeload.functions.hashing import row_fingerprint
 from lakeload.plans.roles import resolve_keys
 
 
@@ -39,7 +38,7 @@ def validate_keys_df(df: DataFrame, ignore: Iterable[str] = (), keys: Sequence[s
     ks = resolve_keys(df.columns, keys, ignored)
     cols = [c for c in df.columns if c not in ignored]
     others = [c for c in cols if c not in ks]
-    fingerprint = F.unhex(row_hash(df, others, SAFE)).alias("_ll_fp")
+    fingerprint = row_fingerprint(df, others).alias("_ll_fp")
     distinct_rows = df.select(*ks, fingerprint).distinct() if others else df.select(*ks).distinct()
     key_list = F.array(*[F.lit(k) for k in ks]) if ks else F.array().cast("array<string>")
     if not ks:

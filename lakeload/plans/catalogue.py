@@ -160,7 +160,7 @@ def sql_hash(cols, mode=SAFE) -> str:
     if mode == COMPAT:
         parts = [f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols]
     else:
-        parts = [f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '~')" for c in sorted(cols)]
+        parts = [f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '~')" for c in sorted(cols)]
     return f"sha256(concat({', '.join(parts)}))"
 
 

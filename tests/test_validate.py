@@ -56,3 +56,10 @@ def test_first_per_key(spark):
     df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (2, "c", 1)], "k int, s string, n int")
     got = sorted(tuple(r) for r in first_per_key(df, ["k"]).collect())
     assert got == [(1, "a", 9), (2, "c", 1)]
+
+
+def test_fingerprint_keeps_null_positions_apart(spark):
+    df = spark.createDataFrame([(1, None, "x"), (1, "x", None)], "KEY_a int, b string, c string")
+    assert not validate_keys(df).valid
+    same = spark.createDataFrame([(1, None, "x"), (1, None, "x")], "KEY_a int, b string, c string")
+    assert validate_keys(same).valid
