@@ -22,6 +22,7 @@ differently); timestamps are printed through an explicit format.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -978,9 +979,13 @@ def _landing(spark, sf, layout: Layout, day2: bool = False):
         "supplier": _t(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", _dec("s_acctbal")),
         "nation": _t(spark, sf, "nation"),
     }
-    for name, df in frames.items():
+    def write(item):
+        name, df = item
         df.write.mode("overwrite").option("header", True).csv(layout.landing("tpch", f"{name}.csv"))
 
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        list(pool.map(write, frames.items()))
+
 
 def _layer_config():
     bronze = [

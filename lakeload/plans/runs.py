@@ -7,7 +7,8 @@ Each table of a layer is one lazy plan and one write action; row counts come fro
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -80,19 +81,39 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
+def _each_table(items: Sequence, work: Callable, parallelism: int | None) -> list:
+    """Run ``work`` per table; up to ``parallelism`` tables at once (concurrent Spark jobs from driver
+    threads, like a parallel for-each). Results keep the config order; any failure fails the layer
+    after the running tables have finished."""
+    items = list(items)
+    n = min(len(items), parallelism or 8)
+    if n <= 1:
+        return [work(x) for x in items]
+    with ThreadPoolExecutor(max_workers=n, thread_name_prefix="lakeload-table") as pool:
+        futures = [pool.submit(work, x) for x in items]
+        errors = [f.exception() for f in futures]
+    for e in errors:
+        if e is not None:
+            raise e
+    return [f.result() for f in futures]
+
+
 # ---------------------------------------------------------------- bronze
-def run_bronze(spark: SparkSession, layout: Layout, entries: Iterable[Mapping], run_date) -> list[dict]:
+def run_bronze(
+    spark: SparkSession, layout: Layout, entries: Iterable[Mapping], run_date, parallelism: int | None = None
+) -> list[dict]:
     """Copy each landing CSV to ``bronze/<target_path>/<yyyy-MM-dd>/<target_name>`` (all strings)."""
-    out = []
-    for e in entries:
+
+    def one(e: Mapping) -> dict:
         started = _now()
         df = read_csv(spark, layout.landing(e["source_path"], e["source_name"]))
         obs = Observation(f"bronze_{e['target_name']}")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         write_snapshot(df, layout.bronze(e["target_path"]), run_date, e["target_name"])
         n = obs.get["rows"]
-        out.append(_audit(run_date, "bronze", e["target_name"], "ok", started, rows_in=n, rows_out=n))
-    return out
+        return _audit(run_date, "bronze", e["target_name"], "ok", started, rows_in=n, rows_out=n)
+
+    return _each_table(entries, one, parallelism)
 
 
 # ---------------------------------------------------------------- silver
@@ -115,17 +136,19 @@ def silver_frame(spark: SparkSession, layout: Layout, spec: SilverSpec, run_date
     return prepare_silver(df, dedupe=spec.dedupe)
 
 
-def run_silver(spark: SparkSession, layout: Layout, specs: Iterable[SilverSpec], run_date) -> list[dict]:
-    out = []
-    for spec in specs:
+def run_silver(
+    spark: SparkSession, layout: Layout, specs: Iterable[SilverSpec], run_date, parallelism: int | None = None
+) -> list[dict]:
+    def one(spec: SilverSpec) -> dict:
         started = _now()
         df = silver_frame(spark, layout, spec, run_date)
         obs = Observation(f"silver_{spec.table_name}")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         append_silver(df, layout.silver(spec.table_name))
         n = obs.get["rows"]
-        out.append(_audit(run_date, "silver", spec.table_name, "ok", started, rows_in=n, rows_out=n))
-    return out
+        return _audit(run_date, "silver", spec.table_name, "ok", started, rows_in=n, rows_out=n)
+
+    return _each_table(specs, one, parallelism)
 
 
 # ---------------------------------------------------------------- gold
@@ -202,8 +225,10 @@ def merge_into_gold(
     )
 
 
-def run_gold(spark: SparkSession, layout: Layout, tables: Iterable[str], run_date, **merge_options) -> list[dict]:
-    return [load_gold(spark, layout, t, run_date, **merge_options) for t in tables]
+def run_gold(
+    spark: SparkSession, layout: Layout, tables: Iterable[str], run_date, parallelism: int | None = None, **merge_options
+) -> list[dict]:
+    return _each_table(tables, lambda t: load_gold(spark, layout, t, run_date, **merge_options), parallelism)
 
 
 # ---------------------------------------------------------------- full run
@@ -219,12 +244,16 @@ def run_layers(
     gold_tables: Iterable[str],
     run_date,
     write_audit: bool = True,
+    parallelism: int | None = None,
     **merge_options,
 ) -> DataFrame:
-    """Bronze, then silver, then gold; a failing layer stops the run (its exception propagates)."""
-    rows = run_bronze(spark, layout, bronze_entries, run_date)
-    rows += run_silver(spark, layout, silver_specs, run_date)
-    rows += run_gold(spark, layout, gold_tables, run_date, **merge_options)
+    """Bronze, then silver, then gold; a failing layer stops the run (its exception propagates).
+
+    Within a layer the tables load concurrently (``parallelism`` tables at a time, default up to 8).
+    """
+    rows = run_bronze(spark, layout, bronze_entries, run_date, parallelism)
+    rows += run_silver(spark, layout, silver_specs, run_date, parallelism)
+    rows += run_gold(spark, layout, gold_tables, run_date, parallelism, **merge_options)
     audit = audit_frame(spark, rows)
     if write_audit:
         audit.write.mode("append").parquet(layout.audit())
