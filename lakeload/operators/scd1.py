@@ -38,6 +38,11 @@ def scd1_merge(
 
     matched, hash differs -> attributes and hash from the source, SK kept; matched and equal ->
     unchanged; source only -> inserted with the next SKs (key order); gold only -> kept.
+
+    Plan: the (deduplicated, checked) source is compared with gold's key, SK and hash columns only;
+    the changed and new rows form one numbered change table (inserts ordered first, so their SKs are
+    dense after ``max(SK)``); gold rows take their new values through a join on the SK with the
+    updates, which Spark can broadcast when the change table is small, so gold is not shuffled.
     """
     ks = resolve_keys(gold.columns, keys)
     sk = sk_column(gold.columns)
@@ -50,16 +55,28 @@ def scd1_merge(
     if check_source:
         source = unique_rows(source, ks, null_safe_keys)
     src = prefixed(source, SRC, needed)
-    cond = key_condition(ks, [SRC + k for k in ks], null_safe_keys)
-
-    changed = F.col(SRC + HASH_COL).isNotNull() & (F.col(SRC + HASH_COL) != F.col(HASH_COL))
-    updated = gold.join(src, cond, "left").select(
-        *[
-            F.when(changed, F.col(SRC + c)).otherwise(F.col(c)).alias(c) if c in attrs or c == HASH_COL else F.col(c)
-            for c in gold.columns
-        ]
+    cond = key_condition([SRC + k for k in ks], ks, null_safe_keys)
+    current = gold.select(*ks, F.col(sk).alias("_ll_gsk"), F.col(HASH_COL).alias("_ll_ghash"))
+    cmp = src.join(current, cond, "left")
+    is_new = F.col("_ll_gsk").isNull()
+    changed = ~is_new & (F.col("_ll_ghash") != F.col(SRC + HASH_COL))
+    staged = cmp.filter(is_new | changed).select(
+        *[F.col(SRC + c) for c in needed],
+        F.col("_ll_gsk"),
+        F.when(is_new, F.lit(0)).otherwise(F.lit(1)).alias("_ll_grp"),
     )
-    new_rows = src.join(gold.select(*ks), cond, "left_anti").select(*[F.col(SRC + c).alias(c) for c in needed])
     base = max_value(gold, sk) if max_sk is None else int(max_sk)
-    inserts = translate_errors(number_rows, new_rows, ks, sk, base, num_partitions)
+    numbered = translate_errors(number_rows, staged, ["_ll_grp", *[SRC + k for k in ks]], "_ll_new_sk", base, num_partitions)
+
+    updates = numbered.filter(F.col("_ll_grp") == 1).select(
+        F.col("_ll_gsk").alias(sk), *[F.col(SRC + c).alias("_ll_u_" + c) for c in attrs + [HASH_COL]]
+    )
+    upd = F.col("_ll_u_" + HASH_COL).isNotNull()
+    updated = gold.join(updates, sk, "left").select(
+        *[F.when(upd, F.col("_ll_u_" + c)).otherwise(F.col(c)).alias(c) if c in attrs or c == HASH_COL else F.col(c)
+          for c in gold.columns]
+    )
+    inserts = numbered.filter(F.col("_ll_grp") == 0).select(
+        *[F.col(SRC + c).alias(c) for c in needed], F.col("_ll_new_sk").alias(sk)
+    )
     return updated.unionByName(inserts.select(*gold.columns))
