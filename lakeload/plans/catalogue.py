@@ -557,7 +557,7 @@ def q_distinct_rows(spark, sf):
 @query(
     "distinct_keys",
     f"""
-SELECT * EXCLUDE (rn) FROM (
+SELECT * EXCLUDE (rn, l_shipdate), strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                                ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
                                         l_returnflag, l_linestatus, l_shipdate) AS rn
@@ -565,7 +565,8 @@ SELECT * EXCLUDE (rn) FROM (
 """,
 )
 def q_distinct_keys(spark, sf):
-    return first_per_key(line_dec(spark, sf), ["l_orderkey", "l_linenumber"])
+    first = first_per_key(line_dec(spark, sf), ["l_orderkey", "l_linenumber"])
+    return first.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query(
