@@ -86,3 +86,30 @@ def test_merge_errors(spark):
         scd2_merge(gold, _src(spark, [("A", "v1"), ("A", "v2")]), now="2024-03-10")
     with pytest.raises(DuplicateKeyError):
         scd2_merge(gold, _src(spark, [(None, "v1")]), now="2024-03-10")
+
+
+def test_hot_key_history(spark):
+    """One key holds most of the versions; the latest-version aggregate is partial (map-side)."""
+    from pyspark.sql import functions as F
+
+    versions = spark.range(2000).select(
+        F.lit("H").alias("KEY_id"),
+        F.concat(F.lit("v"), F.col("id").cast("string")).alias("val"),
+    )
+    gold = hash_key(versions)
+    gold = gold.select(
+        "*",
+        (F.monotonically_increasing_id() + 1).alias("SK_t"),
+        F.lit("190001010000").alias("created_date"),
+        F.lit("202401010000").alias("updated_date"),
+    )
+    gold = spark.createDataFrame(gold.collect(), gold.schema)  # 2000 closed versions of one key
+    src = _src(spark, [("H", "new"), ("Q", "q")])
+    out = scd2_merge(gold, src, now="2024-03-10")
+    opened = _rows(out.filter("updated_date = '999912312359'"), "KEY_id", "val", "created_date")
+    assert opened == [("H", "new", "202403100000"), ("Q", "q", "190001010000")]
+    assert out.count() == 2002
+    from lakeload.operators.scd2 import _latest_state
+
+    plan = _latest_state(gold, ["KEY_id"], "SK_t")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
