@@ -113,3 +113,23 @@ def test_hot_key_history(spark):
 
     plan = _latest_state(gold, ["KEY_id"], "SK_t")._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
+
+
+def test_array_columns_pass_through(spark):
+    """Array columns are hashed, validated, numbered and merged like any other attribute."""
+    from pyspark.sql import functions as F
+
+    from lakeload.operators.prepare import prepare_silver, rename_keys
+
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    src = prepare_silver(rename_keys(emb, ["vec_id"]))
+    gold = scd2_create(src, sk="SK_emb")
+    changed = src.withColumn("label", F.col("label") + F.when(F.col("KEY_vec_id") < 10, 1).otherwise(0))
+    changed = prepare_silver(changed.drop("HASHCOLUMN"))
+    out = scd2_merge(gold, changed, now="2024-03-10")
+    n = emb.count()
+    n_changed = emb.filter("vec_id < 10").count()
+    assert out.count() == n + n_changed
+    assert dict(out.dtypes)["embedding"] == "array<float>"
+    again = scd2_merge(out, changed, now="2024-03-10")
+    assert again.count() == out.count()
