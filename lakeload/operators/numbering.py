@@ -3,9 +3,12 @@ offset) without a single-partition window.
 
 Plan:
 
-1. range-partition on the order columns (with a row hash and a per-row id as tie-breakers, so a
-   group of equal keys, even of identical copies, can be split over partitions), sort within
-   partitions, record ``(partition, position)`` per row;
+1. range-partition on the order columns, sort within partitions, record ``(partition, position)``
+   per row. When the order columns are not known to be unique, a row hash and a per-row id are
+   added as tie-breakers, so a group of equal keys, even of identical copies, can be split over
+   partitions. The per-row id is assigned after a local sort of each input partition; only identical
+   rows can then swap ids, so a recomputed task (executor loss) yields the same set of
+   (row, id) pairs and every row lands in the same range partition again;
 2. write that frame to the shared scratch folder (lineage cut: the sampled range bounds are used
    exactly once, and a lost executor re-reads files instead of re-sampling);
 3. count rows per partition (one tiny aggregate over one pruned column), turn the counts into
@@ -45,29 +48,38 @@ def number_rows(
     name: str,
     offset: int = 0,
     num_partitions: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Append ``name`` = ``offset`` + 1..n in ``order_by`` order (ascending, NULLs first), as bigint.
 
-    Rows equal on ``order_by`` are ordered by a hash of all columns; identical rows in any order
-    (the result is the same multiset either way).
+    ``unique=True`` declares the order columns unique (no tie-breakers needed). Otherwise rows equal
+    on ``order_by`` are ordered by a hash of all columns, identical rows in any order (the result is
+    the same multiset either way).
     """
     if not order_by:
         raise ValueError("number_rows needs at least one order column")
+    n = _range_partitions(df, num_partitions)
+    keys = [F.col(c).asc_nulls_first() for c in order_by]
+    if unique:
+        prepared, order, helpers = df, keys, []
+    else:
+        hashable = [c for c in df.columns if not isinstance(df.schema[c].dataType, MapType)]
+        prepared = (
+            df.withColumn(_TIE, F.xxhash64(*hashable))
+            .sortWithinPartitions(*keys, F.col(_TIE))
+            .withColumn(_SEQ, F.monotonically_increasing_id())
+        )
+        order, helpers = keys + [F.col(_TIE), F.col(_SEQ)], [_TIE, _SEQ]
     # Without an explicit count the range exchange starts at spark.sql.shuffle.partitions and AQE
     # coalesces adjacent ranges to the advisory size; coalesced partitions stay contiguous and in
     # order, so (partition, position) still orders the rows globally.
-    n = _range_partitions(df, num_partitions)
-    hashable = [c for c in df.columns if not isinstance(df.schema[c].dataType, MapType)]
-    order = [F.col(c).asc_nulls_first() for c in order_by] + [F.col(_TIE), F.col(_SEQ)]
     ranged = (
-        df.withColumn(_TIE, F.xxhash64(*hashable))
-        .withColumn(_SEQ, F.monotonically_increasing_id())
-        .repartitionByRange(*([num_partitions] if num_partitions else []), *order)
+        prepared.repartitionByRange(*([n] if num_partitions else []), *order)
         .sortWithinPartitions(*order)
         .withColumn(_PID, F.spark_partition_id())
         # monotonically_increasing_id = (partition << 33) + position within the partition
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-        .drop(_TIE, _SEQ)
+        .drop(*helpers)
     )
     staged = materialize(ranged, "numbering")
     counts = staged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))

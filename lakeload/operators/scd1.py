@@ -18,11 +18,12 @@ def scd1_create(
     sk: str | None = None,
     table_name: str | None = None,
     num_partitions: int | None = None,
+    unique_keys: bool = False,
 ) -> DataFrame:
-    """Source rows plus ``SK_<name>`` = 1..n in key order."""
+    """Source rows plus ``SK_<name>`` = 1..n in key order (``unique_keys``: one row per key)."""
     ks = resolve_keys(df.columns, keys)
     name = sk or sk_name_for(table_name or "")
-    return number_rows(df, ks, name, 0, num_partitions)
+    return number_rows(df, ks, name, 0, num_partitions, unique=unique_keys)
 
 
 def scd1_merge(
@@ -66,7 +67,10 @@ def scd1_merge(
         F.when(is_new, F.lit(0)).otherwise(F.lit(1)).alias("_ll_grp"),
     )
     base = max_value(gold, sk) if max_sk is None else int(max_sk)
-    numbered = translate_errors(number_rows, staged, ["_ll_grp", *[SRC + k for k in ks]], "_ll_new_sk", base, num_partitions)
+    numbered = translate_errors(
+        number_rows, staged, ["_ll_grp", *[SRC + k for k in ks]], "_ll_new_sk", base, num_partitions,
+        unique=check_source,
+    )
 
     updates = numbered.filter(F.col("_ll_grp") == 1).select(
         F.col("_ll_gsk").alias(sk), *[F.col(SRC + c).alias("_ll_u_" + c) for c in attrs + [HASH_COL]]

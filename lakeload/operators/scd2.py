@@ -48,11 +48,14 @@ def scd2_create(
     sk: str | None = None,
     table_name: str | None = None,
     num_partitions: int | None = None,
+    unique_keys: bool = False,
 ) -> DataFrame:
-    """Source rows + ``SK_<name>`` 1..n in key order + default validity (open since 1900)."""
+    """Source rows + ``SK_<name>`` 1..n in key order + default validity (open since 1900).
+
+    ``unique_keys=True`` declares one row per key (e.g. after the merge-source check)."""
     ks = resolve_keys(df.columns, keys)
     name = sk or sk_name_for(table_name or "")
-    return number_rows(df, ks, name, 0, num_partitions).withColumns(
+    return number_rows(df, ks, name, 0, num_partitions, unique=unique_keys).withColumns(
         {CREATED_COL: F.lit(DEFAULT_START), UPDATED_COL: F.lit(OPEN_END)}
     )
 
@@ -195,7 +198,8 @@ def scd2_merge(
     staged = staged.withColumn("_ll_grp", F.when(F.col("_ll_insert"), F.lit(0)).otherwise(F.lit(1)))
     base = max_value(gold, sk) if max_sk is None else int(max_sk)
     numbered = translate_errors(
-        number_rows, staged, ["_ll_grp", *[SRC + k for k in ks]], "_ll_new_sk", base, num_partitions
+        number_rows, staged, ["_ll_grp", *[SRC + k for k in ks]], "_ll_new_sk", base, num_partitions,
+        unique=check_source,
     )
 
     closes = numbered.filter("_ll_close").select(F.col(_T + "sk").alias(sk), F.lit(stamp).alias("_ll_close_at"))

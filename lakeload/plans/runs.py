@@ -197,7 +197,7 @@ def merge_into_gold(
         sk = sk_name_for(table_name)
         source = unique_rows(source, keys, allow_null_keys=False)
         create = scd1_create if kind == 1 else scd2_create
-        out = translate_errors(create, source, keys, sk)
+        out = translate_errors(create, source, keys, sk, unique_keys=True)
         before, status = 0, "created"
     else:
         gold = read_table(spark, gold_path)

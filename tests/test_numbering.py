@@ -48,3 +48,12 @@ def test_no_single_partition_exchange_over_rows(spark):
         # only the (partition id, row count) pairs ever meet in one partition
         assert "Input [2]" in b and "_ll_cnt" in b
     assert "BroadcastExchange" in plan
+
+
+def test_unique_keys_path_equals_global_row_number(spark):
+    o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey", "o_custkey")
+    a = number_rows(o, ["o_orderkey"], "sk", unique=True)
+    b = global_row_number(o, ["o_orderkey"], "sk2")
+    assert a.join(b, ["o_orderkey", "o_custkey"]).filter("sk != sk2").count() == 0
+    plan = formatted(a)
+    assert "_ll_tie" not in plan and "_ll_seq" not in plan
