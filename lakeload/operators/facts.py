@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lakeload.functions.dates import stamp_col
+from lakeload.functions.dates import STAMP_FORMAT, stamp_col
 from lakeload.plans.roles import CREATED_COL, OPEN_END, UPDATED_COL, key_columns, sk_column
 
 UNKNOWN_SK = -1
@@ -53,6 +53,10 @@ def lookup_sk(fact: DataFrame, lookup: DimLookup, unknown: int = UNKNOWN_SK) ->
             at = F.col(lookup.as_of)
             if not isinstance(fact.schema[lookup.as_of].dataType, StringType):
                 at = stamp_col(at)
+            else:  # a stamp already, or a date / timestamp written as text (e.g. from CSV)
+                at = F.when(at.rlike("^[0-9]{12}$"), at).otherwise(
+                    F.date_format(F.try_to_timestamp(at), STAMP_FORMAT)
+                )
             cond = cond & (F.col(_D + CREATED_COL) <= at) & (at < F.col(_D + UPDATED_COL))
     out = fact.join(d, cond, "left").withColumn(sk, F.coalesce(F.col(_D + sk), F.lit(unknown)).cast("bigint"))
     out = out.drop(*[_D + c for c in cols])

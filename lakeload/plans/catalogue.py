@@ -46,7 +46,15 @@ from lakeload.operators.scd2 import (
 from lakeload.operators.validate import count_distinct_keys, first_per_key, validate_keys_df
 from lakeload.plans.layout import Layout
 from lakeload.plans.roles import OPEN_END, UPDATED_COL, sk_column
-from lakeload.plans.runs import SilverSpec, load_gold, run_bronze, run_layers, run_silver, silver_frame
+from lakeload.plans.runs import (
+    FactSpec,
+    SilverSpec,
+    load_gold,
+    register_gold_views,
+    run_bronze,
+    run_layers,
+    run_silver,
+)
 from lakeload.session import scratch_path
 from lakeload.sources.config import BRONZE_SCHEMA, read_config
 from lakeload.sources.files import (
@@ -968,7 +976,7 @@ LAYER_TABLES = {
 }
 
 
-def _landing(spark, sf, layout: Layout, day2: bool = False):
+def _landing(spark, sf, layout: Layout, day2: bool = False, only=None):
     """Landing CSV files derived from the tables (day 2: the customer changes of the module docstring)."""
     frames = {
         "customer": cust_raw_day2(cust_raw(spark, sf)) if day2 else cust_raw(spark, sf),
@@ -980,6 +988,8 @@ def _landing(spark, sf, layout: Layout, day2: bool = False):
         "supplier": _t(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", _dec("s_acctbal")),
         "nation": _t(spark, sf, "nation"),
     }
+    if only is not None:
+        frames = {k: v for k, v in frames.items() if k in only}
     def write(item):
         name, df = item
         df.write.mode("overwrite").option("header", True).csv(layout.landing("tpch", f"{name}.csv"))
@@ -1103,6 +1113,39 @@ def q_full_load(spark, sf):
     return full_load(spark, sf)
 
 
+@query(
+    "fact_table_load",
+    """
+WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS k, row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) AS sk
+           FROM customer)
+SELECT CAST(o.o_orderkey AS VARCHAR) AS KEY_o_orderkey, o.o_orderstatus,
+       CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice,
+       strftime(o.o_orderdate, '%Y-%m-%d') AS o_orderdate, o.o_orderpriority,
+       coalesce(c.sk, -1) AS SK_customer, '2024-03-10' AS LoadDate
+FROM orders o LEFT JOIN c ON CAST(o.o_custkey AS VARCHAR) = c.k
+""",
+)
+def q_fact_table_load(spark, sf):
+    """Two daily runs with a fact step: orders land as facts whose customer key is replaced by the SK of
+    the customer version valid at the order date (customers change on day 2)."""
+    layout = Layout(scratch_path(spark, "q-lake"))
+    bronze = [
+        {"source_path": "tpch/", "source_name": f"{n}.csv", "target_path": "tpch/", "target_name": n}
+        for n in ("customer", "orders")
+    ]
+    silver = [SilverSpec("DIM2_customer", "tpch", "customer", ["c_custkey"]),
+              SilverSpec("FACT_orders", "tpch", "orders", ["o_orderkey"])]
+    facts = [FactSpec("FACT_orders", "FACT_orders", ({"dim": "DIM2_customer", "keys": ["o_custkey"], "as_of": "o_orderdate"},))]
+    for day, day2 in ((DAY1, False), (DAY2, True)):
+        _landing(spark, sf, layout, day2=day2, only=("customer", "orders"))
+        run_layers(spark, layout, bronze, silver, ["DIM2_customer"], day, fact_specs=facts)
+    register_gold_views(spark, layout, ["DIM2_customer", "FACT_orders"])
+    return spark.sql(
+        "SELECT KEY_o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, SK_customer, "
+        f"CAST(LoadDate AS STRING) AS LoadDate FROM FACT_orders WHERE CAST(LoadDate AS STRING) = '{DAY2}'"
+    )
+
+
 @query(
     "run_audit",
     "WITH c AS (" + SQL_COUNTS + """)

@@ -231,6 +231,72 @@ def run_gold(
     return _each_table(tables, lambda t: load_gold(spark, layout, t, run_date, **merge_options), parallelism)
 
 
+# ---------------------------------------------------------------- facts
+@dataclass(frozen=True)
+class FactSpec:
+    """A gold fact table: the newest load of a silver table with business keys replaced by SKs.
+
+    ``lookups``: ``{"dim": "DIM2_customer", "keys": ["o_custkey"], "as_of": "o_orderdate"}`` per dimension
+    (``as_of`` optional: without it the current version is used).
+    """
+
+    table_name: str
+    silver_table: str
+    lookups: Sequence[Mapping] = ()
+
+    @classmethod
+    def from_record(cls, r: Mapping) -> FactSpec:
+        return cls(r["table_name"], r["silver_table"], tuple(dict(x) for x in (r.get("lookups") or ())))
+
+
+FACT_SPEC_SCHEMA = (
+    "table_name string, silver_table string, lookups array<struct<dim:string, keys:array<string>, as_of:string>>"
+)
+
+
+def load_fact_table(spark: SparkSession, layout: Layout, spec: FactSpec, run_date) -> dict:
+    """Write the newest silver load, keys replaced by SKs, as the ``LoadDate`` partition of the gold fact."""
+    from lakeload.operators.facts import DimLookup, load_fact
+
+    started = _now()
+    silver_path = layout.silver(spec.silver_table)
+    if not path_exists(spark, silver_path):
+        return _audit(run_date, "gold", spec.table_name, "skipped", started, message=f"silver table {silver_path} does not exist")
+    fact = read_silver(spark, silver_path)
+    lookups = [
+        DimLookup(read_table(spark, layout.gold(lk["dim"])), list(lk["keys"]), as_of=lk.get("as_of"))
+        for lk in spec.lookups
+    ]
+    out = load_fact(fact, lookups)
+    obs = Observation(f"fact_{spec.table_name}")
+    sks = [sk_column(lk.dim.columns) for lk in lookups]
+    unknown = [F.sum((F.col(c) == -1).cast("long")).alias(f"unknown_{i}") for i, c in enumerate(sks)]
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *unknown)
+    append_silver(out, layout.gold(spec.table_name))  # one partition per load, replaced on a re-run
+    m = obs.get
+    missing = sum(v or 0 for k, v in m.items() if k.startswith("unknown_"))
+    return _audit(run_date, "gold", spec.table_name, "loaded", started, rows_in=m["rows"], rows_out=m["rows"],
+                  message=f"{missing} keys without a dimension row" if missing else None)
+
+
+def run_facts(spark: SparkSession, layout: Layout, specs: Iterable[FactSpec], run_date, parallelism: int | None = None):
+    return _each_table(specs, lambda s: load_fact_table(spark, layout, s, run_date), parallelism)
+
+
+def register_gold_views(spark: SparkSession, layout: Layout, tables: Iterable[str]) -> list[str]:
+    """Temp views for SQL access: ``<table>`` (all rows) and, for SCD2 tables, ``<table>_current``."""
+    names = []
+    for t in tables:
+        path = layout.gold(t)
+        df = read_table(spark, path) if table_exists(spark, path) else spark.read.parquet(path)
+        df.createOrReplaceTempView(t)
+        names.append(t)
+        if UPDATED_COL in df.columns:
+            df.filter(F.col(UPDATED_COL) == F.lit(OPEN_END)).createOrReplaceTempView(f"{t}_current")
+            names.append(f"{t}_current")
+    return names
+
+
 # ---------------------------------------------------------------- full run
 def audit_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, AUDIT_SCHEMA)
@@ -245,15 +311,17 @@ def run_layers(
     run_date,
     write_audit: bool = True,
     parallelism: int | None = None,
+    fact_specs: Iterable[FactSpec] = (),
     **merge_options,
 ) -> DataFrame:
-    """Bronze, then silver, then gold; a failing layer stops the run (its exception propagates).
+    """Bronze, then silver, then gold dimensions, then gold facts; a failing layer stops the run.
 
     Within a layer the tables load concurrently (``parallelism`` tables at a time, default up to 8).
     """
     rows = run_bronze(spark, layout, bronze_entries, run_date, parallelism)
     rows += run_silver(spark, layout, silver_specs, run_date, parallelism)
     rows += run_gold(spark, layout, gold_tables, run_date, parallelism, **merge_options)
+    rows += run_facts(spark, layout, fact_specs, run_date, parallelism)
     audit = audit_frame(spark, rows)
     if write_audit:
         audit.write.mode("append").parquet(layout.audit())
@@ -261,8 +329,12 @@ def run_layers(
 
 
 def run_from_config(spark: SparkSession, layout: Layout, run_date, **merge_options) -> DataFrame:
-    """Drive a run from ``config/bronze.json``, ``config/silver.json``, ``config/gold.json``."""
+    """Drive a run from ``config/bronze.json``, ``config/silver.json``, ``config/gold.json`` and, if present,
+    ``config/facts.json``."""
     bronze = config_records(read_config(spark, layout.config("bronze.json"), BRONZE_SCHEMA))
     silver = [SilverSpec.from_record(r) for r in config_records(read_config(spark, layout.config("silver.json"), SILVER_SPEC_SCHEMA))]
     gold = [r["table_name"] for r in config_records(read_config(spark, layout.config("gold.json"), GOLD_SCHEMA))]
-    return run_layers(spark, layout, bronze, silver, gold, run_date, **merge_options)
+    facts = []
+    if path_exists(spark, layout.config("facts.json")):
+        facts = [FactSpec.from_record(r) for r in config_records(read_config(spark, layout.config("facts.json"), FACT_SPEC_SCHEMA))]
+    return run_layers(spark, layout, bronze, silver, gold, run_date, fact_specs=facts, **merge_options)
