@@ -23,7 +23,15 @@ from lakeload.operators.scd2 import IGNORE, scd2_create, scd2_merge
 from lakeload.plans.layout import Layout
 from lakeload.plans.roles import OPEN_END, UPDATED_COL, key_columns, scd_type, sk_column, sk_name_for
 from lakeload.sources.config import BRONZE_SCHEMA, GOLD_SCHEMA, config_records, read_config
-from lakeload.sources.files import append_silver, read_csv, read_latest_snapshot, read_silver, typed_copy, write_snapshot
+from lakeload.sources.files import (
+    append_silver,
+    read_csv,
+    read_latest_snapshot,
+    read_silver,
+    silver_loads,
+    typed_copy,
+    write_snapshot,
+)
 from lakeload.sources.fs import path_exists
 from lakeload.sources.store import read_table, table_exists, write_table
 
@@ -170,6 +178,8 @@ def load_gold(
     if not path_exists(spark, silver_path):
         return _audit(run_date, "gold", table_name, "skipped", started, message=f"silver table {silver_path} does not exist")
     kind = scd_type(table_name)
+    if not silver_loads(spark, silver_path):
+        return _audit(run_date, "gold", table_name, "skipped", started, message="silver table holds no load")
     source = read_silver(spark, silver_path)
     if table_exists(spark, layout.gold(table_name)) and source.isEmpty():
         return _audit(run_date, "gold", table_name, "skipped", started, message="silver load is empty")

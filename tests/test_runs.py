@@ -82,3 +82,10 @@ def test_run_from_config_files(spark, tmp_base):
     assert rows == {("bronze", "t"): "ok", ("silver", "DIM1_t"): "ok", ("gold", "DIM1_t"): "created",
                     ("gold", "DIM2_absent"): "skipped"}
     assert read_table(spark, layout.gold("DIM1_t")).count() == 2
+
+
+def test_empty_silver_is_skipped(spark, tmp_base):
+    layout = Layout(tmp_base)
+    empty = spark.createDataFrame([], "KEY_k int, v string, LoadDate string")
+    append_silver(empty, layout.silver("DIM2_e"))
+    assert load_gold(spark, layout, "DIM2_e", "2024-03-10")["status"] == "skipped"
