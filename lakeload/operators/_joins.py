@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeload.functions.hashing import row_fingerprint
 from lakeload.operators.validate import DuplicateKeyError
 
 SRC = "_s_"
@@ -32,22 +33,28 @@ DUP_MARKER = "lakeload: merge source"
 def unique_rows(source: DataFrame, keys: Sequence[str], allow_null_keys: bool) -> DataFrame:
     """One row per key, checked lazily inside the plan.
 
-    ``min(struct(row))`` and ``max(struct(row))`` per key (partial aggregation: a hot key sends one
-    row per map task); identical copies collapse, two different rows for one key fail the job through
-    ``raise_error`` when the plan runs, as does a NULL key unless allowed. The output is
-    hash-partitioned on the keys, which a following join on the keys reuses.
+    Per key: ``min(struct(row))`` (the survivor) and the min/max of a 128-bit row fingerprint, all with
+    partial aggregation (a hot key sends one row per map task, and each shuffled row carries the
+    row once plus four longs). Identical copies collapse; two different rows for one key fail the
+    job through ``raise_error`` when the plan runs, as does a NULL key unless allowed. The output
+    is hash-partitioned on the keys, which a following join on the keys reuses.
     """
     rest = [c for c in source.columns if c not in keys]
     if rest:
-        row = F.struct(*[F.col(c) for c in rest])
-        agg = source.groupBy(*keys).agg(F.min(row).alias("_ll_lo"), F.max(row).alias("_ll_hi"))
-        differs = ~F.col("_ll_lo").eqNullSafe(F.col("_ll_hi"))
+        fp = row_fingerprint(source, rest)
+        agg = source.withColumn("_ll_fp", fp).groupBy(*keys).agg(
+            F.min(F.struct(*[F.col(c) for c in rest])).alias("_ll_row"),
+            F.min("_ll_fp.h1").alias("_ll_lo1"),
+            F.max("_ll_fp.h1").alias("_ll_hi1"),
+            F.min("_ll_fp.h2").alias("_ll_lo2"),
+            F.max("_ll_fp.h2").alias("_ll_hi2"),
+        )
+        differs = (F.col("_ll_lo1") != F.col("_ll_hi1")) | (F.col("_ll_lo2") != F.col("_ll_hi2"))
     else:
         agg = source.select(*keys).distinct()
         differs = F.lit(False)
-    bad = differs
-    msg = F.concat(F.lit(f"{DUP_MARKER} has different rows for one key of ({', '.join(keys)})"))
-    out = agg.filter(F.when(bad, F.raise_error(msg)).otherwise(F.lit(True)))
+    msg = F.lit(f"{DUP_MARKER} has different rows for one key of ({', '.join(keys)})")
+    out = agg.filter(F.when(differs, F.raise_error(msg)).otherwise(F.lit(True)))
     if not allow_null_keys and keys:
         any_null = None
         for k in keys:
@@ -56,7 +63,7 @@ def unique_rows(source: DataFrame, keys: Sequence[str], allow_null_keys: bool) -
         null_msg = F.lit(f"{DUP_MARKER} has a NULL value in a key column of ({', '.join(keys)})")
         out = out.filter(F.when(any_null, F.raise_error(null_msg)).otherwise(F.lit(True)))
     if rest:
-        out = out.select(*keys, *[F.col(f"_ll_lo.{c}").alias(c) for c in rest])
+        out = out.select(*keys, *[F.col(f"_ll_row.{c}").alias(c) for c in rest])
     return out.select(*source.columns)
 
 
