@@ -197,8 +197,10 @@ def scd2_merge(
     # (then by key) makes the inserts' numbers 1..k in key order; the other rows' numbers are unused.
     staged = staged.withColumn("_ll_grp", F.when(F.col("_ll_insert"), F.lit(0)).otherwise(F.lit(1)))
     base = max_value(gold, sk) if max_sk is None else int(max_sk)
+    # (group, source keys, target SK) is unique: closes of keys missing from the source (NULL source
+    # keys) are told apart by the SK of the version they close, so they spread over range partitions.
     numbered = translate_errors(
-        number_rows, staged, ["_ll_grp", *[SRC + k for k in ks]], "_ll_new_sk", base, num_partitions,
+        number_rows, staged, ["_ll_grp", *[SRC + k for k in ks], _T + "sk"], "_ll_new_sk", base, num_partitions,
         unique=check_source,
     )
 
