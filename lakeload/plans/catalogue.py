@@ -205,10 +205,17 @@ pg1 AS (SELECT *, row_number() OVER (ORDER BY KEY_p_partkey) AS SK_part FROM ps1
 """
 
 
-def sql_scd2(p: str, gold: str, src: str, key: str, sk: str, data_cols, now: str, mode: str = "ignore") -> str:
+def sql_scd2(
+    p: str, gold: str, src: str, key: str, sk: str, data_cols, now: str, mode: str = "ignore", close_missing: bool = False
+) -> str:
     """CTEs ``{p}_t`` (latest version), ``{p}_a`` (actions), ``{p}_m`` (merged dimension)."""
     cols = ", ".join(data_cols)
     close = "act = 'update'" + (" OR act = 'delete'" if mode == CLOSE else "")
+    missing = (
+        f" OR g.{sk} IN (SELECT t_sk FROM {p}_t WHERE t_updated = '999912312359' AND t_key NOT IN (SELECT {key} FROM {src}))"
+        if close_missing
+        else ""
+    )
     return f"""
 {p}_t AS (SELECT {key} AS t_key, {sk} AS t_sk, HASHCOLUMN AS t_hash, created_date AS t_created, updated_date AS t_updated
           FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {sk} DESC) AS rn FROM {gold}) WHERE rn = 1),
@@ -219,7 +226,7 @@ def sql_scd2(p: str, gold: str, src: str, key: str, sk: str, data_cols, now: str
                  WHEN t.t_hash = s.HASHCOLUMN AND t.t_updated = '999912312359' THEN 'delete' END AS act
           FROM {src} s LEFT JOIN {p}_t t ON s.{key} = t.t_key),
 {p}_m AS (
-  SELECT g.* REPLACE (CASE WHEN g.updated_date = '999912312359' AND g.{sk} IN (SELECT t_sk FROM {p}_a WHERE {close})
+  SELECT g.* REPLACE (CASE WHEN g.updated_date = '999912312359' AND (g.{sk} IN (SELECT t_sk FROM {p}_a WHERE {close}){missing})
                            THEN '{now}' ELSE g.updated_date END AS updated_date)
   FROM {gold} g
   UNION ALL BY NAME
@@ -686,6 +693,18 @@ def q_scd2_merge_close(spark, sf):
     return cust_gold_day2(spark, sf, mode=CLOSE)
 
 
+@query(
+    "scd2_close_missing",
+    "WITH " + SQL_CUST + "," + sql_scd2("x2", "g1", "s2", "KEY_c_custkey", "SK_customer", CUST_DATA, STAMP2, close_missing=True)
+    + "SELECT * FROM x2_m",
+)
+def q_scd2_close_missing(spark, sf):
+    """Snapshot merge that also closes the open versions of customers absent from day 2 (nation 4)."""
+    r1 = cust_raw(spark, sf)
+    gold = scd2_create(cust_src(r1), sk="SK_customer")
+    return scd2_merge(gold, cust_src(cust_raw_day2(r1)), now=DAY2, close_missing=True)
+
+
 @query(
     "scd2_reopen",
     "WITH " + SQL_CUST_C2 + "," + sql_scd2("c3", "c2_m", "s3", "KEY_c_custkey", "SK_customer", CUST_DATA, STAMP3, CLOSE)
