@@ -492,17 +492,18 @@ def q_remove_accents_sql(spark, sf):
 @query(
     "geo_normalise",
     """
-SELECT DISTINCT lang AS KEY_geo_state, strip_accents(split_part(text, ' ', 1)) AS KEY_geo_city,
+SELECT DISTINCT lang AS KEY_geo_state, strip_accents(text) AS KEY_geo_city,
        source AS KEY_geo_source, '2024-03-10' AS LoadDate
 FROM documents
 """,
 )
 def q_geo_normalise(spark, sf):
-    docs = _t(spark, sf, "documents").withColumn("city", F.substring_index("text", " ", 1))
+    """Location-style cleanup over whole document texts: renamed keys, accent-stripped text key,
+    load stamp, projection, distinct (exact copies of a document collapse)."""
     return geo_normalise(
-        docs,
+        _t(spark, sf, "documents"),
         renames={"lang": "KEY_geo_state", "source": "KEY_geo_source"},
-        accent_columns={"city": "KEY_geo_city"},
+        accent_columns={"text": "KEY_geo_city"},
         run_date=DAY2,
     )
 
