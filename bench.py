@@ -14,10 +14,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from lakeload.functions.text import remove_accents  # noqa: E402
-from lakeload.operators.numbering import global_row_number, number_rows  # noqa: E402
+from lakeload.operators.numbering import number_rows  # noqa: E402
 from lakeload.operators.prepare import hash_key, rename_keys  # noqa: E402
 from lakeload.operators.scd2 import scd2_create, scd2_merge  # noqa: E402
 from lakeload.operators.validate import validate_keys_df  # noqa: E402
@@ -25,6 +26,12 @@ from lakeload.plans import catalogue as cat  # noqa: E402
 from lakeload.session import get_session  # noqa: E402
 
 
+def global_row_number(df, order_by, name, offset=0):
+    """The plain single-partition window (every row in one task): comparison baseline only."""
+    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+    return df.withColumn(name, (F.row_number().over(w) + F.lit(int(offset))).cast("bigint"))
+
+
 def run(df):
     df.write.format("noop").mode("overwrite").save()
 

@@ -91,9 +91,3 @@ def number_rows(
         .withColumn(name, (F.lit(int(offset)) + F.col(_OFF) + F.col(_POS) + F.lit(1)).cast("bigint"))
         .drop(_PID, _POS, _OFF)
     )
-
-
-def global_row_number(df: DataFrame, order_by: Sequence[str], name: str, offset: int = 0) -> DataFrame:
-    """The plain single-partition window, kept only as the comparison baseline for benchmarks."""
-    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    return df.withColumn(name, (F.row_number().over(w) + F.lit(int(offset))).cast("bigint"))

@@ -5,10 +5,18 @@ import io
 
 from pyspark.sql import functions as F
 
-from lakeload.operators.numbering import global_row_number, number_rows
+from pyspark.sql import Window
+
+from lakeload.operators.numbering import number_rows
 
 SF01 = "/root/testdata/sf0.01"
 
+def global_row_number(df, order_by, name, offset=0):
+    """The plain single-partition window (every row in one task): comparison baseline only."""
+    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+    return df.withColumn(name, (F.row_number().over(w) + F.lit(int(offset))).cast("bigint"))
+
+
 
 def test_equals_global_row_number(spark):
     o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey", "o_custkey")
