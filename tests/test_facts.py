@@ -35,3 +35,35 @@ def test_scd1_dimension_lookup(spark):
     fact = spark.createDataFrame([(1, "y"), (2, "x"), (3, None)], "f int, c string")
     out = load_fact(fact, [DimLookup(dim, ["c"])])
     assert sorted(tuple(r) for r in out.collect()) == [(1, 2), (2, 1), (3, -1)]
+
+
+def test_hot_fact_key_is_split_by_aqe(spark):
+    """A third of the facts on one key: the key join is skew-split at run time (sizes scaled down)."""
+    from pyspark.sql import functions as F
+
+    dim = scd1_create(hash_key(spark.range(1000).select(F.col("id").alias("KEY_c"), F.lit("x").alias("v"))), sk="SK_c")
+    hot = spark.range(100000).select(F.lit(7).cast("long").alias("c"), F.col("id").alias("f"))
+    cold = spark.range(200000).select((F.col("id") % 1000).alias("c"), F.col("id").alias("f"))
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        out = load_fact(hot.unionByName(cold), [DimLookup(dim, ["c"])])
+        assert out.filter("SK_c = 8").count() == 100000 + 200
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
