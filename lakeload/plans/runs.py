@@ -33,7 +33,7 @@ from lakeload.sources.files import (
     write_snapshot,
 )
 from lakeload.sources.fs import path_exists
-from lakeload.sources.store import read_table, table_exists, write_table
+from lakeload.sources.store import prune_versions, read_table, table_exists, write_table
 
 # Our silver configuration object (one per table); replaces one hand-written loader per table.
 SILVER_SPEC_SCHEMA = (
@@ -167,6 +167,7 @@ def load_gold(
     run_date,
     on_same_hash: str = IGNORE,
     close_missing: bool = False,
+    retain_versions: int | None = None,
 ) -> dict:
     """Create or merge one dimension from the newest silver load.
 
@@ -183,7 +184,9 @@ def load_gold(
     source = read_silver(spark, silver_path)
     if table_exists(spark, layout.gold(table_name)) and source.isEmpty():
         return _audit(run_date, "gold", table_name, "skipped", started, message="silver load is empty")
-    return merge_into_gold(spark, layout, table_name, source, run_date, on_same_hash, close_missing, kind, started)
+    return merge_into_gold(
+        spark, layout, table_name, source, run_date, on_same_hash, close_missing, kind, started, retain_versions
+    )
 
 
 def merge_into_gold(
@@ -196,8 +199,11 @@ def merge_into_gold(
     close_missing: bool = False,
     kind: int | None = None,
     started: _dt.datetime | None = None,
+    retain_versions: int | None = None,
 ) -> dict:
-    """Create the dimension from ``source`` or merge ``source`` into it; write the next version."""
+    """Create the dimension from ``source`` or merge ``source`` into it; write the next version.
+
+    ``retain_versions``: afterwards keep only the newest that many versions (default: keep all)."""
     started = started or _now()
     kind = kind or scd_type(table_name)
     keys = key_columns(source.columns)
@@ -229,6 +235,8 @@ def merge_into_gold(
         ]
     translate_errors(write_table, out.observe(obs, *metrics), gold_path)
     m = obs.get
+    if retain_versions:
+        prune_versions(spark, gold_path, retain_versions)
     return _audit(
         run_date, "gold", table_name, status, started, rows_out=m["rows"], inserted=m["inserted"],
         closed=m.get("closed"), n_open=m.get("open"),

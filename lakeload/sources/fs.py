@@ -56,3 +56,18 @@ def list_dir_names(spark: SparkSession, path: str) -> list[str]:
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A folder written by a finished Spark job carries ``_SUCCESS``."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder and its content (used only for superseded table versions)."""
+    h = _hadoop(spark, path)
+    if h is None:
+        import shutil
+
+        local = _local(path)
+        if os.path.exists(local):
+            shutil.rmtree(local)
+            return True
+        return False
+    fs, p = h
+    return bool(fs.delete(p, True))

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeload.session import scratch_path
-from lakeload.sources.fs import is_complete, list_dir_names, path_exists
+from lakeload.sources.fs import delete_path, is_complete, list_dir_names, path_exists
 
 _VERSION = re.compile(r"^v=(\d+)$")
 
@@ -57,3 +57,19 @@ def write_table(df: DataFrame, table_path: str) -> str:
     path = f"{table_path.rstrip('/')}/v={nxt}"
     df.write.mode("errorifexists").parquet(path)
     return path
+
+
+def prune_versions(spark: SparkSession, table_path: str, keep: int) -> list[str]:
+    """Delete complete versions older than the newest ``keep`` (at least 1 is always kept).
+
+    Readers only ever use the newest complete version; keeping two or more also leaves the previous
+    one for readers that started before the last write.
+    """
+    keep = max(1, int(keep))
+    versions = _versions(spark, table_path)
+    removed = []
+    for v in versions[:-keep]:
+        path = f"{table_path.rstrip('/')}/v={v}"
+        if delete_path(spark, path):
+            removed.append(path)
+    return removed

@@ -86,3 +86,15 @@ def test_versioned_table(spark, tmp_base):
     write_table(v1.withColumn("x", F.col("x") + 1), path)  # reads the version it replaces
     assert table_exists(spark, path)
     assert read_table(spark, path).first()["x"] == 2
+
+
+def test_prune_versions_keeps_newest(spark, tmp_base):
+    from lakeload.sources.store import prune_versions
+
+    path = os.path.join(tmp_base, "gold", "DIM1_p")
+    for i in range(4):
+        write_table(spark.createDataFrame([(i,)], "x int"), path)
+    removed = prune_versions(spark, path, keep=2)
+    assert [os.path.basename(p) for p in removed] == ["v=1", "v=2"]
+    assert read_table(spark, path).first()["x"] == 3
+    assert sorted(n for n in os.listdir(path)) == ["v=3", "v=4"]
