@@ -33,7 +33,7 @@ from lakeload.sources.files import (
     write_snapshot,
 )
 from lakeload.sources.fs import path_exists
-from lakeload.sources.store import prune_versions, read_table, table_exists, write_table
+from lakeload.sources.store import prune_versions, read_table, scratch_scope, table_exists, write_table
 
 # Our silver configuration object (one per table); replaces one hand-written loader per table.
 SILVER_SPEC_SCHEMA = (
@@ -209,6 +209,17 @@ def merge_into_gold(
     keys = key_columns(source.columns)
     gold_path = layout.gold(table_name)
     stamp = to_stamp(run_date)
+    with scratch_scope(spark):
+        return _create_or_merge(
+            spark, table_name, source, run_date, on_same_hash, close_missing, kind, started, retain_versions,
+            keys, gold_path, stamp,
+        )
+
+
+def _create_or_merge(
+    spark, table_name, source, run_date, on_same_hash, close_missing, kind, started, retain_versions, keys, gold_path,
+    stamp,
+) -> dict:
     if not table_exists(spark, gold_path):
         sk = sk_name_for(table_name)
         source = unique_rows(source, keys, allow_null_keys=False)

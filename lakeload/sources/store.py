@@ -9,6 +9,8 @@ highest complete version, so a merge can read the version it replaces.
 from __future__ import annotations
 
 import re
+import threading
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,15 +18,36 @@ from lakeload.session import scratch_path
 from lakeload.sources.fs import delete_path, is_complete, list_dir_names, path_exists
 
 _VERSION = re.compile(r"^v=(\d+)$")
+_scope = threading.local()
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
+    created = getattr(_scope, "paths", None)
+    if created is not None:
+        created.append(path)
     return spark.read.parquet(path)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the scratch folders materialised inside the block once it completes.
+
+    For a block that ends with a write of everything that reads them (a table load); frames handed
+    back to callers must not be built inside such a block.
+    """
+    outer = getattr(_scope, "paths", None)
+    _scope.paths = []
+    try:
+        yield
+        for path in _scope.paths:
+            delete_path(spark, path)
+    finally:
+        _scope.paths = outer
+
+
 def _versions(spark: SparkSession, table_path: str) -> list[int]:
     out = []
     for name in list_dir_names(spark, table_path):

@@ -89,3 +89,22 @@ def test_empty_silver_is_skipped(spark, tmp_base):
     empty = spark.createDataFrame([], "KEY_k int, v string, LoadDate string")
     append_silver(empty, layout.silver("DIM2_e"))
     assert load_gold(spark, layout, "DIM2_e", "2024-03-10")["status"] == "skipped"
+
+
+def test_gold_load_leaves_no_scratch(spark, tmp_base):
+    from lakeload.session import checkpoint_dir
+
+    layout = Layout(tmp_base)
+    from lakeload.operators.prepare import hash_key
+
+    df = spark.createDataFrame([(1, "a", "2024-03-09"), (2, "b", "2024-03-09")], "KEY_k int, v string, LoadDate string")
+    append_silver(hash_key(df, ignore=["LoadDate"]), layout.silver("DIM2_s"))
+    scratch = checkpoint_dir(spark).replace("file:", "").rstrip("/") + "/lakeload"
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    assert load_gold(spark, layout, "DIM2_s", "2024-03-09")["status"] == "created"
+    df2 = spark.createDataFrame([(1, "a", "2024-03-10"), (2, "c", "2024-03-10")], "KEY_k int, v string, LoadDate string")
+    append_silver(hash_key(df2, ignore=["LoadDate"]), layout.silver("DIM2_s"))
+    assert load_gold(spark, layout, "DIM2_s", "2024-03-10")["status"] == "merged"
+    after = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    assert after == before
+    assert read_table(spark, layout.gold("DIM2_s")).count() == 3
