@@ -45,7 +45,7 @@ from lakeload.operators.scd2 import (
 )
 from lakeload.operators.validate import count_distinct_keys, first_per_key, validate_keys_df
 from lakeload.plans.layout import Layout
-from lakeload.plans.roles import OPEN_END, UPDATED_COL, sk_column
+from lakeload.plans.roles import OPEN_END, UPDATED_COL
 from lakeload.plans.runs import (
     FactSpec,
     SilverSpec,
