@@ -133,3 +133,19 @@ def test_array_columns_pass_through(spark):
     assert dict(out.dtypes)["embedding"] == "array<float>"
     again = scd2_merge(out, changed, now="2024-03-10")
     assert again.count() == out.count()
+
+
+def test_null_safe_keys(spark):
+    gold = scd2_create(_src(spark, [(None, "v1"), ("A", "v1")]), sk="SK_t")
+    src = _src(spark, [(None, "v2"), ("A", "v1")])
+    out = scd2_merge(gold, src, now="2024-03-10", null_safe_keys=True)
+    assert {tuple(r) for r in out.select(*COLS).collect()} == {
+        (None, "v1", 1, "190001010000", "202403100000"),
+        (None, "v2", 3, "202403100000", "999912312359"),
+        ("A", "v1", 2, "190001010000", "999912312359"),
+    }
+    g1 = scd1_create(_src(spark, [(None, "v1"), ("A", "v1")]), sk="SK_t")
+    m1 = scd1_merge(g1, _src(spark, [(None, "v9"), ("B", "b")]), null_safe_keys=True)
+    assert {(r["KEY_id"], r["val"], r["SK_t"]) for r in m1.collect()} == {(None, "v9", 1), ("A", "v1", 2), ("B", "b", 3)}
+    with pytest.raises(DuplicateKeyError):
+        scd2_merge(gold, src, now="2024-03-10")
