@@ -49,12 +49,13 @@ def prepare_silver(
     ignored = tuple(ignore)
     if dedupe:
         df = df.dropDuplicates([c for c in df.columns if c not in ignored])
-    out = hash_key(df, HASH_COL, ignored, mode)
     if validate:
-        res = validate_keys(out, ignored)
+        # the fingerprint is a function of the validated columns, so it is left out of the check
+        # (no SHA-256 pass in the validation job)
+        res = validate_keys(df.drop(HASH_COL), ignored)
         if not res.valid:
             raise DuplicateKeyError(f"duplicate key values ({', '.join(res.key_columns)})")
-    return out
+    return hash_key(df, HASH_COL, ignored, mode)
 
 
 def geo_normalise(
