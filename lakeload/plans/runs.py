@@ -89,11 +89,32 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
-def _each_table(items: Sequence, work: Callable, parallelism: int | None) -> list:
+def _describe(spark: SparkSession, text: str | None) -> None:
+    """Label the Spark jobs of the current thread (shown in event logs and monitoring)."""
+    try:
+        spark.sparkContext.setJobDescription(text)
+    except Exception:  # no SparkContext access (remote session)
+        pass
+
+
+def _each_table(
+    items: Sequence, work: Callable, parallelism: int | None, spark: SparkSession | None = None,
+    label: Callable[[object], str] | None = None,
+) -> list:
     """Run ``work`` per table; up to ``parallelism`` tables at once (concurrent Spark jobs from driver
     threads, like a parallel for-each). Results keep the config order; any failure fails the layer
     after the running tables have finished."""
     items = list(items)
+    if spark is not None and label is not None:
+        inner = work
+
+        def work(x):  # noqa: F811 - labelled wrapper
+            _describe(spark, f"lakeload {label(x)}")
+            try:
+                return inner(x)
+            finally:
+                _describe(spark, None)
+
     n = min(len(items), parallelism or 8)
     if n <= 1:
         return [work(x) for x in items]
@@ -121,7 +142,7 @@ def run_bronze(
         n = obs.get["rows"]
         return _audit(run_date, "bronze", e["target_name"], "ok", started, rows_in=n, rows_out=n)
 
-    return _each_table(entries, one, parallelism)
+    return _each_table(entries, one, parallelism, spark, lambda e: f"bronze {e['target_name']} {to_day(run_date)}")
 
 
 # ---------------------------------------------------------------- silver
@@ -156,7 +177,7 @@ def run_silver(
         n = obs.get["rows"]
         return _audit(run_date, "silver", spec.table_name, "ok", started, rows_in=n, rows_out=n)
 
-    return _each_table(specs, one, parallelism)
+    return _each_table(specs, one, parallelism, spark, lambda x: f"silver {x.table_name} {to_day(run_date)}")
 
 
 # ---------------------------------------------------------------- gold
@@ -257,7 +278,10 @@ def _create_or_merge(
 def run_gold(
     spark: SparkSession, layout: Layout, tables: Iterable[str], run_date, parallelism: int | None = None, **merge_options
 ) -> list[dict]:
-    return _each_table(tables, lambda t: load_gold(spark, layout, t, run_date, **merge_options), parallelism)
+    return _each_table(
+        tables, lambda t: load_gold(spark, layout, t, run_date, **merge_options), parallelism, spark,
+        lambda t: f"gold {t} {to_day(run_date)}",
+    )
 
 
 # ---------------------------------------------------------------- facts
@@ -309,7 +333,10 @@ def load_fact_table(spark: SparkSession, layout: Layout, spec: FactSpec, run_dat
 
 
 def run_facts(spark: SparkSession, layout: Layout, specs: Iterable[FactSpec], run_date, parallelism: int | None = None):
-    return _each_table(specs, lambda s: load_fact_table(spark, layout, s, run_date), parallelism)
+    return _each_table(
+        specs, lambda s: load_fact_table(spark, layout, s, run_date), parallelism, spark,
+        lambda x: f"fact {x.table_name} {to_day(run_date)}",
+    )
 
 
 def register_gold_views(spark: SparkSession, layout: Layout, tables: Iterable[str]) -> list[str]:
