@@ -31,3 +31,15 @@ def test_hash_and_accents(spark):
     assert compat.ValidateDuplicateKeys(df).valid
     assert compat.RemoveAccents("São") == "Sao"
     assert spark.createDataFrame([("é",)], "s string").select(compat.RemoveAccentsUDF("s")).first()[0] == "e"
+
+
+def test_scd1_notebook_calls(spark, tmp_base):
+    silver, gold = os.path.join(tmp_base, "silver"), os.path.join(tmp_base, "gold")
+    day1 = spark.createDataFrame([("x", "1", "2024-03-09"), ("y", "2", "2024-03-09")], "KEY_c string, v string, LoadDate string")
+    compat.SaveToSilver(compat.PrepareToSilver(day1, ["LoadDate"]), silver, "DIM1_c")
+    compat.create_scd1(silver, gold, "DIM1_c", ["KEY_c"])
+    day2 = spark.createDataFrame([("x", "9", "2024-03-10"), ("z", "3", "2024-03-10")], "KEY_c string, v string, LoadDate string")
+    compat.SaveToSilver(compat.PrepareToSilver(day2, ["LoadDate"]), silver, "DIM1_c")
+    compat.merge_scd1("2024-03-10", silver, gold, ["KEY_c"], "DIM1_c")
+    got = sorted((r["KEY_c"], r["v"], r["SK_c"]) for r in read_table(spark, os.path.join(gold, "DIM1_c")).collect())
+    assert got == [("x", "9", 1), ("y", "2", 2), ("z", "3", 3)]
