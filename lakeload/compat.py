@@ -6,7 +6,9 @@ this package. Differences, all deliberate:
 * no notebook globals: the session is the active one, a merge takes ``table_name`` explicitly;
 * tables are folders of this package's layouts (silver: Parquet partitioned by ``LoadDate`` when the
   column exists; gold: versioned folders), not a transactional table format;
-* key columns are found by the ``KEY_`` prefix, the merges have the documented meaning (SCD1: update
+* ``AddHashKey`` and ``ValidateDuplicateKeys`` keep the notebooks' literal rules (a column named like
+  the fingerprint is hashed too; keys are columns whose name contains ``KEY_``); elsewhere key columns
+  are found by the ``KEY_`` prefix, the merges have the documented meaning (SCD1: update
   changed attributes, insert new keys; SCD2: close changed versions and insert the new ones), and
   surrogate keys are numbered without a single-partition window.
 """
@@ -18,9 +20,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from lakeload.functions.hashing import COMPAT
+from lakeload.functions.hashing import COMPAT, row_hash
 from lakeload.functions.text import remove_accents, strip_marks
-from lakeload.operators.prepare import hash_key
 from lakeload.operators.scd1 import scd1_create, scd1_merge
 from lakeload.operators.scd2 import scd2_actions, scd2_create, scd2_merge
 from lakeload.operators.validate import ValidationResult, validate_keys
@@ -42,17 +43,21 @@ def PathExists(path: str) -> bool:  # noqa: N802
 
 
 def AddHashKey(param_df: DataFrame, param_colName: str, param_ignoreList: Sequence[str] = ()) -> DataFrame:  # noqa: N802,N803
-    """Undelimited SHA-256 fingerprint (``compat`` mode) over the non-ignored columns."""
-    return hash_key(param_df, param_colName, param_ignoreList, mode=COMPAT)
+    """Undelimited SHA-256 fingerprint (``compat`` mode) over every non-ignored column in frame order,
+    a column of the same name included (as in the notebooks; ``hash_key`` leaves it out)."""
+    cols = [c for c in param_df.columns if c not in set(param_ignoreList)]
+    return param_df.withColumn(param_colName, row_hash(param_df, cols, COMPAT))
 
 
 def ValidateDuplicateKeys(param_df: DataFrame, param_ignoreCols: Sequence[str] = ()) -> ValidationResult:  # noqa: N802,N803
-    return validate_keys(param_df, param_ignoreCols)
+    """Key columns are those whose name contains ``KEY_`` (the notebooks' rule; the library uses the prefix)."""
+    keys = [c for c in param_df.columns if "KEY_" in c]
+    return validate_keys(param_df, param_ignoreCols, keys)
 
 
 def PrepareToSilver(param_df: DataFrame, param_ignoreList: Sequence[str] = ()) -> DataFrame:  # noqa: N802,N803
     out = AddHashKey(param_df, HASH_COL, param_ignoreList)
-    res = validate_keys(out, param_ignoreList)
+    res = ValidateDuplicateKeys(out, param_ignoreList)
     if not res.valid:
         raise Exception("The result query has duplicate key values (" + ", ".join(res.key_columns) + ")")
     return out

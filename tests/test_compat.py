@@ -43,3 +43,11 @@ def test_scd1_notebook_calls(spark, tmp_base):
     compat.merge_scd1("2024-03-10", silver, gold, ["KEY_c"], "DIM1_c")
     got = sorted((r["KEY_c"], r["v"], r["SK_c"]) for r in read_table(spark, os.path.join(gold, "DIM1_c")).collect())
     assert got == [("x", "9", 1), ("y", "2", 2), ("z", "3", 3)]
+
+
+def test_compat_key_rule_and_rehash(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "y")], "MY_KEY_a int, v string")
+    assert not compat.ValidateDuplicateKeys(df).valid  # substring rule: MY_KEY_a is a key
+    h = compat.AddHashKey(spark.createDataFrame([("ab", "c")], "a string, b string"), "H")
+    again = compat.AddHashKey(h, "H")  # the existing H is part of the input, as in the notebooks
+    assert again.first()["H"] != SHA_ABC
