@@ -28,4 +28,4 @@ def read_config(spark: SparkSession, path: str, schema: str | StructType) -> Dat
 
 def config_records(df: DataFrame) -> list[dict]:
     """Driver-side list of config records (one per table; used to drive a run)."""
-    return [r.asDict() for r in df.collect()]
+    return [r.asDict(recursive=True) for r in df.collect()]

@@ -108,3 +108,28 @@ def test_gold_load_leaves_no_scratch(spark, tmp_base):
     after = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
     assert after == before
     assert read_table(spark, layout.gold("DIM2_s")).count() == 3
+
+
+def test_run_from_config_with_facts(spark, tmp_base):
+    layout = Layout(tmp_base)
+    spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string").write.option("header", True).csv(
+        layout.landing("src", "dim.csv")
+    )
+    spark.createDataFrame([("10", "1"), ("11", "2"), ("12", "9")], "f string, id string").write.option("header", True).csv(
+        layout.landing("src", "fact.csv")
+    )
+    os.makedirs(layout.config(), exist_ok=True)
+    with open(layout.config("bronze.json"), "w") as f:
+        f.write('{"source_path":"src/","source_name":"dim.csv","target_path":"src/","target_name":"dim"}\n'
+                '{"source_path":"src/","source_name":"fact.csv","target_path":"src/","target_name":"fact"}')
+    with open(layout.config("silver.json"), "w") as f:
+        f.write('{"table_name":"DIM1_d","source_path":"src","source_name":"dim","keys":["id"]}\n'
+                '{"table_name":"FACT_f","source_path":"src","source_name":"fact","keys":["f"]}')
+    with open(layout.config("gold.json"), "w") as f:
+        f.write('{"table_name":"DIM1_d"}')
+    with open(layout.config("facts.json"), "w") as f:
+        f.write('{"table_name":"FACT_f","silver_table":"FACT_f","lookups":[{"dim":"DIM1_d","keys":["id"]}]}')
+    audit = run_from_config(spark, layout, "2024-03-09")
+    assert {(r["layer"], r["table_name"], r["status"]) for r in audit.collect()} >= {("gold", "FACT_f", "loaded")}
+    fact = spark.read.parquet(layout.gold("FACT_f"))
+    assert sorted((r["KEY_f"], r["SK_d"]) for r in fact.collect()) == [("10", 1), ("11", 2), ("12", -1)]
