@@ -133,3 +133,23 @@ def test_run_from_config_with_facts(spark, tmp_base):
     assert {(r["layer"], r["table_name"], r["status"]) for r in audit.collect()} >= {("gold", "FACT_f", "loaded")}
     fact = spark.read.parquet(layout.gold("FACT_f"))
     assert sorted((r["KEY_f"], r["SK_d"]) for r in fact.collect()) == [("10", 1), ("11", 2), ("12", -1)]
+
+
+def test_silver_spec_types_from_record(spark, tmp_base):
+    from lakeload.plans.runs import silver_frame
+    from lakeload.sources.files import write_snapshot
+
+    layout = Layout(tmp_base)
+    raw = spark.createDataFrame([("1", "São", "12.50"), ("2", "x", "bad")], "id string, city string, amount string")
+    write_snapshot(raw, layout.bronze("src"), "2024-03-09", "t")
+    spec = SilverSpec.from_record(
+        {"table_name": "DIM1_t", "source_path": "src", "source_name": "t", "keys": None,
+         "key_names": {"id": "KEY_id"}, "accent_keys": {"city": "KEY_city"},
+         "columns": ["KEY_id", "KEY_city", "amount"], "distinct": True, "dedupe": False,
+         "types": {"id": "int", "amount": "decimal(10,2)"}}
+    )
+    out = silver_frame(spark, layout, spec, "2024-03-09")
+    assert dict(out.dtypes) == {"KEY_id": "int", "KEY_city": "string", "amount": "decimal(10,2)",
+                                "LoadDate": "string", "HASHCOLUMN": "string"}
+    rows = sorted((r["KEY_id"], r["KEY_city"], r["amount"]) for r in out.collect())
+    assert [(r[0], r[1]) for r in rows] == [(1, "Sao"), (2, "x")] and rows[1][2] is None
