@@ -25,6 +25,9 @@ DEFAULT_CONF = {
 }
 
 
+_LOCAL_DIRS: dict[int, str] = {}
+
+
 def get_session(master: str | None = None, app: str = "lakeload", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -45,9 +48,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = None
     if current:
         return current
-    local = tempfile.mkdtemp(prefix="lakeload-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
+    local = _LOCAL_DIRS.get(id(spark))
+    if local is None:
+        local = _LOCAL_DIRS[id(spark)] = tempfile.mkdtemp(prefix="lakeload-ckpt-")
+        try:
+            spark.sparkContext.setCheckpointDir(local)
+        except Exception:  # remote session: the folder is still used for our own scratch writes
+            pass
     return local
 
 
