@@ -40,3 +40,15 @@ def test_stream_equals_batch(spark, tmp_base):
     # nothing new: the stream does nothing
     gold_stream(spark, stream, "DIM2_t", checkpoint=ckpt, audit=audit).awaitTermination()
     assert len(audit) == 2
+
+
+def test_stream_catches_up_in_load_order(spark, tmp_base):
+    batch, stream = Layout(os.path.join(tmp_base, "b2")), Layout(os.path.join(tmp_base, "s2"))
+    for day, rows in DAYS.items():
+        _load(spark, batch, day, rows, "DIM2_t")
+        load_gold(spark, batch, "DIM2_t", day)
+        _load(spark, stream, day, rows, "DIM2_t")
+    audit = []
+    gold_stream(spark, stream, "DIM2_t", checkpoint=os.path.join(tmp_base, "ck2"), audit=audit).awaitTermination()
+    assert [(a["run_date"], a["status"]) for a in audit] == [("2024-03-09", "created"), ("2024-03-10", "merged")]
+    assert _rows(read_table(spark, stream.gold("DIM2_t"))) == _rows(read_table(spark, batch.gold("DIM2_t")))
