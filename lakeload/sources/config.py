@@ -20,7 +20,8 @@ _BETWEEN_OBJECTS = r"(?<=\})\s*(?=\{)"
 
 def read_config(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     text = spark.read.text(path, wholetext=True)
-    objs = text.select(F.explode(F.split(F.col("value"), _BETWEEN_OBJECTS)).alias("obj"))
+    body = F.regexp_replace(F.col("value"), "^\uFEFF", "")  # a UTF-8 byte-order mark, if any
+    objs = text.select(F.explode(F.split(body, _BETWEEN_OBJECTS)).alias("obj"))
     objs = objs.select(F.trim(F.col("obj")).alias("obj")).filter(F.col("obj") != "")
     parsed = objs.select(F.from_json("obj", schema, {"mode": "FAILFAST"}).alias("r"))
     return parsed.select("r.*")

@@ -98,3 +98,10 @@ def test_prune_versions_keeps_newest(spark, tmp_base):
     assert [os.path.basename(p) for p in removed] == ["v=1", "v=2"]
     assert read_table(spark, path).first()["x"] == 3
     assert sorted(n for n in os.listdir(path)) == ["v=3", "v=4"]
+
+
+def test_config_with_byte_order_mark(spark, tmp_base):
+    path = os.path.join(tmp_base, "bom.json")
+    with open(path, "wb") as f:
+        f.write(b'\xef\xbb\xbf{"table_name":"DIM1_a"}\r\n{"table_name":"DIM2_b"}\r\n')
+    assert [r["table_name"] for r in read_config(spark, path, GOLD_SCHEMA).collect()] == ["DIM1_a", "DIM2_b"]
