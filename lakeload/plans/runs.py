@@ -200,11 +200,16 @@ def load_gold(
     if not path_exists(spark, silver_path):
         return _audit(run_date, "gold", table_name, "skipped", started, message=f"silver table {silver_path} does not exist")
     kind = scd_type(table_name)
-    if not silver_loads(spark, silver_path):
-        return _audit(run_date, "gold", table_name, "skipped", started, message="silver table holds no load")
-    source = read_silver(spark, silver_path)
-    if table_exists(spark, layout.gold(table_name)) and source.isEmpty():
-        return _audit(run_date, "gold", table_name, "skipped", started, message="silver load is empty")
+    if silver_loads(spark, silver_path):
+        # a LoadDate= partition exists only where rows were written: the newest load is not empty
+        source = read_silver(spark, silver_path)
+    else:  # a table without load partitions: read it whole, skip it when it has no data
+        try:
+            source = spark.read.parquet(silver_path)
+        except Exception:  # no data files to infer a schema from
+            return _audit(run_date, "gold", table_name, "skipped", started, message="silver table holds no data")
+        if source.isEmpty():
+            return _audit(run_date, "gold", table_name, "skipped", started, message="silver table is empty")
     return merge_into_gold(
         spark, layout, table_name, source, run_date, on_same_hash, close_missing, kind, started, retain_versions
     )

@@ -153,3 +153,13 @@ def test_silver_spec_types_from_record(spark, tmp_base):
                                 "LoadDate": "string", "HASHCOLUMN": "string"}
     rows = sorted((r["KEY_id"], r["KEY_city"], r["amount"]) for r in out.collect())
     assert [(r[0], r[1]) for r in rows] == [(1, "Sao"), (2, "x")] and rows[1][2] is None
+
+
+def test_unpartitioned_silver_is_loaded(spark, tmp_base):
+    from lakeload.operators.prepare import hash_key
+
+    layout = Layout(tmp_base)
+    df = hash_key(spark.createDataFrame([(1, "a"), (2, "b")], "KEY_k int, v string"))
+    df.write.parquet(layout.silver("DIM1_u"))
+    assert load_gold(spark, layout, "DIM1_u", "2024-03-10")["status"] == "created"
+    assert read_table(spark, layout.gold("DIM1_u")).count() == 2
