@@ -389,11 +389,32 @@ def run_layers(
     return audit
 
 
-def run_from_config(spark: SparkSession, layout: Layout, run_date, **merge_options) -> DataFrame:
+def _silver_specs(records: list[dict], registry: Mapping[str, SilverSpec] | None) -> list[SilverSpec]:
+    """Full spec objects, or ``{notebook_path, table_name}`` objects resolved through ``registry``."""
+    out = []
+    for r in records:
+        if r.get("source_name"):
+            out.append(SilverSpec.from_record(r))
+        elif registry is not None and r.get("table_name") in registry:
+            out.append(registry[r["table_name"]])
+        else:
+            raise KeyError(f"silver config for {r.get('table_name')!r} names no source and no registered spec")
+    return out
+
+
+def run_from_config(
+    spark: SparkSession,
+    layout: Layout,
+    run_date,
+    silver_registry: Mapping[str, SilverSpec] | None = None,
+    **merge_options,
+) -> DataFrame:
     """Drive a run from ``config/bronze.json``, ``config/silver.json``, ``config/gold.json`` and, if present,
-    ``config/facts.json``."""
+    ``config/facts.json``. Silver objects either carry a full spec or only ``notebook_path``/``table_name``,
+    resolved through ``silver_registry`` (table name -> :class:`SilverSpec`)."""
     bronze = config_records(read_config(spark, layout.config("bronze.json"), BRONZE_SCHEMA))
-    silver = [SilverSpec.from_record(r) for r in config_records(read_config(spark, layout.config("silver.json"), SILVER_SPEC_SCHEMA))]
+    silver_records = config_records(read_config(spark, layout.config("silver.json"), SILVER_SPEC_SCHEMA + ", notebook_path string"))
+    silver = _silver_specs(silver_records, silver_registry)
     gold = [r["table_name"] for r in config_records(read_config(spark, layout.config("gold.json"), GOLD_SCHEMA))]
     facts = []
     if path_exists(spark, layout.config("facts.json")):

@@ -163,3 +163,20 @@ def test_unpartitioned_silver_is_loaded(spark, tmp_base):
     df.write.parquet(layout.silver("DIM1_u"))
     assert load_gold(spark, layout, "DIM1_u", "2024-03-10")["status"] == "created"
     assert read_table(spark, layout.gold("DIM1_u")).count() == 2
+
+
+def test_run_from_config_with_notebook_style_silver(spark, tmp_base):
+    layout = Layout(tmp_base)
+    _landing(spark, layout, [("1", "a"), ("2", "b")])
+    os.makedirs(layout.config(), exist_ok=True)
+    with open(layout.config("bronze.json"), "w") as f:
+        f.write('{\r\n "source_path":"src/",\r\n "source_name":"t.csv",\r\n "target_path":"src/",\r\n "target_name":"t"\r\n}')
+    with open(layout.config("silver.json"), "w") as f:
+        f.write('{\r\n    "notebook_path":"src/",\r\n    "table_name":"t"\r\n}')
+    with open(layout.config("gold.json"), "w") as f:
+        f.write('{"table_name":"DIM2_t"}')
+    registry = {"t": SilverSpec("DIM2_t", "src", "t", ["id"])}
+    audit = run_from_config(spark, layout, "2024-03-09", silver_registry=registry)
+    assert ("gold", "DIM2_t", "created") in {(r["layer"], r["table_name"], r["status"]) for r in audit.collect()}
+    with pytest.raises(KeyError):
+        run_from_config(spark, layout, "2024-03-10")
