@@ -40,16 +40,15 @@ def gold_stream(
     checkpoint: str | None = None,
     on_same_hash: str = IGNORE,
     close_missing: bool = False,
-    max_files_per_trigger: int | None = None,
     audit: list | None = None,
 ) -> StreamingQuery:
-    """Start the stream (available-now trigger); the caller waits with ``awaitTermination()``."""
+    """Start the stream (available-now trigger); the caller waits with ``awaitTermination()``.
+
+    Every new file goes into one micro-batch (no per-trigger file cap): a load is merged whole, never
+    in pieces. Start it after the silver load has been committed."""
     silver = layout.silver(table_name)
     schema = spark.read.parquet(silver).withColumn(LOAD_DATE_COL, F.col(LOAD_DATE_COL).cast("string")).schema
-    reader = spark.readStream.schema(schema).format("parquet")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(silver)
+    stream = spark.readStream.schema(schema).format("parquet").load(silver)
     options = {"on_same_hash": on_same_hash, "close_missing": close_missing}
     sink = audit if audit is not None else []
     return (

@@ -52,3 +52,4 @@ def test_stream_catches_up_in_load_order(spark, tmp_base):
     gold_stream(spark, stream, "DIM2_t", checkpoint=os.path.join(tmp_base, "ck2"), audit=audit).awaitTermination()
     assert [(a["run_date"], a["status"]) for a in audit] == [("2024-03-09", "created"), ("2024-03-10", "merged")]
     assert _rows(read_table(spark, stream.gold("DIM2_t"))) == _rows(read_table(spark, batch.gold("DIM2_t")))
+
