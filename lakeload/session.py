@@ -1,8 +1,8 @@
 """Session construction and the shared scratch folder.
 
 Scratch data (materialised numbering stages, query fixtures written by the catalogue) goes under the
-folder the cluster names in ``spark.checkpoint.dir``. It is read from the session; only when it is
-unset (local tests) a folder of our own is created.
+folder the cluster names in ``spark.checkpoint.dir``. It is read from the session; only a ``local``
+master may leave it unset (tests), and then gets a folder of its own.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ DEFAULT_CONF = {
 }
 
 
-_LOCAL_DIRS: dict[int, str] = {}
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def get_session(master: str | None = None, app: str = "lakeload", **conf: str) -> SparkSession:
@@ -38,7 +38,7 @@ def get_session(master: str | None = None, app: str = "lakeload", **conf: str) -
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a local one only if none is configured."""
+    """The shared checkpoint folder of the session; a local master may do without one, a cluster may not."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
@@ -48,14 +48,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = None
     if current:
         return current
-    local = _LOCAL_DIRS.get(id(spark))
-    if local is None:
-        local = _LOCAL_DIRS[id(spark)] = tempfile.mkdtemp(prefix="lakeload-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(local)
-        except Exception:  # remote session: the folder is still used for our own scratch writes
-            pass
-    return local
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local[") and master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="lakeload-ckpt-")
+        spark.sparkContext.setCheckpointDir(_LOCAL_DIRS[app])
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

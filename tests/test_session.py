@@ -1,7 +1,9 @@
-"""Scratch folder resolution: the session's spark.checkpoint.dir, else a local folder (tests only)."""
+"""Scratch folder resolution: the session's spark.checkpoint.dir, which only a local master may leave unset."""
 
 import os
 
+import pytest
+
 from lakeload.session import checkpoint_dir, scratch_path
 
 
@@ -28,7 +30,28 @@ def test_configured_folder_is_used(spark):
     assert p.startswith("hdfs://nn/ckpt/lakeload/stage-")
 
 
-def test_unset_falls_back_to_one_local_folder():
-    fake = _NoContext(None)
-    first = checkpoint_dir(fake)
-    assert os.path.isdir(first) and checkpoint_dir(fake) == first
+def test_unset_is_refused_unless_the_master_is_local():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_NoContext(None))
+
+
+def test_local_master_may_leave_it_unset():
+    class Local:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default=None):
+                return "local[2]" if key == "spark.master" else default
+
+        class sparkContext:  # noqa: N801
+            applicationId = "local-test-session"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+            @staticmethod
+            def setCheckpointDir(path):
+                pass
+
+    first = checkpoint_dir(Local)
+    assert os.path.isdir(first) and checkpoint_dir(Local) == first
