@@ -179,7 +179,7 @@ class Packer:
     def finish(self) -> None:
         while self.n_open > 1:
             self._top_up()
-        for size, windows in list(self.open.items()):
+        for size, windows in [(h, w) for h, w in self.open.items() if w]:
             pieces = windows[0][::-1]
             while size:  # the rest as powers of two, largest first
                 room, window = 1 << (size.bit_length() - 1), []
