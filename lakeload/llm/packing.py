@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 CAPACITY, END_ID = 4096, 2
-CACHE_WORDS = 600_000  # words whose ids a Python worker remembers
+CACHE_WORDS = 1_200_000  # about as many words and pieces a Python worker remembers the ids of
 
 
 def default_tokenizer() -> str:
@@ -37,20 +37,30 @@ def default_tokenizer() -> str:
 class WordTokenizer:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The vocabulary merges within words only, so ids are looked up word by word; words not met yet are encoded by
-    ``tokenizers`` in batches. Texts outside plain Latin-1, where normalisation could cross word borders, and
-    texts with the special tokens' strings go through ``tokenizers`` whole.
+    The vocabulary merges within words only, so ids are looked up word by word. Words not met yet are cut as the
+    tokenizer's own pattern cuts them, and the pieces not met yet are encoded by ``tokenizers`` in batches. Texts
+    outside plain Latin-1, where normalisation could cross word borders, and texts with the special tokens'
+    strings go through ``tokenizers`` whole.
     """
 
     _of: dict[str, WordTokenizer] = {}
     _plain = re.compile("[\t-\r -~\xa1-\xac\xae-\xff]*")
+    # fixed values: the pattern of the vocabulary file, for lower-case Latin-1
+    _letters, _numbers = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+    _piece = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_letters}]+|[{_numbers}]|[^ \t-\r{_letters}{_numbers}]+")
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
+        self.whole, self.pieces = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.pieces.normalizer = normalizers.Sequence([])
+        by_byte = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.pieces.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), by_byte])
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.ends = np.zeros(self.whole.get_vocab_size(), bool)
+        for token, i in self.whole.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")  # the last id of a piece
         self.cache: dict[str, bytes] = {}
 
     @classmethod
@@ -61,41 +71,40 @@ class WordTokenizer:
         return cls._of[path]
 
     def _learn(self, new: list[str]) -> None:
-        for k in range(0, len(new), 1000):
-            part = new[k : k + 1000]
-            text, ends, at = " ".join(part), [], -1
-            for w in part:
-                at += len(w) + 1
-                ends.append(at)
-            e = self.whole.encode(text, add_special_tokens=False)
-            # ids of a word start within it: cut where the next word begins
-            starts = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.offsets))
-            ids = np.array(e.ids, "<u4").tobytes()
-            p = 0
-            for w, q in zip(part, (np.searchsorted(starts, np.array(ends)) * 4).tolist()):
-                self.cache[w] = ids[p:q]
+        cache, cut = self.cache, [self._piece.findall(w.lower()) for w in new]
+        pieces = list({p for ps in cut for p in ps if p not in cache})
+        parts = [pieces[k : k + 1000] for k in range(0, len(pieces), 1000)]
+        for part, e in zip(parts, self.pieces.encode_batch_fast([" ".join(x) for x in parts], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            raw, p = ids.tobytes(), 0
+            for w, q in zip(part, (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()):
+                cache[w] = raw[p:q]
                 p = q
+        for w, ps in zip(new, cut):
+            cache[w] = cache[ps[0]] if len(ps) == 1 else b"".join([cache[p] for p in ps])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [
-            t.split() if t and self._plain.fullmatch(t) and not any(s in t for s in self.special) else None
-            for t in texts
-        ]
-        met = {w for ws in split if ws for w in ws}
-        new = [w for w in met if w not in self.cache]
-        if len(self.cache) + len(new) > CACHE_WORDS:
+        if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-            new = list(met)
-        self._learn(new)
-        get, out = self.cache.__getitem__, []
-        for t, ws in zip(texts, split):
-            if ws is not None:
-                out.append(b"".join(map(get, ws)))
-            elif t:
-                out.append(np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+        get, found = self.cache.get, []
+        for t in texts:
+            if t and self._plain.fullmatch(t) and not any(s in t for s in self.special):
+                ws = t.split()
+                found.append((ws, list(map(get, ws))))
             else:
-                out.append(b"")
-        return out
+                found.append(None)
+        unknown = [(ws, ids) for ws, ids in filter(None, found) if None in ids]
+        self._learn(list({w for ws, ids in unknown for w, i in zip(ws, ids) if i is None}))
+        for ws, ids in unknown:
+            for k, i in enumerate(ids):
+                if i is None:
+                    ids[k] = get(ws[k])
+        return [
+            b"".join(f[1])
+            if f
+            else np.array(self.whole.encode(t, add_special_tokens=False).ids if t else [], "<u4").tobytes()
+            for t, f in zip(texts, found)
+        ]
 
 
 class Packer:

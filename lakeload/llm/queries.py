@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeload.llm import bayes_join, hmm_lm
 from lakeload.llm import license_scan as lic
 from lakeload.llm._common import table
 from lakeload.llm.decontaminate import contaminated, decontaminate
@@ -65,14 +66,25 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_bayes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bayes_join.jaccard_join(table(spark, sf_dir, "documents")).drop("text_hash", "class_hash")
+
+
+def op10_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op7_pack": op7_pack,
+    "op9_bayes_join": op9_bayes_join,
+    "op10_hmm_lm": op10_hmm_lm,
 }
 ORACLES = {
     "op1_license_scan": lic.oracle_sql(),
     "op4_line_dedup": OP4_SQL,
     "op5_decontaminate": OP5_SQL,
+    "op9_bayes_join": bayes_join.ORACLE_SQL,
 }
