@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import bayes_join, hmm_lm
+from lakeload.llm import arc_convert, bayes_join, hmm_lm, line_crf, one_bit_ann
 from lakeload.llm import license_scan as lic
 from lakeload.llm._common import table
 from lakeload.llm.decontaminate import contaminated, decontaminate
 from lakeload.llm.line_dedup import apply_bitmaps, line_bitmaps
 from lakeload.llm.packing import pack_documents
+from lakeload.llm.surrogates import pseudonymise
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -74,11 +75,33 @@ def op10_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents"), key="lakeload example key")
+
+
+def op6_arc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = arc_convert.pages_round_trip(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_crf.score_quality(docs, line_crf.fit_field(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_one_bit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_bit_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_surrogates": op2_surrogates,
+    "op3_line_crf": op3_line_crf,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op6_arc_convert": op6_arc_convert,
     "op7_pack": op7_pack,
+    "op8_one_bit_ann": op8_one_bit_ann,
     "op9_bayes_join": op9_bayes_join,
     "op10_hmm_lm": op10_hmm_lm,
 }
@@ -86,5 +109,6 @@ ORACLES = {
     "op1_license_scan": lic.oracle_sql(),
     "op4_line_dedup": OP4_SQL,
     "op5_decontaminate": OP5_SQL,
+    "op6_arc_convert": arc_convert.ORACLE_SQL,
     "op9_bayes_join": bayes_join.ORACLE_SQL,
 }
