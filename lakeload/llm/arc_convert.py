@@ -99,7 +99,9 @@ def arc_records(data: bytes) -> Iterator[dict]:
             at += 1
         if at >= len(data):
             return
-        start, end = at, data.index(b"\n", at)
+        start, end = at, data.find(b"\n", at)
+        if end < 0:
+            raise ValueError(f"ARC header at {start} does not end")
         header = data[at:end].rstrip(b"\r")
         if fields is None:  # the version block's own header has the fields that the block is about to name
             names = data[end + 1 :].split(b"\n", 2)[1].split()
@@ -188,8 +190,10 @@ def _to_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for data, revisits in zip(*(c.to_pylist() for c in b.columns)):
             known = {r["offset"]: r for r in revisits or ()}
-            out = b"\r\n\r\n".join(convert(r, known.get(r["at"])) for r in arc_records(_content(data)))
-            yield pa.RecordBatch.from_arrays([pa.array([out.decode("utf-8")])], names=["value"])
+            records = [convert(r, known.get(r["at"])) for r in arc_records(_content(data))]
+            if records:
+                out = b"\r\n\r\n".join(records).decode("utf-8")
+                yield pa.RecordBatch.from_arrays([pa.array([out])], names=["value"])
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:

@@ -45,7 +45,7 @@ def test_empty_table(spark):
 
 
 V1 = (
-    b"filedesc://a.arc 0.0.0.0 19960923142103 text/plain 76\n1 0 Example\nURL IP-address Archive-date Content-type Archive-length\n\n\n\n"
+    b"filedesc://a.arc 0.0.0.0 19960923142103 text/plain 70\n1 0 Example\nURL IP-address Archive-date Content-type Archive-length\n\n\n\n"
     b"\nhttp://a b/ 10.0.0.1 19961104142103 text/html 25\nHTTP/1.0 200 OK\r\n\r\nhello\n\n"
     b"\ndns:x.org 10.0.0.1 19961104142103 text/dns 4\na\nbc\n"
 )
@@ -59,9 +59,11 @@ def test_versions_and_declared_lengths():
     )
     a, b = list(arc.arc_records(V1)), list(arc.arc_records(v2))
     assert [(r["url"], r["archive-date"], len(r["block"])) for r in a] == [
-        ("filedesc://a.arc", "19960923142103", 76), ("http://a b/", "19961104142103", 25), ("dns:x.org", "19961104142103", 4)]
+        ("filedesc://a.arc", "19960923142103", 70), ("http://a b/", "19961104142103", 25), ("dns:x.org", "19961104142103", 4)]
     assert a[1]["block"].endswith(b"hello\n") and b[1]["block"] == b"\n\n\nabcd" and b[1]["result-code"] == "200"
     with pytest.raises(ValueError, match="declares"):
+        list(arc.arc_records(V1[:-3]))
+    with pytest.raises(ValueError, match="does not end"):
         list(arc.arc_records(V1[:-8]))
 
 
