@@ -38,7 +38,7 @@ def test_equals_brute_force(spark, dim, block, monkeypatch):
 def test_unusable_vectors_ties_and_repeats(spark):
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [5.0, 0.0]), (3, [0.0, 1.0]), (4, [-1.0, 0.5]), (5, [0.0, 0.0]), (6, None),
             (7, [1.0, None]), (8, [float("nan"), 1.0]), (9, [float("inf"), 1.0]), (None, [1.0, 1.0]), (10, [1.0, 1.0]),
-            (11, [3.0, 0.0]), (15, []), (20, [1.0, 2.0, 3.0]), (3, [0.0, 1.0]), (0, [1.0, 0.0]), (10**12, [-2.0, 1e-3])]
+            (11, [3.0, 0.0]), (15, []), (20, [1.0, 2.0, 3.0]), (3, [0.0, 1.0]), (0, [1.0, 0.0])]
     same(run(spark, rows), brute(rows, lambda i: i % 5 == 0))
 
 
