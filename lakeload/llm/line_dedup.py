@@ -66,7 +66,8 @@ def line_bitmaps(
     counted = firsts.groupBy("h1", "h2").agg(
         F.count("*").alias("n_docs"), F.min(F.struct("no_id", "doc", "text_hash", "pos")).alias("first")
     )
-    frequent = counted.filter(F.col("n_docs") >= min_docs)
+    # written, so that Spark knows its size and can split a hot key of the other side
+    frequent = stage(counted.filter(F.col("n_docs") >= min_docs), "frequent-lines")
     if mode == "all":
         dropped = lines.join(frequent.select("h1", "h2"), ["h1", "h2"])
     else:
