@@ -18,8 +18,10 @@ def _fingerprint(edges: DataFrame) -> tuple:
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    return edges.join(least.select(F.col("a").alias("k"), F.least("m", "a").alias("m")), F.col("a") == F.col("k"))
+    """Each edge (a, b) with m, the smallest of a and its neighbours."""
+    least = edges.groupBy(F.col("a").alias("k")).agg(F.least(F.min("b"), F.col("k")).alias("m"))
+    # written, so that the join's other side, where a star's centre is a hot key, can be split
+    return edges.join(stage(least, "least"), F.col("a") == F.col("k"))
 
 
 def connected(edges: DataFrame) -> DataFrame:
