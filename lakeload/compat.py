@@ -24,9 +24,9 @@ from lakeload.functions.hashing import COMPAT, row_hash
 from lakeload.functions.text import remove_accents, strip_marks
 from lakeload.operators.scd1 import scd1_create, scd1_merge
 from lakeload.operators.scd2 import scd2_actions, scd2_create, scd2_merge
-from lakeload.operators.validate import ValidationResult, validate_keys
+from lakeload.operators.validate import DuplicateKeyError, ValidationResult, validate_keys
 from lakeload.plans.roles import HASH_COL, LOAD_DATE_COL, sk_name_for
-from lakeload.sources.files import append_silver, read_silver
+from lakeload.sources.files import append_rows, read_silver
 from lakeload.sources.fs import path_exists
 from lakeload.sources.store import read_table, write_table
 
@@ -59,16 +59,12 @@ def PrepareToSilver(param_df: DataFrame, param_ignoreList: Sequence[str] = ()) -
     out = AddHashKey(param_df, HASH_COL, param_ignoreList)
     res = ValidateDuplicateKeys(out, param_ignoreList)
     if not res.valid:
-        raise Exception("The result query has duplicate key values (" + ", ".join(res.key_columns) + ")")
+        raise DuplicateKeyError(f"several rows share a value of {', '.join(res.key_columns)}")
     return out
 
 
 def SaveToSilver(param_df: DataFrame, param_folder: str, param_tableName: str) -> None:  # noqa: N802,N803
-    path = os.path.join(param_folder, param_tableName)
-    if LOAD_DATE_COL in param_df.columns:
-        append_silver(param_df, path)
-    else:
-        param_df.write.mode("append").parquet(path)
+    append_rows(param_df, os.path.join(param_folder, param_tableName))
 
 
 def RemoveAccents(param_string: str | None) -> str | None:  # noqa: N802
@@ -76,8 +72,8 @@ def RemoveAccents(param_string: str | None) -> str | None:  # noqa: N802
 
 
 def RemoveAccentsUDF(c: Column | str) -> Column:  # noqa: N802
-    """Column function (JVM ``translate``), usable where the row UDF was used."""
-    return remove_accents(c)
+    """Column function by the exact rule, usable where the row UDF was used."""
+    return remove_accents(c, exact=True)
 
 
 def _silver(folder: str, table_name: str) -> DataFrame:

@@ -13,11 +13,14 @@ _DIGITS12 = re.compile(r"^\d{12}$")
 _DAY = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 
 
-def to_stamp(value: str | _dt.date | _dt.datetime) -> str:
+def to_stamp(value: str | _dt.date | _dt.datetime | None = None) -> str:
     """Normalise a run date to ``yyyyMMddHHmm`` (24-hour clock).
 
-    Accepts a date, a datetime, ``'yyyy-MM-dd'``, ``'yyyy-MM-dd HH:mm[:ss]'`` or twelve digits.
+    Accepts a date, a datetime, ``'yyyy-MM-dd'``, ``'yyyy-MM-dd HH:mm[:ss]'`` or twelve digits; ``None`` is
+    today, in UTC.
     """
+    if value is None:
+        return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d") + "0000"
     if isinstance(value, _dt.datetime):
         return value.strftime("%Y%m%d%H%M")
     if isinstance(value, _dt.date):
@@ -36,7 +39,7 @@ def to_stamp(value: str | _dt.date | _dt.datetime) -> str:
     raise ValueError(f"cannot read run date {value!r}")
 
 
-def to_day(value: str | _dt.date | _dt.datetime) -> str:
+def to_day(value: str | _dt.date | _dt.datetime | None = None) -> str:
     """``yyyy-MM-dd`` of a run date (folder name of a bronze snapshot, silver ``LoadDate``)."""
     s = to_stamp(value)
     return f"{s[0:4]}-{s[4:6]}-{s[6:8]}"

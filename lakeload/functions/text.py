@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType
 
 SQL_NAME = "RemoveAccentsUDF"
 SQL_NAME_EXACT = "RemoveAccentsExactUDF"
+SQL_NAME_FAST = "RemoveAccentsFast"
 
 
 def strip_marks(text: str | None) -> str | None:
@@ -68,10 +69,11 @@ def _sql_literal(text: str) -> str:
 
 
 def register_sql_functions(spark: SparkSession) -> None:
-    """``RemoveAccentsUDF(s)`` as a SQL function (inlined ``translate``) and the exact variant."""
+    """``RemoveAccentsUDF(s)`` (also ``RemoveAccentsExactUDF``): the exact rule; ``RemoveAccentsFast(s)``: ``translate``."""
     src, dst = translate_table()
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {SQL_NAME}(s STRING) RETURNS STRING "
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {SQL_NAME_FAST}(s STRING) RETURNS STRING "
         f"RETURN translate(s, {_sql_literal(src)}, {_sql_literal(dst)})"
     )
-    spark.udf.register(SQL_NAME_EXACT, _strip_marks_exact)
+    for name in (SQL_NAME, SQL_NAME_EXACT):
+        spark.udf.register(name, _strip_marks_exact)

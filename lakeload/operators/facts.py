@@ -10,9 +10,9 @@ and as a sort-merge join otherwise, where AQE splits skewed fact-side partitions
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -30,6 +30,26 @@ class DimLookup:
     dim_keys: Sequence[str] | None = None
     as_of: str | None = None
     keep_keys: bool = False
+    name: str | None = None  # of the surrogate key column; needed if a dimension plays several roles
+
+    @property
+    def sk_name(self) -> str:
+        return self.name or sk_column(self.dim.columns)
+
+
+def check_versions(dim: DataFrame, keys: Sequence[str] | None = None) -> None:
+    """Raise unless every key has one version at any time (else a lookup would multiply fact rows)."""
+    ks = list(keys) if keys is not None else key_columns(dim.columns)
+    if UPDATED_COL in dim.columns:
+        by_key = Window.partitionBy(*ks).orderBy(CREATED_COL, UPDATED_COL)
+        wrong = dim.select(*ks, UPDATED_COL, F.lead(CREATED_COL).over(by_key).alias("_ll_next")).filter(
+            F.col("_ll_next") < F.col(UPDATED_COL)
+        )
+    else:
+        wrong = dim.groupBy(*ks).count().filter("count > 1")
+    found = wrong.select(*ks).take(3)
+    if found:
+        raise ValueError(f"dimension has overlapping versions of keys {[tuple(r) for r in found]}")
 
 
 def lookup_sk(fact: DataFrame, lookup: DimLookup, unknown: int = UNKNOWN_SK) -> DataFrame:
@@ -39,6 +59,8 @@ def lookup_sk(fact: DataFrame, lookup: DimLookup, unknown: int = UNKNOWN_SK) ->
     if len(dkeys) != len(fkeys) or not dkeys:
         raise ValueError(f"fact keys {fkeys} do not match dimension keys {dkeys}")
     sk = sk_column(dim.columns)
+    if lookup.sk_name in fact.columns:
+        raise ValueError(f"fact has a column {lookup.sk_name} already; give the lookup a name of its own")
     versioned = CREATED_COL in dim.columns and UPDATED_COL in dim.columns
     cols = dkeys + [sk] + ([CREATED_COL, UPDATED_COL] if versioned else [])
     d = dim.select(*[F.col(c).alias(_D + c) for c in cols])
@@ -58,12 +80,16 @@ def lookup_sk(fact: DataFrame, lookup: DimLookup, unknown: int = UNKNOWN_SK) ->
                     F.date_format(F.try_to_timestamp(at), STAMP_FORMAT)
                 )
             cond = cond & (F.col(_D + CREATED_COL) <= at) & (at < F.col(_D + UPDATED_COL))
-    out = fact.join(d, cond, "left").withColumn(sk, F.coalesce(F.col(_D + sk), F.lit(unknown)).cast("bigint"))
+    out = fact.join(d, cond, "left").withColumn(
+        lookup.sk_name, F.coalesce(F.col(_D + sk), F.lit(unknown)).cast("bigint")
+    )
     out = out.drop(*[_D + c for c in cols])
     return out if lookup.keep_keys else out.drop(*fkeys)
 
 
 def load_fact(fact: DataFrame, lookups: Sequence[DimLookup], unknown: int = UNKNOWN_SK) -> DataFrame:
+    """Every lookup in turn; key columns go at the end, so that several lookups may use one."""
     for lk in lookups:
-        fact = lookup_sk(fact, lk, unknown)
-    return fact
+        fact = lookup_sk(fact, replace(lk, keep_keys=True), unknown)
+    kept = {k for lk in lookups if lk.keep_keys for k in lk.fact_keys}
+    return fact.drop(*{k for lk in lookups for k in lk.fact_keys} - kept)

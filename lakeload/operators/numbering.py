@@ -27,8 +27,7 @@ from pyspark.sql.types import MapType
 from lakeload.sources.store import materialize
 
 _PID, _POS, _TIE, _SEQ, _CNT, _OFF = "_ll_pid", "_ll_pos", "_ll_tie", "_ll_seq", "_ll_cnt", "_ll_off"
-# Offsets table is one row of two longs per range partition; refuse absurd partition counts.
-MAX_RANGE_PARTITIONS = 200_000
+MAX_NUMBER = (1 << 63) - 1
 
 
 def _range_partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -37,8 +36,8 @@ def _range_partitions(df: DataFrame, num_partitions: int | None) -> int:
         initial = df.sparkSession.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
         if initial:
             num_partitions = max(num_partitions, int(initial))
-    if not 1 <= num_partitions <= MAX_RANGE_PARTITIONS:
-        raise ValueError(f"range partitions must be in 1..{MAX_RANGE_PARTITIONS}, got {num_partitions}")
+    if num_partitions < 1:
+        raise ValueError(f"range partitions must be at least 1, got {num_partitions}")
     return num_partitions
 
 
@@ -85,9 +84,11 @@ def number_rows(
     counts = staged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
+    nth = F.col(_OFF) + F.col(_POS) + F.lit(1)
+    past = F.raise_error(F.lit(f"{name} would pass the largest bigint")).cast("bigint")
     # at most n rows of (int, long): a proven bound, so the broadcast is safe
     return (
         staged.join(F.broadcast(offsets), _PID, "inner")
-        .withColumn(name, (F.lit(int(offset)) + F.col(_OFF) + F.col(_POS) + F.lit(1)).cast("bigint"))
+        .withColumn(name, F.when(nth > F.lit(MAX_NUMBER - int(offset)), past).otherwise((nth + F.lit(int(offset))).cast("bigint")))
         .drop(_PID, _POS, _OFF)
     )

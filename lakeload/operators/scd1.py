@@ -38,7 +38,8 @@ def scd1_merge(
     """Upsert by key.
 
     matched, hash differs -> attributes and hash from the source, SK kept; matched and equal ->
-    unchanged; source only -> inserted with the next SKs (key order); gold only -> kept.
+    unchanged; source only -> inserted with the next SKs (key order); gold only -> kept. Columns that
+    only the source has are added, NULL in rows that the source does not update.
 
     Plan: the (deduplicated, checked) source is compared with gold's key, SK and hash columns only;
     the changed and new rows form one numbered change table (inserts ordered first, so their SKs are
@@ -47,6 +48,9 @@ def scd1_merge(
     """
     ks = resolve_keys(gold.columns, keys)
     sk = sk_column(gold.columns)
+    added = [c for c in source.columns if c not in gold.columns]
+    if added:  # NULL until a row is updated; the source's hash covers them, so it is
+        gold = gold.withColumns({c: F.lit(None).cast(source.schema[c].dataType) for c in added})
     attrs = attribute_columns(gold.columns, ks)
     needed = ks + attrs + [HASH_COL]
     missing = [c for c in needed if c not in source.columns]

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from lakeload.functions.dates import stamp_to_timestamp, to_stamp
 from lakeload.operators._joins import SRC, key_condition, max_value, prefixed, translate_errors, unique_rows
 from lakeload.operators.numbering import number_rows
+from lakeload.operators.prepare import hash_key
 from lakeload.plans.roles import (
     ACTION_COL,
     CREATED_COL,
@@ -26,6 +27,7 @@ from lakeload.plans.roles import (
     DELETE,
     EXIST_INSERT,
     HASH_COL,
+    LOAD_DATE_COL,
     NEW_INSERT,
     OPEN_END,
     UPDATE,
@@ -40,6 +42,7 @@ CLOSE = "close"
 _T = "_t_"
 _V = "_ll_v"
 _ACT = "_ll_act"
+_OLD = "_ll_old_hash"
 
 
 def scd2_create(
@@ -92,29 +95,33 @@ def scd2_latest(gold: DataFrame, keys: Sequence[str] | None = None, method: str
     raise ValueError(f"unknown method {method!r}")
 
 
+def _same() -> Column:
+    """The open version holds the source row already (``_OLD``: the source's hash over gold's own columns)."""
+    return F.col(_T + HASH_COL).isin(F.col(SRC + HASH_COL), F.col(SRC + _OLD))
+
+
 def _action(now: str) -> tuple[Column, Column, Column]:
-    t_hash, t_upd = F.col(_T + HASH_COL), F.col(_T + UPDATED_COL)
-    s_hash = F.col(SRC + HASH_COL)
-    action = (
-        F.when(t_hash.isNull(), F.lit(NEW_INSERT))
-        .when(t_upd.isNotNull() & (t_upd < F.lit(OPEN_END)), F.lit(EXIST_INSERT))
-        .when((t_hash != s_hash) & (t_upd == F.lit(OPEN_END)), F.lit(UPDATE))
-        .when((t_hash == s_hash) & (t_upd == F.lit(OPEN_END)), F.lit(DELETE))
-    )
-    a = F.col(_ACT)
-    updated = (
-        F.when(a.isin(NEW_INSERT, EXIST_INSERT), F.lit(OPEN_END)).when(a.isin(UPDATE, DELETE), F.lit(now))
-    )
-    created = (
-        F.when(a == NEW_INSERT, F.lit(DEFAULT_START))
-        .when(a == EXIST_INSERT, F.lit(now))
-        .when(a.isin(UPDATE, DELETE), F.col(_T + CREATED_COL))
-    )
+    """Three questions name the action (is there a version, is it open, does it hold the same row); each action
+    has one pair of dates."""
+    known, is_open = F.col(_T + "sk").isNotNull(), F.col(_T + UPDATED_COL) == F.lit(OPEN_END)
+    for_known = F.when(~is_open, EXIST_INSERT).otherwise(F.when(_same(), DELETE).otherwise(UPDATE))
+    for_source = F.when(known, for_known).otherwise(NEW_INSERT)
+    action = F.when(F.col(SRC + HASH_COL).isNotNull(), for_source)
+    began = F.col(_T + CREATED_COL)
+    dates = {
+        NEW_INSERT: (F.lit(DEFAULT_START), F.lit(OPEN_END)),
+        EXIST_INSERT: (F.lit(now), F.lit(OPEN_END)),
+        UPDATE: (began, F.lit(now)),
+        DELETE: (began, F.lit(now)),
+    }
+    created, updated = (F.coalesce(*[F.when(F.col(_ACT) == k, d[n]) for k, d in dates.items()]) for n in (0, 1))
     return action, created, updated
 
 
 def _actions_frame(source: DataFrame, gold: DataFrame, ks: list[str], sk: str, now: str, how: str, null_safe: bool):
     latest = _latest_state(gold, ks, sk)
+    if _OLD not in source.columns:
+        source = source.withColumn(_OLD, F.col(HASH_COL))
     src = prefixed(source, SRC)
     cond = key_condition([SRC + k for k in ks], ks, null_safe)
     action, _, _ = _action(now)
@@ -163,17 +170,27 @@ def scd2_merge(
 
     The source must hold one row per key (identical copies collapse); otherwise, or with a NULL
     key unless ``null_safe_keys``, :class:`DuplicateKeyError` is raised.
+
+    Columns that only the source has are added, NULL in older versions. They alone make no new version: if a
+    row's hash over gold's own columns is unchanged, the open version takes the new values and hash in place.
+
+    ``now`` before the start of a version that it would close is an error.
     """
     if on_same_hash not in (IGNORE, CLOSE):
         raise ValueError(f"on_same_hash must be {IGNORE!r} or {CLOSE!r}")
     ks = resolve_keys(gold.columns, keys)
     sk = sk_column(gold.columns)
     stamp = to_stamp(now)
+    added = [c for c in source.columns if c not in gold.columns]
+    if added:
+        gold = gold.withColumns({c: F.lit(None).cast(source.schema[c].dataType) for c in added})
     data_cols = [c for c in gold.columns if c not in (sk, CREATED_COL, UPDATED_COL)]
     missing = [c for c in data_cols if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks gold columns {missing}")
     source = source.select(*data_cols)
+    if added:
+        source = hash_key(source, _OLD, ignore=(LOAD_DATE_COL, HASH_COL, *added))
     if check_source:
         source = unique_rows(source, ks, null_safe_keys)
 
@@ -186,13 +203,17 @@ def scd2_merge(
     if close_missing:
         close_if = close_if | (F.col(SRC + HASH_COL).isNull() & t_open)
     insert_if = act.isin(NEW_INSERT, EXIST_INSERT, UPDATE) & F.col(SRC + HASH_COL).isNotNull()
+    amend_if = (act == DELETE) & (F.col(_T + HASH_COL) != F.col(SRC + HASH_COL)) & ~F.coalesce(close_if, F.lit(False))
+    back_dated = F.raise_error(F.lit(f"run date {stamp} lies before the start of a version that it would close"))
+    close_if = F.when(close_if & (F.col(_T + CREATED_COL) > F.lit(stamp)), back_dated.cast("boolean")).otherwise(close_if)
     staged = acts.select(
         *[F.col(SRC + c) for c in data_cols],
         F.col(_T + "sk"),
         F.col(_ACT),
         F.coalesce(close_if, F.lit(False)).alias("_ll_close"),
         F.coalesce(insert_if, F.lit(False)).alias("_ll_insert"),
-    ).filter(F.col("_ll_close") | F.col("_ll_insert"))
+        F.coalesce(amend_if, F.lit(False)).alias("_ll_amend"),
+    ).filter(F.col("_ll_close") | F.col("_ll_insert") | F.col("_ll_amend"))
     # One materialised, numbered action table feeds closes and inserts: ordering inserts first
     # (then by key) makes the inserts' numbers 1..k in key order; the other rows' numbers are unused.
     staged = staged.withColumn("_ll_grp", F.when(F.col("_ll_insert"), F.lit(0)).otherwise(F.lit(1)))
@@ -220,6 +241,15 @@ def scd2_merge(
         .withColumn(UPDATED_COL, F.coalesce(F.col("_ll_close_at"), F.col(UPDATED_COL)))
         .select(*gold.columns)
     )
+    if added:
+        new = [*added, HASH_COL]
+        amended = numbered.filter("_ll_amend").select(
+            F.col(_T + "sk").alias(sk), *[F.col(SRC + c).alias("_ll_n_" + c) for c in new]
+        )
+        took = F.col("_ll_n_" + HASH_COL).isNotNull()
+        reopened = reopened.join(amended, sk, "left").select(
+            *[F.when(took, F.col("_ll_n_" + c)).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in gold.columns]
+        )
     return history.unionByName(reopened).unionByName(inserts.select(*gold.columns))
 
 

@@ -21,6 +21,7 @@ differently); timestamps are printed through an explicit format.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -43,7 +44,7 @@ from lakeload.operators.scd2 import (
     scd2_latest,
     scd2_merge,
 )
-from lakeload.operators.validate import count_distinct_keys, first_per_key, validate_keys_df
+from lakeload.operators.validate import DuplicateKeyError, count_distinct_keys, first_per_key, validate_keys_df
 from lakeload.plans.layout import Layout
 from lakeload.plans.roles import OPEN_END, UPDATED_COL
 from lakeload.plans.runs import (
@@ -54,10 +55,13 @@ from lakeload.plans.runs import (
     run_bronze,
     run_layers,
     run_silver,
+    audit_frame,
+    run_from_config,
 )
 from lakeload.session import scratch_path
 from lakeload.sources.config import BRONZE_SCHEMA, read_config
 from lakeload.sources.files import (
+    append_rows,
     append_silver,
     read_csv,
     read_latest_partition,
@@ -482,10 +486,14 @@ def q_remove_accents_exact(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", remove_accents("text", exact=True).alias("text"))
 
 
-@query("remove_accents_sql", "SELECT conv_id, turn, strip_accents(text) AS text FROM conversations")
+_HANGUL = ("\ud55c\uae00", "\u1112\u1161\u11ab\u1100\u1173\u11af")  # syllables, and the letters they decompose into
+
+
+@query("remove_accents_sql", f"SELECT conv_id, turn, strip_accents(text) || '{_HANGUL[1]}' AS text FROM conversations")
 def q_remove_accents_sql(spark, sf):
     register_sql_functions(spark)
-    _t(spark, sf, "conversations").createOrReplaceTempView("ll_conversations")
+    rows = _t(spark, sf, "conversations").withColumn("text", F.concat("text", F.lit(_HANGUL[0])))
+    rows.createOrReplaceTempView("ll_conversations")
     return spark.sql("SELECT conv_id, turn, RemoveAccentsUDF(text) AS text FROM ll_conversations")
 
 
@@ -1044,10 +1052,11 @@ def q_bronze_layer_run(spark, sf):
     bronze, _, _ = _layer_config()
     rows = run_bronze(spark, layout, bronze, DAY1)
     counts = {r["table_name"]: r["rows_out"] for r in rows}
+    states = {r["table_name"]: r["status"] for r in rows}
     # the snapshot written is read back and counted per table
     frames = [
         read_latest_snapshot(spark, layout.bronze("tpch"), n).agg(F.count(F.lit(1)).alias("rows_out")).select(
-            F.lit(n).alias("table_name"), F.lit(counts[n]).cast("bigint").alias("rows_in"), "rows_out", F.lit("ok").alias("status")
+            F.lit(n).alias("table_name"), F.lit(counts[n]).cast("bigint").alias("rows_in"), "rows_out", F.lit(states[n]).alias("status")
         )
         for n in LAYER_TABLES
     ]
@@ -1141,8 +1150,8 @@ WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS k, row_number() OVER (ORDER BY C
 SELECT CAST(o.o_orderkey AS VARCHAR) AS KEY_o_orderkey, o.o_orderstatus,
        CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice,
        strftime(o.o_orderdate, '%Y-%m-%d') AS o_orderdate, o.o_orderpriority,
-       coalesce(c.sk, -1) AS SK_customer, '2024-03-10' AS LoadDate
-FROM orders o LEFT JOIN c ON CAST(o.o_custkey AS VARCHAR) = c.k
+       coalesce(c.sk, -1) AS SK_customer, LoadDate
+FROM orders o LEFT JOIN c ON CAST(o.o_custkey AS VARCHAR) = c.k, (VALUES ('2024-03-09'), ('2024-03-10')) d(LoadDate)
 """,
 )
 def q_fact_table_load(spark, sf):
@@ -1162,7 +1171,7 @@ def q_fact_table_load(spark, sf):
     register_gold_views(spark, layout, ["DIM2_customer", "FACT_orders"])
     return spark.sql(
         "SELECT KEY_o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, SK_customer, "
-        f"CAST(LoadDate AS STRING) AS LoadDate FROM FACT_orders WHERE CAST(LoadDate AS STRING) = '{DAY2}'"
+        "CAST(LoadDate AS STRING) AS LoadDate FROM FACT_orders"
     )
 
 
@@ -1187,4 +1196,238 @@ def q_run_audit(spark, sf):
     return spark.read.parquet(layout.audit()).drop("started", "finished", "message")
 
 
+# ------------------------------------------------------------------ loads that are empty, missed, repeated or change shape
+CUST_SPEC = SilverSpec("DIM2_customer", "tpch", "customer", ["c_custkey"])
+SQL_LOADS = SQL_CUST + """,
+l1 AS (SELECT *, '2024-03-09' AS LoadDate FROM s1),
+l2 AS (SELECT *, '2024-03-10' AS LoadDate FROM s2),
+lg1 AS (SELECT *, '2024-03-09' AS LoadDate FROM g1),
+"""
+LOAD_DATA = CUST_DATA + ["LoadDate"]
+
+
+def _silver_days(spark, frames: dict[str, DataFrame], gold_on=(), **options) -> Layout:
+    """One silver load per day; the gold load runs on the days of ``gold_on`` (a day may repeat)."""
+    layout = Layout(scratch_path(spark, "q-lake"))
+    for day, df in frames.items():
+        write_snapshot(df, layout.bronze("tpch"), day, "customer")
+        run_silver(spark, layout, [CUST_SPEC], day)
+        for _ in range(list(gold_on).count(day)):
+            load_gold(spark, layout, "DIM2_customer", day, **options)
+    return layout
+
+
+@query("gold_load_empty", "WITH " + SQL_CUST + "SELECT *, '2024-03-09' AS LoadDate FROM g1")
+def q_gold_load_empty(spark, sf):
+    """An empty difference feed on day 2 leaves gold as it is (no open version is closed)."""
+    r1 = cust_raw(spark, sf)
+    days = {DAY1: r1, DAY2: r1.filter(F.lit(False))}
+    return read_table(spark, _silver_days(spark, days, (DAY1, DAY2), on_same_hash=CLOSE).gold("DIM2_customer"))
+
+
+@query(
+    "gold_load_catch_up",
+    "WITH " + SQL_LOADS + "l3 AS (SELECT *, '2024-03-11' AS LoadDate FROM s1),"
+    + sql_scd2("x2", "lg1", "l2", "KEY_c_custkey", "SK_customer", LOAD_DATA, STAMP2) + ","
+    + sql_scd2("x3", "x2_m", "l3", "KEY_c_custkey", "SK_customer", LOAD_DATA, STAMP3) + "SELECT * FROM x3_m",
+)
+def q_gold_load_catch_up(spark, sf):
+    """Gold missed day 2: the run of day 3 merges both loads in order, each stamped with its own day."""
+    r1 = cust_raw(spark, sf)
+    layout = _silver_days(spark, {DAY1: r1, DAY2: cust_raw_day2(r1), DAY3: r1}, (DAY1, DAY3))
+    return read_table(spark, layout.gold("DIM2_customer"))
+
+
+@query(
+    "gold_load_repeat_close",
+    "WITH " + SQL_LOADS.rstrip().rstrip(",") + ","
+    + sql_scd2("x2", "lg1", "l2", "KEY_c_custkey", "SK_customer", LOAD_DATA, STAMP2, mode=CLOSE) + "SELECT * FROM x2_m",
+)
+def q_gold_load_repeat_close(spark, sf):
+    """A difference feed of day 2 merged, and the same run repeated: the repeat changes nothing."""
+    r1 = cust_raw(spark, sf)
+    layout = _silver_days(spark, {DAY1: r1, DAY2: cust_raw_day2(r1)}, (DAY1, DAY2, DAY2), on_same_hash=CLOSE)
+    return read_table(spark, layout.gold("DIM2_customer"))
+
+
+_PART_OLD = [c for c in PART_COLS if c != "p_retailprice"]
+
+
+@query(
+    "scd1_merge_new_column",
+    "WITH " + SQL_PART + f""",
+og AS (SELECT *, {sql_hash(_PART_OLD)} AS HASHCOLUMN FROM (SELECT {', '.join(_PART_OLD)}, SK_part FROM pg1))
+SELECT * FROM (
+SELECT g.KEY_p_partkey, {', '.join(f'CASE WHEN s.HASHCOLUMN IS NULL THEN g.{c} ELSE s.{c} END AS {c}' for c in _PART_OLD[1:])},
+       s.p_retailprice, coalesce(s.HASHCOLUMN, g.HASHCOLUMN) AS HASHCOLUMN, g.SK_part
+FROM og g LEFT JOIN ps2 s ON g.KEY_p_partkey = s.KEY_p_partkey
+UNION ALL BY NAME
+SELECT s.*, (SELECT max(SK_part) FROM og) + row_number() OVER (ORDER BY s.KEY_p_partkey) AS SK_part
+FROM ps2 s WHERE s.KEY_p_partkey NOT IN (SELECT KEY_p_partkey FROM og))
+""",
+)
+def q_scd1_merge_new_column(spark, sf):
+    """Day 2 brings a column that gold lacks: it is added, NULL for the rows that day 2 does not hold."""
+    r1 = part_raw(spark, sf)
+    gold = scd1_create(part_src(r1.drop("p_retailprice")), sk="SK_part")
+    return scd1_merge(gold, part_src(part_raw_day2(r1)))
+
+
+_CUST_OLD = [c for c in CUST_COLS if c != "c_acctbal"]
+
+
+@query(
+    "scd2_merge_new_column",
+    "WITH " + SQL_CUST + f""",
+og AS (SELECT *, {sql_hash(_CUST_OLD)} AS HASHCOLUMN FROM (SELECT {', '.join(_CUST_OLD)}, SK_customer FROM g1)),
+os AS (SELECT *, {sql_hash(_CUST_OLD)} AS old_hash FROM s2),
+j AS (SELECT s.*, g.SK_customer, g.HASHCOLUMN AS g_hash FROM os s LEFT JOIN og g USING (KEY_c_custkey))
+SELECT g.KEY_c_custkey, {', '.join('g.' + c for c in _CUST_OLD[1:])},
+       CASE WHEN j.g_hash = j.old_hash THEN j.c_acctbal END AS c_acctbal,
+       CASE WHEN j.g_hash = j.old_hash THEN j.HASHCOLUMN ELSE g.HASHCOLUMN END AS HASHCOLUMN, g.SK_customer,
+       '190001010000' AS created_date,
+       CASE WHEN j.g_hash <> j.old_hash THEN '{STAMP2}' ELSE '999912312359' END AS updated_date
+FROM og g LEFT JOIN j ON j.SK_customer = g.SK_customer
+UNION ALL BY NAME
+SELECT {', '.join(CUST_COLS)}, HASHCOLUMN, (SELECT max(SK_customer) FROM og) + row_number() OVER (ORDER BY KEY_c_custkey) AS SK_customer,
+       CASE WHEN g_hash IS NULL THEN '190001010000' ELSE '{STAMP2}' END AS created_date, '999912312359' AS updated_date
+FROM j WHERE g_hash IS NULL OR g_hash <> old_hash
+""",
+)
+def q_scd2_merge_new_column(spark, sf):
+    """A new column alone makes no new version: unchanged rows take its values in their open version."""
+    r1 = cust_raw(spark, sf)
+    gold = scd2_create(cust_src(r1.drop("c_acctbal")), sk="SK_customer")
+    return scd2_merge(gold, cust_src(cust_raw_day2(r1)), now=DAY2)
+
+
+@query(
+    "fact_two_roles",
+    "WITH " + SQL_CUST_M2 + """,
+cur AS (SELECT KEY_c_custkey, SK_customer FROM m2_m WHERE updated_date = '999912312359')
+SELECT o.o_orderkey, coalesce(b.SK_customer, -1) AS SK_bill_to, coalesce(s.SK_customer, -1) AS SK_ship_to
+FROM orders o LEFT JOIN cur b ON b.KEY_c_custkey = o.o_custkey
+LEFT JOIN cur s ON s.KEY_c_custkey = o.o_custkey // 2 + o.o_orderkey % 7
+""",
+)
+def q_fact_two_roles(spark, sf):
+    """Two lookups into one dimension, each under its own name."""
+    ship_to = F.floor(F.col("o_custkey") / 2) + F.col("o_orderkey") % 7
+    fact = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", ship_to.alias("ship_to"))
+    cust = cust_gold_day2(spark, sf)
+    return load_fact(
+        fact, [DimLookup(cust, ["o_custkey"], name="SK_bill_to"), DimLookup(cust, ["ship_to"], name="SK_ship_to")]
+    )
+
+
+@query(
+    "csv_ingest_multiline",
+    """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name || chr(10) || 'said "x", twice' AS c_name,
+       CAST(c_nationkey AS VARCHAR) AS c_nationkey, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS c_acctbal,
+       c_mktsegment FROM customer
+""",
+)
+def q_csv_ingest_multiline(spark, sf):
+    """Quoted line breaks, quotes and separators survive: the config entry carries the file's CSV options."""
+    layout = Layout(scratch_path(spark, "q-lake"))
+    df = cust_raw(spark, sf).withColumn("c_name", F.concat("c_name", F.lit('\nsaid "x", twice')))
+    df.write.option("header", True).option("escape", '"').csv(layout.landing("tpch", "customer.csv"))
+    entry = {"source_path": "tpch/", "source_name": "customer.csv", "target_path": "tpch/", "target_name": "customer",
+             "multi_line": True, "escape": '"', "on_malformed": "fail"}
+    run_bronze(spark, layout, [entry], DAY1)
+    return read_latest_snapshot(spark, layout.bronze("tpch"), "customer")
+
+
+@query(
+    "typed_copy_audit",
+    "SELECT 'DIM2_customer' AS table_name, 'ok' AS status, count(*) AS rows_in, count(*) AS rows_out, "
+    "count(*) FILTER (WHERE TRY_CAST(c_name AS INTEGER) IS NULL) || ' values did not convert' AS message FROM customer",
+)
+def q_typed_copy_audit(spark, sf):
+    """Values that do not convert are counted in the run log."""
+    layout = _bronze_layout(spark, sf, {"customer": cust_raw(spark, sf)}, DAY1)
+    spec = SilverSpec("DIM2_customer", "tpch", "customer", ["c_custkey"], types={"c_name": "int"})
+    rows = run_silver(spark, layout, [spec], DAY1)
+    return audit_frame(spark, rows).select("table_name", "status", "rows_in", "rows_out", "message")
+
+
+@query(
+    "silver_append_twice",
+    "WITH " + SQL_CUST + "SELECT *, '2024-03-09' AS LoadDate FROM s1 UNION ALL SELECT *, '2024-03-09' FROM s2",
+)
+def q_silver_append_twice(spark, sf):
+    """Two appends of one day keep both sets of rows."""
+    base, r1 = scratch_path(spark, "q-silver"), cust_raw(spark, sf)
+    for raw in (r1, cust_raw_day2(r1)):
+        append_rows(add_load_date(cust_src(raw), DAY1), f"{base}/DIM2_customer")
+    return read_silver(spark, f"{base}/DIM2_customer")
+
+
+@query(
+    "run_audit_merge",
+    "WITH " + SQL_CUST + """,
+n AS (SELECT (SELECT count(*) FROM s2) AS s, (SELECT count(*) FROM g1) AS g,
+  (SELECT count(*) FROM s1 JOIN s2 USING (KEY_c_custkey) WHERE s1.HASHCOLUMN <> s2.HASHCOLUMN) AS u,
+  (SELECT count(*) FROM s2 WHERE KEY_c_custkey NOT IN (SELECT KEY_c_custkey FROM s1)) AS i)
+SELECT '2024-03-10' AS run_date, 'bronze' AS layer, 'customer' AS table_name, 'ok' AS status, s AS rows_in, s AS rows_out,
+  CAST(NULL AS BIGINT) AS inserted, CAST(NULL AS BIGINT) AS closed, CAST(NULL AS BIGINT) AS n_open FROM n
+UNION ALL SELECT '2024-03-10', 'silver', 'DIM2_customer', 'ok', s, s, NULL, NULL, NULL FROM n
+UNION ALL SELECT '2024-03-10', 'gold', 'DIM2_customer', 'merged', NULL, g + u + i, u + i, u, g + i FROM n
+""",
+)
+def q_run_audit_merge(spark, sf):
+    """The run log of the second day: rows, inserted, closed and open versions of a merge."""
+    layout = Layout(scratch_path(spark, "q-lake"))
+    bronze = [{"source_path": "tpch/", "source_name": "customer.csv", "target_path": "tpch/", "target_name": "customer"}]
+    for day, day2 in ((DAY1, False), (DAY2, True)):
+        _landing(spark, sf, layout, day2=day2, only=("customer",))
+        run_layers(spark, layout, bronze, [CUST_SPEC], ["DIM2_customer"], day)
+    log = spark.read.parquet(layout.audit()).filter(F.col("run_date") == DAY2)
+    return log.drop("started", "finished", "message")
+
+
+@query(
+    "run_audit_failure",
+    """
+SELECT 'bronze' AS layer, 'orders' AS table_name, 'ok' AS status, count(*) AS rows_out, FALSE AS has_message FROM orders
+UNION ALL SELECT 'silver', 'DIM2_orders', 'failed', NULL, TRUE
+""",
+)
+def q_run_audit_failure(spark, sf):
+    """A run that fails in silver (orders keyed by customer) leaves its run log: what succeeded and what failed."""
+    layout = Layout(scratch_path(spark, "q-lake"))
+    bronze = [{"source_path": "tpch/", "source_name": "orders.csv", "target_path": "tpch/", "target_name": "orders"}]
+    _landing(spark, sf, layout, only=("orders",))
+    try:
+        run_layers(spark, layout, bronze, [SilverSpec("DIM2_orders", "tpch", "orders", ["o_custkey"])], ["DIM2_orders"], DAY1)
+    except DuplicateKeyError:
+        pass
+    log = spark.read.parquet(layout.audit())
+    return log.select("layer", "table_name", "status", "rows_out", F.col("message").isNotNull().alias("has_message"))
+
+
+@query(
+    "config_run",
+    "WITH c AS (" + SQL_CUST_TEXT + """)
+SELECT c_custkey AS KEY_c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+       row_number() OVER (ORDER BY c_custkey) AS SK_customer, '190001010000' AS created_date, '999912312359' AS updated_date,
+       '2024-03-09' AS LoadDate FROM c
+""",
+)
+def q_config_run(spark, sf):
+    """A run driven by its three configuration files."""
+    layout = Layout(scratch_path(spark, "q-lake"))
+    _landing(spark, sf, layout, only=("customer",))
+    configs = {
+        "bronze": {"source_path": "tpch/", "source_name": "customer.csv", "target_path": "tpch/", "target_name": "customer"},
+        "silver": {"table_name": "DIM2_customer", "source_path": "tpch", "source_name": "customer", "keys": ["c_custkey"]},
+        "gold": {"table_name": "DIM2_customer"},
+    }
+    for name, record in configs.items():
+        spark.createDataFrame([(json.dumps(record, indent=2),)], "value string").coalesce(1).write.text(layout.config(f"{name}.json"))
+    run_from_config(spark, layout, DAY1)
+    return read_table(spark, layout.gold("DIM2_customer")).drop("HASHCOLUMN")
+
+
 __all__ = ["QUERIES", "ORACLES", "full_load"]

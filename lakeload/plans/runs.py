@@ -11,29 +11,34 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.functions.dates import to_day, to_stamp
 from lakeload.functions.text import remove_accents
 from lakeload.operators._joins import max_value, translate_errors, unique_rows
+from lakeload.operators.facts import DimLookup, check_versions, load_fact
 from lakeload.operators.prepare import add_load_date, prepare_silver, rename_keys
 from lakeload.operators.scd1 import scd1_create, scd1_merge
 from lakeload.operators.scd2 import IGNORE, scd2_create, scd2_merge
 from lakeload.plans.layout import Layout
 from lakeload.plans.roles import OPEN_END, UPDATED_COL, key_columns, scd_type, sk_column, sk_name_for
-from lakeload.sources.config import BRONZE_SCHEMA, GOLD_SCHEMA, config_records, read_config
+from lakeload.sources.config import BRONZE_SCHEMA, CSV_SCHEMA, GOLD_SCHEMA, config_records, read_config
 from lakeload.sources.files import (
     append_silver,
+    load_is_empty,
+    mark_empty_load,
     read_csv,
     read_latest_snapshot,
-    read_silver,
+    read_load,
     silver_loads,
+    unconverted,
     typed_copy,
     write_snapshot,
 )
 from lakeload.sources.fs import path_exists
-from lakeload.sources.store import prune_versions, read_table, scratch_scope, table_exists, write_table
+from lakeload.sources.store import last_load, prune_versions, read_table, scratch_scope, table_exists, write_table
 
 # Our silver configuration object (one per table); replaces one hand-written loader per table.
 SILVER_SPEC_SCHEMA = (
@@ -89,6 +94,14 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
+def _observed(obs: Observation) -> dict:
+    """The metrics of a write; a plan that Spark knows to be empty is replaced together with its observation."""
+    try:
+        return obs.get
+    except Py4JJavaError:
+        return {}
+
+
 def _describe(spark: SparkSession, text: str | None) -> None:
     """Label the Spark jobs of the current thread (shown in event logs and monitoring)."""
     try:
@@ -99,12 +112,29 @@ def _describe(spark: SparkSession, text: str | None) -> None:
 
 def _each_table(
     items: Sequence, work: Callable, parallelism: int | None, spark: SparkSession | None = None,
-    label: Callable[[object], str] | None = None,
+    label: Callable[[object], str] | None = None, log: list[dict] | None = None,
+    failed: Callable[[object, str], dict] | None = None,
 ) -> list:
     """Run ``work`` per table; up to ``parallelism`` tables at once (concurrent Spark jobs from driver
     threads, like a parallel for-each). Results keep the config order; any failure fails the layer
-    after the running tables have finished."""
+    after the running tables have finished. ``log`` gets the audit row of every table, failed ones too."""
     items = list(items)
+    if log is not None:
+        rows = {}
+        logged = work
+
+        def work(x):  # noqa: F811 - notes the outcome
+            try:
+                rows[id(x)] = logged(x)
+            except Exception as e:
+                rows[id(x)] = failed(x, f"{type(e).__name__}: {e}"[:2000])
+                raise
+            return rows[id(x)]
+
+        try:
+            return _each_table(items, work, parallelism, spark, label)
+        finally:
+            log += [rows[id(x)] for x in items if id(x) in rows]
     if spark is not None and label is not None:
         inner = work
 
@@ -128,27 +158,53 @@ def _each_table(
 
 
 # ---------------------------------------------------------------- bronze
+_CSV_OPTIONS = ("sep", "quote", "escape", "multi_line", "encoding")
+MALFORMED = "_malformed_record"
+
+
 def run_bronze(
-    spark: SparkSession, layout: Layout, entries: Iterable[Mapping], run_date, parallelism: int | None = None
+    spark: SparkSession, layout: Layout, entries: Iterable[Mapping], run_date, parallelism: int | None = None,
+    log: list[dict] | None = None,
 ) -> list[dict]:
-    """Copy each landing CSV to ``bronze/<target_path>/<yyyy-MM-dd>/<target_name>`` (all strings)."""
+    """Copy each landing CSV to ``bronze/<target_path>/<yyyy-MM-dd>/<target_name>`` (all strings).
+
+    An entry may carry CSV options (``sep``, ``quote``, ``escape``, ``multi_line``, ``encoding``). Records with more
+    or fewer fields than the header are counted in the audit message; ``on_malformed`` ``"fail"`` fails the table,
+    ``"keep"`` stores them whole in one more column."""
 
     def one(e: Mapping) -> dict:
         started = _now()
-        df = read_csv(spark, layout.landing(e["source_path"], e["source_name"]))
+        options = {k: e[k] for k in _CSV_OPTIONS if e.get(k) is not None}
+        df = read_csv(spark, layout.landing(e["source_path"], e["source_name"]), malformed=MALFORMED, **options)
         obs = Observation(f"bronze_{e['target_name']}")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        bad = F.col(MALFORMED).isNotNull()
+        if e.get("on_malformed") == "fail":
+            stop = F.raise_error(F.concat(F.lit("malformed record: "), F.col(MALFORMED)))
+            df = df.withColumn(MALFORMED, F.when(bad, stop).otherwise(F.col(MALFORMED)))
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(bad.cast("long")).alias("bad"))
+        if e.get("on_malformed") != "keep":
+            df = df.drop(MALFORMED)
         write_snapshot(df, layout.bronze(e["target_path"]), run_date, e["target_name"])
-        n = obs.get["rows"]
-        return _audit(run_date, "bronze", e["target_name"], "ok", started, rows_in=n, rows_out=n)
+        n, k = _observed(obs).get("rows") or 0, _observed(obs).get("bad") or 0
+        return _audit(run_date, "bronze", e["target_name"], "ok", started, rows_in=n, rows_out=n,
+                      message=f"{k} malformed records" if k else None)
 
-    return _each_table(entries, one, parallelism, spark, lambda e: f"bronze {e['target_name']} {to_day(run_date)}")
+    return _each_table(
+        entries, one, parallelism, spark, lambda e: f"bronze {e['target_name']} {to_day(run_date)}", log,
+        lambda e, m: _audit(run_date, "bronze", e["target_name"], "failed", _now(), message=m),
+    )
 
 
 # ---------------------------------------------------------------- silver
-def silver_frame(spark: SparkSession, layout: Layout, spec: SilverSpec, run_date) -> DataFrame:
-    """Newest bronze snapshot -> typed -> keys marked -> stamped -> hashed and validated."""
-    df = read_latest_snapshot(spark, layout.bronze(spec.source_path), spec.source_name)
+def silver_frame(
+    spark: SparkSession, layout: Layout, spec: SilverSpec, run_date, seen: Observation | None = None
+) -> DataFrame:
+    """Newest bronze snapshot up to the run date -> typed -> keys marked -> stamped -> hashed and validated.
+
+    ``seen`` observes the rows read and the values that did not convert."""
+    df = read_latest_snapshot(spark, layout.bronze(spec.source_path), spec.source_name, to_day(run_date))
+    if seen is not None:
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"), unconverted(df, spec.types).alias("lost"))
     df = typed_copy(df, spec.types or None)
     if spec.accent_keys:
         df = df.withColumns({new: remove_accents(F.col(src)) for src, new in spec.accent_keys.items()})
@@ -166,18 +222,27 @@ def silver_frame(spark: SparkSession, layout: Layout, spec: SilverSpec, run_date
 
 
 def run_silver(
-    spark: SparkSession, layout: Layout, specs: Iterable[SilverSpec], run_date, parallelism: int | None = None
+    spark: SparkSession, layout: Layout, specs: Iterable[SilverSpec], run_date, parallelism: int | None = None,
+    log: list[dict] | None = None,
 ) -> list[dict]:
+    """One load per table. The load replaces an earlier run of its day; a load without rows is marked as such."""
+
     def one(spec: SilverSpec) -> dict:
         started = _now()
-        df = silver_frame(spark, layout, spec, run_date)
-        obs = Observation(f"silver_{spec.table_name}")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        seen, obs = Observation(f"read_{spec.table_name}"), Observation(f"silver_{spec.table_name}")
+        df = silver_frame(spark, layout, spec, run_date, seen).observe(obs, F.count(F.lit(1)).alias("rows"))
         append_silver(df, layout.silver(spec.table_name))
-        n = obs.get["rows"]
-        return _audit(run_date, "silver", spec.table_name, "ok", started, rows_in=n, rows_out=n)
+        n, read = _observed(obs).get("rows") or 0, _observed(seen)
+        lost = read.get("lost")
+        if not n:
+            mark_empty_load(spark, layout.silver(spec.table_name), to_day(run_date))
+        return _audit(run_date, "silver", spec.table_name, "ok", started, rows_in=read.get("rows") or 0, rows_out=n,
+                      message=f"{lost} values did not convert" if lost else None)
 
-    return _each_table(specs, one, parallelism, spark, lambda x: f"silver {x.table_name} {to_day(run_date)}")
+    return _each_table(
+        specs, one, parallelism, spark, lambda x: f"silver {x.table_name} {to_day(run_date)}", log,
+        lambda x, m: _audit(run_date, "silver", x.table_name, "failed", _now(), message=m),
+    )
 
 
 # ---------------------------------------------------------------- gold
@@ -190,19 +255,39 @@ def load_gold(
     close_missing: bool = False,
     retain_versions: int | None = None,
 ) -> dict:
-    """Create or merge one dimension from the newest silver load.
+    """Create or merge one dimension from every silver load, up to the run date, that gold does not hold yet.
 
-    silver missing -> skipped; gold missing -> create; silver load empty -> skipped; otherwise merge.
-    The ``DIM1_``/``DIM2_`` prefix picks the SCD type; any other prefix raises.
+    Loads are merged in order, each stamped with its own day (the run's own load with the run's time). Gold
+    records the last one, so a repeated run changes nothing, and a run dated before it is an error. Silver
+    missing or without rows -> skipped; an empty load is passed over. The ``DIM1_``/``DIM2_`` prefix picks the
+    SCD type; any other prefix raises.
     """
     started = _now()
     silver_path = layout.silver(table_name)
     if not path_exists(spark, silver_path):
         return _audit(run_date, "gold", table_name, "skipped", started, message=f"silver table {silver_path} does not exist")
     kind = scd_type(table_name)
-    if silver_loads(spark, silver_path):
-        # a LoadDate= partition exists only where rows were written: the newest load is not empty
-        source = read_silver(spark, silver_path)
+    loads = silver_loads(spark, silver_path)
+    if loads:
+        day, last = to_day(run_date), last_load(spark, layout.gold(table_name))
+        if last and day < last:
+            raise ValueError(f"{table_name} holds the load of {last}; it cannot be run for {day}")
+        pending = [x for x in loads if x <= day and (not last or x > last) and not load_is_empty(spark, silver_path, x)]
+        if not pending:
+            message = f"no load with rows after {last}" if last else f"no load with rows up to {day}"
+            return _audit(run_date, "gold", table_name, "skipped", started, message=message)
+        done = [
+            merge_into_gold(
+                spark, layout, table_name, read_load(spark, silver_path, x), run_date if x == day else x, on_same_hash,
+                close_missing, kind, started, retain_versions, load=x,
+            )
+            for x in pending
+        ]
+        total = lambda c: sum(d[c] for d in done) if all(d[c] is not None for d in done) else None
+        return {
+            **done[-1], "run_date": day, "status": done[0]["status"], "inserted": total("inserted"), "closed": total("closed"),
+            "message": f"loads {', '.join(pending)}" if len(pending) > 1 else None,
+        }
     else:  # a table without load partitions: read it whole, skip it when it has no data
         try:
             source = spark.read.parquet(silver_path)
@@ -226,10 +311,12 @@ def merge_into_gold(
     kind: int | None = None,
     started: _dt.datetime | None = None,
     retain_versions: int | None = None,
+    load: str | None = None,
 ) -> dict:
     """Create the dimension from ``source`` or merge ``source`` into it; write the next version.
 
-    ``retain_versions``: afterwards keep only the newest that many versions (default: keep all)."""
+    ``retain_versions``: afterwards keep only the newest that many versions (default: keep all).
+    ``load``: the load that ``source`` is, recorded with the version."""
     started = started or _now()
     kind = kind or scd_type(table_name)
     keys = key_columns(source.columns)
@@ -238,14 +325,15 @@ def merge_into_gold(
     with scratch_scope(spark):
         return _create_or_merge(
             spark, table_name, source, run_date, on_same_hash, close_missing, kind, started, retain_versions,
-            keys, gold_path, stamp,
+            keys, gold_path, stamp, load,
         )
 
 
 def _create_or_merge(
     spark, table_name, source, run_date, on_same_hash, close_missing, kind, started, retain_versions, keys, gold_path,
-    stamp,
+    stamp, load,
 ) -> dict:
+    closed_before = 0
     if not table_exists(spark, gold_path):
         sk = sk_name_for(table_name)
         source = unique_rows(source, keys, allow_null_keys=False)
@@ -256,6 +344,8 @@ def _create_or_merge(
         gold = read_table(spark, gold_path)
         sk = sk_column(gold.columns)
         before = max_value(gold, sk)
+        if kind == 2:
+            closed_before = gold.filter(F.col(UPDATED_COL) == F.lit(stamp)).count()
         if kind == 1:
             out = scd1_merge(gold, source, keys, max_sk=before)
         else:
@@ -270,22 +360,24 @@ def _create_or_merge(
             F.sum((F.col(UPDATED_COL) == F.lit(OPEN_END)).cast("long")).alias("open"),
             F.sum((F.col(UPDATED_COL) == F.lit(stamp)).cast("long")).alias("closed"),
         ]
-    translate_errors(write_table, out.observe(obs, *metrics), gold_path)
+    translate_errors(write_table, out.observe(obs, *metrics), gold_path, load)
     m = obs.get
     if retain_versions:
         prune_versions(spark, gold_path, retain_versions)
     return _audit(
         run_date, "gold", table_name, status, started, rows_out=m["rows"], inserted=m["inserted"],
-        closed=m.get("closed"), n_open=m.get("open"),
+        closed=None if kind == 1 else (m["closed"] or 0) - closed_before, n_open=m.get("open"),
     )
 
 
 def run_gold(
-    spark: SparkSession, layout: Layout, tables: Iterable[str], run_date, parallelism: int | None = None, **merge_options
+    spark: SparkSession, layout: Layout, tables: Iterable[str], run_date, parallelism: int | None = None,
+    log: list[dict] | None = None, **merge_options,
 ) -> list[dict]:
     return _each_table(
         tables, lambda t: load_gold(spark, layout, t, run_date, **merge_options), parallelism, spark,
-        lambda t: f"gold {t} {to_day(run_date)}",
+        lambda t: f"gold {t} {to_day(run_date)}", log,
+        lambda t, m: _audit(run_date, "gold", t, "failed", _now(), message=m),
     )
 
 
@@ -295,7 +387,8 @@ class FactSpec:
     """A gold fact table: the newest load of a silver table with business keys replaced by SKs.
 
     ``lookups``: ``{"dim": "DIM2_customer", "keys": ["o_custkey"], "as_of": "o_orderdate"}`` per dimension
-    (``as_of`` optional: without it the current version is used).
+    (``as_of`` optional: without it the current version is used; ``name``: of the surrogate key column, needed
+    where one dimension plays several roles).
     """
 
     table_name: str
@@ -308,39 +401,52 @@ class FactSpec:
 
 
 FACT_SPEC_SCHEMA = (
-    "table_name string, silver_table string, lookups array<struct<dim:string, keys:array<string>, as_of:string>>"
+    "table_name string, silver_table string, "
+    "lookups array<struct<dim:string, keys:array<string>, as_of:string, name:string>>"
 )
 
 
 def load_fact_table(spark: SparkSession, layout: Layout, spec: FactSpec, run_date) -> dict:
-    """Write the newest silver load, keys replaced by SKs, as the ``LoadDate`` partition of the gold fact."""
-    from lakeload.operators.facts import DimLookup, load_fact
+    """Write silver loads, keys replaced by SKs, as ``LoadDate`` partitions of the gold fact: those up to the run
+    date that it does not hold yet, and the run's own (replaced on a re-run). Empty loads are passed over."""
 
     started = _now()
     silver_path = layout.silver(spec.silver_table)
     if not path_exists(spark, silver_path):
         return _audit(run_date, "gold", spec.table_name, "skipped", started, message=f"silver table {silver_path} does not exist")
-    fact = read_silver(spark, silver_path)
+    day, gold_path = to_day(run_date), layout.gold(spec.table_name)
+    held = set(silver_loads(spark, gold_path))
+    pending = [x for x in silver_loads(spark, silver_path) if x == day or x < day and x not in held]
+    pending = [x for x in pending if not load_is_empty(spark, silver_path, x)]
+    if not pending:
+        return _audit(run_date, "gold", spec.table_name, "skipped", started, message=f"no load with rows to take up to {day}")
     lookups = [
-        DimLookup(read_table(spark, layout.gold(lk["dim"])), list(lk["keys"]), as_of=lk.get("as_of"))
+        DimLookup(read_table(spark, layout.gold(lk["dim"])), list(lk["keys"]), as_of=lk.get("as_of"), name=lk.get("name"))
         for lk in spec.lookups
     ]
-    out = load_fact(fact, lookups)
-    obs = Observation(f"fact_{spec.table_name}")
-    sks = [sk_column(lk.dim.columns) for lk in lookups]
-    unknown = [F.sum((F.col(c) == -1).cast("long")).alias(f"unknown_{i}") for i, c in enumerate(sks)]
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *unknown)
-    append_silver(out, layout.gold(spec.table_name))  # one partition per load, replaced on a re-run
-    m = obs.get
-    missing = sum(v or 0 for k, v in m.items() if k.startswith("unknown_"))
-    return _audit(run_date, "gold", spec.table_name, "loaded", started, rows_in=m["rows"], rows_out=m["rows"],
+    for lk in lookups:
+        check_versions(lk.dim, lk.dim_keys)
+    rows = missing = 0
+    for load in pending:
+        out = load_fact(read_load(spark, silver_path, load), lookups)
+        obs = Observation(f"fact_{spec.table_name}_{load}")
+        unknown = [F.sum((F.col(lk.sk_name) == -1).cast("long")).alias(f"unknown_{i}") for i, lk in enumerate(lookups)]
+        out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *unknown)
+        append_silver(out, gold_path)  # one partition per load, replaced on a re-run
+        rows += obs.get["rows"]
+        missing += sum(v or 0 for k, v in obs.get.items() if k.startswith("unknown_"))
+    return _audit(run_date, "gold", spec.table_name, "loaded", started, rows_in=rows, rows_out=rows,
                   message=f"{missing} keys without a dimension row" if missing else None)
 
 
-def run_facts(spark: SparkSession, layout: Layout, specs: Iterable[FactSpec], run_date, parallelism: int | None = None):
+def run_facts(
+    spark: SparkSession, layout: Layout, specs: Iterable[FactSpec], run_date, parallelism: int | None = None,
+    log: list[dict] | None = None,
+):
     return _each_table(
         specs, lambda s: load_fact_table(spark, layout, s, run_date), parallelism, spark,
-        lambda x: f"fact {x.table_name} {to_day(run_date)}",
+        lambda x: f"fact {x.table_name} {to_day(run_date)}", log,
+        lambda x, m: _audit(run_date, "gold", x.table_name, "failed", _now(), message=m),
     )
 
 
@@ -377,16 +483,20 @@ def run_layers(
 ) -> DataFrame:
     """Bronze, then silver, then gold dimensions, then gold facts; a failing layer stops the run.
 
+    The run log gets a row for every table that ran, also when the run fails.
+
     Within a layer the tables load concurrently (``parallelism`` tables at a time, default up to 8).
     """
-    rows = run_bronze(spark, layout, bronze_entries, run_date, parallelism)
-    rows += run_silver(spark, layout, silver_specs, run_date, parallelism)
-    rows += run_gold(spark, layout, gold_tables, run_date, parallelism, **merge_options)
-    rows += run_facts(spark, layout, fact_specs, run_date, parallelism)
-    audit = audit_frame(spark, rows)
-    if write_audit:
-        audit.write.mode("append").parquet(layout.audit())
-    return audit
+    rows: list[dict] = []
+    try:
+        run_bronze(spark, layout, bronze_entries, run_date, parallelism, rows)
+        run_silver(spark, layout, silver_specs, run_date, parallelism, rows)
+        run_gold(spark, layout, gold_tables, run_date, parallelism, rows, **merge_options)
+        run_facts(spark, layout, fact_specs, run_date, parallelism, rows)
+    finally:
+        if write_audit and rows:
+            audit_frame(spark, rows).write.mode("append").parquet(layout.audit())
+    return audit_frame(spark, rows)
 
 
 def _silver_specs(records: list[dict], registry: Mapping[str, SilverSpec] | None) -> list[SilverSpec]:
@@ -412,7 +522,7 @@ def run_from_config(
     """Drive a run from ``config/bronze.json``, ``config/silver.json``, ``config/gold.json`` and, if present,
     ``config/facts.json``. Silver objects either carry a full spec or only ``notebook_path``/``table_name``,
     resolved through ``silver_registry`` (table name -> :class:`SilverSpec`)."""
-    bronze = config_records(read_config(spark, layout.config("bronze.json"), BRONZE_SCHEMA))
+    bronze = config_records(read_config(spark, layout.config("bronze.json"), f"{BRONZE_SCHEMA}, {CSV_SCHEMA}"))
     silver_records = config_records(read_config(spark, layout.config("silver.json"), SILVER_SPEC_SCHEMA + ", notebook_path string"))
     silver = _silver_specs(silver_records, silver_registry)
     gold = [r["table_name"] for r in config_records(read_config(spark, layout.config("gold.json"), GOLD_SCHEMA))]

@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 
 # Object schemas of the three configuration files.
 BRONZE_SCHEMA = "source_path string, source_name string, target_path string, target_name string"
+# optional: how the landing file is written, and what to do with records that do not fit its header
+CSV_SCHEMA = "sep string, quote string, escape string, multi_line boolean, encoding string, on_malformed string"
 SILVER_SCHEMA = "notebook_path string, table_name string"
 GOLD_SCHEMA = "table_name string"
 _BETWEEN_OBJECTS = r"(?<=\})\s*(?=\{)"

@@ -5,15 +5,16 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from lakeload.functions.dates import to_day
 from lakeload.plans.roles import LOAD_DATE_COL
-from lakeload.sources.fs import list_dir_names
+from lakeload.sources.fs import delete_path, list_dir_names, path_exists, touch
 
 _DAY_FOLDER = re.compile(r"^\d{4}-\d{2}-\d{2}$")
+_EMPTY = "_EMPTY"  # Spark ignores files whose names begin so
 _LOAD_PARTITION = re.compile(rf"^{LOAD_DATE_COL}=(\d{{4}}-\d{{2}}-\d{{2}})$")
 
 
@@ -26,12 +27,14 @@ def read_csv(
     escape: str = "\\",
     multi_line: bool = False,
     encoding: str = "UTF-8",
+    malformed: str | None = None,
 ) -> DataFrame:
     """Landing file as all-string columns (no inference: schema-on-read stays in the copy step).
 
-    A UTF-8 byte-order mark and CRLF line ends are handled by Spark's reader.
+    A UTF-8 byte-order mark and CRLF line ends are handled by Spark's reader. ``malformed`` names one more column
+    that holds the whole record where it has more or fewer fields than the header, and NULL elsewhere.
     """
-    return (
+    reader = (
         spark.read.option("header", header)
         .option("sep", sep)
         .option("quote", quote)
@@ -39,8 +42,11 @@ def read_csv(
         .option("multiLine", multi_line)
         .option("encoding", encoding)
         .option("inferSchema", False)
-        .csv(path)
     )
+    if malformed is None:
+        return reader.csv(path)
+    schema = reader.csv(path).schema.add(malformed, "string")
+    return reader.option("columnNameOfCorruptRecord", malformed).schema(schema).csv(path)
 
 
 def typed_copy(df: DataFrame, types: Mapping[str, str | DataType] | StructType | None = None) -> DataFrame:
@@ -54,6 +60,12 @@ def typed_copy(df: DataFrame, types: Mapping[str, str | DataType] | StructType |
     return df.select(*[F.col(c).try_cast(mapping[c]).alias(c) if c in mapping else F.col(c) for c in df.columns])
 
 
+def unconverted(df: DataFrame, types: Mapping[str, str | DataType]) -> Column:
+    """Aggregate: the number of values that :func:`typed_copy` turns into NULL."""
+    lost = [(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).cast("long") for c, t in types.items() if c in df.columns]
+    return F.coalesce(F.sum(sum(lost, F.lit(0).cast("long"))), F.lit(0))
+
+
 def snapshot_path(base: str, run_date, name: str) -> str:
     return f"{base.rstrip('/')}/{to_day(run_date)}/{name}"
 
@@ -65,14 +77,14 @@ def write_snapshot(df: DataFrame, base: str, run_date, name: str) -> str:
     return path
 
 
-def latest_snapshot_day(spark: SparkSession, base: str) -> str | None:
-    """Newest ``yyyy-MM-dd`` folder by name (the maximum, not the listing order)."""
-    days = [n for n in list_dir_names(spark, base) if _DAY_FOLDER.match(n)]
+def latest_snapshot_day(spark: SparkSession, base: str, until: str | None = None) -> str | None:
+    """Newest ``yyyy-MM-dd`` folder by name (the maximum, not the listing order), up to ``until`` if given."""
+    days = [n for n in list_dir_names(spark, base) if _DAY_FOLDER.match(n) and (until is None or n <= until)]
     return max(days) if days else None
 
 
-def read_latest_snapshot(spark: SparkSession, base: str, name: str) -> DataFrame:
-    day = latest_snapshot_day(spark, base)
+def read_latest_snapshot(spark: SparkSession, base: str, name: str, until: str | None = None) -> DataFrame:
+    day = latest_snapshot_day(spark, base, until)
     if day is None:
         raise FileNotFoundError(f"no dated snapshot under {base}")
     return spark.read.parquet(f"{base.rstrip('/')}/{day}/{name}")
@@ -95,21 +107,46 @@ def append_silver(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     )
 
 
+def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Plain append: earlier rows of the same load stay."""
+    writer = df.write.format(fmt).mode("append")
+    (writer.partitionBy(LOAD_DATE_COL) if LOAD_DATE_COL in df.columns else writer).save(path)
+
+
+def _load_path(path: str, load: str) -> str:
+    return f"{path.rstrip('/')}/{LOAD_DATE_COL}={load}"
+
+
+def mark_empty_load(spark: SparkSession, path: str, load: str) -> None:
+    """Record that a load brought no rows (and remove rows that an earlier run of it left)."""
+    delete_path(spark, _load_path(path, load))
+    touch(spark, f"{_load_path(path, load)}/{_EMPTY}")
+
+
+def load_is_empty(spark: SparkSession, path: str, load: str) -> bool:
+    return path_exists(spark, f"{_load_path(path, load)}/{_EMPTY}")
+
+
+def read_load(spark: SparkSession, path: str, load: str, fmt: str = "parquet") -> DataFrame:
+    """One load, read from its own folder: no other folder is listed, and its own columns are all there."""
+    df = spark.read.format(fmt).option("basePath", path).load(_load_path(path, load))
+    return df.withColumn(LOAD_DATE_COL, F.col(LOAD_DATE_COL).cast("string"))
+
+
 def silver_loads(spark: SparkSession, path: str) -> list[str]:
     return sorted(m.group(1) for n in list_dir_names(spark, path) if (m := _LOAD_PARTITION.match(n)))
 
 
 def read_silver(spark: SparkSession, path: str, newest_only: bool = True, fmt: str = "parquet") -> DataFrame:
-    """Silver table; ``newest_only`` keeps the newest load (a partition filter, pruned at the scan)."""
-    df = spark.read.format(fmt).load(path)
+    """The newest load that has rows, or with ``newest_only=False`` all loads with the columns of any of them."""
+    if newest_only:
+        loads = [x for x in silver_loads(spark, path) if not load_is_empty(spark, path, x)]
+        if not loads:
+            raise FileNotFoundError(f"no {LOAD_DATE_COL}= folder with rows under {path}")
+        return read_load(spark, path, loads[-1], fmt)
+    df = spark.read.format(fmt).option("mergeSchema", True).load(path)
     # partition values are read back as dates by type inference; keep the stamp a string
-    df = df.withColumn(LOAD_DATE_COL, F.col(LOAD_DATE_COL).cast("string"))
-    if not newest_only:
-        return df
-    loads = silver_loads(spark, path)
-    if not loads:
-        return df
-    return df.filter(F.col(LOAD_DATE_COL) == F.lit(loads[-1]))
+    return df.withColumn(LOAD_DATE_COL, F.col(LOAD_DATE_COL).cast("string"))
 
 
 __all__ = [
@@ -120,8 +157,13 @@ __all__ = [
     "latest_snapshot_day",
     "read_latest_snapshot",
     "append_silver",
+    "append_rows",
+    "mark_empty_load",
+    "load_is_empty",
+    "read_load",
     "silver_loads",
     "read_silver",
+    "unconverted",
     "to_day",
     "latest_partition_value",
     "read_latest_partition",

@@ -1,53 +1,30 @@
 """Driver-side file-system metadata through Hadoop's FileSystem API (listing, existence).
 
-Only folder names are handled here, never data. Sessions without JVM access (remote sessions) fall
-back to the local file system for plain paths.
+Only folder names are handled here, never data. A session without JVM access (a remote session) is refused:
+the client's own disk is not the cluster's.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 
 def _hadoop(spark: SparkSession, path: str):
     try:
-        jvm = spark._jvm
-        conf = spark._jsc.hadoopConfiguration()
-    except Exception:  # no py4j gateway
-        return None
-    if jvm is None:
-        return None
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf), p
-
-
-def _local(path: str) -> str:
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        raise OSError(f"cannot list {path} without JVM access")
-    return path
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+    except AttributeError as e:  # no py4j gateway
+        raise OSError(f"cannot reach {path}: the session gives no access to its file systems") from e
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    h = _hadoop(spark, path)
-    if h is None:
-        return os.path.exists(_local(path))
-    fs, p = h
+    fs, p = _hadoop(spark, path)
     return bool(fs.exists(p))
 
 
 def list_dir_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path`` (empty if it does not exist)."""
-    h = _hadoop(spark, path)
-    if h is None:
-        local = _local(path)
-        if not os.path.isdir(local):
-            return []
-        return sorted(n for n in os.listdir(local) if os.path.isdir(os.path.join(local, n)))
-    fs, p = h
+    fs, p = _hadoop(spark, path)
     if not fs.exists(p):
         return []
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
@@ -58,16 +35,13 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
-def delete_path(spark: SparkSession, path: str) -> bool:
-    """Remove a folder and its content (used only for superseded table versions)."""
-    h = _hadoop(spark, path)
-    if h is None:
-        import shutil
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, p = _hadoop(spark, path)
+    fs.create(p, True).close()
+
 
-        local = _local(path)
-        if os.path.exists(local):
-            shutil.rmtree(local)
-            return True
-        return False
-    fs, p = h
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder and its content (superseded versions, scratch, replaced loads)."""
+    fs, p = _hadoop(spark, path)
     return bool(fs.delete(p, True))

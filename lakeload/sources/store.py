@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeload.session import scratch_path
 from lakeload.sources.fs import delete_path, is_complete, list_dir_names, path_exists
 
-_VERSION = re.compile(r"^v=(\d+)$")
+_VERSION = re.compile(r"^v=(\d+)(?:_load=(.+))?$")
 _scope = threading.local()
 
 
@@ -33,7 +33,7 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 
 @contextmanager
 def scratch_scope(spark: SparkSession):
-    """Remove the scratch folders materialised inside the block once it completes.
+    """Remove the scratch folders materialised inside the block once it ends, well or not.
 
     For a block that ends with a write of everything that reads them (a table load); frames handed
     back to callers must not be built inside such a block.
@@ -42,19 +42,26 @@ def scratch_scope(spark: SparkSession):
     _scope.paths = []
     try:
         yield
-        for path in _scope.paths:
-            delete_path(spark, path)
     finally:
-        _scope.paths = outer
+        paths, _scope.paths = _scope.paths, outer
+        for path in paths:
+            delete_path(spark, path)
 
 
-def _versions(spark: SparkSession, table_path: str) -> list[int]:
+def _versions(spark: SparkSession, table_path: str) -> list[tuple[int, str, str | None]]:
+    """(number, folder name, last load) of the complete versions, oldest first."""
     out = []
     for name in list_dir_names(spark, table_path):
         m = _VERSION.match(name)
         if m and is_complete(spark, f"{table_path.rstrip('/')}/{name}"):
-            out.append(int(m.group(1)))
-    return sorted(out)
+            out.append((int(m.group(1)), name, m.group(2)))
+    return sorted(out, key=lambda v: v[0])
+
+
+def last_load(spark: SparkSession, table_path: str) -> str | None:
+    """The last load merged into the table. It is part of the version folder's name, so it commits with the version."""
+    loads = [load for *_, load in _versions(spark, table_path) if load]
+    return loads[-1] if loads else None
 
 
 def table_exists(spark: SparkSession, table_path: str) -> bool:
@@ -65,19 +72,22 @@ def current_version_path(spark: SparkSession, table_path: str) -> str:
     versions = _versions(spark, table_path)
     if not versions:
         raise FileNotFoundError(f"no complete version of table {table_path}")
-    return f"{table_path.rstrip('/')}/v={versions[-1]}"
+    return f"{table_path.rstrip('/')}/{versions[-1][1]}"
 
 
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.parquet(current_version_path(spark, table_path))
 
 
-def write_table(df: DataFrame, table_path: str) -> str:
-    """Write ``df`` as the next version of the table; returns the version folder."""
+def write_table(df: DataFrame, table_path: str, load: str | None = None) -> str:
+    """Write ``df`` as the next version of the table; returns the version folder.
+
+    ``load``: the last load the version holds (default: that of the version before)."""
     spark = df.sparkSession
+    load = load or last_load(spark, table_path)
     existing = [int(m.group(1)) for n in list_dir_names(spark, table_path) if (m := _VERSION.match(n))]
     nxt = (max(existing) + 1) if existing else 1
-    path = f"{table_path.rstrip('/')}/v={nxt}"
+    path = f"{table_path.rstrip('/')}/v={nxt}" + (f"_load={load}" if load else "")
     df.write.mode("errorifexists").parquet(path)
     return path
 
@@ -91,8 +101,8 @@ def prune_versions(spark: SparkSession, table_path: str, keep: int) -> list[str]
     keep = max(1, int(keep))
     versions = _versions(spark, table_path)
     removed = []
-    for v in versions[:-keep]:
-        path = f"{table_path.rstrip('/')}/v={v}"
+    for _, name, _ in versions[:-keep]:
+        path = f"{table_path.rstrip('/')}/{name}"
         if delete_path(spark, path):
             removed.append(path)
     return removed

@@ -4,8 +4,9 @@ The silver table is a file source (one ``LoadDate=`` partition per load). A stre
 ``trigger(availableNow=True)`` picks up the loads written since the last run (tracked in the stream's
 checkpoint, in the shared checkpoint folder) and merges each of them, oldest first, through
 ``foreachBatch`` into the gold dimension: the same create/merge as the batch load, driven by newly
-arrived data instead of a listing. A micro-batch that is retried after its gold write merges the same
-load again, which leaves the dimension unchanged (merges are idempotent), so the effect is exactly once.
+arrived data instead of a listing. Gold records the last load it holds, in the same commit as the rows;
+loads at or before it are passed over, so a retried micro-batch, a re-written old day or a new
+checkpoint merges nothing twice.
 """
 
 from __future__ import annotations
@@ -19,16 +20,19 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeload.plans.layout import Layout
 from lakeload.plans.roles import LOAD_DATE_COL
 from lakeload.plans.runs import IGNORE, merge_into_gold
-from lakeload.session import scratch_path
+from lakeload.sources.store import last_load
 
 
 def _merge_batch(spark: SparkSession, layout: Layout, table_name: str, options: dict, audit: list) -> Callable:
     def run(batch: DataFrame, batch_id: int) -> None:
         # load stamps of this micro-batch: one per silver load, a handful of strings
         loads = sorted(r[0] for r in batch.select(LOAD_DATE_COL).distinct().collect())
+        last = last_load(spark, layout.gold(table_name))
         for load in loads:
+            if last and load <= last:
+                continue
             rows = batch.filter(F.col(LOAD_DATE_COL) == F.lit(load))
-            audit.append(merge_into_gold(spark, layout, table_name, rows, load, **options))
+            audit.append(merge_into_gold(spark, layout, table_name, rows, load, load=load, **options))
 
     return run
 
@@ -37,7 +41,7 @@ def gold_stream(
     spark: SparkSession,
     layout: Layout,
     table_name: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     on_same_hash: str = IGNORE,
     close_missing: bool = False,
     audit: list | None = None,
@@ -53,7 +57,7 @@ def gold_stream(
     sink = audit if audit is not None else []
     return (
         stream.writeStream.foreachBatch(_merge_batch(spark, layout, table_name, options, sink))
-        .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{table_name}"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
