@@ -21,6 +21,7 @@ differently); timestamps are printed through an explicit format.
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -46,7 +47,7 @@ from lakeload.operators.scd2 import (
 )
 from lakeload.operators.validate import DuplicateKeyError, count_distinct_keys, first_per_key, validate_keys_df
 from lakeload.plans.layout import Layout
-from lakeload.plans.roles import OPEN_END, UPDATED_COL
+from lakeload.plans.roles import CREATED_COL, OPEN_END, UPDATED_COL
 from lakeload.plans.runs import (
     FactSpec,
     SilverSpec,
@@ -910,12 +911,10 @@ FROM (SELECT * EXCLUDE (rn) FROM (
     ),
 )
 def q_silver_lineitem(spark, sf):
-    """Line items have repeated (order, line) keys; the positive load keeps the first row per key."""
-    li = first_per_key(line_dec(spark, sf), ["l_orderkey", "l_linenumber"])
-    li = li.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
-    return _silver_query(
-        spark, sf, "lineitem", li, SilverSpec("DIM2_lineitem", "tpch", "lineitem", ["l_orderkey", "l_linenumber"])
-    )
+    """Line items have repeated (order, line) keys: all rows land in bronze, the loader keeps the first per key."""
+    li = line_dec(spark, sf).withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
+    spec = SilverSpec("DIM2_lineitem", "tpch", "lineitem", ["l_orderkey", "l_linenumber"], first_per_key=True)
+    return _silver_query(spark, sf, "lineitem", li, spec)
 
 
 @query(
@@ -1094,22 +1093,24 @@ def q_silver_layer_run(spark, sf):
     return out
 
 
-SQL_FULL_LOAD = """
-WITH r1 AS (SELECT * FROM customer)
-SELECT 'DIM2_customer' AS table_name,
-       (SELECT count(*) FROM r1) + (SELECT count(*) FROM r1 WHERE c_nationkey IN (1, 2, 3))
-         + (SELECT count(*) FROM r1 WHERE c_nationkey = 5) AS n_rows,
-       (SELECT count(*) FROM r1) + (SELECT count(*) FROM r1 WHERE c_nationkey = 5) AS n_open,
-       (SELECT count(*) FROM r1 WHERE c_nationkey IN (1, 2, 3)) AS n_closed
-UNION ALL SELECT 'DIM2_orders', count(*), count(*), 0 FROM orders
-UNION ALL SELECT 'DIM2_part', count(*), count(*), 0 FROM part
-UNION ALL SELECT 'DIM2_supplier', count(*), count(*), 0 FROM supplier
-UNION ALL SELECT 'DIM1_nation', count(*), count(*), 0 FROM nation
-"""
+_AS_TEXT = {"orders": "o_orderkey", "part": "p_partkey", "supplier": "s_suppkey", "nation": "n_nationkey"}
+SQL_FULL_LOAD = (
+    "WITH " + SQL_CUST + """,
+t1 AS (SELECT CAST(KEY_c_custkey AS VARCHAR) AS k, HASHCOLUMN FROM s1),
+t2 AS (SELECT CAST(KEY_c_custkey AS VARCHAR) AS k, HASHCOLUMN FROM s2),
+tg AS (SELECT *, row_number() OVER (ORDER BY k) AS sk, '190001010000' AS created_date, '999912312359' AS updated_date FROM t1),"""
+    + sql_scd2("f", "tg", "t2", "k", "sk", ["k", "HASHCOLUMN"], STAMP2)
+    + "SELECT 'DIM2_customer' AS table_name, k AS business_key, sk, created_date, updated_date FROM f_m"
+    + "".join(
+        f" UNION ALL SELECT '{LAYER_TABLES[t][0]}', CAST({k} AS VARCHAR), row_number() OVER (ORDER BY CAST({k} AS VARCHAR)), "
+        + ("NULL, NULL" if t == "nation" else "'190001010000', '999912312359'") + f" FROM {t}"
+        for t, k in _AS_TEXT.items()
+    )
+)
 
 
 def full_load(spark, sf, base: str | None = None) -> DataFrame:
-    """Two daily runs of all layers (day 2 lands the changed customers); per gold table: rows, open, closed."""
+    """Two daily runs of all layers (day 2 lands the changed customers); the rows of all gold tables."""
     layout = Layout(base or scratch_path(spark, "q-lake"))
     bronze, silver, gold = _layer_config()
     _landing(spark, sf, layout)
@@ -1117,24 +1118,12 @@ def full_load(spark, sf, base: str | None = None) -> DataFrame:
     _landing(spark, sf, layout, day2=True)
     run_layers(spark, layout, bronze, silver, gold, DAY2)
     frames = []
-    for t in gold:
-        g = read_table(spark, layout.gold(t))
-        if UPDATED_COL in g.columns:
-            is_open = F.col(UPDATED_COL) == F.lit(OPEN_END)
-            agg = g.agg(
-                F.count(F.lit(1)).alias("n_rows"),
-                F.sum(is_open.cast("long")).alias("n_open"),
-                F.sum((~is_open).cast("long")).alias("n_closed"),
-            )
-        else:
-            agg = g.agg(F.count(F.lit(1)).alias("n_rows")).withColumns(
-                {"n_open": F.col("n_rows"), "n_closed": F.lit(0).cast("long")}
-            )
-        frames.append(agg.select(F.lit(t).alias("table_name"), "n_rows", "n_open", "n_closed"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    for t, (name, keys) in LAYER_TABLES.items():
+        g = read_table(spark, layout.gold(name))
+        dates = [F.col(c) if c in g.columns else F.lit(None).cast("string").alias(c) for c in (CREATED_COL, UPDATED_COL)]
+        key, sk = F.col(f"KEY_{keys[0]}").alias("business_key"), F.col(f"SK_{t}").alias("sk")
+        frames.append(g.select(F.lit(name).alias("table_name"), key, sk, *dates))
+    return functools.reduce(DataFrame.unionByName, frames)
 
 
 @query("full_load", SQL_FULL_LOAD)

@@ -22,6 +22,7 @@ from lakeload.operators.facts import DimLookup, check_versions, load_fact
 from lakeload.operators.prepare import add_load_date, prepare_silver, rename_keys
 from lakeload.operators.scd1 import scd1_create, scd1_merge
 from lakeload.operators.scd2 import IGNORE, scd2_create, scd2_merge
+from lakeload.operators.validate import first_per_key
 from lakeload.plans.layout import Layout
 from lakeload.plans.roles import OPEN_END, UPDATED_COL, key_columns, scd_type, sk_column, sk_name_for
 from lakeload.sources.config import BRONZE_SCHEMA, CSV_SCHEMA, GOLD_SCHEMA, config_records, read_config
@@ -44,7 +45,7 @@ from lakeload.sources.store import last_load, prune_versions, read_table, scratc
 SILVER_SPEC_SCHEMA = (
     "table_name string, source_path string, source_name string, keys array<string>, "
     "key_names map<string,string>, accent_keys map<string,string>, columns array<string>, "
-    "distinct boolean, dedupe boolean, types map<string,string>"
+    "distinct boolean, dedupe boolean, types map<string,string>, first_per_key boolean"
 )
 AUDIT_SCHEMA = (
     "run_date string, layer string, table_name string, status string, rows_in bigint, rows_out bigint, "
@@ -64,6 +65,7 @@ class SilverSpec:
     distinct: bool = False
     dedupe: bool = False
     types: Mapping[str, str] = field(default_factory=dict)
+    first_per_key: bool = False  # keep one row of each key (the smallest by value) instead of failing
 
     @classmethod
     def from_record(cls, r: Mapping) -> SilverSpec:
@@ -78,6 +80,7 @@ class SilverSpec:
             distinct=bool(r.get("distinct") or False),
             dedupe=bool(r.get("dedupe") or False),
             types=dict(r.get("types") or {}),
+            first_per_key=bool(r.get("first_per_key") or False),
         )
 
 
@@ -218,6 +221,8 @@ def silver_frame(
         df = df.select(*cols)
     if spec.distinct:
         df = df.distinct()
+    if spec.first_per_key:
+        df = first_per_key(df, key_columns(df.columns))
     return prepare_silver(df, dedupe=spec.dedupe)
 
 
