@@ -120,10 +120,17 @@ def test_training_raises_the_likelihood(monkeypatch):
         last, m = counts[-1], lm.Model.estimate(counts, 3, np.full(4, 0.25))
 
 
-def test_shares_and_emissions_sum_to_one(make_docs):
-    # over all one-word texts, an unknown word per class and the empty text, probabilities of a one-step model add up
-    got = {r.doc_id: r for r in run(make_docs([(i, "the") for i in range(2, 40)]), states=1)}
-    assert got and abs(got[2].score - got[3].score) < 1e-9
+def test_equal_texts_score_alike(make_docs):
+    got = {r.score for r in run(make_docs([(i, "the x.") for i in range(40)]), states=2)}
+    assert max(got) - min(got) < 1e-9
+
+
+def test_a_one_state_model_is_a_distribution(make_docs):
+    # one state: the classes' emissions and, within each class, the words' shares sum to one
+    m = lm.Model.initial(np.array([3.0, 0.0, 5.0]), 1)
+    assert np.isclose(m.emit.sum(), 1) and np.isclose(m.move.sum(), 1) and np.isclose(m.start.sum(), 1)
+    counts = np.array([4, 1, 0])  # two known words of a class, and its unknown one
+    assert np.isclose(((counts + 0.5) / (counts.sum() + 0.5 * 3)).sum(), 1)
 
 
 def test_scores_held_out_texts_better_than_the_base(spark):
