@@ -20,15 +20,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from lakeload.functions.dates import to_stamp
 from lakeload.functions.hashing import COMPAT, row_hash
 from lakeload.functions.text import remove_accents, strip_marks
 from lakeload.operators.scd1 import scd1_create, scd1_merge
-from lakeload.operators.scd2 import scd2_actions, scd2_create, scd2_merge
+from lakeload.operators.scd2 import scd2_actions, scd2_create
 from lakeload.operators.validate import DuplicateKeyError, ValidationResult, validate_keys
 from lakeload.plans.roles import HASH_COL, LOAD_DATE_COL, sk_name_for
+from lakeload.plans.runs import merge_type2_table
 from lakeload.sources.files import append_rows, read_silver
 from lakeload.sources.fs import path_exists
-from lakeload.sources.store import read_table, write_table
+from lakeload.sources.store import read_table, scratch_scope, write_table
 
 
 def _spark() -> SparkSession:
@@ -105,5 +107,5 @@ def action_to_perform(source_table: DataFrame, target_table: DataFrame, unique_c
 
 def merge_scd2(current_date, source_table: str, target_table: str, unique_cols: Sequence[str], table_name: str) -> None:
     gold_path = os.path.join(target_table, table_name)
-    gold = read_table(_spark(), gold_path)
-    write_table(scd2_merge(gold, _silver(source_table, table_name), list(unique_cols), current_date), gold_path)
+    with scratch_scope(_spark()):
+        merge_type2_table(_spark(), gold_path, _silver(source_table, table_name), list(unique_cols), to_stamp(current_date))

@@ -2,16 +2,21 @@
 
 A merge is expressed as DataFrame operators (no table format with row-level merge is required):
 
-* latest version per key: one partial-aggregated ``max(struct(SK, hash, created, updated))``;
-* action table: source LEFT JOIN latest version on the keys (both sides unique per key);
+* open version per key: one partial-aggregated ``max(struct(SK, hash, created, updated))`` of the open rows;
+* action table: source LEFT JOIN open version on the keys (both sides unique per key);
 * closes: ``(SK, now)`` of open versions to end; applied with a join on the SK to the *open* rows
   only (at most one per key), closed history passes through untouched;
-* inserts: numbered with the distributed numbering after ``max(SK)``.
+* inserts: numbered with the distributed numbering after ``max(SK)``. Closed history is asked (key columns only)
+  about inserted keys that have no open version, to tell a returning key from a new one.
+
+:func:`scd2_change` gives the closed and the open versions apart, so that a table can append the former and
+rewrite the latter; :func:`scd2_merge` puts them together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -149,9 +154,34 @@ def scd2_actions(
     )
 
 
-def scd2_merge(
-    gold: DataFrame,
+@dataclass(frozen=True)
+class Scd2Change:
+    """What a merge does to the open versions of a dimension."""
+
+    ended: DataFrame  # versions that the merge closes, with their end
+    open_rows: DataFrame  # all open versions after the merge
+    changes: DataFrame  # the numbered action table (materialised)
+
+    def counts(self) -> tuple[int, int]:
+        """(inserted, closed) from two columns of the action table."""
+        n = [F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0)) for c in ("_ll_insert", "_ll_close")]
+        return tuple(self.changes.agg(*n).first())
+
+
+def with_new_columns(gold: DataFrame, source: DataFrame) -> DataFrame:
+    """``gold`` with the columns that only ``source`` has, as NULL."""
+    added = [c for c in source.columns if c not in gold.columns]
+    return gold.withColumns({c: F.lit(None).cast(source.schema[c].dataType) for c in added}) if added else gold
+
+
+def is_open_version() -> Column:
+    return F.col(UPDATED_COL).eqNullSafe(F.lit(OPEN_END))
+
+
+def scd2_change(
+    current: DataFrame,
     source: DataFrame,
+    closed: DataFrame | None = None,
     keys: Sequence[str] | None = None,
     now=None,
     on_same_hash: str = IGNORE,
@@ -160,31 +190,21 @@ def scd2_merge(
     check_source: bool = True,
     num_partitions: int | None = None,
     max_sk: int | None = None,
-) -> DataFrame:
-    """Merged dimension (all versions).
-
-    ``update`` closes the open version at ``now`` and inserts the new version (created = now);
-    ``new_insert`` inserts open since ``190001010000``; ``exist_insert`` inserts created = now;
-    equal rows do nothing (``ignore``, snapshot source) or close the open version (``close``,
-    difference feed); with ``close_missing`` open versions of keys absent from the source close.
-
-    The source must hold one row per key (identical copies collapse); otherwise, or with a NULL
-    key unless ``null_safe_keys``, :class:`DuplicateKeyError` is raised.
-
-    Columns that only the source has are added, NULL in older versions. They alone make no new version: if a
-    row's hash over gold's own columns is unchanged, the open version takes the new values and hash in place.
+) -> Scd2Change:
+    """Merge ``source`` into the open versions ``current`` (rules: :func:`scd2_merge`).
 
-    ``now`` before the start of a version that it would close is an error.
-    """
+    ``closed``: the closed versions. Only their key columns are read, and only if keys without an open version
+    are inserted. ``max_sk``: the highest SK of both (default: looked up)."""
     if on_same_hash not in (IGNORE, CLOSE):
         raise ValueError(f"on_same_hash must be {IGNORE!r} or {CLOSE!r}")
-    ks = resolve_keys(gold.columns, keys)
-    sk = sk_column(gold.columns)
+    ks = resolve_keys(current.columns, keys)
+    sk = sk_column(current.columns)
     stamp = to_stamp(now)
-    added = [c for c in source.columns if c not in gold.columns]
-    if added:
-        gold = gold.withColumns({c: F.lit(None).cast(source.schema[c].dataType) for c in added})
-    data_cols = [c for c in gold.columns if c not in (sk, CREATED_COL, UPDATED_COL)]
+    added = [c for c in source.columns if c not in current.columns]
+    if max_sk is None:
+        max_sk = max(max_value(df, sk) for df in (current, closed) if df is not None)
+    current = with_new_columns(current, source)
+    data_cols = [c for c in current.columns if c not in (sk, CREATED_COL, UPDATED_COL)]
     missing = [c for c in data_cols if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks gold columns {missing}")
@@ -194,15 +214,14 @@ def scd2_merge(
     if check_source:
         source = unique_rows(source, ks, null_safe_keys)
 
-    acts = _actions_frame(source, gold, ks, sk, stamp, "full" if close_missing else "left", null_safe_keys)
+    acts = _actions_frame(source, current, ks, sk, stamp, "full" if close_missing else "left", null_safe_keys)
     act = F.col(_ACT)
-    t_open = F.col(_T + UPDATED_COL) == F.lit(OPEN_END)
     close_if = act == UPDATE
     if on_same_hash == CLOSE:
         close_if = close_if | (act == DELETE)
     if close_missing:
-        close_if = close_if | (F.col(SRC + HASH_COL).isNull() & t_open)
-    insert_if = act.isin(NEW_INSERT, EXIST_INSERT, UPDATE) & F.col(SRC + HASH_COL).isNotNull()
+        close_if = close_if | F.col(SRC + HASH_COL).isNull()
+    insert_if = act.isin(NEW_INSERT, UPDATE)
     amend_if = (act == DELETE) & (F.col(_T + HASH_COL) != F.col(SRC + HASH_COL)) & ~F.coalesce(close_if, F.lit(False))
     back_dated = F.raise_error(F.lit(f"run date {stamp} lies before the start of a version that it would close"))
     close_if = F.when(close_if & (F.col(_T + CREATED_COL) > F.lit(stamp)), back_dated.cast("boolean")).otherwise(close_if)
@@ -217,40 +236,81 @@ def scd2_merge(
     # One materialised, numbered action table feeds closes and inserts: ordering inserts first
     # (then by key) makes the inserts' numbers 1..k in key order; the other rows' numbers are unused.
     staged = staged.withColumn("_ll_grp", F.when(F.col("_ll_insert"), F.lit(0)).otherwise(F.lit(1)))
-    base = max_value(gold, sk) if max_sk is None else int(max_sk)
     # (group, source keys, target SK) is unique: closes of keys missing from the source (NULL source
     # keys) are told apart by the SK of the version they close, so they spread over range partitions.
     numbered = translate_errors(
-        number_rows, staged, ["_ll_grp", *[SRC + k for k in ks], _T + "sk"], "_ll_new_sk", base, num_partitions,
+        number_rows, staged, ["_ll_grp", *[SRC + k for k in ks], _T + "sk"], "_ll_new_sk", int(max_sk), num_partitions,
         unique=check_source,
     )
 
     closes = numbered.filter("_ll_close").select(F.col(_T + "sk").alias(sk), F.lit(stamp).alias("_ll_close_at"))
-    inserts = numbered.filter("_ll_insert").select(
+    rows = numbered.filter("_ll_insert").select(
         *[F.col(SRC + c).alias(c) for c in data_cols],
         F.col("_ll_new_sk").alias(sk),
-        F.when(F.col(_ACT) == NEW_INSERT, F.lit(DEFAULT_START)).otherwise(F.lit(stamp)).alias(CREATED_COL),
+        F.col(_ACT),
         F.lit(OPEN_END).alias(UPDATED_COL),
     )
-
-    is_open = F.col(UPDATED_COL).eqNullSafe(F.lit(OPEN_END))
-    history = gold.filter(~is_open)
-    reopened = (
-        gold.filter(is_open)
-        .join(closes, sk, "left")
-        .withColumn(UPDATED_COL, F.coalesce(F.col("_ll_close_at"), F.col(UPDATED_COL)))
-        .select(*gold.columns)
-    )
+    returning = F.lit(False)
+    if closed is not None:
+        # the few inserted keys meet the closed rows' key columns; no closed row is shuffled while they are few
+        kk = ["_ll_k_" + k for k in ks]
+        fresh = rows.filter(act == NEW_INSERT).select(*[F.col(k).alias(n) for k, n in zip(ks, kk)])
+        known = closed.select(*ks).join(fresh, key_condition(ks, kk, null_safe_keys), "left_semi").distinct()
+        known = known.select(*[F.col(k).alias(n) for k, n in zip(ks, kk)], F.lit(True).alias("_ll_known"))
+        rows = rows.join(known, key_condition(ks, kk, null_safe_keys), "left")
+        returning = F.coalesce(F.col("_ll_known"), F.lit(False))
+    began = F.when((act == NEW_INSERT) & ~returning, F.lit(DEFAULT_START)).otherwise(F.lit(stamp))
+    inserts = rows.withColumn(CREATED_COL, began).select(*current.columns)
+
+    ended = current.join(closes, sk).withColumn(UPDATED_COL, F.col("_ll_close_at")).select(*current.columns)
+    stay = current.join(closes, sk, "left_anti")
     if added:
         new = [*added, HASH_COL]
         amended = numbered.filter("_ll_amend").select(
             F.col(_T + "sk").alias(sk), *[F.col(SRC + c).alias("_ll_n_" + c) for c in new]
         )
         took = F.col("_ll_n_" + HASH_COL).isNotNull()
-        reopened = reopened.join(amended, sk, "left").select(
-            *[F.when(took, F.col("_ll_n_" + c)).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in gold.columns]
+        stay = stay.join(amended, sk, "left").select(
+            *[F.when(took, F.col("_ll_n_" + c)).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in current.columns]
         )
-    return history.unionByName(reopened).unionByName(inserts.select(*gold.columns))
+    return Scd2Change(ended, stay.select(*current.columns).unionByName(inserts), numbered)
+
+
+def scd2_merge(
+    gold: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str] | None = None,
+    now=None,
+    on_same_hash: str = IGNORE,
+    close_missing: bool = False,
+    null_safe_keys: bool = False,
+    check_source: bool = True,
+    num_partitions: int | None = None,
+    max_sk: int | None = None,
+) -> DataFrame:
+    """Merged dimension (all versions).
+
+    ``update`` closes the open version at ``now`` and inserts the new version (created = now);
+    ``new_insert`` inserts open since ``190001010000``; ``exist_insert`` inserts created = now;
+    equal rows do nothing (``ignore``, snapshot source) or close the open version (``close``,
+    difference feed); with ``close_missing`` open versions of keys absent from the source close.
+
+    The source must hold one row per key (identical copies collapse); otherwise, or with a NULL
+    key unless ``null_safe_keys``, :class:`DuplicateKeyError` is raised.
+
+    Columns that only the source has are added, NULL in older versions. They alone make no new version: if a
+    row's hash over gold's own columns is unchanged, the open version takes the new values and hash in place.
+
+    ``now`` before the start of a version that it would close is an error.
+    """
+    closed = gold.filter(~is_open_version())
+    if max_sk is None:
+        max_sk = max_value(gold, sk_column(gold.columns))
+    change = scd2_change(
+        gold.filter(is_open_version()), source, closed, keys, now, on_same_hash, close_missing, null_safe_keys,
+        check_source, num_partitions, max_sk,
+    )
+    return with_new_columns(closed, source).unionByName(change.ended).unionByName(change.open_rows)
 
 
 def scd2_current(gold: DataFrame) -> DataFrame:

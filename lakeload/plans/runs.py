@@ -11,7 +11,6 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +20,7 @@ from lakeload.operators._joins import max_value, translate_errors, unique_rows
 from lakeload.operators.facts import DimLookup, check_versions, load_fact
 from lakeload.operators.prepare import add_load_date, prepare_silver, rename_keys
 from lakeload.operators.scd1 import scd1_create, scd1_merge
-from lakeload.operators.scd2 import IGNORE, scd2_create, scd2_merge
+from lakeload.operators.scd2 import IGNORE, is_open_version, scd2_change, scd2_create, with_new_columns
 from lakeload.operators.validate import first_per_key
 from lakeload.plans.layout import Layout
 from lakeload.plans.roles import OPEN_END, UPDATED_COL, key_columns, scd_type, sk_column, sk_name_for
@@ -39,7 +38,19 @@ from lakeload.sources.files import (
     write_snapshot,
 )
 from lakeload.sources.fs import path_exists
-from lakeload.sources.store import last_load, prune_versions, read_table, scratch_scope, table_exists, write_table
+from lakeload.sources.store import (
+    append_closed,
+    current_version,
+    last_load,
+    observed,
+    prune_versions,
+    read_closed,
+    read_own_rows,
+    read_table,
+    scratch_scope,
+    table_exists,
+    write_table,
+)
 
 # Our silver configuration object (one per table); replaces one hand-written loader per table.
 SILVER_SPEC_SCHEMA = (
@@ -97,14 +108,6 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
-def _observed(obs: Observation) -> dict:
-    """The metrics of a write; a plan that Spark knows to be empty is replaced together with its observation."""
-    try:
-        return obs.get
-    except Py4JJavaError:
-        return {}
-
-
 def _describe(spark: SparkSession, text: str | None) -> None:
     """Label the Spark jobs of the current thread (shown in event logs and monitoring)."""
     try:
@@ -188,7 +191,7 @@ def run_bronze(
         if e.get("on_malformed") != "keep":
             df = df.drop(MALFORMED)
         write_snapshot(df, layout.bronze(e["target_path"]), run_date, e["target_name"])
-        n, k = _observed(obs).get("rows") or 0, _observed(obs).get("bad") or 0
+        n, k = observed(obs).get("rows") or 0, observed(obs).get("bad") or 0
         return _audit(run_date, "bronze", e["target_name"], "ok", started, rows_in=n, rows_out=n,
                       message=f"{k} malformed records" if k else None)
 
@@ -237,7 +240,7 @@ def run_silver(
         seen, obs = Observation(f"read_{spec.table_name}"), Observation(f"silver_{spec.table_name}")
         df = silver_frame(spark, layout, spec, run_date, seen).observe(obs, F.count(F.lit(1)).alias("rows"))
         append_silver(df, layout.silver(spec.table_name))
-        n, read = _observed(obs).get("rows") or 0, _observed(seen)
+        n, read = observed(obs).get("rows") or 0, observed(seen)
         lost = read.get("lost")
         if not n:
             mark_empty_load(spark, layout.silver(spec.table_name), to_day(run_date))
@@ -338,41 +341,71 @@ def _create_or_merge(
     spark, table_name, source, run_date, on_same_hash, close_missing, kind, started, retain_versions, keys, gold_path,
     stamp, load,
 ) -> dict:
-    closed_before = 0
-    if not table_exists(spark, gold_path):
-        sk = sk_name_for(table_name)
-        source = unique_rows(source, keys, allow_null_keys=False)
-        create = scd1_create if kind == 1 else scd2_create
-        out = translate_errors(create, source, keys, sk, unique_keys=True)
-        before, status = 0, "created"
+    exists = table_exists(spark, gold_path)
+    if exists and kind == 2:
+        counts = merge_type2_table(spark, gold_path, source, keys, stamp, on_same_hash, close_missing, load)
     else:
-        gold = read_table(spark, gold_path)
-        sk = sk_column(gold.columns)
-        before = max_value(gold, sk)
-        if kind == 2:
-            closed_before = gold.filter(F.col(UPDATED_COL) == F.lit(stamp)).count()
-        if kind == 1:
+        if exists:
+            gold = read_table(spark, gold_path)
+            sk = sk_column(gold.columns)
+            before = max_value(gold, sk)
             out = scd1_merge(gold, source, keys, max_sk=before)
         else:
-            out = scd2_merge(
-                gold, source, keys, stamp, on_same_hash=on_same_hash, close_missing=close_missing, max_sk=before
-            )
-        status = "merged"
-    obs = Observation(f"gold_{table_name}")
-    metrics = [F.count(F.lit(1)).alias("rows"), F.sum((F.col(sk) > F.lit(before)).cast("long")).alias("inserted")]
-    if kind == 2:
-        metrics += [
-            F.sum((F.col(UPDATED_COL) == F.lit(OPEN_END)).cast("long")).alias("open"),
-            F.sum((F.col(UPDATED_COL) == F.lit(stamp)).cast("long")).alias("closed"),
-        ]
-    translate_errors(write_table, out.observe(obs, *metrics), gold_path, load)
-    m = obs.get
+            sk, before = sk_name_for(table_name), 0
+            create = scd1_create if kind == 1 else scd2_create
+            out = translate_errors(create, unique_rows(source, keys, allow_null_keys=False), keys, sk, unique_keys=True)
+        obs = Observation(f"gold_{table_name}")
+        new = F.sum((F.col(sk) > F.lit(before)).cast("long"))
+        out = out.observe(obs, F.count(F.lit(1)).alias("rows_out"), new.alias("inserted"))
+        translate_errors(write_table, out, gold_path, load)
+        counts = {k: obs.get[k] for k in ("rows_out", "inserted")}
+        if kind == 2:
+            counts |= {"closed": 0, "n_open": counts["rows_out"]}
     if retain_versions:
         prune_versions(spark, gold_path, retain_versions)
-    return _audit(
-        run_date, "gold", table_name, status, started, rows_out=m["rows"], inserted=m["inserted"],
-        closed=None if kind == 1 else (m["closed"] or 0) - closed_before, n_open=m.get("open"),
+    return _audit(run_date, "gold", table_name, "merged" if exists else "created", started, **counts)
+
+
+def merge_type2_table(
+    spark: SparkSession,
+    gold_path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    stamp: str,
+    on_same_hash: str = IGNORE,
+    close_missing: bool = False,
+    load: str | None = None,
+) -> dict:
+    """Merge ``source`` into a type 2 table: the open versions are written anew, those that close are appended to
+    the closed ones. Closed rows are neither rewritten nor read, but for the key columns when a key without an open
+    version is inserted. A change of a column's type rewrites the table whole."""
+    version, own, closed = current_version(spark, gold_path), read_own_rows(spark, gold_path), read_closed(spark, gold_path)
+    sk = sk_column(own.columns)
+    before = max_value(own, sk) if version.sk is None else version.sk
+    moved = own.filter(~is_open_version()) if version.since is None else None  # a version written whole
+    history = closed if moved is None else moved
+    change = scd2_change(
+        own.filter(is_open_version()), source, history, keys, stamp, on_same_hash, close_missing, max_sk=before
     )
+    inserted, ended = change.counts()
+    obs = Observation(f"open_{version.number}")
+    rows = change.open_rows.observe(obs, F.count(F.lit(1)).alias("rows"))
+    types = {f.name: f.dataType for f in own.schema}
+    if any(types.get(f.name, f.dataType) != f.dataType for f in rows.schema):
+        whole = rows.unionByName(change.ended)
+        if history is not None:
+            whole = whole.unionByName(with_new_columns(history, source))
+        total = Observation(f"all_{version.number}")
+        write_table(whole.observe(total, F.count(F.lit(1)).alias("rows")), gold_path, load)
+        n_open, n_all = observed(obs).get("rows") or 0, observed(total).get("rows") or 0
+    else:
+        leave = change.ended if ended else None
+        if moved is not None:
+            leave = change.ended.unionByName(with_new_columns(moved, source))
+        n_closed = append_closed(leave, rows, gold_path, before + inserted, load)
+        n_open = observed(obs).get("rows") or 0
+        n_all = n_open + n_closed
+    return {"rows_out": n_all, "inserted": inserted, "closed": ended, "n_open": n_open}
 
 
 def run_gold(
@@ -464,7 +497,8 @@ def register_gold_views(spark: SparkSession, layout: Layout, tables: Iterable[st
         df.createOrReplaceTempView(t)
         names.append(t)
         if UPDATED_COL in df.columns:
-            df.filter(F.col(UPDATED_COL) == F.lit(OPEN_END)).createOrReplaceTempView(f"{t}_current")
+            own = read_own_rows(spark, path) if table_exists(spark, path) else df
+            own.filter(F.col(UPDATED_COL) == F.lit(OPEN_END)).createOrReplaceTempView(f"{t}_current")
             names.append(f"{t}_current")
     return names
 

@@ -3,7 +3,9 @@
 ``materialize`` writes a frame as Parquet into the shared scratch folder and reads it back: the
 result no longer depends on how its input was computed, survives executor loss, and gives later
 scans column pruning. A versioned table keeps each rewrite in ``<table>/v=<n>``; readers take the
-highest complete version, so a merge can read the version it replaces.
+highest complete version, so a merge can read the version it replaces. Rows that no later merge can touch (closed
+versions of a type 2 dimension) need no rewriting: they are appended once as ``<table>/closed/n=<n>``, and the name
+of a version says from which number on they belong to it. What the name says commits with the version.
 """
 
 from __future__ import annotations
@@ -11,13 +13,17 @@ from __future__ import annotations
 import re
 import threading
 from contextlib import contextmanager
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from lakeload.session import scratch_path
 from lakeload.sources.fs import delete_path, is_complete, list_dir_names, path_exists
 
-_VERSION = re.compile(r"^v=(\d+)(?:_load=(.+))?$")
+_VERSION = re.compile(r"^v=(\d+)(?:_load=(.+?))?(?:_since=(\d+)_closed=(\d+)_sk=(\d+))?$")
+_CLOSED = re.compile(r"^n=(\d+)$")
 _scope = threading.local()
 
 
@@ -48,19 +54,45 @@ def scratch_scope(spark: SparkSession):
             delete_path(spark, path)
 
 
-def _versions(spark: SparkSession, table_path: str) -> list[tuple[int, str, str | None]]:
-    """(number, folder name, last load) of the complete versions, oldest first."""
+class Version(NamedTuple):
+    number: int
+    name: str
+    load: str | None  # the last load that it holds
+    since: int | None  # its closed rows lie in closed/n=<since> to closed/n=<number>; None: all rows are its own
+    closed: int  # how many rows lie there
+    sk: int | None  # the highest surrogate key, closed rows included
+
+
+def _versions(spark: SparkSession, table_path: str) -> list[Version]:
+    """The complete versions, oldest first."""
     out = []
     for name in list_dir_names(spark, table_path):
         m = _VERSION.match(name)
         if m and is_complete(spark, f"{table_path.rstrip('/')}/{name}"):
-            out.append((int(m.group(1)), name, m.group(2)))
-    return sorted(out, key=lambda v: v[0])
+            since, closed, sk = (int(x) if x else None for x in m.groups()[2:])
+            out.append(Version(int(m.group(1)), name, m.group(2), since, closed or 0, sk))
+    return sorted(out)
+
+
+def _next_number(spark: SparkSession, table_path: str) -> int:
+    return max([0, *(int(m.group(1)) for n in list_dir_names(spark, table_path) if (m := _VERSION.match(n)))]) + 1
+
+
+def current_version(spark: SparkSession, table_path: str) -> Version:
+    versions = _versions(spark, table_path)
+    if not versions:
+        raise FileNotFoundError(f"no complete version of table {table_path}")
+    return versions[-1]
+
+
+def _closed_parts(spark: SparkSession, table_path: str) -> list[tuple[int, str]]:
+    base = f"{table_path.rstrip('/')}/closed"
+    return sorted((int(m.group(1)), f"{base}/{n}") for n in list_dir_names(spark, base) if (m := _CLOSED.match(n)))
 
 
 def last_load(spark: SparkSession, table_path: str) -> str | None:
     """The last load merged into the table. It is part of the version folder's name, so it commits with the version."""
-    loads = [load for *_, load in _versions(spark, table_path) if load]
+    loads = [v.load for v in _versions(spark, table_path) if v.load]
     return loads[-1] if loads else None
 
 
@@ -69,29 +101,73 @@ def table_exists(spark: SparkSession, table_path: str) -> bool:
 
 
 def current_version_path(spark: SparkSession, table_path: str) -> str:
-    versions = _versions(spark, table_path)
-    if not versions:
-        raise FileNotFoundError(f"no complete version of table {table_path}")
-    return f"{table_path.rstrip('/')}/{versions[-1][1]}"
+    return f"{table_path.rstrip('/')}/{current_version(spark, table_path).name}"
 
 
-def read_table(spark: SparkSession, table_path: str) -> DataFrame:
+def read_own_rows(spark: SparkSession, table_path: str) -> DataFrame:
+    """The rows of the current version's folder: every open row, and closed rows not moved out yet."""
     return spark.read.parquet(current_version_path(spark, table_path))
 
 
+def read_closed(spark: SparkSession, table_path: str) -> DataFrame | None:
+    """The appended closed rows of the current version, with its columns (NULL where they were added later)."""
+    v = current_version(spark, table_path)
+    if v.since is None:
+        return None
+    parts = [path for n, path in _closed_parts(spark, table_path) if v.since <= n <= v.number]
+    return spark.read.schema(read_own_rows(spark, table_path).schema).parquet(*parts) if parts else None
+
+
+def read_table(spark: SparkSession, table_path: str) -> DataFrame:
+    own, closed = read_own_rows(spark, table_path), read_closed(spark, table_path)
+    return own if closed is None else own.unionByName(closed)
+
+
+def _version_path(table_path: str, number: int, load: str | None) -> str:
+    return f"{table_path.rstrip('/')}/v={number}" + (f"_load={load}" if load else "")
+
+
 def write_table(df: DataFrame, table_path: str, load: str | None = None) -> str:
     """Write ``df`` as the next version of the table; returns the version folder.
 
     ``load``: the last load the version holds (default: that of the version before)."""
     spark = df.sparkSession
-    load = load or last_load(spark, table_path)
-    existing = [int(m.group(1)) for n in list_dir_names(spark, table_path) if (m := _VERSION.match(n))]
-    nxt = (max(existing) + 1) if existing else 1
-    path = f"{table_path.rstrip('/')}/v={nxt}" + (f"_load={load}" if load else "")
+    path = _version_path(table_path, _next_number(spark, table_path), load or last_load(spark, table_path))
     df.write.mode("errorifexists").parquet(path)
     return path
 
 
+def append_closed(closed: DataFrame | None, own: DataFrame, table_path: str, sk: int, load: str | None = None) -> int:
+    """The next version: its own rows are ``own``; ``closed`` (None: no rows) is added to the closed rows, which stay
+    as they are. Returns how many closed rows there are now.
+
+    The closed rows come first and belong to no version until its folder is complete; those that a failed write
+    left behind are removed by the next one. One writer per table."""
+    spark = own.sparkSession
+    last = current_version(spark, table_path)
+    for n, path in _closed_parts(spark, table_path):
+        if n > last.number and not delete_path(spark, path):
+            raise OSError(f"cannot remove {path}, left by a failed write")
+    number = _next_number(spark, table_path)
+    total = last.closed
+    if closed is not None:
+        obs = Observation(f"closed_{number}")
+        counted = closed.observe(obs, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("errorifexists").parquet(f"{table_path.rstrip('/')}/closed/n={number}")
+        total += observed(obs).get("rows") or 0
+    path = _version_path(table_path, number, load or last_load(spark, table_path))
+    own.write.mode("errorifexists").parquet(f"{path}_since={last.since or number}_closed={total}_sk={sk}")
+    return total
+
+
+def observed(obs: Observation) -> dict:
+    """The metrics of a write; a plan that Spark knows to be empty is replaced together with its observation."""
+    try:
+        return obs.get
+    except Py4JJavaError:
+        return {}
+
+
 def prune_versions(spark: SparkSession, table_path: str, keep: int) -> list[str]:
     """Delete complete versions older than the newest ``keep`` (at least 1 is always kept).
 
@@ -101,8 +177,11 @@ def prune_versions(spark: SparkSession, table_path: str, keep: int) -> list[str]
     keep = max(1, int(keep))
     versions = _versions(spark, table_path)
     removed = []
-    for _, name, _ in versions[:-keep]:
-        path = f"{table_path.rstrip('/')}/{name}"
+    for v in versions[:-keep]:
+        path = f"{table_path.rstrip('/')}/{v.name}"
         if delete_path(spark, path):
             removed.append(path)
+    for n, path in _closed_parts(spark, table_path):  # closed rows that no version left refers to
+        if versions and n <= versions[-1].number and not any(v.since and v.since <= n <= v.number for v in versions[-keep:]):
+            delete_path(spark, path)
     return removed
