@@ -11,8 +11,9 @@ a sample of at most ``max_docs`` labelled documents, chosen by a hash of their i
 pass over all whole texts without a shuffle; the fitted field has a fixed size.
 
 Nulls and edge cases: a null or empty text is one empty line; without any training label every score is 1/2; an
-id with contradicting or null labels trains nothing; null ids are scored and are not held out; repeated rows are
-scored each; other columns are ignored; an empty table gives an empty result.
+id with contradicting or null labels trains nothing; of an id with several texts one trains, the same in every run;
+null ids are scored and are not held out; repeated rows are scored each; other columns are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -242,8 +243,10 @@ def fit_field(
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "y", "bins", "sizes"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = chosen.mapInArrow(describe, f"doc_id {id_type}, y int, bins binary, sizes binary").limit(2 * max_docs).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.bins))
+    described = chosen.mapInArrow(describe, f"doc_id {id_type}, y int, bins binary, sizes binary")
+    # one text of each id, the same in every run: at most max_docs rows
+    one = described.groupBy("doc_id").agg(F.min(F.struct("bins", "sizes", "y")).alias("row"))
+    rows = [r.row for r in sorted(one.collect(), key=lambda r: r.doc_id)]
     bins = [np.frombuffer(r.bins, np.uint8).reshape(-1, len(_BINS)) for r in rows]
     return Field.fit(bins, [np.frombuffer(r.sizes, np.float64) for r in rows], np.array([r.y for r in rows], np.int64))
 

@@ -76,3 +76,12 @@ def test_edge_rows(spark, make_docs):
     assert {r.score for r in crf.score_quality(docs, none).collect()} == {0.5}
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert crf.score_quality(empty, field).collect() == [] and crf.keep_good(empty, field).collect() == []
+
+
+def test_repeated_ids_train_once(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    rows = [(i, "Good text here.\nAnd more." if i % 2 else "BAD!! BAD!! ### BAD") for i in range(40)]
+    more = rows + [rows[3]] * 500 + [(3, "### ### 1 2 3")] * 3
+    fields = [crf.fit_field(spark.createDataFrame(x, "doc_id long, text string").repartition(n), labels, max_docs=40) for x, n in ((more, 1), (more[::-1], 7))]
+    assert np.array_equal(fields[0].w, fields[1].w) and fields[0].slope == fields[1].slope
+    assert fields[0].score([rows[1][1]])[0] > 0.7 > fields[0].score([rows[0][1]])[0]
