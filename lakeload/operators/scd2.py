@@ -158,10 +158,30 @@ def scd2_actions(
 class Scd2Change:
     """What a merge does to the open versions of a dimension."""
 
-    ended: DataFrame  # versions that the merge closes, with their end
-    open_rows: DataFrame  # all open versions after the merge
+    current: DataFrame  # the open versions before it
+    closes: DataFrame  # (SK, _ll_close_at) of those that it closes
+    inserts: DataFrame  # the versions that it adds
     changes: DataFrame  # the numbered action table (materialised)
 
+    def _sk(self) -> str:
+        return sk_column(self.current.columns)
+
+    def ended(self) -> DataFrame:
+        """The versions that close, with their end."""
+        rows = self.current.join(self.closes, self._sk()).withColumn(UPDATED_COL, F.col("_ll_close_at"))
+        return rows.select(*self.current.columns)
+
+    def open_rows(self) -> DataFrame:
+        """All open versions after the merge."""
+        stay = self.current.join(self.closes, self._sk(), "left_anti").select(*self.current.columns)
+        return stay.unionByName(self.inserts)
+
+    def all_rows(self) -> DataFrame:
+        """Both, in one pass over the open versions."""
+        end = F.coalesce(F.col("_ll_close_at"), F.col(UPDATED_COL))
+        rows = self.current.join(self.closes, self._sk(), "left").withColumn(UPDATED_COL, end)
+        return rows.select(*self.current.columns).unionByName(self.inserts)
+
     def counts(self) -> tuple[int, int]:
         """(inserted, closed) from two columns of the action table."""
         n = [F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0)) for c in ("_ll_insert", "_ll_close")]
@@ -262,18 +282,16 @@ def scd2_change(
     began = F.when((act == NEW_INSERT) & ~returning, F.lit(DEFAULT_START)).otherwise(F.lit(stamp))
     inserts = rows.withColumn(CREATED_COL, began).select(*current.columns)
 
-    ended = current.join(closes, sk).withColumn(UPDATED_COL, F.col("_ll_close_at")).select(*current.columns)
-    stay = current.join(closes, sk, "left_anti")
     if added:
         new = [*added, HASH_COL]
         amended = numbered.filter("_ll_amend").select(
             F.col(_T + "sk").alias(sk), *[F.col(SRC + c).alias("_ll_n_" + c) for c in new]
         )
         took = F.col("_ll_n_" + HASH_COL).isNotNull()
-        stay = stay.join(amended, sk, "left").select(
+        current = current.join(amended, sk, "left").select(
             *[F.when(took, F.col("_ll_n_" + c)).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in current.columns]
         )
-    return Scd2Change(ended, stay.select(*current.columns).unionByName(inserts), numbered)
+    return Scd2Change(current, closes, inserts, numbered)
 
 
 def scd2_merge(
@@ -310,7 +328,7 @@ def scd2_merge(
         gold.filter(is_open_version()), source, closed, keys, now, on_same_hash, close_missing, null_safe_keys,
         check_source, num_partitions, max_sk,
     )
-    return with_new_columns(closed, source).unionByName(change.ended).unionByName(change.open_rows)
+    return with_new_columns(closed, source).unionByName(change.all_rows())
 
 
 def scd2_current(gold: DataFrame) -> DataFrame:

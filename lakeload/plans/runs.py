@@ -389,19 +389,19 @@ def merge_type2_table(
     )
     inserted, ended = change.counts()
     obs = Observation(f"open_{version.number}")
-    rows = change.open_rows.observe(obs, F.count(F.lit(1)).alias("rows"))
+    rows = change.open_rows().observe(obs, F.count(F.lit(1)).alias("rows"))
     types = {f.name: f.dataType for f in own.schema}
     if any(types.get(f.name, f.dataType) != f.dataType for f in rows.schema):
-        whole = rows.unionByName(change.ended)
+        whole = rows.unionByName(change.ended())
         if history is not None:
             whole = whole.unionByName(with_new_columns(history, source))
         total = Observation(f"all_{version.number}")
         write_table(whole.observe(total, F.count(F.lit(1)).alias("rows")), gold_path, load)
         n_open, n_all = observed(obs).get("rows") or 0, observed(total).get("rows") or 0
     else:
-        leave = change.ended if ended else None
+        leave = change.ended() if ended else None
         if moved is not None:
-            leave = change.ended.unionByName(with_new_columns(moved, source))
+            leave = change.ended().unionByName(with_new_columns(moved, source))
         n_closed = append_closed(leave, rows, gold_path, before + inserted, load)
         n_open = observed(obs).get("rows") or 0
         n_all = n_open + n_closed

@@ -80,10 +80,10 @@ def test_merge_of_known_keys_reads_no_closed_row(spark, tmp_base):
     closed = read_closed(spark, path)
     src = hash_key(spark.createDataFrame([("a", "3"), ("b", "2")], "KEY_id string, v string")).withColumn("LoadDate", F.lit("x"))
     change = scd2_change(read_own_rows(spark, path), src, closed, now="2024-03-03", max_sk=4)
-    plan = change.open_rows._jdf.queryExecution().executedPlan().toString()
+    plan = change.open_rows()._jdf.queryExecution().executedPlan().toString()
     scans = [ln for ln in plan.splitlines() if "FileScan" in ln and "/closed/" in ln]
     assert scans and all("ReadSchema: struct<KEY_id:string>" in ln for ln in scans)
-    plan = change.ended._jdf.queryExecution().executedPlan().toString()
+    plan = change.ended()._jdf.queryExecution().executedPlan().toString()
     assert "/closed/" not in plan
     for f in files(f"{path}/closed"):
         os.remove(f) if "part-" in f else None
