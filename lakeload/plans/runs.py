@@ -23,7 +23,7 @@ from lakeload.operators.scd1 import scd1_create, scd1_merge
 from lakeload.operators.scd2 import IGNORE, is_open_version, scd2_change, scd2_create, with_new_columns
 from lakeload.operators.validate import first_per_key
 from lakeload.plans.layout import Layout
-from lakeload.plans.roles import OPEN_END, UPDATED_COL, key_columns, scd_type, sk_column, sk_name_for
+from lakeload.plans.roles import LOAD_DATE_COL, OPEN_END, UPDATED_COL, key_columns, scd_type, sk_column, sk_name_for
 from lakeload.sources.config import BRONZE_SCHEMA, CSV_SCHEMA, GOLD_SCHEMA, config_records, read_config
 from lakeload.sources.files import (
     append_silver,
@@ -42,6 +42,7 @@ from lakeload.sources.store import (
     append_closed,
     current_version,
     last_load,
+    materialize,
     observed,
     prune_versions,
     read_closed,
@@ -222,11 +223,13 @@ def silver_frame(
     if spec.columns:
         cols = list(spec.columns) + ([] if "LoadDate" in spec.columns else ["LoadDate"])
         df = df.select(*cols)
-    if spec.distinct:
-        df = df.distinct()
-    if spec.first_per_key:
-        df = first_per_key(df, key_columns(df.columns))
-    return prepare_silver(df, dedupe=spec.dedupe)
+    if spec.first_per_key:  # the keys are unique then: nothing to check
+        return prepare_silver(first_per_key(df, key_columns(df.columns)), validate=False)
+    if spec.distinct or spec.dedupe:
+        # written once: the key check and the load would each shuffle the rows again
+        rows = df.distinct() if spec.distinct else df.dropDuplicates([c for c in df.columns if c != LOAD_DATE_COL])
+        return prepare_silver(materialize(rows, "silver"))
+    return prepare_silver(df)
 
 
 def run_silver(
@@ -238,8 +241,9 @@ def run_silver(
     def one(spec: SilverSpec) -> dict:
         started = _now()
         seen, obs = Observation(f"read_{spec.table_name}"), Observation(f"silver_{spec.table_name}")
-        df = silver_frame(spark, layout, spec, run_date, seen).observe(obs, F.count(F.lit(1)).alias("rows"))
-        append_silver(df, layout.silver(spec.table_name))
+        with scratch_scope(spark):
+            df = silver_frame(spark, layout, spec, run_date, seen).observe(obs, F.count(F.lit(1)).alias("rows"))
+            append_silver(df, layout.silver(spec.table_name))
         n, read = observed(obs).get("rows") or 0, observed(seen)
         lost = read.get("lost")
         if not n:
