@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from lakeload.llm._common import words
 
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 MAX_BLOCK_WORDS = 2_000_000
 
@@ -105,9 +106,11 @@ def decontaminate(
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, spans (hit word ranges), items (ids, sorted)."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).alias("i"), F.col(item_text).alias("t"))
-    size = items.agg(F.sum(F.size(F.split(F.coalesce("t", F.lit("")), r"\s+")))).first()[0] or 0
+    n_words = F.regexp_count(F.lower(F.coalesce("t", F.lit(""))), F.lit(WORD))
+    size = items.agg(F.sum(n_words)).first()[0] or 0
     blocks = max(1, -(-size // max_block_words))
-    items = items.withColumn("b", F.pmod(F.xxhash64("t"), F.lit(blocks)))
+    # items of one text are spread as well
+    items = items.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)))
     id_type = docs.schema[id_col].dataType
     frame = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     carried = [T.StructField("doc_id", id_type), T.StructField("text", T.StringType()),

@@ -68,3 +68,13 @@ def test_scan_skips_ordinary_text():
 
     assert list(find.search(Counted(words("ordinary words " * 5000)))) == []
     assert len(looked) <= 10_000 / 13 + 1
+
+
+def test_copies_of_an_item_are_spread_over_blocks(spark, make_docs):
+    text = ",".join(f"w{k}" for k in range(20))  # no white space: words are counted by the word rule
+    items = spark.createDataFrame([(f"i{k}", text) for k in range(12)] + [(None, None)], "item_id string, text string")
+    docs = make_docs([(1, f"before {text} after"), (2, "clean text"), (3, None)])
+    whole = {r.doc_id: r for r in decontaminate(docs, items).collect()}
+    cut = {r.doc_id: r for r in decontaminate(docs, items, max_block_words=60).collect()}
+    assert whole == cut and (whole[1].n_words, whole[1].n_hit, whole[1].n_items) == (22, 20, 12)
+    assert whole[1]["items"] == sorted(f"i{k}" for k in range(12)) and whole[2].n_hit == whole[3].n_words == 0
