@@ -1,19 +1,20 @@
 """Language-model scoring with a hidden Markov model over words.
 
 A text is its words (runs of characters other than ASCII white space, A-Z lower-cased) and one end token. Latent
-states emit word classes (hash of the word, ``CLASSES`` of them, and the end); within its class a word has its
-own share from the corpus counts. So P(word | state) = P(class | state) * (c + 0.5) / (C + 0.5 * (V + 1)), with c
-the word's training count, C and V the class's tokens and distinct words: a distribution over all known words and
-one unknown word per class.
+states emit words, each word with a profile of its own: with x the expected number of times a state emitted the word
+in training, c the word's training count, n the training tokens, v their distinct words and p the state's share of
+the tokens, P(word | state) = (x + p / 2 + PRIOR * q) / (p * N + PRIOR), where N = n + (v + 1) / 2 and
+q = (c + 1/2) / N is the word's corpus share. That is a distribution over all known words and one unknown word; words
+without training count share the unknown word's profile, and nothing else is shared. One state gives q itself.
 
 1. Documents are cut by task into blocks of about ``BLOCK_TOKENS`` tokens: word numbers local to the block, and
    the block's vocabulary with its training counts. Blocks are written once.
-2. Corpus counts: one row per block and word is summed by word. Vocabularies grow with the input and stay
-   distributed; the driver only sees one row per class.
-3. Baum-Welch: each iteration broadcasts the parameters (of fixed size), every task adds up the expected counts
-   of its blocks in sequences of at most ``SEGMENT`` tokens, and Spark sums them over the tasks.
-4. Scoring: the words' counts go back to their blocks, and the scaled forward recursion over each whole text
-   gives its exact log likelihood.
+2. Corpus counts: one row per block and word is dealt by word and summed. Vocabularies grow with the input and stay
+   distributed: a block keeps, per part of the vocabulary, which of the part's words it holds.
+3. Baum-Welch: each iteration broadcasts start, moves and the states' shares (of fixed size). Every task adds up the
+   expected counts of its blocks in sequences of at most ``SEGMENT`` tokens, by word and state. They go to the
+   word's part as packed numbers, are summed there, and the sums go back to the blocks that hold the word.
+4. Scoring: the scaled forward recursion over each whole text gives its exact log likelihood.
 
 Training rows are those whose crc32 of the id as text leaves another remainder than the one held out; a null id
 neither trains nor is held out. A null or empty text is the end token alone. Repeated rows count and are scored
@@ -22,21 +23,25 @@ each. Other columns are ignored. Without training tokens every share is 1/2 over
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeload.llm._common import held_out, in_training, stage
+from lakeload.sources.fs import delete_path
 
-CLASSES, STATES, ITERATIONS = 4096, 8, 4
+STATES, ITERATIONS = 8, 4
 PRIOR = 1000.0  # tokens' worth of the corpus shares in every state's emissions
 BLOCK_TOKENS, SEGMENT = 2_000_000, 256
+PART_ROWS, PARTS = 2_000_000, 12  # rows of a vocabulary part (a word of a block is a row), and parts at least
 MOD, LEFT_OUT = 5, 1
 
 
@@ -44,18 +49,27 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []  # bytes: ASCII rules only
 
 
-def _pack(a: np.ndarray) -> bytes:
-    """32-bit numbers as compressed byte planes: small numbers leave the high planes empty."""
-    planes = np.ascontiguousarray(a.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+def _pack(a: np.ndarray, width: int = 4) -> bytes:
+    """Numbers of ``width`` bytes as compressed byte planes: small numbers leave the high planes empty."""
+    planes = np.ascontiguousarray(a.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _unpack(b: bytes) -> np.ndarray:
+def _unpack(b: bytes, width: int = 4) -> np.ndarray:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
+    return np.ascontiguousarray(raw.reshape(width, -1).T).view(f"<u{width}").ravel()
 
 
-_BLOCK = "block long, ids array<{0}>, train binary, held binary, lens binary, toks binary, classes binary, vocab array<binary>, n array<int>"
+def _pack_shares(x: np.ndarray, c: np.ndarray) -> bytes:
+    """Expected counts by state, as 32-bit fractions of the words' training counts."""
+    return _pack(np.rint(np.clip(x / c[:, None], 0, 1) * (2**32 - 1)).ravel())
+
+
+def _unpack_shares(b: bytes, c: np.ndarray) -> np.ndarray:
+    return _unpack(b).reshape(len(c), -1) * (c / (2**32 - 1))[:, None]
+
+
+_BLOCK = "block long, ids array<{0}>, train binary, held binary, lens binary, toks binary, hashes binary, vocab array<binary>, n array<int>"
 
 
 def _to_blocks(block_tokens: int):
@@ -75,16 +89,16 @@ def _to_blocks(block_tokens: int):
             n = np.bincount(toks[np.repeat(train, lens)], minlength=len(vocab))
             names = list(vocab)
             names = [names[k] for k in order]
-            classes = np.array([crc32(w) % CLASSES for w in names], np.uint16)
+            hashes = np.array([crc32(w) for w in names], np.uint32)
             row = [
                 pa.array([number], pa.int64()),
                 pa.array([[d[0] for d in docs]], pa.list_(kind)),
-                *(pa.array([x], pa.binary()) for x in (train.tobytes(), np.array([d[2] for d in docs], bool).tobytes(), _pack(lens), _pack(toks), classes.tobytes())),
+                *(pa.array([x], pa.binary()) for x in (train.tobytes(), np.array([d[2] for d in docs], bool).tobytes(), _pack(lens), _pack(toks), hashes.tobytes())),
                 pa.array([names], pa.list_(pa.binary())),
                 pa.array([n.astype(np.int32)], pa.list_(pa.int32())),
             ]
             return pa.RecordBatch.from_arrays(
-                row, names=["block", "ids", "train", "held", "lens", "toks", "classes", "vocab", "n"]
+                row, names=["block", "ids", "train", "held", "lens", "toks", "hashes", "vocab", "n"]
             )
 
         for b in batches:
@@ -104,7 +118,7 @@ def _to_blocks(block_tokens: int):
 
 
 class Model:
-    """Parameters of the hidden Markov model: start, transition and class emission (the end is class CLASSES)."""
+    """Parameters of the hidden Markov model: start, transition and the emission of classes (a block's words and the end)."""
 
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
         self.start, self.move, self.emit = start, move, emit
@@ -180,10 +194,10 @@ class Model:
         return cls(norm(start), norm(move), norm(emit))
 
 
-def _sequences(toks: np.ndarray, lens: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Class of every token, each document's end added."""
-    out = np.full(len(toks) + len(lens), CLASSES, np.int64)
-    out[np.arange(len(toks)) + np.repeat(np.arange(len(lens)), lens)] = classes[toks]
+def _sequences(toks: np.ndarray, lens: np.ndarray, end: int) -> np.ndarray:
+    """Word of every token, each document's end added."""
+    out = np.full(len(toks) + len(lens), end, np.int64)
+    out[np.arange(len(toks)) + np.repeat(np.arange(len(lens)), lens)] = toks
     return out
 
 
@@ -195,47 +209,135 @@ def _segments(lens: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, at, c, one) in the order of the words -> per block the part's words it holds; block -1 has the part's totals."""
+    part, cols = TaskContext.get().partitionId(), [[] for _ in range(4)]
+    for b in batches:
+        known = b.filter(pa.compute.greater(b.column(2), 0))
+        for to, c in zip(cols, known.columns):
+            to.append(c.to_numpy(zero_copy_only=False))
+    if not cols[0]:
+        return
+    block, at, c, one = map(np.concatenate, cols)
+    word = np.cumsum(one) - 1
+    order = np.argsort(block, kind="stable")
+    blocks, starts = np.unique(block[order], return_index=True)
+    schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("at", pa.binary()), ("word", pa.binary()), ("c", pa.binary()), ("v", pa.int64()), ("n", pa.int64())])
+    yield pa.RecordBatch.from_pylist([{"block": -1, "part": part, "v": int(one.sum()), "n": int(c[one].sum())}], schema)
+    for k, rows in zip(blocks, np.split(order, starts[1:])):
+        # a block's words of a part ascend: their distances are small numbers
+        row = {"block": int(k), "part": part, "at": _pack(at[rows]), "word": _pack(np.diff(word[rows], prepend=0)), "c": _pack(c[rows], 8)}
+        yield pa.RecordBatch.from_pylist([row], schema)
+
+
+class _Corpus:
+    """What all blocks share: the model's start and moves, the states' shares, the end's counts, corpus sizes."""
+
+    def __init__(self, model: Model, share: np.ndarray, end: np.ndarray, n: int, v: int, ends: int):
+        self.model, self.share, self.end, self.n, self.v, self.ends = model, share, end, n, v, ends
+
+    def emissions(self, counts: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """P(word | state) of words with expected counts by state and training counts ``c``; a row per state."""
+        size = self.n + 0.5 * (self.v + 1)
+        prior = PRIOR * ((c + 0.5) / size)[:, None]
+        return ((counts + 0.5 * self.share + prior) / (self.share * size + PRIOR)).T
+
+    def block(self, slots: list[dict], back: list[dict] | None, hashes: bytes) -> tuple[Model, np.ndarray]:
+        """Model over a block's words and the end, and the words' training counts."""
+        hashes, states = np.frombuffer(hashes, np.uint32), len(self.share)
+        c, at = np.zeros(len(hashes), np.int64), {s["part"]: _unpack(s["at"]) for s in slots or ()}
+        for s in slots or ():
+            c[at[s["part"]]] = _unpack(s["c"], 8)
+        if back is None:
+            counts = c[:, None] * _start_shares(hashes, states)
+        else:
+            counts = np.zeros((len(hashes), states))
+            for s in back:
+                counts[at[s["part"]]] = _unpack_shares(s["x"], c[at[s["part"]]])
+        emit = self.emissions(np.vstack([counts, self.end]), np.append(c, self.ends))
+        return Model(self.model.start, self.model.move, emit), c
+
+
+def _start_shares(hashes: np.ndarray, states: int) -> np.ndarray:
+    """Shares of the states in words before training: random, the same for a word in every block."""
+    z = hashes.astype(np.uint64)[:, None] + np.arange(1, states + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        z = (z ^ (z >> np.uint64(shift))) * np.uint64(by)
+    r = 0.5 + (z ^ (z >> np.uint64(31))) / 2.0**64
+    return r / r.sum(axis=1, keepdims=True)
+
+
 def _expect(shared, segment: int):
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks -> per part the expected counts of its words; part -1 has start, moves, states' and the end's counts."""
+        schema = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("word", pa.binary()), ("c", pa.binary()), ("x", pa.binary()), ("totals", pa.list_(pa.float64()))])
         total = 0
         for b in batches:
-            for train, lens, toks, classes in zip(*(c.to_pylist() for c in b.columns)):
-                lens, train = _unpack(lens).astype(np.int64), np.frombuffer(train, bool)
-                seq = _sequences(_unpack(toks), lens, np.frombuffer(classes, np.uint16))
-                seq = seq[np.repeat(train, lens + 1)]
+            for r in range(b.num_rows):
+                row = {k: b.column(k)[r].as_py() for k in ("block", "train", "lens", "toks", "hashes", "slots", "back")}
+                lens, train = _unpack(row["lens"]).astype(np.int64), np.frombuffer(row["train"], bool)
+                model, c = shared.value.block(row["slots"], row["back"], row["hashes"])
+                seq = _sequences(_unpack(row["toks"]), lens, len(c))[np.repeat(train, lens + 1)]
+                k = len(model.start)
+                counts = np.zeros((k, len(c) + 1))  # a block without training texts asks for the sums all the same
                 if len(seq):
-                    total = total + shared.value.expected(seq, _segments(lens[train] + 1, segment))
+                    found = model.expected(seq, _segments(lens[train] + 1, segment))
+                    counts = found[k + k * k : -1].reshape(k, -1)
+                    total = total + np.concatenate([found[: k + k * k], counts.sum(axis=1), counts[:, -1], found[-1:]])
+                out = [
+                    {"part": s["part"], "block": row["block"], "word": s["word"], "c": s["c"], "x": _pack_shares(counts[:, at].T, c[at])}
+                    for s in row["slots"] or ()
+                    for at in [_unpack(s["at"])]
+                ]
+                yield pa.RecordBatch.from_pylist(out, schema)
         if isinstance(total, np.ndarray):
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["i", "x"])
+            yield pa.RecordBatch.from_pylist([{"part": -1, "totals": total.tolist()}], schema)
 
     return expect
 
 
-def _score(shared, n: int, v: int, ends: int):
+def _summed(states: int):
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(part, block, word, c, x) -> (block, part, x): the sums over all blocks, for each block's words."""
+        sums, blocks = {}, []
+        for b in batches:
+            for part, block, word, c, x in zip(*(c.to_pylist() for c in b.columns)):
+                at = np.cumsum(_unpack(word).astype(np.int64))
+                have = sums.get(part, np.zeros((0, states)))
+                if len(at) and at[-1] >= len(have):
+                    have = np.vstack([have, np.zeros((max(at[-1] + 1 - len(have), len(have) // 2), states))])
+                have[at] += _unpack_shares(x, _unpack(c, 8))
+                sums[part] = have
+                blocks.append((part, block, word, c))
+        for part, block, word, c in blocks:
+            x = _pack_shares(sums[part][np.cumsum(_unpack(word).astype(np.int64))], _unpack(c, 8))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([x], pa.binary())], names=["block", "part", "x"]
+            )
+
+    return summed
+
+
+def _score(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, class_tokens, class_words = shared.value
+        n, v, ends = shared.value.n, shared.value.v, shared.value.ends
         for b in batches:
             for r in range(b.num_rows):
-                lens = _unpack(b.column("lens")[r].as_py()).astype(np.int64)
-                toks, classes = _unpack(b.column("toks")[r].as_py()), np.frombuffer(b.column("classes")[r].as_py(), np.uint16)
-                c = np.zeros(len(classes), np.int64)
-                back = b.column("back")[r].values
-                if back is not None and len(back):
-                    c[back.field("at").to_numpy(zero_copy_only=False)] = back.field("c").to_numpy(zero_copy_only=False)
-                seq = _sequences(toks, lens, classes)
+                row = {k: b.column(k)[r].as_py() for k in ("held", "lens", "toks", "hashes", "slots", "back")}
+                lens, toks = _unpack(row["lens"]).astype(np.int64), _unpack(row["toks"])
+                model, c = shared.value.block(row["slots"], row["back"], row["hashes"])
                 cut = np.append(0, np.cumsum(lens))
                 add = lambda x: np.diff(np.append(0, np.cumsum(x[toks]))[cut])  # noqa: E731  sums by document
                 base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
-                within = np.log10((c + 0.5) / (class_tokens[classes] + 0.5 * (class_words[classes] + 1)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column("ids")[r].values,
-                        pa.array(np.frombuffer(b.column("held")[r].as_py(), bool)),
+                        pa.array(np.frombuffer(row["held"], bool)),
                         pa.array(lens + 1),
                         pa.array(add((c > 0).astype(np.int64)) + (ends > 0)),
                         pa.array(np.full(len(lens), n)),
                         pa.array(add(base) + np.log10((ends + 0.5) / (n + 0.5 * (v + 1)))),
-                        pa.array(add(within) + model.forward(seq, lens + 1)),
+                        pa.array(model.forward(_sequences(toks, lens, len(c)), lens + 1)),
                     ],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
@@ -243,6 +345,14 @@ def _score(shared, n: int, v: int, ends: int):
     return score
 
 
+def _free(spark, df: DataFrame) -> None:
+    """Remove the folder of a written table that is not read again, and have Spark drop shuffles no longer in use."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        delete_path(spark, folder)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def score_texts(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -261,42 +371,60 @@ def score_texts(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), in_training(id_col, mod, left_out).alias("train"),
         held_out(id_col, mod, left_out).alias("held"),
     )
-    blocks = stage(rows.mapInArrow(_to_blocks(block_tokens), _BLOCK.format(id_type)), "lm-blocks")
+    cut = stage(rows.mapInArrow(_to_blocks(block_tokens), _BLOCK.format(id_type)), "lm-blocks")
 
-    # corpus counts: a word has one row per block that holds it
-    word = blocks.select("block", F.posexplode(F.arrays_zip("vocab", "n")).alias("at", "w")).select("block", "at", "w.*")
+    # corpus counts: a word has one row per block that holds it, all in one part
+    parts = max(PARTS, -(-(cut.select(F.sum(F.size("n"))).first()[0] or 0) // PART_ROWS))
+    word = cut.select("block", F.posexplode(F.arrays_zip("vocab", "n")).alias("at", "w")).select("block", "at", "w.*")
     by_word = Window.partitionBy("vocab")
-    counted = stage(
-        word.select(
-            "block", "at", F.sum("n").over(by_word).alias("c"),
-            # of a word's rows one stands for the word
-            (F.row_number().over(by_word.orderBy("block")) == 1).alias("one"),
-            (F.crc32("vocab") % CLASSES).cast("int").alias("class"),
-        ),
-        "lm-counts",
+    counted = word.repartition(parts, "vocab").select(
+        "block", "at", F.sum("n").over(by_word).alias("c"),
+        # of a word's rows one stands for the word
+        (F.row_number().over(by_word.orderBy("block")) == 1).alias("one"),
     )
-    per_class = counted.filter("one").groupBy("class").agg(F.sum("c").alias("c"), F.count(F.when(F.col("c") > 0, 1)).alias("v"))
-    class_tokens, class_words = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
-    for r in per_class.collect():
-        class_tokens[r["class"]], class_words[r["class"]] = r["c"], r["v"]
+    slots = stage(
+        counted.mapInArrow(_in_parts, "block long, part int, at binary, word binary, c binary, v long, n long"), "lm-words"
+    )
+    known = slots.filter("block < 0").agg(F.sum("n"), F.sum("v")).first()
     ends = rows.filter("train").count()
-    n, v = int(class_tokens.sum()) + ends, int(class_words.sum()) + (ends > 0)
-    class_tokens[CLASSES], class_words[CLASSES] = ends, ends > 0
+    n, v = (known[0] or 0) + ends, (known[1] or 0) + (ends > 0)
+
+    held = slots.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("part", "at", "word", "c")).alias("slots"))
+    blocks = stage(cut.drop("vocab", "n").join(held, "block", "left"), "lm-ready")
+    for used in (cut, slots):
+        _free(spark, used)
+
+    start = Model.initial(np.array([float(n)]), states)
+    corpus = _Corpus(start, np.full(states, 1 / states), np.full(states, ends / states), n, v, ends)
+    sums, found = None, None
+
+    def ready() -> DataFrame:
+        """The blocks with the sums of their words' expected counts, none before the first iteration."""
+        if sums is None:
+            return blocks.withColumn("back", F.lit(None).cast("array<struct<part:int,x:binary>>"))
+        back = sums.groupBy("block").agg(F.collect_list(F.struct("part", "x")).alias("back"))
+        back = blocks.join(back, "block", "left")
+        return back.withColumn("back", F.coalesce("back", F.array().cast("array<struct<part:int,x:binary>>")))
 
-    model = Model.initial(class_tokens, states)
-    share = (class_tokens + 1.0) / (class_tokens + 1.0).sum()
-    size = states + states * states + states * (CLASSES + 1) + 1
     for _ in range(iterations if ends else 0):
-        shared = spark.sparkContext.broadcast(model)
-        found = blocks.select("train", "lens", "toks", "classes").mapInArrow(_expect(shared, segment), "i int, x double")
-        counts = np.zeros(size)
-        for i, x in found.groupBy("i").agg(F.sum("x")).collect():  # one row per parameter
-            counts[i] = x
-        model = Model.estimate(counts, states, share)
+        shared, last = spark.sparkContext.broadcast(corpus), found
+        found = stage(
+            ready().drop("ids", "held").mapInArrow(_expect(shared, segment), "part int, block long, word binary, c binary, x binary, totals array<double>"),
+            "lm-expected",
+        )
+        totals = np.zeros(2 * states + states * states + states + 1)
+        every = found.filter("part < 0").select(F.posexplode("totals").alias("i", "x"))
+        for i, x in every.groupBy("i").agg(F.sum("x")).collect():  # one row per parameter
+            totals[i] = x
+        flat, end, likelihood = np.split(totals, [len(totals) - states - 1, len(totals) - 1])
+        model = Model.estimate(np.append(flat, likelihood), states, np.ones(1))
+        corpus = _Corpus(model, flat[-states:] / n, end, n, v, ends)
+        sums = found.filter("part >= 0").select("part", "block", "word", "c", "x").repartitionById(parts, "part")
+        sums = sums.mapInArrow(_summed(states), "block long, part int, x binary")
         shared.unpersist()
+        if last is not None:
+            _free(spark, last)
 
-    shared = spark.sparkContext.broadcast((model, class_tokens, class_words))
-    back = counted.filter("c > 0").groupBy("block").agg(F.collect_list(F.struct("at", "c")).alias("back"))
-    ready = blocks.select("block", "ids", "held", "lens", "toks", "classes").join(back, "block", "left")
+    shared = spark.sparkContext.broadcast(corpus)
     schema = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return ready.mapInArrow(_score(shared, n, v, ends), schema)
+    return ready().mapInArrow(_score(shared), schema)

@@ -143,3 +143,18 @@ def test_packed_numbers_round_trip():
     for a in ([], [0], [1, 70_000, 2**32 - 1]):
         assert lm._unpack(lm._pack(np.array(a, np.uint32))).tolist() == a
     assert lm._segments(np.array([1, 4, 5, 9]), 4).tolist() == [1, 4, 4, 1, 4, 4, 1]
+
+
+def test_one_state_gives_every_word_its_corpus_share(make_docs):
+    rows = corpus() + [(500, "never seen")]
+    assert all(abs(r.score - r.base_score) < 1e-6 for r in run(make_docs(rows), states=1))
+
+
+def test_every_word_has_a_profile_of_its_own(make_docs):
+    # two topics of 30,000 words each: far more words than any fixed number of classes, all learned by topic
+    rnd = random.Random(5)
+    topic = [[f"{t}{k}" for k in range(30_000)] for t in "ab"]
+    rows = [(i, " ".join(rnd.choice(topic[i % 2]) for _ in range(3000))) for i in range(160)]
+    got = [r for r in run(make_docs(rows), states=2, iterations=15, block_tokens=60_000) if r.held_out]
+    gain = sum(r.score - r.base_score for r in got) / sum(r.n_tokens for r in got)
+    assert len(got) > 20 and gain > 0.9 * math.log10(2)
