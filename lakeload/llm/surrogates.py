@@ -4,7 +4,11 @@ Detected entities (e-mail addresses, phone, card and social security numbers, IB
 labelled secrets, titled names) are replaced by surrogates drawn from a keyed hash of the entity's canonical value.
 The canonical value drops what only formats it (case of an e-mail, spaces in a number), so every mention of an
 entity gets the same surrogate, written in that mention's own format. Names keep gender (from the title) and
-script, cards their check digit, IBANs country and check digits, addresses the length of each part.
+script (Latin for any other than Cyrillic), initials become other initials (not distinct), cards their check digit, IBANs country and check digits, addresses the length of each part.
+
+A name is found after a title, with initials, particles, apostrophes and letters of any script; the words of such a
+name are replaced wherever else the same document has them with a capital, save function words. A digit run counts
+as a card only with a right check digit. Names that never have a title in their document are not found.
 
 Collisions are checked over the corpus: no surrogate equals another entity's surrogate or any original of its
 kind. One row per distinct entity is aggregated by surrogate; of those that clash all but the first draw again,
@@ -35,7 +39,8 @@ _LOCAL, _DOMAIN = re.compile(r"[\w.+%-]+"), re.compile(r"(?:[\w-]+\.)+[^\W\d_]{2
 _DIGITS = re.compile("[0-9]+")
 _NUMBER = re.compile(
     r"(?:"
-    r"(?P<phone>\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]\d{1,4})(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})"
+    r"(?P<phone>\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]\d{1,4})(?:[ .-]?\d{2,4}){1,4}|\+[1-9]\d{7,14}"
+    r"|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}|[2-9]\d{2} [2-9]\d{2} \d{4})"
     r"|(?P<ip>(?:\d{1,3}\.){3}\d{1,3})"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4})"
     r"|(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)"
@@ -45,7 +50,8 @@ _NUMBER = re.compile(
 _KEY = re.compile(r"(?<![A-Z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Z0-9])")
 _SECRET_WORDS = ("pass", "pwd", "token", "secret", "key")
 _SECRET = re.compile(
-    r"(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*[\"']?(?P<secret>[\w+/.-]{8,}=*)"
+    r"(?i)(?:(?<![^\W_])|(?-i:(?<=[a-z0-9])(?=[A-Z])))"
+    r"(?:password|passwd|pwd|token|secret|(?:api|access|secret|private|auth)[_-]?key)[\"']?\s*[=:]\s*[\"']?(?P<secret>[\w+/.-]{8,}=*)"
 )
 # fixed values: titles and the gender they tell
 _TITLES = {
@@ -54,8 +60,27 @@ _TITLES = {
     "n": ["Dr", "Prof"],
 }
 _GENDER = {t: g for g, ts in _TITLES.items() for t in ts}
-_CAP = "[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+"
-_PERSON = re.compile(rf"({'|'.join(sorted(_GENDER, key=len, reverse=True))})\.? ({_CAP}(?:[ -]{_CAP}){{0,2}})")
+
+
+def _letters(wanted) -> str:
+    """Ranges of a character class: the letters for which ``wanted`` holds."""
+    codes = [c for c in range(0x110000) if chr(c).isalpha() and wanted(chr(c))]
+    starts = [c for c, before in zip(codes, [-2, *codes]) if c != before + 1]
+    ends = [c for c, after in zip(codes, [*codes[1:], -2]) if c + 1 != after]
+    return "".join(f"{chr(x)}-{chr(y)}" for x, y in zip(starts, ends))
+
+
+# a name word begins with a letter that is not lower case; letters may have accents of their own and apostrophes between
+_UP = f"[{_letters(lambda c: not c.islower())}]"
+_CAP = rf"{_UP}[\u0300-\u036f]*(?:['’]?[^\W\d_][\u0300-\u036f]*)+"
+_INITIALS = rf"(?:{_UP}(?:\. ?| (?={_UP}))){{0,3}}"
+_BETWEEN = "(?:(?:von|van|vom|zu|der|den|ter|ten|de|del|della|di|da|das|dos|du|la|le|el|bin|ibn) ){0,3}"
+_PERSON = re.compile(
+    rf"({'|'.join(sorted(_GENDER, key=len, reverse=True))})\.? ({_INITIALS}{_BETWEEN}{_CAP}(?:[ -]{_INITIALS}{_BETWEEN}{_CAP}){{0,2}})"
+)
+_NAME, _NAME_OR_INITIAL = re.compile(_CAP), re.compile(rf"{_CAP}|{_UP}")
+# words that are no name when they stand without a title
+_COMMON = set("The This That These Those You We He She It They And Or But In On At To Of For From With By As Is Are Was Not No If So Der Die Das Und Ich Sie Er Wir El La Los Las Un Una Y Le Les Et Je Il Elle Nous Vous И В На Не Что Это Он Она Мы Вы".split())
 
 _NAMES = {
     ("f", "latin"): "Ada Alma Anna Berta Carla Clara Dora Edith Elena Elsa Emma Erika Flora Frida Greta Hanna Helen Ida Irene Julia Laura Lena Lucia Maria Marta Mona Nadia Nora Olga Paula Petra Rita Rosa Sara Silvia Sofia Tina Vera Wanda Zita",
@@ -112,27 +137,54 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 kind, value = m.lastgroup, m[0]
                 if kind == "ip" and any(int(x) > 255 for x in value.split(".")):
                     continue
+                if kind == "card" and not luhn_ok(re.sub("[^0-9]", "", value)):
+                    continue
                 if kind == "iban" and not _iban_ok(value.replace(" ", "")):
                     continue
                 got.append((m.start(), m.end(), kind, value if kind == "ip" else re.sub(r"[^0-9A-Z]", "", value)))
                 until = max(until, m.end())
                 break
         digits = _DIGITS.search(text, until)
+    known = {}
     for m in _PERSON.finditer(text):
         if m.start() and text[m.start() - 1].isalnum():
             continue
-        names, at = list(re.finditer(r"[^ -]+", m[2])), m.start(2)
-        for k, w in enumerate(names):
-            kind = "surname" if k == len(names) - 1 else "given-" + _GENDER[m[1]]
-            got.append((at + w.start(), at + w.end(), kind, w[0]))
+        words = [(w.start() + m.start(2), _own(w[0])) for w in _NAME_OR_INITIAL.finditer(m[2])]
+        for k, (at, w) in enumerate(words):
+            kind = "surname" if k == len(words) - 1 else "initial" if _is_initial(w) else "given-" + _GENDER[m[1]]
+            got.append((at, at + len(w), kind, _cased(w)))
+            if kind == "surname":
+                known[_cased(w)] = kind
+            elif kind != "initial":
+                known.setdefault(_cased(w), kind)
+    if known:  # the same names without a title
+        for m in _NAME.finditer(text):
+            w = _own(m[0])
+            kind = known.get(_cased(w))
+            if kind and _cased(w) not in _COMMON and not (m.start() and text[m.start() - 1].isalnum()):
+                got.append((m.start(), m.start() + len(w), kind, _cased(w)))
     out, until = [], 0
-    for e in sorted(got, key=lambda e: (e[0], -e[1])):
+    for e in sorted(got, key=lambda e: (e[0], -e[1])):  # at the same place, a name with its title comes first
         if e[0] >= until:
             out.append(e)
             until = e[1]
     return out
 
 
+def _own(word: str) -> str:
+    """A name word without the ending of the possessive."""
+    return word[:-2] if len(word) > 3 and word[-2:] in ("'s", "’s") else word
+
+
+def _is_initial(word: str) -> bool:
+    return len(word) == 1
+
+
+def _cased(word: str) -> str:
+    """A name in capitals is the name."""
+    return word.capitalize() if len(word) > 1 and word.isupper() else word
+
+
 def _iban_ok(v: str) -> bool:
     return 15 <= len(v) <= 34 and int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
 
@@ -201,6 +253,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "ssn":
         return draw.like(value)
     script = _script(value)
+    if kind == "initial":  # another letter; letters are too few to differ from one another
+        letters = "АБВГДЕЖЗИКЛМНОПРСТУФХЭЮЯ" if script == "cyrillic" else "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        return letters[(letters.find(value) + 1 + draw.below(len(letters) - 1)) % len(letters)]
     if kind.startswith("given-"):
         pool = _NAMES[kind[-1], script]
         name = pool[draw.below(len(pool))]
@@ -214,8 +269,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
 
 def in_format(mention: str, kind: str, value: str, new: str) -> str:
     """The surrogate as the mention writes its value: same separators, same case of an e-mail."""
-    if kind == "email":
-        return new.upper() if mention.isupper() else new
+    if kind == "email" or kind == "surname" or kind.startswith("given-"):
+        return new.upper() if len(mention) > 1 and mention.isupper() and mention.upper() != mention.lower() else new
     if kind in ("phone", "card", "ssn", "iban"):
         chars = iter(new)
         return "".join(next(chars) if c.isalnum() and c.isascii() else c for c in mention)
@@ -242,7 +297,7 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [
             (d, h, kind, value)
             for d, h, t in zip(*(c.to_pylist() for c in b.columns))
-            for kind, value in sorted({(k, v) for _, _, k, v in find(t or "")})
+            for kind, value in sorted({(k, v) for _, _, k, v in find(t or "") if k != "initial"})
         ]
         cols = list(zip(*rows)) if rows else [()] * 4
         kinds = [b.schema.field(0).type, pa.int64(), pa.string(), pa.string()]

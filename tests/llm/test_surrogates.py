@@ -82,3 +82,28 @@ def test_nulls_repeats_long_texts_and_empty_table(make_docs, spark):
     one = next(t for i, t, *_ in got if i == 3)
     assert one != "a.b@c.org" and next(t for i, t, *_ in got if i == 4) == long.replace("a.b@c.org", one)
     assert run(spark.createDataFrame([], "doc_id long, text string")) == []
+
+
+@pytest.mark.parametrize(
+    "t, value, kind",
+    [(f"call {x} now", x, "phone") for x in ("+14155550123", "+4915112345678", "415.555.0123", "(415) 555 0123", "415 555 0123")]
+    + [(f"{k}{x}", x, "secret") for x in ["hunter2hunter2"] for k in ("DB_PASSWORD=", "aws_secret_access_key = ", "client_secret: ", "dbPassword=")]
+    + [(f"{m} {x} came", x, "surname") for m, x in (("Mr.", "O'Brien"), ("Mr", "O’Brien"), ("Mrs.", "Łukasiewicz"), ("Dr.", "McCoy"), ("Mr. J.", "Smith"), ("Mr. J. R.", "Smith"), ("Frau von", "Bergen"))],
+)
+def test_finds_more_forms(t, value, kind):
+    assert (t.index(value), t.index(value) + len(value), kind) in [e[:3] for e in sg.find(t)]
+    assert value not in sg.replace(t, KEY, {})[0]
+
+
+def test_names_are_replaced_without_title_too():
+    t = "Smith wrote. Mr. J. Smith's mail; John said SMITH and Smith-like smiths. Dr. John McCoy, McCoys, McCoy"
+    new, kinds, spans = sg.replace(t, KEY, {})
+    name = new.split()[0]
+    assert kinds == {"surname": 6, "initial": 1, "given-n": 2} and new.count(name) == 3 and name.upper() in new
+    assert not re.search(r"Smith\b|SMITH|J\.|John|McCoy\b", new) and "smiths" in new and "McCoys" in new
+
+
+@pytest.mark.parametrize("t", ["order 4111 1111 1111 1112", "id 1234567890123456", "build 100.200.300", "+1 of 3", "passwords: none", "The sir. Smith",
+                               "secretary: Elisabeth", "tokens = 12345678", "100 200 3000", "Mr. and Mrs."])
+def test_clean_text_has_no_hits(t):
+    assert sg.find(t) == []
