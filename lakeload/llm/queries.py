@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import arc_convert, bayes_join, hmm_lm, line_crf, one_bit_ann
+from lakeload.llm import arc_convert, bayes_join, filter_audit, hmm_lm, line_crf, one_bit_ann, prefix_trie
 from lakeload.llm import license_scan as lic
 from lakeload.llm._common import table
 from lakeload.llm.decontaminate import contaminated, decontaminate
 from lakeload.llm.line_dedup import apply_bitmaps, line_bitmaps
 from lakeload.llm.packing import pack_documents
 from lakeload.llm.surrogates import pseudonymise
+from lakeload.llm.token_counts import count_tokens
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -93,6 +94,18 @@ def op8_one_bit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_bit_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_surrogates": op2_surrogates,
@@ -104,6 +117,9 @@ QUERIES = {
     "op8_one_bit_ann": op8_one_bit_ann,
     "op9_bayes_join": op9_bayes_join,
     "op10_hmm_lm": op10_hmm_lm,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_token_counts": op12_token_counts,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES = {
     "op1_license_scan": lic.oracle_sql(),
@@ -111,4 +127,6 @@ ORACLES = {
     "op5_decontaminate": OP5_SQL,
     "op6_arc_convert": arc_convert.ORACLE_SQL,
     "op9_bayes_join": bayes_join.ORACLE_SQL,
+    "op11_filter_audit": filter_audit.ORACLE_SQL,
+    "op13_prefix_trie": prefix_trie.ORACLE_SQL,
 }
