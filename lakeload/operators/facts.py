@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -52,6 +52,14 @@ def check_versions(dim: DataFrame, keys: Sequence[str] | None = None) -> None:
         raise ValueError(f"dimension has overlapping versions of keys {[tuple(r) for r in found]}")
 
 
+def fact_stamp(fact: DataFrame, column: str) -> Column:
+    """The facts' time as a 12-digit stamp; text may be a stamp already, or a date or timestamp (e.g. from CSV)."""
+    at = F.col(column)
+    if not isinstance(fact.schema[column].dataType, StringType):
+        return stamp_col(at)
+    return F.when(at.rlike("^[0-9]{12}$"), at).otherwise(F.date_format(F.try_to_timestamp(at), STAMP_FORMAT))
+
+
 def lookup_sk(fact: DataFrame, lookup: DimLookup, unknown: int = UNKNOWN_SK) -> DataFrame:
     dim = lookup.dim
     dkeys = list(lookup.dim_keys) if lookup.dim_keys is not None else key_columns(dim.columns)
@@ -72,13 +80,7 @@ def lookup_sk(fact: DataFrame, lookup: DimLookup, unknown: int = UNKNOWN_SK) ->
         if lookup.as_of is None:
             d = d.filter(F.col(_D + UPDATED_COL) == F.lit(OPEN_END))
         else:
-            at = F.col(lookup.as_of)
-            if not isinstance(fact.schema[lookup.as_of].dataType, StringType):
-                at = stamp_col(at)
-            else:  # a stamp already, or a date / timestamp written as text (e.g. from CSV)
-                at = F.when(at.rlike("^[0-9]{12}$"), at).otherwise(
-                    F.date_format(F.try_to_timestamp(at), STAMP_FORMAT)
-                )
+            at = fact_stamp(fact, lookup.as_of)
             cond = cond & (F.col(_D + CREATED_COL) <= at) & (at < F.col(_D + UPDATED_COL))
     out = fact.join(d, cond, "left").withColumn(
         lookup.sk_name, F.coalesce(F.col(_D + sk), F.lit(unknown)).cast("bigint")

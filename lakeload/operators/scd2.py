@@ -342,6 +342,36 @@ def scd2_as_of(gold: DataFrame, when) -> DataFrame:
     return gold.filter((F.col(CREATED_COL) <= F.lit(w)) & (F.lit(w) < F.col(UPDATED_COL)))
 
 
+def scd2_interval_join(left: DataFrame, right: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Two type 2 dimensions connected in time: a row for every stretch in which a version of both is valid.
+
+    ``on``: column of ``left`` -> key column of ``right``. A row has the columns of both (row hashes and the right
+    keys left out) and the intersection of the validity ranges, ``[max(created), min(updated))``. If the versions of
+    every key of both sides follow each other without gaps, so do the rows of every key of ``left`` whose reference
+    is found. Versions of no length take no part.
+
+    The join is on the keys, with the ranges as a condition; Spark broadcasts the smaller side or splits a hot key.
+    """
+    dates = {CREATED_COL, UPDATED_COL, HASH_COL}
+    mine = [c for c in left.columns if c not in dates]
+    theirs = [c for c in right.columns if c not in dates and c not in on.values()]
+    both = set(mine) & set(theirs)
+    if both:
+        raise ValueError(f"both dimensions have columns {sorted(both)}")
+    lasting = F.col(CREATED_COL) < F.col(UPDATED_COL)
+    r = right.filter(lasting).select(
+        *theirs, *[F.col(k).alias(f"_r_{k}") for k in on.values()], *[F.col(c).alias(f"_r_{c}") for c in (CREATED_COL, UPDATED_COL)]
+    )
+    cond = key_condition(list(on), [f"_r_{k}" for k in on.values()], False)
+    cond = cond & (F.col(CREATED_COL) < F.col(f"_r_{UPDATED_COL}")) & (F.col(f"_r_{CREATED_COL}") < F.col(UPDATED_COL))
+    return left.filter(lasting).join(r, cond).select(
+        *mine,
+        *theirs,
+        F.greatest(CREATED_COL, f"_r_{CREATED_COL}").alias(CREATED_COL),
+        F.least(UPDATED_COL, f"_r_{UPDATED_COL}").alias(UPDATED_COL),
+    )
+
+
 def scd2_history(gold: DataFrame) -> DataFrame:
     """All versions with ``valid_from`` / ``valid_to`` as ``timestamp_ntz`` and an ``is_current`` flag."""
     return gold.withColumns(

@@ -7,6 +7,7 @@ Each table of a layer is one lazy plan and one write action; row counts come fro
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F
 from lakeload.functions.dates import to_day, to_stamp
 from lakeload.functions.text import remove_accents
 from lakeload.operators._joins import max_value, translate_errors, unique_rows
-from lakeload.operators.facts import DimLookup, check_versions, load_fact
+from lakeload.operators.facts import UNKNOWN_SK, DimLookup, check_versions, load_fact
 from lakeload.operators.prepare import add_load_date, prepare_silver, rename_keys
 from lakeload.operators.scd1 import scd1_create, scd1_merge
 from lakeload.operators.scd2 import IGNORE, is_open_version, scd2_change, scd2_create, with_new_columns
+from lakeload.operators.snapshots import CHANGE_COL, snapshot_diff
 from lakeload.operators.validate import first_per_key
 from lakeload.plans.layout import Layout
 from lakeload.plans.roles import LOAD_DATE_COL, OPEN_END, UPDATED_COL, key_columns, scd_type, sk_column, sk_name_for
@@ -32,7 +34,9 @@ from lakeload.sources.files import (
     read_csv,
     read_latest_snapshot,
     read_load,
+    read_silver,
     silver_loads,
+    snapshot_days,
     unconverted,
     typed_copy,
     write_snapshot,
@@ -257,6 +261,26 @@ def run_silver(
     )
 
 
+def run_difference(spark: SparkSession, layout: Layout, spec: SilverSpec, run_date) -> dict:
+    """The load of a day as a difference feed: what its bronze snapshot changed against the snapshot before.
+
+    New and changed rows as they are, removed rows as they were; the first snapshot is new as a whole. Merge such
+    loads with ``on_same_hash='close'``. The load replaces an earlier run of its day, like any silver load."""
+    started, day = _now(), to_day(run_date)
+    days = snapshot_days(spark, layout.bronze(spec.source_path), day)
+    with scratch_scope(spark):
+        rows = silver_frame(spark, layout, spec, run_date)
+        if days[:-1]:
+            rows = snapshot_diff(silver_frame(spark, layout, spec, days[-2]), rows).drop(CHANGE_COL)
+        obs = Observation(f"difference_{spec.table_name}")
+        rows = add_load_date(rows, run_date).observe(obs, F.count(F.lit(1)).alias("rows"))
+        append_silver(rows, layout.silver(spec.table_name))
+    n = observed(obs).get("rows") or 0
+    if not n:
+        mark_empty_load(spark, layout.silver(spec.table_name), day)
+    return _audit(run_date, "silver", spec.table_name, "ok", started, rows_out=n, message=f"difference to {days[-2]}" if days[:-1] else None)
+
+
 # ---------------------------------------------------------------- gold
 def load_gold(
     spark: SparkSession,
@@ -431,23 +455,70 @@ class FactSpec:
     ``lookups``: ``{"dim": "DIM2_customer", "keys": ["o_custkey"], "as_of": "o_orderdate"}`` per dimension
     (``as_of`` optional: without it the current version is used; ``name``: of the surrogate key column, needed
     where one dimension plays several roles).
+
+    ``keep_keys``: the business keys stay in the fact. Rows that were loaded with an unknown key are then resolved
+    by a later run, once the dimension has the key.
     """
 
     table_name: str
     silver_table: str
     lookups: Sequence[Mapping] = ()
+    keep_keys: bool = False
 
     @classmethod
     def from_record(cls, r: Mapping) -> FactSpec:
-        return cls(r["table_name"], r["silver_table"], tuple(dict(x) for x in (r.get("lookups") or ())))
+        return cls(r["table_name"], r["silver_table"], tuple(dict(x) for x in (r.get("lookups") or ())), bool(r.get("keep_keys")))
 
 
 FACT_SPEC_SCHEMA = (
     "table_name string, silver_table string, "
-    "lookups array<struct<dim:string, keys:array<string>, as_of:string, name:string>>"
+    "lookups array<struct<dim:string, keys:array<string>, as_of:string, name:string>>, keep_keys boolean"
 )
 
 
+def _lookups(spark: SparkSession, layout: Layout, spec: FactSpec, keep_keys: bool) -> list[DimLookup]:
+    found = [
+        DimLookup(
+            read_table(spark, layout.gold(lk["dim"])), list(lk["keys"]), as_of=lk.get("as_of"), name=lk.get("name"), keep_keys=keep_keys
+        )
+        for lk in spec.lookups
+    ]
+    for lk in found:
+        check_versions(lk.dim, lk.dim_keys)
+    return found
+
+
+def resolve_late_members(spark: SparkSession, layout: Layout, spec: FactSpec) -> tuple[int, list[str]]:
+    """Give facts that were loaded with an unknown key their SK, where the dimension has the key by now.
+
+    Only rows with an unknown SK are looked up, first with their keys alone. The loads (``LoadDate`` partitions) in which
+    one is found are written anew; all other partitions keep their files. Returns rows resolved and loads rewritten."""
+    gold_path = layout.gold(spec.table_name)
+    if not spec.keep_keys or not silver_loads(spark, gold_path):
+        return 0, []
+    fact = read_silver(spark, gold_path, newest_only=False)
+    lookups = _lookups(spark, layout, spec, keep_keys=True)
+    sks = [lk.sk_name for lk in lookups]
+    unknown = functools.reduce(lambda x, y: x | y, [F.col(c) == UNKNOWN_SK for c in sks])
+    asked = {c for lk in lookups for c in [*lk.fact_keys, *([lk.as_of] if lk.as_of else [])]}
+
+    def looked_up(rows: DataFrame) -> DataFrame:
+        """Unknown SKs asked for again, known ones as they are."""
+        rows = load_fact(rows.withColumnsRenamed({c: f"_ll_had_{c}" for c in sks}), lookups)
+        new = {c: F.when(F.col(f"_ll_had_{c}") == UNKNOWN_SK, F.col(c)).otherwise(F.col(f"_ll_had_{c}")) for c in sks}
+        found = sum((F.col(f"_ll_had_{c}") != new[c]).cast("int") for c in sks)
+        return rows.withColumn("_ll_found", found).withColumns(new)
+
+    seen = looked_up(fact.filter(unknown).select(LOAD_DATE_COL, *sorted(asked - {LOAD_DATE_COL}), *sks))
+    loads = dict(seen.filter("_ll_found > 0").groupBy(LOAD_DATE_COL).agg(F.sum("_ll_found")).collect())  # a row per load
+    if loads:
+        part = fact.filter(F.col(LOAD_DATE_COL).isin(sorted(loads)))
+        with scratch_scope(spark):
+            rows = looked_up(part.filter(unknown)).select(*fact.columns).unionByName(part.filter(~unknown))
+            append_silver(materialize(rows, "late-members"), gold_path)  # written first: it replaces what it reads
+    return sum(loads.values()), sorted(loads)
+
+
 def load_fact_table(spark: SparkSession, layout: Layout, spec: FactSpec, run_date) -> dict:
     """Write silver loads, keys replaced by SKs, as ``LoadDate`` partitions of the gold fact: those up to the run
     date that it does not hold yet, and the run's own (replaced on a re-run). Empty loads are passed over."""
@@ -457,17 +528,14 @@ def load_fact_table(spark: SparkSession, layout: Layout, spec: FactSpec, run_dat
     if not path_exists(spark, silver_path):
         return _audit(run_date, "gold", spec.table_name, "skipped", started, message=f"silver table {silver_path} does not exist")
     day, gold_path = to_day(run_date), layout.gold(spec.table_name)
+    late, _ = resolve_late_members(spark, layout, spec)
+    note = f"{late} late keys resolved" if late else None
     held = set(silver_loads(spark, gold_path))
     pending = [x for x in silver_loads(spark, silver_path) if x == day or x < day and x not in held]
     pending = [x for x in pending if not load_is_empty(spark, silver_path, x)]
     if not pending:
-        return _audit(run_date, "gold", spec.table_name, "skipped", started, message=f"no load with rows to take up to {day}")
-    lookups = [
-        DimLookup(read_table(spark, layout.gold(lk["dim"])), list(lk["keys"]), as_of=lk.get("as_of"), name=lk.get("name"))
-        for lk in spec.lookups
-    ]
-    for lk in lookups:
-        check_versions(lk.dim, lk.dim_keys)
+        return _audit(run_date, "gold", spec.table_name, "skipped", started, message=note or f"no load with rows to take up to {day}")
+    lookups = _lookups(spark, layout, spec, spec.keep_keys)
     rows = missing = 0
     for load in pending:
         out = load_fact(read_load(spark, silver_path, load), lookups)
@@ -478,7 +546,7 @@ def load_fact_table(spark: SparkSession, layout: Layout, spec: FactSpec, run_dat
         rows += obs.get["rows"]
         missing += sum(v or 0 for k, v in obs.get.items() if k.startswith("unknown_"))
     return _audit(run_date, "gold", spec.table_name, "loaded", started, rows_in=rows, rows_out=rows,
-                  message=f"{missing} keys without a dimension row" if missing else None)
+                  message="; ".join([*([note] if note else []), *([f"{missing} keys without a dimension row"] if missing else [])]) or None)
 
 
 def run_facts(

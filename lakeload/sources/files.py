@@ -77,10 +77,15 @@ def write_snapshot(df: DataFrame, base: str, run_date, name: str) -> str:
     return path
 
 
+def snapshot_days(spark: SparkSession, base: str, until: str | None = None) -> list[str]:
+    """The ``yyyy-MM-dd`` folders, oldest first, up to ``until`` if given."""
+    return sorted(n for n in list_dir_names(spark, base) if _DAY_FOLDER.match(n) and (until is None or n <= until))
+
+
 def latest_snapshot_day(spark: SparkSession, base: str, until: str | None = None) -> str | None:
     """Newest ``yyyy-MM-dd`` folder by name (the maximum, not the listing order), up to ``until`` if given."""
-    days = [n for n in list_dir_names(spark, base) if _DAY_FOLDER.match(n) and (until is None or n <= until)]
-    return max(days) if days else None
+    days = snapshot_days(spark, base, until)
+    return days[-1] if days else None
 
 
 def read_latest_snapshot(spark: SparkSession, base: str, name: str, until: str | None = None) -> DataFrame:
@@ -154,6 +159,7 @@ __all__ = [
     "typed_copy",
     "snapshot_path",
     "write_snapshot",
+    "snapshot_days",
     "latest_snapshot_day",
     "read_latest_snapshot",
     "append_silver",
