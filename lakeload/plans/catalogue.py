@@ -312,10 +312,10 @@ FROM orders
 """
 
 
-def _orders_print(df):
+def _orders_print(df, *more):
     return df.select(
         "o_orderkey", "o_custkey", "o_orderstatus", _dec("o_totalprice"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"), "o_orderpriority",
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"), "o_orderpriority", *more,
     )
 
 
@@ -329,20 +329,35 @@ def q_bronze_roundtrip(spark, sf):
     return _orders_print(read_latest_snapshot(spark, base, "orders"))
 
 
-@query(
-    "parquet_scan",
-    """
-SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem
-""",
-)
+LINE_COLS_DEC = """l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS DECIMAL(18,2)) AS l_quantity,
+  CAST(l_extendedprice AS DECIMAL(18,2)) AS l_extendedprice, CAST(l_discount AS DECIMAL(18,2)) AS l_discount,
+  CAST(l_tax AS DECIMAL(18,2)) AS l_tax, l_returnflag, l_linestatus, l_shipdate"""
+SQL_LINES_TEXT = f"""
+SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM (SELECT {LINE_COLS_DEC} FROM lineitem)
+"""
+
+
+def line_dec(spark, sf):
+    return _t(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", _dec("l_quantity"), _dec("l_extendedprice"),
+        _dec("l_discount"), _dec("l_tax"), "l_returnflag", "l_linestatus", "l_shipdate",
+    )
+
+
+def _lines_print(df):
+    return df.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("parquet_scan", SQL_LINES_TEXT)
 def q_parquet_scan(spark, sf):
-    return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    return _lines_print(line_dec(spark, sf))
 
 
 @query(
     "latest_snapshot",
     """
-SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, props
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type,
+  CAST(value AS DECIMAL(18,2)) AS value, props
 FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)
 """,
 )
@@ -353,7 +368,8 @@ def q_latest_snapshot(spark, sf):
     ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).write.partitionBy("day").parquet(path)
     out = read_latest_partition(spark, path, "day")
     return out.select(
-        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "user_id", "event_type", "props"
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "user_id", "event_type",
+        _dec("value"), "props",
     )
 
 
@@ -531,18 +547,6 @@ def q_validate_keys_ok(spark, sf):
     return validate_keys_df(conv).withColumn("key_columns", F.array_join("key_columns", ","))
 
 
-LINE_COLS_DEC = """l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS DECIMAL(18,2)) AS l_quantity,
-  CAST(l_extendedprice AS DECIMAL(18,2)) AS l_extendedprice, CAST(l_discount AS DECIMAL(18,2)) AS l_discount,
-  CAST(l_tax AS DECIMAL(18,2)) AS l_tax, l_returnflag, l_linestatus, l_shipdate"""
-
-
-def line_dec(spark, sf):
-    return _t(spark, sf, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", _dec("l_quantity"), _dec("l_extendedprice"),
-        _dec("l_discount"), _dec("l_tax"), "l_returnflag", "l_linestatus", "l_shipdate",
-    )
-
-
 @query(
     "validate_keys_dup",
     """
@@ -573,10 +577,12 @@ def q_prepare_silver(spark, sf):
 
 @query(
     "distinct_rows",
-    "SELECT DISTINCT l_suppkey, l_returnflag, l_linestatus FROM lineitem",
+    f"SELECT DISTINCT * FROM ({SQL_LINES_TEXT})",
 )
 def q_distinct_rows(spark, sf):
-    return _t(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", "l_linestatus").distinct()
+    """Distinct whole rows of line items and a second copy of all of them."""
+    lines = line_dec(spark, sf)
+    return _lines_print(lines.unionByName(lines).distinct())
 
 
 @query(
@@ -591,7 +597,7 @@ SELECT * EXCLUDE (rn, l_shipdate), strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS
 )
 def q_distinct_keys(spark, sf):
     first = first_per_key(line_dec(spark, sf), ["l_orderkey", "l_linenumber"])
-    return first.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+    return _lines_print(first)
 
 
 @query(
@@ -623,10 +629,10 @@ def q_next_sk_base(spark, sf):
 # ------------------------------------------------------------------ W numbering
 @query(
     "surrogate_key_initial",
-    "SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) AS SK_orders FROM orders",
+    f"SELECT *, row_number() OVER (ORDER BY o_orderkey) AS SK_orders FROM ({SQL_ORDERS_TEXT})",
 )
 def q_surrogate_key_initial(spark, sf):
-    return number_rows(_t(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], "SK_orders")
+    return number_rows(_orders_print(_t(spark, sf, "orders")), ["o_orderkey"], "SK_orders")
 
 
 @query(
@@ -784,23 +790,29 @@ def q_scd2_history(spark, sf):
 @query(
     "fact_sk_lookup",
     "WITH " + SQL_CUST_M2 + """
-SELECT o.o_orderkey, o.o_orderstatus, CAST(o.o_totalprice AS DECIMAL(18,2)) AS o_totalprice,
-       coalesce(c.SK_customer, -1) AS SK_customer
-FROM orders o LEFT JOIN (SELECT * FROM m2_m WHERE updated_date = '999912312359') c ON o.o_custkey = c.KEY_c_custkey
+SELECT o.* EXCLUDE (o_custkey), coalesce(c.SK_customer, -1) AS SK_customer
+FROM (""" + SQL_ORDERS_TEXT + """) o
+LEFT JOIN (SELECT * FROM m2_m WHERE updated_date = '999912312359') c ON o.o_custkey = c.KEY_c_custkey
 """,
 )
 def q_fact_sk_lookup(spark, sf):
-    fact = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", _dec("o_totalprice"))
+    fact = _orders_print(_t(spark, sf, "orders"))
     return load_fact(fact, [DimLookup(cust_gold_day2(spark, sf), ["o_custkey"])])
 
 
+def orders_at(spark, sf):
+    """Whole orders with the stamp that their customer is looked up for."""
+    done = F.date_format("o_orderdate", "yyyyMMddHHmm")
+    at = F.when(F.col("o_orderstatus") == "F", done).otherwise(F.lit("202403101200"))
+    return _orders_print(_t(spark, sf, "orders").withColumn("at_stamp", at), "at_stamp")
+
+
 @query(
     "fact_asof_lookup",
     "WITH " + SQL_CUST_M2 + """,
-sh AS (SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice,
-              CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y%m%d%H%M')
-                   ELSE '202403101200' END AS at_stamp FROM orders)
-SELECT o.o_orderkey, o.o_totalprice, o.at_stamp, coalesce(c.SK_customer, -1) AS SK_customer
+sh AS (SELECT *, CASE WHEN o_orderstatus = 'F' THEN strftime(CAST(o_orderdate AS TIMESTAMP), '%Y%m%d%H%M')
+                   ELSE '202403101200' END AS at_stamp FROM (""" + SQL_ORDERS_TEXT + """))
+SELECT o.* EXCLUDE (o_custkey), coalesce(c.SK_customer, -1) AS SK_customer
 FROM sh o LEFT JOIN m2_m c
   ON o.o_custkey = c.KEY_c_custkey AND c.created_date <= o.at_stamp AND o.at_stamp < c.updated_date
 """,
@@ -808,12 +820,7 @@ FROM sh o LEFT JOIN m2_m c
 def q_fact_asof_lookup(spark, sf):
     """Orders resolved against the version valid at their stamp: finished orders at their order date,
     the others at a time after the day-2 changes (so both sides of a change are exercised)."""
-    o = _t(spark, sf, "orders")
-    at = F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyyMMddHHmm")).otherwise(
-        F.lit("202403101200")
-    )
-    fact = o.select("o_orderkey", "o_custkey", _dec("o_totalprice"), at.alias("at_stamp"))
-    return load_fact(fact, [DimLookup(cust_gold_day2(spark, sf), ["o_custkey"], as_of="at_stamp")])
+    return load_fact(orders_at(spark, sf), [DimLookup(cust_gold_day2(spark, sf), ["o_custkey"], as_of="at_stamp")])
 
 
 @query(
@@ -1093,24 +1100,37 @@ def q_silver_layer_run(spark, sf):
     return out
 
 
-_AS_TEXT = {"orders": "o_orderkey", "part": "p_partkey", "supplier": "s_suppkey", "nation": "n_nationkey"}
+def _plain(*cols, **more):
+    return {**{c: c for c in cols}, **{c: f"{x} AS {c}" for c, x in more.items()}}
+
+
+# key and other columns, as they land
+_AS_TEXT = {
+    "orders": ("o_orderkey", _plain("o_custkey", "o_orderstatus", "o_orderpriority", o_totalprice="CAST(o_totalprice AS DECIMAL(18,2))",
+                                    o_orderdate="strftime(o_orderdate, '%Y-%m-%d')")),
+    "part": ("p_partkey", _plain("p_name", "p_brand", "p_type", "p_size", p_retailprice="CAST(p_retailprice AS DECIMAL(18,2))")),
+    "supplier": ("s_suppkey", _plain("s_name", "s_nationkey", s_acctbal="CAST(s_acctbal AS DECIMAL(18,2))")),
+    "nation": ("n_nationkey", _plain("n_name", "n_regionkey")),
+}
 SQL_FULL_LOAD = (
     "WITH " + SQL_CUST + """,
-t1 AS (SELECT CAST(KEY_c_custkey AS VARCHAR) AS k, HASHCOLUMN FROM s1),
-t2 AS (SELECT CAST(KEY_c_custkey AS VARCHAR) AS k, HASHCOLUMN FROM s2),
+t1 AS (SELECT CAST(KEY_c_custkey AS VARCHAR) AS k, HASHCOLUMN, '2024-03-09' AS LoadDate FROM s1),
+t2 AS (SELECT CAST(KEY_c_custkey AS VARCHAR) AS k, HASHCOLUMN, '2024-03-10' AS LoadDate FROM s2),
 tg AS (SELECT *, row_number() OVER (ORDER BY k) AS sk, '190001010000' AS created_date, '999912312359' AS updated_date FROM t1),"""
-    + sql_scd2("f", "tg", "t2", "k", "sk", ["k", "HASHCOLUMN"], STAMP2)
-    + "SELECT 'DIM2_customer' AS table_name, k AS business_key, sk, created_date, updated_date FROM f_m"
+    + sql_scd2("f", "tg", "t2", "k", "sk", ["k", "HASHCOLUMN", "LoadDate"], STAMP2)
+    + "SELECT 'DIM2_customer' AS table_name, k AS business_key, sk, created_date, updated_date, HASHCOLUMN, LoadDate FROM f_m"
     + "".join(
         f" UNION ALL SELECT '{LAYER_TABLES[t][0]}', CAST({k} AS VARCHAR), row_number() OVER (ORDER BY CAST({k} AS VARCHAR)), "
-        + ("NULL, NULL" if t == "nation" else "'190001010000', '999912312359'") + f" FROM {t}"
-        for t, k in _AS_TEXT.items()
+        + ("NULL, NULL, " if t == "nation" else "'190001010000', '999912312359', ")
+        + sql_hash([f"KEY_{k}", *cols]) + f", '2024-03-09' FROM (SELECT {k}, {k} AS KEY_{k}, {', '.join(cols.values())} FROM {t})"
+        for t, (k, cols) in _AS_TEXT.items()
     )
 )
 
 
 def full_load(spark, sf, base: str | None = None) -> DataFrame:
-    """Two daily runs of all layers (day 2 lands the changed customers); the rows of all gold tables."""
+    """Two daily runs of all layers (day 2 lands the changed customers); the rows of all gold tables,
+    each with the fingerprint of all its columns."""
     layout = Layout(base or scratch_path(spark, "q-lake"))
     bronze, silver, gold = _layer_config()
     _landing(spark, sf, layout)
@@ -1122,7 +1142,7 @@ def full_load(spark, sf, base: str | None = None) -> DataFrame:
         g = read_table(spark, layout.gold(name))
         dates = [F.col(c) if c in g.columns else F.lit(None).cast("string").alias(c) for c in (CREATED_COL, UPDATED_COL)]
         key, sk = F.col(f"KEY_{keys[0]}").alias("business_key"), F.col(f"SK_{t}").alias("sk")
-        frames.append(g.select(F.lit(name).alias("table_name"), key, sk, *dates))
+        frames.append(g.select(F.lit(name).alias("table_name"), key, sk, *dates, "HASHCOLUMN", "LoadDate"))
     return functools.reduce(DataFrame.unionByName, frames)
 
 
@@ -1185,6 +1205,48 @@ def q_run_audit(spark, sf):
     return spark.read.parquet(layout.audit()).drop("started", "finished", "message")
 
 
+@query(
+    "silver_region",
+    _sql_silver("SELECT r_regionkey AS KEY_r_regionkey, r_name FROM region", ["KEY_r_regionkey", "r_name"]),
+)
+def q_silver_region(spark, sf):
+    """Translation-style loader: a key and its text."""
+    return _silver_query(spark, sf, "region", _t(spark, sf, "region"), SilverSpec("DIM1_region", "tpch", "region", ["r_regionkey"]))
+
+
+LINE_SPEC = SilverSpec("DIM2_lineitem", "tpch", "lineitem", ["l_orderkey", "l_linenumber"], first_per_key=True)
+_LINE_SK = "row_number() OVER (ORDER BY KEY_l_orderkey, KEY_l_linenumber)"
+_LINE_GOLD = ", ".join(f"a.{c}" for c in LINE_KEYED if c != "l_linestatus")
+
+
+@query(
+    "gold_lineitem",
+    "WITH l1 AS (" + ORACLES["silver_lineitem"].replace("2024-03-10", "2024-03-09") + "),\n"
+    + f"""a AS (SELECT *, {_LINE_SK} AS SK_lineitem FROM l1),
+c AS (SELECT * REPLACE ('S' AS l_linestatus) FROM a WHERE l_returnflag = 'R' AND l_linestatus <> 'S'),
+h AS (SELECT KEY_l_orderkey, KEY_l_linenumber, {sql_hash(LINE_KEYED)} AS new_hash, {_LINE_SK} AS n FROM c)
+SELECT a.*, '190001010000' AS created_date, CASE WHEN h.n IS NULL THEN '999912312359' ELSE '{STAMP2}' END AS updated_date
+FROM a LEFT JOIN h USING (KEY_l_orderkey, KEY_l_linenumber)
+UNION ALL BY NAME
+SELECT {_LINE_GOLD}, 'S' AS l_linestatus, '2024-03-10' AS LoadDate, h.new_hash AS HASHCOLUMN,
+  (SELECT count(*) FROM a) + h.n AS SK_lineitem, '{STAMP2}' AS created_date, '999912312359' AS updated_date
+FROM a JOIN h USING (KEY_l_orderkey, KEY_l_linenumber)
+""",
+)
+def q_gold_lineitem(spark, sf):
+    """Order items as a type 2 dimension with a key of two columns; day 2 changes the returned ones."""
+    lines = line_dec(spark, sf).withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
+    # the first row of a key stays the first, because only its status differs
+    first = first_per_key(lines, ["l_orderkey", "l_linenumber"])
+    status = F.when(F.col("l_returnflag") == "R", F.lit("S")).otherwise(F.col("l_linestatus"))
+    layout = _bronze_layout(spark, sf, {"lineitem": lines}, DAY1)
+    write_snapshot(first.withColumn("l_linestatus", status), layout.bronze("tpch"), DAY2, "lineitem")
+    for day in (DAY1, DAY2):
+        run_silver(spark, layout, [LINE_SPEC], day)
+        load_gold(spark, layout, "DIM2_lineitem", day)
+    return read_table(spark, layout.gold("DIM2_lineitem"))
+
+
 # ------------------------------------------------------------------ loads that are empty, missed, repeated or change shape
 CUST_SPEC = SilverSpec("DIM2_customer", "tpch", "customer", ["c_custkey"])
 SQL_LOADS = SQL_CUST + """,
@@ -1294,15 +1356,15 @@ def q_scd2_merge_new_column(spark, sf):
     "fact_two_roles",
     "WITH " + SQL_CUST_M2 + """,
 cur AS (SELECT KEY_c_custkey, SK_customer FROM m2_m WHERE updated_date = '999912312359')
-SELECT o.o_orderkey, coalesce(b.SK_customer, -1) AS SK_bill_to, coalesce(s.SK_customer, -1) AS SK_ship_to
-FROM orders o LEFT JOIN cur b ON b.KEY_c_custkey = o.o_custkey
+SELECT o.* EXCLUDE (o_custkey), coalesce(b.SK_customer, -1) AS SK_bill_to, coalesce(s.SK_customer, -1) AS SK_ship_to
+FROM (""" + SQL_ORDERS_TEXT + """) o LEFT JOIN cur b ON b.KEY_c_custkey = o.o_custkey
 LEFT JOIN cur s ON s.KEY_c_custkey = o.o_custkey // 2 + o.o_orderkey % 7
 """,
 )
 def q_fact_two_roles(spark, sf):
     """Two lookups into one dimension, each under its own name."""
     ship_to = F.floor(F.col("o_custkey") / 2) + F.col("o_orderkey") % 7
-    fact = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", ship_to.alias("ship_to"))
+    fact = _orders_print(_t(spark, sf, "orders").withColumn("ship_to", ship_to), "ship_to")
     cust = cust_gold_day2(spark, sf)
     return load_fact(
         fact, [DimLookup(cust, ["o_custkey"], name="SK_bill_to"), DimLookup(cust, ["ship_to"], name="SK_ship_to")]

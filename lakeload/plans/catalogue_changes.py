@@ -33,6 +33,7 @@ from lakeload.plans.catalogue import (
     cust_raw_day2,
     cust_raw_day3,
     cust_src,
+    orders_at,
     part_raw,
     part_raw_day2,
     part_src,
@@ -119,10 +120,7 @@ def q_gold_load_difference_feed(spark, sf):
 @query("fact_asof_union", ORACLES["fact_asof_lookup"])
 def q_fact_asof_union(spark, sf):
     """The as-of lookup of ``fact_asof_lookup`` by one sort of facts and versions instead of a range join."""
-    o = _t(spark, sf, "orders")
-    at = F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyyMMddHHmm")).otherwise(F.lit("202403101200"))
-    fact = o.select("o_orderkey", "o_custkey", _dec("o_totalprice"), at.alias("at_stamp"))
-    return lookup_sk_sorted(fact, DimLookup(cust_gold_day2(spark, sf), ["o_custkey"], as_of="at_stamp"))
+    return lookup_sk_sorted(orders_at(spark, sf), DimLookup(cust_gold_day2(spark, sf), ["o_custkey"], as_of="at_stamp"))
 
 
 _LATE = {3: 1, 8: 2}  # nations whose customers arrive after so many days

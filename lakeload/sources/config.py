@@ -1,8 +1,8 @@
 """Table configurations: files of concatenated JSON objects (not an array, not one object per line).
 
 ``spark.read.json(multiLine=True)`` returns only the first object of such a file, so each file is
-read whole (configs are small metadata files; every file is its own task), split between a closing
-and the next opening brace, and parsed with an explicit schema.
+read whole (configs are small metadata files; every file is its own task), cut into its objects and parsed with
+an explicit schema. Braces inside strings do not count; text that is no object fails the read.
 """
 
 from __future__ import annotations
@@ -17,14 +17,21 @@ BRONZE_SCHEMA = "source_path string, source_name string, target_path string, tar
 CSV_SCHEMA = "sep string, quote string, escape string, multi_line boolean, encoding string, on_malformed string"
 SILVER_SCHEMA = "notebook_path string, table_name string"
 GOLD_SCHEMA = "table_name string"
-_BETWEEN_OBJECTS = r"(?<=\})\s*(?=\{)"
+# what is no brace, with strings as a whole: braces inside a string open and close nothing
+_PLAIN = r'[^{}"]++|"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_INNER = rf"(?:{_PLAIN})*+"
+for _ in range(4):  # objects in objects, far deeper than a configuration has them
+    _INNER = rf"(?:{_PLAIN}|\{{{_INNER}\}})*+"
+_OBJECT = rf"\{{{_INNER}\}}"
 
 
 def read_config(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     text = spark.read.text(path, wholetext=True)
     body = F.regexp_replace(F.col("value"), "^\uFEFF", "")  # a UTF-8 byte-order mark, if any
-    objs = text.select(F.explode(F.split(body, _BETWEEN_OBJECTS)).alias("obj"))
-    objs = objs.select(F.trim(F.col("obj")).alias("obj")).filter(F.col("obj") != "")
+    rest = F.trim(F.regexp_replace(F.regexp_replace(body, _OBJECT, ""), r"\s+", " "))
+    stray = F.raise_error(F.concat(F.lit("text that is no object in a configuration: "), F.substring(rest, 1, 200)))
+    found = F.when(rest == "", F.regexp_extract_all(body, F.lit(_OBJECT), 0)).otherwise(stray.cast("array<string>"))
+    objs = text.select(F.explode(found).alias("obj"))
     parsed = objs.select(F.from_json("obj", schema, {"mode": "FAILFAST"}).alias("r"))
     return parsed.select("r.*")
 

@@ -1,7 +1,9 @@
 """Config reader, CSV landing, dated snapshots, silver appends, versioned tables."""
 
+import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeload.sources.config import BRONZE_SCHEMA, GOLD_SCHEMA, read_config
@@ -105,3 +107,19 @@ def test_config_with_byte_order_mark(spark, tmp_base):
     with open(path, "wb") as f:
         f.write(b'\xef\xbb\xbf{"table_name":"DIM1_a"}\r\n{"table_name":"DIM2_b"}\r\n')
     assert [r["table_name"] for r in read_config(spark, path, GOLD_SCHEMA).collect()] == ["DIM1_a", "DIM2_b"]
+
+
+@pytest.mark.parametrize("value", ["a } { b", '} {"x": 1}', 'quote " and \\ back} {slash', "x" * 50_000 + "}{" * 500])
+def test_braces_inside_strings_cut_no_object(spark, tmp_base, value):
+    one = {"source_path": value, "source_name": "{", "target_path": "}", "target_name": "t"}
+    text = "﻿" + json.dumps(one, indent=4) + "\r\n\r\n" + json.dumps({**one, "target_name": "u"}) + "\n"
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{tmp_base}/config")
+    got = [r.asDict() for r in read_config(spark, f"{tmp_base}/config", BRONZE_SCHEMA).collect()]
+    assert got == [one, {**one, "target_name": "u"}]
+
+
+@pytest.mark.parametrize("text", ['{"table_name": "a"} x', '{"table_name": "a"', '{"table_name": "a"}}', '[{"table_name": "a"}]'])
+def test_text_that_is_no_object_fails(spark, tmp_base, text):
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{tmp_base}/config")
+    with pytest.raises(Exception, match="no object"):
+        read_config(spark, f"{tmp_base}/config", GOLD_SCHEMA).collect()
