@@ -79,6 +79,15 @@ def translate_errors(fn, *args, **kwargs):
         raise
 
 
+def max_frame(column: str, *frames: DataFrame | None) -> DataFrame:
+    """One row: the highest value of ``column`` in any of the frames, 0 if there is none. Not computed yet."""
+    tops = [df.agg(F.max(column).alias(column)) for df in frames if df is not None]
+    whole = tops[0]
+    for df in tops[1:]:
+        whole = whole.unionByName(df)
+    return whole.agg(F.coalesce(F.max(column), F.lit(0)).cast("bigint").alias(column))
+
+
 def max_value(df: DataFrame, column: str) -> int:
     """Scalar ``coalesce(max(column), 0)``: one value to the driver (pruned to one column)."""
     v = df.agg(F.max(column)).first()[0]

@@ -26,7 +26,7 @@ from pyspark.sql.types import MapType
 
 from lakeload.sources.store import materialize
 
-_PID, _POS, _TIE, _SEQ, _CNT, _OFF = "_ll_pid", "_ll_pos", "_ll_tie", "_ll_seq", "_ll_cnt", "_ll_off"
+_PID, _POS, _TIE, _SEQ, _CNT, _OFF, _BASE = "_ll_pid", "_ll_pos", "_ll_tie", "_ll_seq", "_ll_cnt", "_ll_off", "_ll_base"
 MAX_NUMBER = (1 << 63) - 1
 
 
@@ -45,12 +45,14 @@ def number_rows(
     df: DataFrame,
     order_by: Sequence[str],
     name: str,
-    offset: int = 0,
+    offset: int | DataFrame = 0,
     num_partitions: int | None = None,
     unique: bool = False,
 ) -> DataFrame:
     """Append ``name`` = ``offset`` + 1..n in ``order_by`` order (ascending, NULLs first), as bigint.
 
+    ``offset`` may be a frame of one row and one column; it is then part of the plan, broadcast when that runs.
+
     ``unique=True`` declares the order columns unique (no tie-breakers needed). Otherwise rows equal
     on ``order_by`` are ordered by a hash of all columns, identical rows in any order (the result is
     the same multiset either way).
@@ -86,9 +88,14 @@ def number_rows(
     offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
     nth = F.col(_OFF) + F.col(_POS) + F.lit(1)
     past = F.raise_error(F.lit(f"{name} would pass the largest bigint")).cast("bigint")
-    # at most n rows of (int, long): a proven bound, so the broadcast is safe
+    if isinstance(offset, DataFrame):  # one row joins the n rows of offsets
+        offsets = offsets.join(offset.toDF(_BASE))
+    else:
+        offsets = offsets.withColumn(_BASE, F.lit(int(offset)).cast("bigint"))
+    base = F.col(_BASE)
+    # at most n rows of an int and two longs: a proven bound, so the broadcast is safe
     return (
         staged.join(F.broadcast(offsets), _PID, "inner")
-        .withColumn(name, F.when(nth > F.lit(MAX_NUMBER - int(offset)), past).otherwise((nth + F.lit(int(offset))).cast("bigint")))
-        .drop(_PID, _POS, _OFF)
+        .withColumn(name, F.when(nth > F.lit(MAX_NUMBER) - base, past).otherwise((nth + base).cast("bigint")))
+        .drop(_PID, _POS, _OFF, _BASE)
     )

@@ -54,7 +54,7 @@ def prepare_silver(
         # (no SHA-256 pass in the validation job)
         res = validate_keys(df.drop(HASH_COL), ignored)
         if not res.valid:
-            raise DuplicateKeyError(f"duplicate key values ({', '.join(res.key_columns)})")
+            raise DuplicateKeyError(not_unique(res.key_columns))
     return hash_key(df, HASH_COL, ignored, mode)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.operators._joins import SRC, key_condition, max_value, prefixed, translate_errors, unique_rows
+from lakeload.operators._joins import SRC, key_condition, max_frame, prefixed, translate_errors, unique_rows
 from lakeload.operators.numbering import number_rows
 from lakeload.plans.roles import HASH_COL, attribute_columns, resolve_keys, sk_column, sk_name_for
 
@@ -33,7 +33,7 @@ def scd1_merge(
     null_safe_keys: bool = False,
     check_source: bool = True,
     num_partitions: int | None = None,
-    max_sk: int | None = None,
+    max_sk: int | DataFrame | None = None,
 ) -> DataFrame:
     """Upsert by key.
 
@@ -70,7 +70,7 @@ def scd1_merge(
         F.col("_ll_gsk"),
         F.when(is_new, F.lit(0)).otherwise(F.lit(1)).alias("_ll_grp"),
     )
-    base = max_value(gold, sk) if max_sk is None else int(max_sk)
+    base = max_frame(sk, gold) if max_sk is None else max_sk
     numbered = translate_errors(
         number_rows, staged, ["_ll_grp", *[SRC + k for k in ks]], "_ll_new_sk", base, num_partitions,
         unique=check_source,

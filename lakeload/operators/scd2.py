@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.functions.dates import stamp_to_timestamp, to_stamp
-from lakeload.operators._joins import SRC, key_condition, max_value, prefixed, translate_errors, unique_rows
+from lakeload.operators._joins import SRC, key_condition, max_frame, prefixed, translate_errors, unique_rows
 from lakeload.operators.numbering import number_rows
 from lakeload.operators.prepare import hash_key
 from lakeload.plans.roles import (
@@ -209,20 +209,19 @@ def scd2_change(
     null_safe_keys: bool = False,
     check_source: bool = True,
     num_partitions: int | None = None,
-    max_sk: int | None = None,
+    max_sk: int | DataFrame | None = None,
 ) -> Scd2Change:
     """Merge ``source`` into the open versions ``current`` (rules: :func:`scd2_merge`).
 
     ``closed``: the closed versions. Only their key columns are read, and only if keys without an open version
-    are inserted. ``max_sk``: the highest SK of both (default: looked up)."""
+    are inserted. ``max_sk``: the highest SK of both (default: a scalar of the plan, found when it runs)."""
     if on_same_hash not in (IGNORE, CLOSE):
         raise ValueError(f"on_same_hash must be {IGNORE!r} or {CLOSE!r}")
     ks = resolve_keys(current.columns, keys)
     sk = sk_column(current.columns)
     stamp = to_stamp(now)
     added = [c for c in source.columns if c not in current.columns]
-    if max_sk is None:
-        max_sk = max(max_value(df, sk) for df in (current, closed) if df is not None)
+    base = max_frame(sk, current, closed) if max_sk is None else max_sk
     current = with_new_columns(current, source)
     data_cols = [c for c in current.columns if c not in (sk, CREATED_COL, UPDATED_COL)]
     missing = [c for c in data_cols if c not in source.columns]
@@ -259,7 +258,7 @@ def scd2_change(
     # (group, source keys, target SK) is unique: closes of keys missing from the source (NULL source
     # keys) are told apart by the SK of the version they close, so they spread over range partitions.
     numbered = translate_errors(
-        number_rows, staged, ["_ll_grp", *[SRC + k for k in ks], _T + "sk"], "_ll_new_sk", int(max_sk), num_partitions,
+        number_rows, staged, ["_ll_grp", *[SRC + k for k in ks], _T + "sk"], "_ll_new_sk", base, num_partitions,
         unique=check_source,
     )
 
@@ -304,7 +303,7 @@ def scd2_merge(
     null_safe_keys: bool = False,
     check_source: bool = True,
     num_partitions: int | None = None,
-    max_sk: int | None = None,
+    max_sk: int | DataFrame | None = None,
 ) -> DataFrame:
     """Merged dimension (all versions).
 
@@ -322,8 +321,6 @@ def scd2_merge(
     ``now`` before the start of a version that it would close is an error.
     """
     closed = gold.filter(~is_open_version())
-    if max_sk is None:
-        max_sk = max_value(gold, sk_column(gold.columns))
     change = scd2_change(
         gold.filter(is_open_version()), source, closed, keys, now, on_same_hash, close_missing, null_safe_keys,
         check_source, num_partitions, max_sk,

@@ -32,6 +32,10 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+def not_unique(keys: Sequence[str]) -> str:
+    return f"different rows share one value of {', '.join(keys)}"
+
+
 def validate_keys_df(df: DataFrame, ignore: Iterable[str] = (), keys: Sequence[str] | None = None) -> DataFrame:
     """One row ``(valid, n_rows, n_keys, key_columns)``; ``n_rows`` counts distinct rows."""
     ignored = set(ignore)

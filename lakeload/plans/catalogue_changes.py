@@ -13,6 +13,7 @@ from lakeload.operators.prepare import hash_key, rename_keys
 from lakeload.operators.scd1 import scd1_create
 from lakeload.operators.scd2 import CLOSE, scd2_create, scd2_interval_join, scd2_merge
 from lakeload.operators.snapshots import snapshot_diff
+from lakeload.operators.validate import DuplicateKeyError
 from lakeload.plans.catalogue import (
     CUST_COLS,
     CUST_SPEC,
@@ -27,6 +28,7 @@ from lakeload.plans.catalogue import (
     STAMP2,
     STAMP3,
     _dec,
+    _landing,
     _t,
     cust_gold_day2,
     cust_raw,
@@ -42,10 +44,19 @@ from lakeload.plans.catalogue import (
     sql_scd2,
 )
 from lakeload.plans.layout import Layout
-from lakeload.plans.runs import FactSpec, SilverSpec, load_gold, run_difference, run_facts, run_silver
+from lakeload.plans.runs import (
+    FactSpec,
+    SilverSpec,
+    load_gold,
+    register_gold_tables,
+    run_difference,
+    run_facts,
+    run_layers,
+    run_silver,
+)
 from lakeload.session import scratch_path
 from lakeload.sources.buckets import create_buckets, merge_scd1_buckets, merge_scd2_buckets, read_buckets
-from lakeload.sources.files import write_snapshot
+from lakeload.sources.files import read_silver, silver_loads, write_snapshot
 from lakeload.sources.store import read_table
 
 
@@ -116,6 +127,85 @@ def q_gold_load_difference_feed(spark, sf):
     return read_table(spark, layout.gold("DIM2_customer"))
 
 
+# ------------------------------------------------------------------ C4, C5 stage, check, publish
+@query(
+    "silver_publish",
+    "WITH " + SQL_LOADS.rstrip().rstrip(",") + """
+SELECT * FROM l1 UNION ALL SELECT * FROM l2
+""",
+)
+def q_silver_publish(spark, sf):
+    """A broken second load (two rows for some keys) is dropped before it is seen, its repair is published."""
+    layout, r1 = Layout(scratch_path(spark, "q-lake")), cust_raw(spark, sf)
+    good = cust_raw_day2(r1)
+    broken = good.unionByName(good.filter("c_nationkey = 7").withColumn("c_name", F.lit("another")))
+    for day, raw in ((DAY1, r1), (DAY2, broken), (DAY2, good)):
+        write_snapshot(raw, layout.bronze("tpch"), day, "customer")
+        try:
+            run_silver(spark, layout, [CUST_SPEC], day)
+        except DuplicateKeyError:
+            if silver_loads(spark, layout.silver("DIM2_customer")) != [DAY1]:
+                raise
+    return read_silver(spark, layout.silver("DIM2_customer"), newest_only=False)
+
+
+# ------------------------------------------------------------------ C14, N2 a run goes on where it stopped
+@query(
+    "run_resume",
+    """
+WITH c AS (SELECT count(*) AS n FROM customer), o AS (SELECT count(*) AS n FROM orders)
+SELECT 'bronze' AS layer, 'customer' AS table_name, 'ok' AS status, n AS rows_out FROM c
+UNION ALL SELECT 'bronze', 'orders', 'ok', n FROM o
+UNION ALL SELECT 'silver', 'DIM2_customer', 'ok', n FROM c
+UNION ALL SELECT 'silver', 'DIM2_orders', 'failed', NULL
+UNION ALL SELECT 'bronze', 'customer', 'kept', NULL UNION ALL SELECT 'bronze', 'orders', 'kept', NULL
+UNION ALL SELECT 'silver', 'DIM2_customer', 'kept', NULL UNION ALL SELECT 'silver', 'DIM2_orders', 'ok', n FROM o
+UNION ALL SELECT 'gold', 'DIM2_customer', 'created', n FROM c UNION ALL SELECT 'gold', 'DIM2_orders', 'created', n FROM o
+""",
+)
+def q_run_resume(spark, sf):
+    """The first run fails in silver (orders keyed by customer); repaired, the run goes on from its log."""
+    layout, tables = Layout(scratch_path(spark, "q-lake")), ("customer", "orders")
+    bronze = [{"source_path": "tpch/", "source_name": f"{n}.csv", "target_path": "tpch/", "target_name": n} for n in tables]
+    _landing(spark, sf, layout, only=tables)
+    for key in ("o_custkey", "o_orderkey"):
+        specs = [CUST_SPEC, SilverSpec("DIM2_orders", "tpch", "orders", [key])]
+        try:
+            run_layers(spark, layout, bronze, specs, [s.table_name for s in specs], DAY1, resume=True)
+        except DuplicateKeyError:
+            if key != "o_custkey":
+                raise
+    return spark.read.parquet(layout.audit()).select("layer", "table_name", "status", "rows_out")
+
+
+# ------------------------------------------------------------------ S11 SQL objects of the catalog
+@query(
+    "gold_sql_table",
+    "WITH " + SQL_LOADS + sql_scd2("x2", "lg1", "l2", "KEY_c_custkey", "SK_customer", LOAD_DATA, STAMP2).lstrip()
+    + """
+SELECT c_nationkey, count(*) AS versions, count(DISTINCT KEY_c_custkey) AS customers,
+  count(*) FILTER (WHERE updated_date = '999912312359') AS open_versions,
+  CAST(sum(c_acctbal) FILTER (WHERE updated_date = '999912312359') AS DECIMAL(28, 2)) AS balance
+FROM x2_m GROUP BY c_nationkey
+""",
+)
+def q_gold_sql_table(spark, sf):
+    """Another session of the cluster asks the views that the loads left in the catalog."""
+    layout, r1 = Layout(scratch_path(spark, "q-lake")), cust_raw(spark, sf)
+    prefix = "q_" + layout.base.rstrip("/").rsplit("-", 1)[-1] + "_"
+    for day, raw in ((DAY1, r1), (DAY2, cust_raw_day2(r1))):
+        write_snapshot(raw, layout.bronze("tpch"), day, "customer")
+        run_silver(spark, layout, [CUST_SPEC], day)
+        load_gold(spark, layout, "DIM2_customer", day)
+        register_gold_tables(spark, layout, ["DIM2_customer"], prefix)
+    return spark.newSession().sql(f"""
+        SELECT a.c_nationkey, versions, customers, coalesce(open_versions, 0) AS open_versions, balance
+        FROM (SELECT c_nationkey, count(*) AS versions, count(DISTINCT KEY_c_custkey) AS customers
+              FROM {prefix}DIM2_customer GROUP BY c_nationkey) a
+        LEFT JOIN (SELECT c_nationkey, count(*) AS open_versions, CAST(sum(c_acctbal) AS DECIMAL(28, 2)) AS balance
+              FROM {prefix}DIM2_customer_current GROUP BY c_nationkey) b ON a.c_nationkey = b.c_nationkey""")
+
+
 # ------------------------------------------------------------------ N1 facts
 @query("fact_asof_union", ORACLES["fact_asof_lookup"])
 def q_fact_asof_union(spark, sf):

@@ -23,9 +23,9 @@ from lakeload.operators.prepare import add_load_date, prepare_silver, rename_key
 from lakeload.operators.scd1 import scd1_create, scd1_merge
 from lakeload.operators.scd2 import IGNORE, is_open_version, scd2_change, scd2_create, with_new_columns
 from lakeload.operators.snapshots import CHANGE_COL, snapshot_diff
-from lakeload.operators.validate import first_per_key
+from lakeload.operators.validate import DuplicateKeyError, first_per_key, not_unique, validate_keys
 from lakeload.plans.layout import Layout
-from lakeload.plans.roles import LOAD_DATE_COL, OPEN_END, UPDATED_COL, key_columns, scd_type, sk_column, sk_name_for
+from lakeload.plans.roles import HASH_COL, LOAD_DATE_COL, OPEN_END, UPDATED_COL, key_columns, scd_type, sk_column, sk_name_for
 from lakeload.sources.config import BRONZE_SCHEMA, CSV_SCHEMA, GOLD_SCHEMA, config_records, read_config
 from lakeload.sources.files import (
     append_silver,
@@ -34,17 +34,20 @@ from lakeload.sources.files import (
     read_csv,
     read_latest_snapshot,
     read_load,
+    publish_load,
     read_silver,
     silver_loads,
     snapshot_days,
+    stage_load,
     unconverted,
     typed_copy,
     write_snapshot,
 )
-from lakeload.sources.fs import path_exists
+from lakeload.sources.fs import delete_path, path_exists
 from lakeload.sources.store import (
     append_closed,
     current_version,
+    current_version_path,
     last_load,
     materialize,
     observed,
@@ -210,7 +213,7 @@ def run_bronze(
 def silver_frame(
     spark: SparkSession, layout: Layout, spec: SilverSpec, run_date, seen: Observation | None = None
 ) -> DataFrame:
-    """Newest bronze snapshot up to the run date -> typed -> keys marked -> stamped -> hashed and validated.
+    """Newest bronze snapshot up to the run date -> typed -> keys marked -> stamped -> hashed; keys are not checked.
 
     ``seen`` observes the rows read and the values that did not convert."""
     df = read_latest_snapshot(spark, layout.bronze(spec.source_path), spec.source_name, to_day(run_date))
@@ -230,28 +233,41 @@ def silver_frame(
     if spec.first_per_key:  # the keys are unique then: nothing to check
         return prepare_silver(first_per_key(df, key_columns(df.columns)), validate=False)
     if spec.distinct or spec.dedupe:
-        # written once: the key check and the load would each shuffle the rows again
-        rows = df.distinct() if spec.distinct else df.dropDuplicates([c for c in df.columns if c != LOAD_DATE_COL])
-        return prepare_silver(materialize(rows, "silver"))
-    return prepare_silver(df)
+        df = df.distinct() if spec.distinct else df.dropDuplicates([c for c in df.columns if c != LOAD_DATE_COL])
+    return prepare_silver(df, validate=False)
+
+
+def check_load(staged: DataFrame) -> None:
+    """Raise unless each key of a staged load has one row, by its keys and row fingerprint alone."""
+    keys = key_columns(staged.columns)
+    if keys and not validate_keys(staged.select(*keys, HASH_COL)).valid:
+        raise DuplicateKeyError(not_unique(keys))
 
 
 def run_silver(
     spark: SparkSession, layout: Layout, specs: Iterable[SilverSpec], run_date, parallelism: int | None = None,
     log: list[dict] | None = None,
 ) -> list[dict]:
-    """One load per table. The load replaces an earlier run of its day; a load without rows is marked as such."""
+    """One load per table: staged, checked, published. The rows are computed and written once, in a folder beside the
+    table; the check reads keys and fingerprint of what was written. A load that passes takes the place of an earlier
+    run of its day by renaming; one that fails leaves no trace. A load without rows is marked as such."""
 
     def one(spec: SilverSpec) -> dict:
         started = _now()
         seen, obs = Observation(f"read_{spec.table_name}"), Observation(f"silver_{spec.table_name}")
-        with scratch_scope(spark):
-            df = silver_frame(spark, layout, spec, run_date, seen).observe(obs, F.count(F.lit(1)).alias("rows"))
-            append_silver(df, layout.silver(spec.table_name))
-        n, read = observed(obs).get("rows") or 0, observed(seen)
+        path = layout.silver(spec.table_name)
+        df = silver_frame(spark, layout, spec, run_date, seen).observe(obs, F.count(F.lit(1)).alias("rows"))
+        staging = stage_load(df, path)
+        try:
+            n, read = observed(obs).get("rows") or 0, observed(seen)
+            if n and not spec.first_per_key:
+                check_load(spark.read.parquet(staging))
+            publish_load(spark, staging, path)
+        finally:
+            delete_path(spark, staging)
         lost = read.get("lost")
         if not n:
-            mark_empty_load(spark, layout.silver(spec.table_name), to_day(run_date))
+            mark_empty_load(spark, path, to_day(run_date))
         return _audit(run_date, "silver", spec.table_name, "ok", started, rows_in=read.get("rows") or 0, rows_out=n,
                       message=f"{lost} values did not convert" if lost else None)
 
@@ -270,8 +286,11 @@ def run_difference(spark: SparkSession, layout: Layout, spec: SilverSpec, run_da
     days = snapshot_days(spark, layout.bronze(spec.source_path), day)
     with scratch_scope(spark):
         rows = silver_frame(spark, layout, spec, run_date)
-        if days[:-1]:
+        if days[:-1]:  # raises if a snapshot has different rows for one key
             rows = snapshot_diff(silver_frame(spark, layout, spec, days[-2]), rows).drop(CHANGE_COL)
+        elif not spec.first_per_key:
+            rows = materialize(rows, "first-snapshot")
+            check_load(rows)
         obs = Observation(f"difference_{spec.table_name}")
         rows = add_load_date(rows, run_date).observe(obs, F.count(F.lit(1)).alias("rows"))
         append_silver(rows, layout.silver(spec.table_name))
@@ -376,7 +395,7 @@ def _create_or_merge(
         if exists:
             gold = read_table(spark, gold_path)
             sk = sk_column(gold.columns)
-            before = max_value(gold, sk)
+            before = max_value(gold, sk)  # known anyway, for the count of inserted rows
             out = scd1_merge(gold, source, keys, max_sk=before)
         else:
             sk, before = sk_name_for(table_name), 0
@@ -575,7 +594,58 @@ def register_gold_views(spark: SparkSession, layout: Layout, tables: Iterable[st
     return names
 
 
+def register_gold_tables(spark: SparkSession, layout: Layout, tables: Iterable[str], prefix: str = "") -> list[str]:
+    """Objects of the catalog for SQL access from any session that shares it: per table, external tables over its files
+    and the views ``<prefix><table>`` (all rows) and, for type 2, ``<prefix><table>_current``.
+
+    Call it after a load: the tables point at files, so registering them anew moves no data. ``prefix`` may name a
+    database (``"sales."``)."""
+    names = []
+    for t in tables:
+        path, name = layout.gold(t), f"{prefix}{t}"
+        if not table_exists(spark, path):  # a fact: partitions of its loads
+            _external(spark, f"{name}_files", spark.read.parquet(path), path, LOAD_DATE_COL)
+            parts = [f"SELECT * FROM {name}_files"]
+        else:
+            own, version = read_own_rows(spark, path), current_version(spark, path)
+            _external(spark, f"{name}_files", own, current_version_path(spark, path))
+            parts = [f"SELECT * FROM {name}_files"]
+            if version.since is not None and path_exists(spark, f"{path}/closed"):
+                _external(spark, f"{name}_closed_files", own.withColumn("n", F.lit(0)), f"{path}/closed", "n")
+                cols = ", ".join(f"`{c}`" for c in own.columns)
+                parts.append(f"SELECT {cols} FROM {name}_closed_files WHERE n BETWEEN {version.since} AND {version.number}")
+            if UPDATED_COL in own.columns:
+                spark.sql(f"CREATE OR REPLACE VIEW {name}_current AS {parts[0]} WHERE {UPDATED_COL} = '{OPEN_END}'")
+                names.append(f"{name}_current")
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {' UNION ALL '.join(parts)}")
+        names.append(name)
+    return names
+
+
+def _external(spark: SparkSession, name: str, like: DataFrame, path: str, part: str | None = None) -> None:
+    """An external table with the columns of ``like`` over the files of ``path``."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    by = f"PARTITIONED BY ({part})" if part else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {by} LOCATION '{path}'")
+    if part:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
 # ---------------------------------------------------------------- full run
+KEPT = "kept"  # left out by a resumed run
+FINISHED = ("ok", "created", "merged", "loaded", KEPT)
+
+
+def finished_tables(spark: SparkSession, layout: Layout, run_date) -> set[tuple[str, str]]:
+    """(layer, table) whose last entry in the run log of the day says that they are done; a row per table and layer."""
+    if not path_exists(spark, layout.audit()):
+        return set()
+    log = spark.read.schema(AUDIT_SCHEMA).parquet(layout.audit()).filter(F.col("run_date") == to_day(run_date))
+    last = log.groupBy("layer", "table_name").agg(F.max_by("status", F.struct("finished", "started")).alias("status"))
+    return {(r.layer, r.table_name) for r in last.filter(F.col("status").isin(*FINISHED)).collect()}
+
+
 def audit_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, AUDIT_SCHEMA)
 
@@ -590,20 +660,35 @@ def run_layers(
     write_audit: bool = True,
     parallelism: int | None = None,
     fact_specs: Iterable[FactSpec] = (),
+    resume: bool = False,
     **merge_options,
 ) -> DataFrame:
     """Bronze, then silver, then gold dimensions, then gold facts; a failing layer stops the run.
 
-    The run log gets a row for every table that ran, also when the run fails.
+    The run log gets a row for every table that ran, also when the run fails. With ``resume`` the run reads the log of
+    its day first and leaves out tables that an earlier run finished (logged as ``kept``).
 
     Within a layer the tables load concurrently (``parallelism`` tables at a time, default up to 8).
     """
     rows: list[dict] = []
+    done = finished_tables(spark, layout, run_date) if resume else set()
+
+    def left(layer: str, items: Iterable, name: Callable) -> list:
+        """The tables still to do; the others are logged."""
+        todo = []
+        for x in items:
+            if (layer, name(x)) in done:
+                rows.append(_audit(run_date, layer, name(x), KEPT, _now(), message="finished by an earlier run of the day"))
+            else:
+                todo.append(x)
+        return todo
+
+    of_spec = lambda s: s.table_name
     try:
-        run_bronze(spark, layout, bronze_entries, run_date, parallelism, rows)
-        run_silver(spark, layout, silver_specs, run_date, parallelism, rows)
-        run_gold(spark, layout, gold_tables, run_date, parallelism, rows, **merge_options)
-        run_facts(spark, layout, fact_specs, run_date, parallelism, rows)
+        run_bronze(spark, layout, left("bronze", bronze_entries, lambda e: e["target_name"]), run_date, parallelism, rows)
+        run_silver(spark, layout, left("silver", silver_specs, of_spec), run_date, parallelism, rows)
+        run_gold(spark, layout, left("gold", gold_tables, str), run_date, parallelism, rows, **merge_options)
+        run_facts(spark, layout, left("gold", fact_specs, of_spec), run_date, parallelism, rows)
     finally:
         if write_audit and rows:
             audit_frame(spark, rows).write.mode("append").parquet(layout.audit())

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.functions.dates import to_stamp
-from lakeload.operators._joins import max_value, translate_errors, unique_rows
+from lakeload.operators._joins import max_frame, translate_errors, unique_rows
 from lakeload.operators.scd1 import scd1_merge
 from lakeload.operators.scd2 import CLOSE, IGNORE, is_open_version, scd2_change
 from lakeload.plans.roles import HASH_COL, UPDATED_COL, resolve_keys, sk_column
@@ -143,7 +143,7 @@ def merge_scd1_buckets(spark: SparkSession, path: str, source: DataFrame, keys:
         ).first()
         part = current.filter(F.col(BUCKET).isin(touched)).drop(BUCKETS, BUCKET)
         merged = scd1_merge(
-            part, changed.drop(BUCKET, "_ll_hash"), ks, check_source=False, max_sk=max_value(current, sk)
+            part, changed.drop(BUCKET, "_ll_hash"), ks, check_source=False, max_sk=max_frame(sk, current)
         )
         _replace(spark, merged, path, ks, n, touched)
     return {"inserted": new, "updated": old, "buckets": touched}
@@ -174,10 +174,9 @@ def merge_scd2_buckets(
         closed = None if history is None else history.filter(here)
         # to tell vanished keys from unchanged ones, the merge needs all source rows of the touched buckets
         rows = rows.filter(here).drop(BUCKET) if close_missing else changed.drop(BUCKET, "_ll_hash")
-        top = max(max_value(df, sk) for df in (current, history) if df is not None)
         change = scd2_change(
             part, rows, None if closed is None else closed.select(*ks), ks, stamp, on_same_hash, close_missing,
-            check_source=False, max_sk=top,
+            check_source=False, max_sk=max_frame(sk, current, history),
         )
         inserted, ended = change.counts()
         if ended:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.types import DataType, StructType
 
 from lakeload.functions.dates import to_day
 from lakeload.plans.roles import LOAD_DATE_COL
-from lakeload.sources.fs import delete_path, list_dir_names, path_exists, touch
+from lakeload.sources.fs import delete_path, list_dir_names, move_path, path_exists, touch
 
 _DAY_FOLDER = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 _EMPTY = "_EMPTY"  # Spark ignores files whose names begin so
@@ -112,6 +113,24 @@ def append_silver(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     )
 
 
+def stage_load(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """Write a load of the silver table at ``path`` beside it, where no reader looks; returns the staging folder."""
+    base, _, name = path.rstrip("/").rpartition("/")
+    staging = f"{base}/_staging/{name}-{uuid.uuid4().hex}"
+    df.write.format(fmt).partitionBy(LOAD_DATE_COL).save(staging)
+    return staging
+
+
+def publish_load(spark: SparkSession, staging: str, path: str) -> list[str]:
+    """Make a staged load part of the table: its partitions take the place of those of the same days, by renaming."""
+    loads = silver_loads(spark, staging)
+    for load in loads:
+        delete_path(spark, _load_path(path, load))
+        move_path(spark, _load_path(staging, load), _load_path(path, load))
+    delete_path(spark, staging)
+    return loads
+
+
 def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Plain append: earlier rows of the same load stay."""
     writer = df.write.format(fmt).mode("append")
@@ -164,6 +183,8 @@ __all__ = [
     "read_latest_snapshot",
     "append_silver",
     "append_rows",
+    "stage_load",
+    "publish_load",
     "mark_empty_load",
     "load_is_empty",
     "read_load",

@@ -41,6 +41,15 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder another name within its file system; the target's parent is made, the target must not exist."""
+    fs, p = _hadoop(spark, source)
+    _, t = _hadoop(spark, target)
+    fs.mkdirs(t.getParent())
+    if not fs.rename(p, t):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder and its content (superseded versions, scratch, replaced loads)."""
     fs, p = _hadoop(spark, path)
