@@ -48,7 +48,7 @@ from lakeload.sources.fs import delete_path
 STATES, ITERATIONS, TOLERANCE = 8, 4, 1e-4
 PRIOR = 1000.0  # tokens' worth of the corpus shares in every state's emissions
 MIN_COUNT = 100
-BLOCK_TOKENS, SEGMENT, CONTEXT = 3_000_000, 512, 48
+BLOCK_TOKENS, SEGMENT, CONTEXT = 5_000_000, 512, 48
 BATCH_TOKENS = 1 << 18  # tokens of pieces trained side by side
 FLUSH_ROWS = 1 << 20
 MOD, LEFT_OUT = 5, 1
