@@ -1,7 +1,9 @@
 """License scan: an exact set-similarity join of text blocks with license templates (DataFrame functions only).
 
-A block is a line of a document. A block matches a template when it holds at least ``threshold`` of the
-template's distinct words (containment). Words are ordered globally from rare to frequent, by the number of
+A block is a window of ``WINDOW`` consecutive words; windows begin every ``STRIDE`` words and run across line ends, so
+a notice of up to ``WINDOW - STRIDE + 1`` words lies whole in one of them however its lines are wrapped, and words that
+are scattered over a text do not come together. A block matches a template when it holds at least ``threshold`` of
+the template's distinct words (containment). Words are ordered globally from rare to frequent, by the number of
 blocks that hold them. With o = ceil(threshold * template size):
 
 * length filter: a block with fewer than o of the templates' words cannot match;
@@ -9,13 +11,14 @@ blocks that hold them. With o = ceil(threshold * template size):
   share a word, so only those words of both sides are joined;
 * positional filter: from the first shared word on, enough words must be left on both sides.
 
-Candidates are verified exactly. The template side is fixed and small (its index has at most one row per
-template word), so Spark broadcasts it; blocks are cut down to template words in the only pass over the texts,
-which also finds the base phrases. No text is shuffled. Blocks stay within their document's row until they are
-exploded, so a hot source or a frequent line is spread like any other rows.
+Candidates are verified exactly. The template side is fixed and small: its index has at most one row per word of
+a template, whatever the documents, and is broadcast. Blocks are cut down to template words in the only pass over the
+texts, which also finds the base phrases. No text is shuffled. Blocks stay within their document's row until they
+are exploded, so a hot source or a frequent line is spread like any other rows.
 
 A document is a distinct (id, text); repeated rows share the result, one row each. Null text is empty: no words,
-no labels, score 0. Null ids are kept. Other columns are ignored. An empty table gives an empty result.
+no labels, score 0. Null ids are kept. Other columns are ignored. An empty table gives an empty result. Long texts are
+scanned whole, their windows one by one. Ties in the order of words are broken by the word.
 """
 
 from __future__ import annotations
@@ -31,13 +34,17 @@ from lakeload.llm._common import ascii_lower, stage
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 THRESHOLD = 0.9
+WINDOW, STRIDE = 40, 20
 
-# label, notice as it stands on a line
+# label, notice of at most WINDOW - STRIDE + 1 words
 TEMPLATES = [
     ("agpl", "This work is licensed under the GNU Affero General Public License, version 3"),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("apache-2.0", "you may not use this file except in compliance with the License"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("apache-2.0", "distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"),
     ("bsd", "Released under the BSD License"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
@@ -47,10 +54,12 @@ TEMPLATES = [
     ("cc0", "To the extent possible under law, the author has waived all copyright and related rights to this work"),
     ("gpl", "This work is licensed under the GNU General Public License, version 3"),
     ("gpl", "it under the terms of the GNU General Public License as published by the Free Software Foundation"),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"),
     ("isc", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee"),
     ("lgpl", "under the terms of the GNU Lesser General Public License"),
     ("mit", "Released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 ]
@@ -96,9 +105,13 @@ def license_scan(
     least = min(o for *_, o in sizes)
     text = F.coalesce(F.col(text_col), F.lit(""))
 
-    def block(line):
-        """The template words among the line's words."""
-        return F.array_intersect(F.array(*map(F.lit, vocab)), F.split(ascii_lower(line), SEPARATORS))
+    def blocks_of(words):
+        """The template words of each window that has enough of them."""
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(words) - (WINDOW - STRIDE) - 1), F.lit(STRIDE))
+        found = F.transform(
+            starts, lambda i: F.array_intersect(F.array(*map(F.lit, vocab)), F.slice(words, i + 1, F.lit(WINDOW)))
+        )
+        return F.filter(found, lambda b: F.size(b) >= least)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     rows = rows.withColumn("plain", F.trim(F.regexp_replace("text", SEPARATORS, " "))).withColumn(
@@ -107,10 +120,8 @@ def license_scan(
         .otherwise(F.char_length("plain") - F.char_length(F.replace("plain", F.lit(" "), F.lit(""))) + 1)
         .cast("bigint"),
     )
-    long_enough = lambda line: F.char_length(line) >= 2 * least - 1
-    blocks = F.filter(
-        F.transform(F.filter(F.split("text", "\n", -1), long_enough), block), lambda b: F.size(b) >= least
-    )
+    # the words are bound to a lambda's variable, so that they are not split anew for every window
+    blocks = F.transform(F.array(F.split(ascii_lower(F.col("plain")), " ")), blocks_of)[0]
     rows = stage(
         rows.select(
             "doc_id", "text_hash", "n_words", *_base_columns(F.concat(F.lit(" "), "plain", F.lit(" "))),
@@ -136,7 +147,7 @@ def license_scan(
         "doc_id", "text_hash", "b", F.posexplode(F.slice("b", F.lit(1), F.size("b") - least + 1)).alias("i", "word")
     )
     left = lambda n, at: n - F.col(at)  # noqa: E731  words from this one on
-    candidates = prefixes.join(index, "word").filter(
+    candidates = prefixes.join(F.broadcast(index), "word").filter(
         (F.size("b") >= F.col("o"))
         & (F.least(left(F.size("b"), "i"), left(F.col("size"), "j")) >= F.col("o"))
         & (F.get(F.array_intersect("b", "t"), F.lit(0)) == F.col("word"))  # once per pair: at its first shared word
@@ -184,9 +195,9 @@ p AS (SELECT doc_id, s, ws, list_concat(
     lambda i: {{'i': i, 'l': 'gpl'}}),
   list_transform(list_filter(range(len(ws)), lambda i: ws[i+1]='all' AND ws[i+2]='rights' AND ws[i+3]='reserved'),
     lambda i: {{'i': i, 'l': 'reserved'}})) AS b FROM w),
-lines AS (SELECT doc_id, unnest(string_split(s, chr(10))) AS line FROM d),
-m AS (SELECT doc_id, label, len(list_intersect(t.ws, regexp_extract_all(line, '{word}'))) / len(t.ws) AS c
-  FROM lines, t WHERE len(list_intersect(t.ws, regexp_extract_all(line, '{word}'))) >= o),
+blocks AS (SELECT doc_id, ws[i+1:i+{WINDOW}] AS b
+  FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - {WINDOW - STRIDE}), {STRIDE})) AS i FROM w)),
+m AS (SELECT doc_id, label, len(list_intersect(t.ws, b)) / len(t.ws) AS c FROM blocks, t WHERE len(list_intersect(t.ws, b)) >= o),
 g AS (SELECT doc_id, list(DISTINCT label) AS found, max(c) AS best, count(*) AS pairs FROM m GROUP BY doc_id)
 SELECT p.doc_id, len(ws)::BIGINT AS n_words, len(b)::BIGINT AS n_base,
   list_min(list_transform(b, lambda x: x.i))::BIGINT AS first_word, list_max(list_transform(b, lambda x: x.i))::BIGINT AS last_word,
