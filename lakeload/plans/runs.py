@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lakeload.functions.dates import to_day, to_stamp
 from lakeload.functions.text import remove_accents
-from lakeload.operators._joins import max_value, translate_errors, unique_rows
+from lakeload.operators._joins import max_frame, max_value, translate_errors, unique_rows
 from lakeload.operators.facts import UNKNOWN_SK, DimLookup, check_versions, load_fact
 from lakeload.operators.prepare import add_load_date, prepare_silver, rename_keys
 from lakeload.operators.scd1 import scd1_create, scd1_merge
@@ -46,6 +46,7 @@ from lakeload.sources.files import (
 from lakeload.sources.fs import delete_path, path_exists
 from lakeload.sources.store import (
     append_closed,
+    closed_folder,
     current_version,
     current_version_path,
     last_load,
@@ -426,33 +427,31 @@ def merge_type2_table(
     """Merge ``source`` into a type 2 table: the open versions are written anew, those that close are appended to
     the closed ones. Closed rows are neither rewritten nor read, but for the key columns when a key without an open
     version is inserted. A change of a column's type rewrites the table whole."""
-    version, own, closed = current_version(spark, gold_path), read_own_rows(spark, gold_path), read_closed(spark, gold_path)
+    own, closed = read_own_rows(spark, gold_path), read_closed(spark, gold_path)
     sk = sk_column(own.columns)
-    before = max_value(own, sk) if version.sk is None else version.sk
-    moved = own.filter(~is_open_version()) if version.since is None else None  # a version written whole
-    history = closed if moved is None else moved
+    moved = own.filter(~is_open_version())  # of a version written whole; pushed down, so none are read otherwise
+    moved = None if moved.isEmpty() else moved
+    history = closed if moved is None else moved if closed is None else closed.unionByName(moved)
     change = scd2_change(
-        own.filter(is_open_version()), source, history, keys, stamp, on_same_hash, close_missing, max_sk=before
+        own.filter(is_open_version()), source, history, keys, stamp, on_same_hash, close_missing,
+        max_sk=max_frame(sk, own, closed),
     )
     inserted, ended = change.counts()
-    obs = Observation(f"open_{version.number}")
+    obs = Observation(f"open_{stamp}")
     rows = change.open_rows().observe(obs, F.count(F.lit(1)).alias("rows"))
     types = {f.name: f.dataType for f in own.schema}
     if any(types.get(f.name, f.dataType) != f.dataType for f in rows.schema):
         whole = rows.unionByName(change.ended())
         if history is not None:
             whole = whole.unionByName(with_new_columns(history, source))
-        total = Observation(f"all_{version.number}")
-        write_table(whole.observe(total, F.count(F.lit(1)).alias("rows")), gold_path, load)
-        n_open, n_all = observed(obs).get("rows") or 0, observed(total).get("rows") or 0
+        write_table(whole, gold_path, load)
     else:
         leave = change.ended() if ended else None
         if moved is not None:
             leave = change.ended().unionByName(with_new_columns(moved, source))
-        n_closed = append_closed(leave, rows, gold_path, before + inserted, load)
-        n_open = observed(obs).get("rows") or 0
-        n_all = n_open + n_closed
-    return {"rows_out": n_all, "inserted": inserted, "closed": ended, "n_open": n_open}
+        append_closed(leave, rows, gold_path, load)
+    n_open = observed(obs).get("rows") or 0
+    return {"rows_out": read_table(spark, gold_path).count(), "inserted": inserted, "closed": ended, "n_open": n_open}
 
 
 def run_gold(
@@ -610,10 +609,10 @@ def register_gold_tables(spark: SparkSession, layout: Layout, tables: Iterable[s
             own, version = read_own_rows(spark, path), current_version(spark, path)
             _external(spark, f"{name}_files", own, current_version_path(spark, path))
             parts = [f"SELECT * FROM {name}_files"]
-            if version.since is not None and path_exists(spark, f"{path}/closed"):
-                _external(spark, f"{name}_closed_files", own.withColumn("n", F.lit(0)), f"{path}/closed", "n")
+            if read_closed(spark, path) is not None:
+                _external(spark, f"{name}_closed_files", own.withColumn("n", F.lit(0)), closed_folder(spark, path, version.number), "n")
                 cols = ", ".join(f"`{c}`" for c in own.columns)
-                parts.append(f"SELECT {cols} FROM {name}_closed_files WHERE n BETWEEN {version.since} AND {version.number}")
+                parts.append(f"SELECT {cols} FROM {name}_closed_files WHERE n <= {version.number}")
             if UPDATED_COL in own.columns:
                 spark.sql(f"CREATE OR REPLACE VIEW {name}_current AS {parts[0]} WHERE {UPDATED_COL} = '{OPEN_END}'")
                 names.append(f"{name}_current")

@@ -3,9 +3,11 @@
 ``materialize`` writes a frame as Parquet into the shared scratch folder and reads it back: the
 result no longer depends on how its input was computed, survives executor loss, and gives later
 scans column pruning. A versioned table keeps each rewrite in ``<table>/v=<n>``; readers take the
-highest complete version, so a merge can read the version it replaces. Rows that no later merge can touch (closed
-versions of a type 2 dimension) need no rewriting: they are appended once as ``<table>/closed/n=<n>``, and the name
-of a version says from which number on they belong to it. What the name says commits with the version.
+highest complete version, so a merge can read the version it replaces.
+
+Rows that no later merge can touch (closed versions of a type 2 dimension) need no rewriting. They are an ordinary
+Parquet table partitioned by the version that closed them, ``<table>/closed/from=<g>/n=<n>``; version m reads those with
+n <= m. A table written whole as version g begins a new ``from=<g>``. Highest keys and counts are asked of the rows.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.session import scratch_path
-from lakeload.sources.fs import delete_path, is_complete, list_dir_names, path_exists
+from lakeload.sources.fs import delete_path, is_complete, list_dir_names, path_exists, touch
 
-_VERSION = re.compile(r"^v=(\d+)(?:_load=(.+?))?(?:_since=(\d+)_closed=(\d+)_sk=(\d+))?$")
-_CLOSED = re.compile(r"^n=(\d+)$")
+_VERSION = re.compile(r"^v=(\d+)(?:_load=(.+))?$")
+_FROM = re.compile(r"^from=(\d+)$")
 _scope = threading.local()
 
 
@@ -58,24 +60,17 @@ class Version(NamedTuple):
     number: int
     name: str
     load: str | None  # the last load that it holds
-    since: int | None  # its closed rows lie in closed/n=<since> to closed/n=<number>; None: all rows are its own
-    closed: int  # how many rows lie there
-    sk: int | None  # the highest surrogate key, closed rows included
 
 
 def _versions(spark: SparkSession, table_path: str) -> list[Version]:
     """The complete versions, oldest first."""
-    out = []
-    for name in list_dir_names(spark, table_path):
-        m = _VERSION.match(name)
-        if m and is_complete(spark, f"{table_path.rstrip('/')}/{name}"):
-            since, closed, sk = (int(x) if x else None for x in m.groups()[2:])
-            out.append(Version(int(m.group(1)), name, m.group(2), since, closed or 0, sk))
-    return sorted(out)
+    found = [(m, n) for n in list_dir_names(spark, table_path) if (m := _VERSION.match(n))]
+    return sorted(Version(int(m[1]), n, m[2]) for m, n in found if is_complete(spark, f"{table_path.rstrip('/')}/{n}"))
 
 
 def _next_number(spark: SparkSession, table_path: str) -> int:
-    return max([0, *(int(m.group(1)) for n in list_dir_names(spark, table_path) if (m := _VERSION.match(n)))]) + 1
+    versions = _versions(spark, table_path)
+    return versions[-1].number + 1 if versions else 1
 
 
 def current_version(spark: SparkSession, table_path: str) -> Version:
@@ -85,9 +80,14 @@ def current_version(spark: SparkSession, table_path: str) -> Version:
     return versions[-1]
 
 
-def _closed_parts(spark: SparkSession, table_path: str) -> list[tuple[int, str]]:
-    base = f"{table_path.rstrip('/')}/closed"
-    return sorted((int(m.group(1)), f"{base}/{n}") for n in list_dir_names(spark, base) if (m := _CLOSED.match(n)))
+def _closed_folders(spark: SparkSession, table_path: str) -> list[int]:
+    return sorted(int(m[1]) for n in list_dir_names(spark, f"{table_path.rstrip('/')}/closed") if (m := _FROM.match(n)))
+
+
+def closed_folder(spark: SparkSession, table_path: str, number: int) -> str | None:
+    """Where the closed rows of a version lie, if any have been written."""
+    of = [g for g in _closed_folders(spark, table_path) if g <= number]
+    return f"{table_path.rstrip('/')}/closed/from={of[-1]}" if of else None
 
 
 def last_load(spark: SparkSession, table_path: str) -> str | None:
@@ -105,17 +105,18 @@ def current_version_path(spark: SparkSession, table_path: str) -> str:
 
 
 def read_own_rows(spark: SparkSession, table_path: str) -> DataFrame:
-    """The rows of the current version's folder: every open row, and closed rows not moved out yet."""
+    """The rows of the current version's folder: every open row, and the closed rows of a table written whole."""
     return spark.read.parquet(current_version_path(spark, table_path))
 
 
 def read_closed(spark: SparkSession, table_path: str) -> DataFrame | None:
     """The appended closed rows of the current version, with its columns (NULL where they were added later)."""
-    v = current_version(spark, table_path)
-    if v.since is None:
+    number = current_version(spark, table_path).number
+    folder = closed_folder(spark, table_path, number)
+    if folder is None or not any(n.startswith("n=") for n in list_dir_names(spark, folder)):
         return None
-    parts = [path for n, path in _closed_parts(spark, table_path) if v.since <= n <= v.number]
-    return spark.read.schema(read_own_rows(spark, table_path).schema).parquet(*parts) if parts else None
+    schema = read_own_rows(spark, table_path).schema
+    return spark.read.schema(schema.add("n", "integer")).parquet(folder).filter(F.col("n") <= number).drop("n")
 
 
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:
@@ -128,36 +129,30 @@ def _version_path(table_path: str, number: int, load: str | None) -> str:
 
 
 def write_table(df: DataFrame, table_path: str, load: str | None = None) -> str:
-    """Write ``df`` as the next version of the table; returns the version folder.
+    """Write ``df`` as the next version of the table, whole; returns the version folder.
 
     ``load``: the last load the version holds (default: that of the version before)."""
-    spark = df.sparkSession
-    path = _version_path(table_path, _next_number(spark, table_path), load or last_load(spark, table_path))
-    df.write.mode("errorifexists").parquet(path)
+    spark, number = df.sparkSession, _next_number(df.sparkSession, table_path)
+    if _closed_folders(spark, table_path):  # rows that were closed before are among those of ``df``
+        touch(spark, f"{table_path.rstrip('/')}/closed/from={number}/_whole")
+    path = _version_path(table_path, number, load or last_load(spark, table_path))
+    df.write.mode("overwrite").parquet(path)
     return path
 
 
-def append_closed(closed: DataFrame | None, own: DataFrame, table_path: str, sk: int, load: str | None = None) -> int:
+def append_closed(closed: DataFrame | None, own: DataFrame, table_path: str, load: str | None = None) -> None:
     """The next version: its own rows are ``own``; ``closed`` (None: no rows) is added to the closed rows, which stay
-    as they are. Returns how many closed rows there are now.
+    as they are.
 
     The closed rows come first and belong to no version until its folder is complete; those that a failed write
-    left behind are removed by the next one. One writer per table."""
-    spark = own.sparkSession
-    last = current_version(spark, table_path)
-    for n, path in _closed_parts(spark, table_path):
-        if n > last.number and not delete_path(spark, path):
-            raise OSError(f"cannot remove {path}, left by a failed write")
-    number = _next_number(spark, table_path)
-    total = last.closed
+    left behind have the number of the next version, which writes them anew. One writer per table."""
+    spark, number = own.sparkSession, _next_number(own.sparkSession, table_path)
+    folder = closed_folder(spark, table_path, number) or f"{table_path.rstrip('/')}/closed/from={number}"
     if closed is not None:
-        obs = Observation(f"closed_{number}")
-        counted = closed.observe(obs, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("errorifexists").parquet(f"{table_path.rstrip('/')}/closed/n={number}")
-        total += observed(obs).get("rows") or 0
-    path = _version_path(table_path, number, load or last_load(spark, table_path))
-    own.write.mode("errorifexists").parquet(f"{path}_since={last.since or number}_closed={total}_sk={sk}")
-    return total
+        closed.write.mode("overwrite").parquet(f"{folder}/n={number}")
+    else:
+        delete_path(spark, f"{folder}/n={number}")
+    own.write.mode("overwrite").parquet(_version_path(table_path, number, load or last_load(spark, table_path)))
 
 
 def observed(obs: Observation) -> dict:
@@ -181,7 +176,8 @@ def prune_versions(spark: SparkSession, table_path: str, keep: int) -> list[str]
         path = f"{table_path.rstrip('/')}/{v.name}"
         if delete_path(spark, path):
             removed.append(path)
-    for n, path in _closed_parts(spark, table_path):  # closed rows that no version left refers to
-        if versions and n <= versions[-1].number and not any(v.since and v.since <= n <= v.number for v in versions[-keep:]):
-            delete_path(spark, path)
+    oldest = closed_folder(spark, table_path, versions[-keep:][0].number) if versions else None
+    for g in _closed_folders(spark, table_path):  # closed rows that no version left refers to
+        if oldest and g < int(oldest.rpartition("=")[2]):
+            delete_path(spark, f"{table_path.rstrip('/')}/closed/from={g}")
     return removed
