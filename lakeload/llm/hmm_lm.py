@@ -69,14 +69,14 @@ def _unpack(b: bytes, width: int = 4) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(width, -1).T).view(f"<u{width}").ravel()
 
 
-def _pack_shares(x: np.ndarray) -> bytes:
-    """Rows of shares in 16 bits each; rows of zeros stay zeros."""
+def _pack_shares(x: np.ndarray, width: int) -> bytes:
+    """Rows of shares, their square roots in ``width`` bytes each (small shares keep their precision); zeros stay zeros."""
     total = x.sum(axis=1, keepdims=True)
-    return _pack(np.rint(65535 * x / np.where(total > 0, total, 1)).ravel(), 2)
+    return _pack(np.rint((256**width - 1) * np.sqrt(x / np.where(total > 0, total, 1))).ravel(), width)
 
 
-def _unpack_shares(b: bytes, states: int) -> np.ndarray:
-    x = _unpack(b, 2).reshape(-1, states).astype(np.float64)
+def _unpack_shares(b: bytes, states: int, width: int) -> np.ndarray:
+    x = np.square(_unpack(b, width).reshape(-1, states).astype(np.float64))
     total = x.sum(axis=1, keepdims=True)
     return x / np.where(total > 0, total, 1)
 
@@ -321,9 +321,9 @@ def pieces(lens: np.ndarray, segment: int, context: int) -> tuple[np.ndarray, np
 class Corpus:
     """What all blocks share: the chain, the states' shares, the levels' profiles, the end's count, corpus sizes."""
 
-    def __init__(self, chain: Chain, share: np.ndarray, level_shares: np.ndarray, n: int, v: int, ends: int, min_count: int):
+    def __init__(self, chain: Chain, share: np.ndarray, level_shares: np.ndarray, n: int, v: int, ends: int, min_count: int, width: int = 1):
         self.chain, self.share, self.level_shares = chain, share, level_shares
-        self.n, self.v, self.ends, self.min_count = n, v, ends, min_count
+        self.n, self.v, self.ends, self.min_count, self.width = n, v, ends, min_count, width
 
     def emissions(self, shares: np.ndarray, c: np.ndarray) -> np.ndarray:
         """P(word | state) of words with these profiles and training counts; a row per word."""
@@ -352,7 +352,7 @@ class Corpus:
             if row["back"] is None:
                 shares.append(first_shares(_unpack(s["seed"]).astype(np.uint64), states))
             else:
-                shares.append(_unpack_shares(back[s["part"]], states))
+                shares.append(_unpack_shares(back[s["part"]], states, self.width))
         return self.emissions(np.concatenate(shares)[group], c), c, group, places
 
 
@@ -398,7 +398,7 @@ def _expect(shared, segment: int, context: int):
             for s, at in places:
                 x = counts[:, first : first + len(at)].T
                 first += len(at)
-                out.append({"part": s["part"], "block": row["block"], "word": s["word"], "n": _pack(np.rint(x.sum(axis=1))), "x": _pack_shares(x)})
+                out.append({"part": s["part"], "block": row["block"], "word": s["word"], "n": _pack(np.rint(x.sum(axis=1))), "x": _pack_shares(x, corpus.width)})
             yield pa.RecordBatch.from_pylist(out, schema)
         if isinstance(total, np.ndarray):
             yield pa.RecordBatch.from_pylist([{"part": -1, "totals": total.tolist()}], schema)
@@ -406,7 +406,7 @@ def _expect(shared, segment: int, context: int):
     return expect
 
 
-def _summed(states: int):
+def _summed(states: int, width: int):
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(part, block, word, n, x) -> (block, part, x): the words' profiles over all blocks, for each block's words."""
         sums, asked = {}, []
@@ -416,11 +416,11 @@ def _summed(states: int):
                 have = sums.get(part, np.zeros((0, states)))
                 if len(at) and at[-1] >= len(have):
                     have = np.vstack([have, np.zeros((max(at[-1] + 1 - len(have), len(have) // 2), states))])
-                have[at] += _unpack_shares(x, states) * _unpack(n)[:, None]
+                have[at] += _unpack_shares(x, states, width) * _unpack(n)[:, None]
                 sums[part] = have
                 asked.append((part, block, word))
         for part, block, word in asked:
-            x = _pack_shares(sums[part][np.cumsum(_unpack(word).astype(np.int64))])
+            x = _pack_shares(sums[part][np.cumsum(_unpack(word).astype(np.int64))], width)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([x], pa.binary())], names=["block", "part", "x"]
             )
@@ -435,14 +435,14 @@ def _score(shared):
         for b, r, row in _rows(batches, "held", "lens", "toks", "c", "slots", "back"):
             lens, toks = _unpack(row["lens"]).astype(np.int64), _unpack(row["toks"])
             emit, c, _, _ = corpus.block(row)
-            cut = np.append(0, np.cumsum(lens))
-            add = lambda x: np.diff(np.append(0, np.cumsum(x[toks]))[cut])  # noqa: E731  sums by document
+            doc = np.repeat(np.arange(len(lens)), lens)
+            add = lambda x: np.bincount(doc, x[toks], len(lens))  # noqa: E731  sums by document
             base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
             cols = [
                 b.column("ids")[r].values,
                 pa.array(np.frombuffer(row["held"], bool)),
                 pa.array(lens + 1),
-                pa.array(add((c > 0).astype(np.int64)) + (ends > 0)),
+                pa.array(add(c > 0).astype(np.int64) + (ends > 0)),
                 pa.array(np.full(len(lens), n)),
                 pa.array(add(base) + base[-1]),
                 pa.array(corpus.chain.forward(emit, sequences(toks, lens, len(c) - 1), lens + 1)),
@@ -469,10 +469,13 @@ def score_texts(
     block_tokens: int = BLOCK_TOKENS,
     segment: int = SEGMENT,
     context: int = CONTEXT,
+    share_bytes: int = 1,
     mod: int = MOD,
     left_out: int = LEFT_OUT,
 ) -> DataFrame:
-    """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    ``share_bytes``: the precision in which profiles travel between tasks."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(
@@ -504,7 +507,7 @@ def score_texts(
 
     few = levels(min_count) + 1
     first = first_shares(np.arange(few, dtype=np.uint64), states)
-    corpus = Corpus(Chain.initial(states), np.full(states, 1 / states), first, n, v, ends, min_count)
+    corpus = Corpus(Chain.initial(states), np.full(states, 1 / states), first, n, v, ends, min_count, share_bytes)
     sums, found, gained, before = None, None, None, None
     back_type = "array<struct<part:int,x:binary>>"
 
@@ -531,9 +534,9 @@ def score_texts(
         seen = by_level.sum(axis=1, keepdims=True)
         level_shares = np.where(seen > 0, by_level / np.where(seen > 0, seen, 1), 1 / states)
         chain = Chain.estimate(start, move.reshape(states, states))
-        corpus = Corpus(chain, tokens_in / tokens_in.sum(), level_shares, n, v, ends, min_count)
+        corpus = Corpus(chain, tokens_in / tokens_in.sum(), level_shares, n, v, ends, min_count, share_bytes)
         sums = found.filter("part >= 0").select("part", "block", "word", "n", "x").repartition("part")
-        sums = sums.mapInArrow(_summed(states), "block long, part int, x binary")
+        sums = sums.mapInArrow(_summed(states, share_bytes), "block long, part int, x binary")
         shared.unpersist()
         if last is not None:
             _remove(last)
