@@ -56,6 +56,7 @@ from lakeload.plans.runs import (
 )
 from lakeload.session import scratch_path
 from lakeload.sources.buckets import create_buckets, merge_scd1_buckets, merge_scd2_buckets, read_buckets
+from lakeload.sources.clustered import create_clustered, merge_scd2_clustered, read_clustered
 from lakeload.sources.files import read_silver, silver_loads, write_snapshot
 from lakeload.sources.store import read_table
 
@@ -83,6 +84,16 @@ def q_scd2_merge_buckets(spark, sf):
     return _cust_buckets(spark, sf, {DAY2: cust_raw_day2})
 
 
+@query("scd2_merge_bucketed", ORACLES["scd2_merge"])
+def q_scd2_merge_bucketed(spark, sf):
+    """Customers bucketed by key in the catalog: the merge of day 2 shuffles the source, not the dimension."""
+    path, r1 = scratch_path(spark, "q-clustered"), cust_raw(spark, sf)
+    name = "q_" + path.rsplit("-", 1)[-1]
+    create_clustered(scd2_create(cust_src(r1), sk="SK_customer"), name, path, buckets=8)
+    merge_scd2_clustered(spark, name, path, cust_src(cust_raw_day2(r1)), DAY2)
+    return read_clustered(spark, name, path)
+
+
 _THREE_DAYS = "WITH " + SQL_CUST + "," + ",".join(
     sql_scd2(p, g, s, "KEY_c_custkey", "SK_customer", CUST_COLS + ["HASHCOLUMN"], now, close_missing=True)
     for p, g, s, now in (("x2", "g1", "s2", STAMP2), ("x3", "x2_m", "s3", STAMP3))
