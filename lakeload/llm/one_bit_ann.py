@@ -7,8 +7,8 @@ packed words. Its error is below err = eps * sqrt((1 - f^2) / f^2 / (bits - 1))
 only vectors with estimate + err at or above the query's k-th best exact score so far are compared exactly.
 
 Queries (a stated set) go against all rows in blocks: at most ``block`` queries are broadcast at a time, and each
-block is one scan. Tasks hold one tile of codes and k results per query, and send k rows per query; ranks are
-taken per query over those. No row is dropped or capped.
+block is one scan, written before the next block's queries are read. Tasks hold one tile of codes and k results per
+query, and send k rows per query; ranks are taken per query over those, ties by the smaller id. No row is dropped or capped.
 
 Vectors that are null, empty, all zero, of another dimension than the block's queries, or hold null or non-finite
 components take no part, nor do rows with a null id. Rows that share an id are candidates each; as queries
@@ -24,6 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeload.llm._common import stage
+from lakeload.session import scratch_path
+
 BITS, EPS, TILE, PLANES = 256, 3.0, 4096, 4
 BLOCK = 20_000
 K = 5
@@ -131,21 +134,22 @@ def nearest(
         F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), "_q"
     )
     rows = rows.filter(F.col("id").isNotNull() & _usable(F.col("v")))
-    asked = rows.filter("_q").groupBy("id").agg(F.min("v").alias("v"))
+    spark = vectors.sparkSession
+    asked = stage(rows.filter("_q").groupBy("id").agg(F.min("v").alias("v")), "ann-queries")
     n = asked.count()
     blocks = max(1, -(-n // block))
-    found = None
-    for b in range(blocks if n else 0):
+    schema, path = "query_id long, vec_id long, score double", scratch_path(spark, "ann-found")
+    spark.createDataFrame([], schema).write.parquet(path)
+    for b in range(blocks if n else 0):  # a block's result is written and its broadcast gone before the next
         part = asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()
         by_dim: dict[int, list] = {}
         for r in sorted(part):
             by_dim.setdefault(len(r.v), []).append(r)
         sets = {d: Queries(np.array([r.id for r in x]), np.array([r.v for r in x]), bits) for d, x in by_dim.items()}
-        shared = vectors.sparkSession.sparkContext.broadcast(sets)
-        got = rows.select("id", "v").mapInArrow(_search(shared, k), "query_id long, vec_id long, score double")
-        found = got if found is None else found.union(got)
-    if found is None:
-        found = vectors.sparkSession.createDataFrame([], "query_id long, vec_id long, score double")
+        shared = spark.sparkContext.broadcast(sets)
+        rows.select("id", "v").mapInArrow(_search(shared, k), schema).write.mode("append").parquet(path)
+        shared.destroy()
+    found = spark.read.schema(schema).parquet(path)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return (
         found.withColumn("rank", F.row_number().over(order))
