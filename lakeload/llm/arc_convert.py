@@ -7,15 +7,19 @@ length, never by searching for separators. The converter derives each WARC recor
 date (from the 14 digits), type and SHA-256 digests; of records with equal payloads of ``min_bytes`` or more, all
 but that of the smallest page id (ties: archive, then offset) become ``revisit`` records that refer to it.
 
-Archives are files of the shared folder, written by Spark's text writer (one row per archive, gzip) and read by
+Bytes stay bytes from the archive read to the archive written, so pages may be in any encoding, images, or compressed.
+A WARC archive is a sequence of gzip members, one a record, so that readers can seek to a record.
+
+Archives are files of the shared folder, written by Spark's text writer (one row per archive) and read by
 its binary file reader, so any Hadoop file system serves. An archive closes at ``target_bytes``, which bounds what a
-task holds. Deduplication shuffles one short row per record (digest, page id, place), combined per digest before
+task holds; a foreign archive is read as one value, so it must fit a task (2 GB is the reader's limit). Deduplication shuffles one short row per record (digest, page id, place), combined per digest before
 the shuffle; revisits go back to their archive as a list, joined by path. Payloads are not shuffled, unless that
 list is too big to broadcast.
 
 Nulls and edge cases: a null payload is empty; a null url is written as ``unknown:``; a null page id writes no id
 and ranks after all others; repeated rows are records each. White space and control characters in urls are
-percent-encoded. Other columns are ignored. An empty table gives an empty result.
+percent-encoded. Other columns are ignored. An empty table gives an empty result. Long pages are whole records; an
+archive grows past ``target_bytes`` by its last page at most. Ties of the page id go by archive and place.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -162,6 +167,7 @@ def convert(record: dict, refers_to: dict | None) -> bytes:
         headers += [
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
             ("WARC-Refers-To", record_id(url, refers_to["page"], digest)),
+            ("X-Payload-Length", str(len(payload))),  # old responses may declare none, or another one
         ]
         if refers_to["page"] is not None:
             headers.append(("X-Refers-To-Page-Id", str(refers_to["page"])))
@@ -185,15 +191,24 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
 
+def member(data: bytes) -> bytes:
+    """One gzip member."""
+    z = zlib.compressobj(4, zlib.DEFLATED, 31)
+    return z.compress(data) + z.flush()
+
+
+LAST = member(b"")  # ends an archive: an empty member, whose last byte (zero) is the one that the text writer adds
+
+
 def _to_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(content, revisits) -> a WARC archive each, without the line ends that the writer adds."""
+    """(content, revisits) -> a WARC archive each, without its last byte."""
     for b in batches:
         for data, revisits in zip(*(c.to_pylist() for c in b.columns)):
             known = {r["offset"]: r for r in revisits or ()}
-            records = [convert(r, known.get(r["at"])) for r in arc_records(_content(data))]
+            records = [member(convert(r, known.get(r["at"])) + b"\r\n\r\n") for r in arc_records(_content(data))]
             if records:
-                out = b"\r\n\r\n".join(records).decode("utf-8")
-                yield pa.RecordBatch.from_arrays([pa.array([out])], names=["value"])
+                out = b"".join([*records, LAST[:-1]])
+                yield pa.RecordBatch.from_arrays([pa.array([out], pa.binary())], names=["value"])
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -213,8 +228,9 @@ def arc_to_warc(spark: SparkSession, arc: str, warc: str, min_bytes: int = MIN_B
     by_file = scratch_path(spark, "revisits")  # written, so that Spark knows its size
     revisits.groupBy("path").agg(F.collect_list("r").alias("revisits")).write.parquet(by_file)
     joined = files.join(spark.read.parquet(by_file), "path", "left")
-    archives = joined.select("content", "revisits").mapInArrow(_to_warc, "value string")
-    archives.write.option("maxRecordsPerFile", 1).option("compression", "gzip").option("lineSep", "\r\n\r\n").text(warc)
+    archives = joined.select("content", "revisits").mapInArrow(_to_warc, "value binary")
+    text = archives.select(F.col("value").cast("string"))  # the same bytes, whatever they are
+    text.write.option("maxRecordsPerFile", 1).option("compression", "none").option("lineSep", "\0").text(warc)
 
 
 def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -241,7 +257,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 fields, _, payload = http_parts(block)
                 digest = h["warc-payload-digest"].partition(":")[2]
-                size = int(fields["content-length"]) if kind == "revisit" else len(payload)
+                size = int(h["x-payload-length"]) if kind == "revisit" else len(payload)
                 if kind != "revisit" and hashlib.sha256(payload).hexdigest() != digest:
                     raise ValueError(f"payload of {h['warc-record-id']} does not match its digest")
                 to = h.get("x-refers-to-page-id")

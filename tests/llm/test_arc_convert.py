@@ -1,5 +1,8 @@
+import glob
 import gzip
 import hashlib
+import os
+import zlib
 
 import pytest
 
@@ -83,3 +86,44 @@ def test_equivalent_warc_records():
 
 def test_compressed_archives():
     assert arc._content(gzip.compress(V1)) == V1 == arc._content(V1)
+
+
+def arc_file(*records, version=1):
+    """(url, mime, block) as an archive of bytes."""
+    out = arc.arc_head(version, "x.arc", "19990101000000").encode()
+    for url, mime, block in records:
+        out += f"\n{url} 1.2.3.4 19990102030405 {mime} {len(block)}\n".encode() + block
+    return out
+
+
+def test_archives_of_any_bytes(spark, tmp_base):
+    http = b"HTTP/1.0 200 OK\r\nContent-Type: text/html; charset=iso-8859-1\r\n\r\n"
+    latin, image = http + "Gr\u00fc\u00dfe aus K\u00f6ln ".encode("latin-1") * 20, http + bytes(range(256)) * 4
+    packed = http + gzip.compress(b"compressed body " * 50)
+    records = [("http://a/", "text/html", latin), ("http://b/", "image/png", image), ("http://c/", "text/html", packed), ("http://d/", "text/html", latin),
+               ("http://e/", "text/plain", b""), ("dns:e", "text/dns", b"\xff\xfe\x00")]
+    os.makedirs(f"{tmp_base}/arc")
+    for name, data in (("plain.arc", arc_file(*records[:3])), ("packed.arc.gz", gzip.compress(arc_file(*records[3:])))):
+        with open(f"{tmp_base}/arc/{name}", "wb") as f:
+            f.write(data)
+    arc.arc_to_warc(spark, f"{tmp_base}/arc", f"{tmp_base}/warc")
+    got = {}
+    for path in glob.glob(f"{tmp_base}/warc/part-*"):
+        data = open(path, "rb").read()
+        members = []
+        while data:  # a member a record, and an empty one
+            z = zlib.decompressobj(31)
+            members.append(z.decompress(data) + z.flush())
+            data = z.unused_data
+        assert members[-1] == b"" and all(m.endswith(b"\r\n\r\n") for m in members[:-1])
+        for m in members[:-1]:
+            ((h, block),) = arc.warc_records(m)
+            got[h.get("warc-target-uri")] = (h["warc-type"], block, h.get("warc-payload-digest"))
+    sha = lambda b: "sha256:" + hashlib.sha256(b[len(http) :]).hexdigest()
+    kinds = sorted((got["http://a/"][0], got["http://d/"][0]))
+    assert kinds == ["response", "revisit"] and got["http://a/"][2] == got["http://d/"][2] == sha(latin)
+    assert got["http://b/"][1:] == (image, sha(image)) and got["http://c/"][1:] == (packed, sha(packed))
+    assert got["dns:e"][:2] == ("resource", b"\xff\xfe\x00") and got["http://e/"][1] == b""
+    assert got["http://a/"][1] in (latin, http) and latin in (got["http://a/"][1], got["http://d/"][1])
+    rows = {r.url: r.payload_bytes for r in arc.read_warc(spark, f"{tmp_base}/warc").collect() if r.record_type == "response"}
+    assert rows["http://b/"] == 1024
