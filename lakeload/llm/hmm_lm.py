@@ -258,8 +258,11 @@ class Chain:
         return back
 
     def expected(self, emit, seq, lens, group, groups, segment=SEGMENT, context=CONTEXT):
-        """Baum-Welch counts of the sequences: start, moves, tokens by state and group of words, log10 likelihood."""
-        k = len(self.start)
+        """Baum-Welch counts of the sequences: start, moves, tokens by state and group of words, log10 likelihood.
+
+        The recursions take the precision of ``emit``, the counts are added up in double precision."""
+        k, kind = len(self.start), emit.dtype
+        begins, moves = self.start.astype(kind), self.move.astype(kind)
         start, move, out, total = np.zeros(k), np.zeros((k, k)), np.zeros((k, groups)), 0.0
         begin, size, core, stop = pieces(lens, segment, context)
         order = np.argsort(-size, kind="stable")
@@ -276,7 +279,7 @@ class Chain:
             for t, d in enumerate(active):
                 w = seq[b[:d] + t]
                 e = emit[w]
-                a = (self.start * e) if t == 0 else (alphas[-1][:d] @ self.move) * e
+                a = (begins * e) if t == 0 else (alphas[-1][:d] @ moves) * e
                 s = a.sum(axis=1, keepdims=True)
                 a /= s
                 alphas.append(a)
@@ -286,21 +289,21 @@ class Chain:
             beta, counted, posts = None, [], []
             for t in range(steps - 1, -1, -1):
                 d, after = active[t], active[t + 1] if t + 1 < steps else 0
-                now = np.ones((d, k))
+                now = np.ones((d, k), kind)
                 if after:
                     f = es[t + 1] * beta[:after]
                     f /= scales[t + 1]
-                    now[:after] = f @ self.move.T
+                    now[:after] = f @ moves.T
                     f *= ((t + 1 >= lo[:after]) & (t + 1 < hi[:after]))[:, None]  # moves into counted tokens
                     move += alphas[t][:after].T @ f
                 beta = now
                 inside = np.flatnonzero((t >= lo[:d]) & (t < hi[:d]))
                 post = alphas[t][inside] * beta[inside]
-                total += np.log10(scales[t][inside]).sum()
+                total += np.log10(scales[t][inside]).sum(dtype=np.float64)
                 posts.append(post)
                 counted.append(words[t][inside])
                 if t == 0:
-                    start += post[lo[inside] == 0].sum(axis=0)
+                    start += post[lo[inside] == 0].sum(axis=0, dtype=np.float64)
             flat, post = group[np.concatenate(counted)], np.concatenate(posts)
             for s in range(k):
                 out[s] += np.bincount(flat, post[:, s], groups)
@@ -326,15 +329,15 @@ class Corpus:
         self.n, self.v, self.ends, self.min_count, self.width = n, v, ends, min_count, width
 
     def emissions(self, shares: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """P(word | state) of words with these profiles and training counts; a row per word."""
-        size = self.n + 0.5 * (self.v + 1)
-        emit = shares * c[:, None]
-        emit += 0.5 * self.share
-        emit += (PRIOR * (c + 0.5) / size)[:, None]
-        emit /= self.share * size + PRIOR
-        return emit
-
-    def block(self, row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[dict, np.ndarray]]]:
+        """P(word | state) of words with these profiles (changed in place) and training counts; a row per word."""
+        size, kind = self.n + 0.5 * (self.v + 1), shares.dtype
+        shares *= c[:, None].astype(kind)
+        shares += (0.5 * self.share).astype(kind)
+        shares += (PRIOR * (c + 0.5) / size)[:, None].astype(kind)
+        shares /= (self.share * size + PRIOR).astype(kind)
+        return shares
+
+    def block(self, row: dict, kind: type = np.float64) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[dict, np.ndarray]]]:
         """Emissions of a block's words and the end, their training counts, their groups and the places of its slots.
 
         Groups are the levels, the end and then the block's words with a profile of their own, slot by slot."""
@@ -342,7 +345,7 @@ class Corpus:
         back = {s["part"]: s["x"] for s in row["back"] or ()}
         group = np.minimum(level(c), levels(self.min_count) - 1)
         group[-1] = levels(self.min_count)
-        shares, places = [self.level_shares], []
+        shares, places = [self.level_shares.astype(kind)], []
         count = len(self.level_shares)
         for s in row["slots"] or ():
             at = _unpack(s["at"]).astype(np.int64)
@@ -350,9 +353,9 @@ class Corpus:
             count += len(at)
             places.append((s, at))
             if row["back"] is None:
-                shares.append(first_shares(_unpack(s["seed"]).astype(np.uint64), states))
+                shares.append(first_shares(_unpack(s["seed"]).astype(np.uint64), states).astype(kind))
             else:
-                shares.append(_unpack_shares(back[s["part"]], states, self.width))
+                shares.append(_unpack_shares(back[s["part"]], states, self.width).astype(kind))
         return self.emissions(np.concatenate(shares)[group], c), c, group, places
 
 
@@ -387,7 +390,7 @@ def _expect(shared, segment: int, context: int):
         few = len(corpus.level_shares)
         for _, _, row in _rows(batches, "block", "train", "lens", "toks", "c", "slots", "back"):
             lens, train = _unpack(row["lens"]).astype(np.int64), np.frombuffer(row["train"], bool)
-            emit, c, group, places = corpus.block(row)
+            emit, c, group, places = corpus.block(row, np.float32)
             seq = sequences(_unpack(row["toks"]), lens, len(c) - 1)[np.repeat(train, lens + 1)]
             groups = few + sum(len(at) for _, at in places)
             counts = np.zeros((len(corpus.share), groups))  # a block without training texts asks for its words all the same

@@ -164,7 +164,7 @@ def test_the_distributed_fit_equals_one_process(make_docs, block_tokens, min_cou
     got = fit(4)
     want = one_process(rows, 3, 3, min_count)
     assert [i for i, _ in got] == [i for i, _ in want]
-    assert np.allclose([x for _, x in got], [x for _, x in want], rtol=1e-7)
+    assert np.allclose([x for _, x in got], [x for _, x in want], rtol=1e-5)  # it adds up in single precision
     assert np.allclose([x for _, x in fit(1)], [x for _, x in want], rtol=5e-3)  # what the query takes
 
 
