@@ -5,6 +5,8 @@ and of the shapes of its two neighbours; the chain adds a weight for each pair o
 backward sums give each line's probability of being good, and the document's is their mean weighted by line
 length, mapped by a logistic curve to a calibrated probability.
 
+``label_lines`` returns every line's probability and label, ``score_quality`` the documents' scores.
+
 Labels exist for documents only, so a training document lends its label to all its lines. The field is fitted on
 a sample of at most ``max_docs`` labelled documents, chosen by a hash of their id among those of at most
 ``max_chars`` characters (both parameters); only the binned features come to the driver. Scoring is one
@@ -13,7 +15,7 @@ pass over all whole texts without a shuffle; the fitted field has a fixed size.
 Nulls and edge cases: a null or empty text is one empty line; without any training label every score is 1/2; an
 id with contradicting or null labels trains nothing; of an id with several texts one trains, the same in every run;
 null ids are scored and are not held out; repeated rows are scored each; other columns are ignored; an empty table
-gives an empty result.
+gives an empty result. Texts of any length are scored whole.
 """
 
 from __future__ import annotations
@@ -189,11 +191,16 @@ class Field:
             a = a + np.linalg.solve(h, g).clip(-1, 1)
         self.slope, self.shift = float(max(a[0], 1e-3)), float(a[1])
 
+    def lines(self, bins: list[np.ndarray]) -> np.ndarray:
+        """P(good) of every line of the documents."""
+        lens = np.array([len(b) for b in bins])
+        starts = np.cumsum(lens) - lens
+        return marginals(emissions(np.concatenate(bins).astype(np.int64), self.w, starts), lens, self.move)
+
     def quality(self, bins: list[np.ndarray], sizes: list[np.ndarray]) -> np.ndarray:
         """Mean P(good) of the documents' lines, weighted by length."""
         lens = np.array([len(b) for b in bins])
-        starts = np.cumsum(lens) - lens
-        good = marginals(emissions(np.concatenate(bins).astype(np.int64), self.w, starts), lens, self.move)
+        starts, good = np.cumsum(lens) - lens, self.lines(bins)
         weight = np.concatenate(sizes) + 1
         return np.add.reduceat(good * weight, starts) / np.add.reduceat(weight, starts)
 
@@ -267,6 +274,25 @@ def score_quality(docs: DataFrame, field: Field, id_col: str = "doc_id", text_co
     return rows.mapInArrow(score, f"doc_id {id_type}, held_out boolean, score double, predicted int")
 
 
+def label_lines(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per line (texts are cut at line feeds): doc_id, line (from 0), p_good and the label, good."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 256):
+                part = b.slice(k, 256)
+                bins = [line_bins(t)[0] for t in part.column(1).to_pylist()]
+                lens = np.array([len(x) for x in bins])
+                p = field.lines(bins)
+                ids = part.column(0).take(pa.array(np.repeat(np.arange(len(lens)), lens)))
+                line = np.arange(len(p)) - np.repeat(np.cumsum(lens) - lens, lens)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(line), pa.array(p), pa.array(p >= 0.5)], names=["doc_id", "line", "p_good", "good"])
+
+    id_type = docs.schema[id_col].dataType.simpleString()
+    return rows.mapInArrow(label, f"doc_id {id_type}, line long, p_good double, good boolean")
+
+
 def keep_good(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
     """The documents with a score of ``GOOD`` or more, all columns unchanged."""
     at = docs.columns.index(text_col)

@@ -85,3 +85,28 @@ def test_repeated_ids_train_once(spark):
     fields = [crf.fit_field(spark.createDataFrame(x, "doc_id long, text string").repartition(n), labels, max_docs=40) for x, n in ((more, 1), (more[::-1], 7))]
     assert np.array_equal(fields[0].w, fields[1].w) and fields[0].slope == fields[1].slope
     assert fields[0].score([rows[1][1]])[0] > 0.7 > fields[0].score([rows[0][1]])[0]
+
+
+def test_every_line_gets_a_label(spark, make_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    field = crf.fit_field(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    clean = "The quick meeting of the board was held in the old town hall, and the members agreed on a plan."
+    junk = "| a | b | 123 | $$$ ### 99 | | | 55 %% && | x | y |"
+    rows = [(1, "\n".join([clean] * 6 + [junk] * 12 + [clean] * 6)), (2, None), (3, "a\n\n" * 3), (None, clean), (4, (clean + "\n") * 2000)]
+    got = crf.label_lines(make_docs(rows, extra=True), field).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append(r)
+    assert {i: len(x) for i, x in by.items()} == {1: 24, 2: 1, 3: 7, None: 1, 4: 2001}
+    assert all(sorted(r.line for r in x) == list(range(len(x))) for x in by.values())
+    assert all(0 <= r.p_good <= 1 and r.good == (r.p_good >= 0.5) for r in got)
+    # the labels follow the stretches, and the weighted mean of the lines is the document's quality
+    p = {r.line: r.p_good for r in by[1]}
+    assert min(p[k] for k in (0, 1, 22, 23)) > max(p[k] for k in (10, 11, 12))
+    bins, sizes = crf.line_bins(rows[0][1])
+    weight = sizes + 1
+    mean = sum(p[k] * w for k, w in enumerate(weight)) / weight.sum()
+    score = crf.score_quality(make_docs(rows[:1]), field).first().score
+    x = crf._logit(np.array([mean]))
+    assert abs(score - (1 / (1 + np.exp(-(field.slope * x + field.shift))))[0]) < 1e-9
+    assert crf.label_lines(spark.createDataFrame([], "doc_id long, text string"), field).collect() == []
