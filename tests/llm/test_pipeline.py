@@ -92,3 +92,20 @@ def test_empty_tables(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert cp.run(spark, str(tmp_path)).collect() == []
+
+
+def test_other_columns_and_long_texts_pass_through(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    long = " ".join(r.text for r in docs.filter("doc_id < 60").collect())
+    docs = docs.union(spark.createDataFrame([(9_001, long, "en", "s", len(long))], docs.schema))
+    names = ["row", "key", "kept", "n_dropped", "n_lines", "pos", "spans", "items", "h1", "h2", "i", "h", "text_hash", "class_id", "score", "ids"]
+    wide = docs.select("*", *(F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names))
+    for name, step in cp.STAGES[:-1]:
+        path = str(tmp_path / name)
+        step(spark, wide, SF).write.parquet(path)
+        wide = spark.read.parquet(path)
+        got = wide.collect()
+        assert wide.columns == [*docs.columns, *names] and len(got) > 50
+        assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in names)
+    packed = cp.packing(spark, wide, SF)
+    assert packed.agg(F.sum("length")).first()[0] == packed.select("doc_id", "doc_tokens").distinct().agg(F.sum("doc_tokens")).first()[0]
