@@ -43,7 +43,7 @@ from lakeload.sources.files import (
     typed_copy,
     write_snapshot,
 )
-from lakeload.sources.fs import delete_path, path_exists
+from lakeload.sources.fs import delete_path, path_exists, touch
 from lakeload.sources.store import (
     append_closed,
     closed_folder,
@@ -501,8 +501,12 @@ def _lookups(spark: SparkSession, layout: Layout, spec: FactSpec, keep_keys: boo
         )
         for lk in spec.lookups
     ]
-    for lk in found:
-        check_versions(lk.dim, lk.dim_keys)
+    for lk, path in zip(found, (layout.gold(lk["dim"]) for lk in spec.lookups)):
+        # a version of the dimension is checked once; its folder never changes afterwards
+        checked = f"{current_version_path(spark, path)}/_checked_{'-'.join(lk.dim_keys or ('keys',))}"
+        if not path_exists(spark, checked):
+            check_versions(lk.dim, lk.dim_keys)
+            touch(spark, checked)
     return found
 
 

@@ -13,6 +13,7 @@ from lakeload.operators.prepare import hash_key
 from lakeload.operators.scd2 import scd2_create, scd2_interval_join, scd2_merge
 from lakeload.operators.snapshots import snapshot_diff
 from lakeload.operators.validate import DuplicateKeyError
+from lakeload.plans import runs
 from lakeload.plans.layout import Layout
 from lakeload.plans.runs import FactSpec, SilverSpec, load_gold, resolve_late_members, run_difference, run_facts, run_silver
 from lakeload.sources.files import load_is_empty, read_load, write_snapshot
@@ -134,6 +135,22 @@ def test_late_members_rewrite_only_their_loads(spark, tmp_base):
     assert resolve_late_members(spark, layout, spec) == (0, [])
 
 
+def test_a_version_of_a_dimension_is_checked_once(spark, tmp_base, monkeypatch):
+    layout, seen, check = Layout(tmp_base), [], runs.check_versions
+    monkeypatch.setattr(runs, "check_versions", lambda dim, keys: (seen.append(dim.count()), check(dim, keys)))
+    dim, sales = SilverSpec("DIM2_d", "src", "d", ["id"]), SilverSpec("FACT_s", "src", "s", ["s"])
+    spec = FactSpec("FACT_s", "FACT_s", ({"dim": "DIM2_d", "keys": ["d"]},))
+    for day, name, merge in (("2024-01-01", "a", True), ("2024-01-02", "a", False), ("2024-01-03", "b", True)):
+        write_snapshot(spark.createDataFrame([(1, name)], "id long, name string"), layout.bronze("src"), day, "d")
+        write_snapshot(spark.createDataFrame([(7, 1)], "s long, d long"), layout.bronze("src"), day, "s")
+        run_silver(spark, layout, [dim, sales], day)
+        if merge:
+            load_gold(spark, layout, "DIM2_d", day)
+        run_facts(spark, layout, [spec], day)
+    assert seen == [1, 2]
+    assert sorted(r.SK_d for r in spark.read.parquet(layout.gold("FACT_s")).collect()) == [1, 1, 2]
+
+
 # ---------------------------------------------------------------- scd2_interval_join
 def test_ranges_of_both_dimensions_are_gapless(spark):
     left = versions(spark, [1, 2, 3], days=4).withColumn("ref", F.col("KEY_id") % 2)
