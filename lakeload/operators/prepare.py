@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeload.functions.dates import to_day
 from lakeload.functions.hashing import SAFE, row_hash
 from lakeload.functions.text import remove_accents
-from lakeload.operators.validate import DuplicateKeyError, validate_keys
+from lakeload.operators.validate import DuplicateKeyError, not_unique, validate_keys
 from lakeload.plans.roles import HASH_COL, KEY_PREFIX, LOAD_DATE_COL
 
 

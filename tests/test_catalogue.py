@@ -59,5 +59,5 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_entry_smoke(spark):
     out = entry(spark)
-    assert out.columns == ["table_name", "business_key", "sk", "created_date", "updated_date"]
+    assert out.columns == ["table_name", "business_key", "sk", "created_date", "updated_date", "HASHCOLUMN", "LoadDate"]
     assert out.select("table_name").distinct().count() == 5
