@@ -179,11 +179,12 @@ def merge_scd2_buckets(
             check_source=False, max_sk=max_frame(sk, current, history),
         )
         inserted, ended = change.counts()
+        after = materialize(change.open_rows(), "buckets-open")  # it asks the history that is written next
         if ended:
             end = change.ended().withColumn(BUCKET, bucket_of(ks, n))
             if closed is not None:  # closed at this stamp before: by an earlier merge, or by this one when it failed
                 held = closed.filter(F.col(CLOSED_ON).cast("string") == stamp).drop(CLOSED_ON)
                 end = end.unionByName(held.join(end.select(sk), sk, "left_anti"), allowMissingColumns=True)
             _write(materialize(end.withColumn(CLOSED_ON, F.lit(stamp)), "buckets-closed"), _history(path), CLOSED_ON, BUCKET)
-        _replace(spark, change.open_rows(), path, ks, n, touched)
+        _replace(spark, after, path, ks, n, touched)
     return {"inserted": inserted, "closed": ended, "buckets": touched}
