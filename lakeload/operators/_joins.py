@@ -30,7 +30,7 @@ def key_condition(left_keys: Sequence[str], right_keys: Sequence[str], null_safe
 DUP_MARKER = "lakeload: merge source"
 
 
-def unique_rows(source: DataFrame, keys: Sequence[str], allow_null_keys: bool) -> DataFrame:
+def unique_rows(source: DataFrame, keys: Sequence[str], allow_null_keys: bool, by_range: bool = False) -> DataFrame:
     """One row per key, checked lazily inside the plan.
 
     Per key: ``min(struct(row))`` (the survivor) and the min/max of a 128-bit row fingerprint, all with
@@ -38,7 +38,13 @@ def unique_rows(source: DataFrame, keys: Sequence[str], allow_null_keys: bool) -
     row once plus four longs). Identical copies collapse; two different rows for one key fail the
     job through ``raise_error`` when the plan runs, as does a NULL key unless allowed. The output
     is hash-partitioned on the keys, which a following join on the keys reuses.
+
+    ``by_range``: the rows are dealt out by ranges of the keys instead, for a numbering in key order, which then needs
+    no exchange of its own. Equal keys lie in one range. Rows travel as they are, without fingerprints; a hot key's
+    copies meet in one task, which sorts them (on disk, if need be) and holds one at a time.
     """
+    if by_range:
+        source = source.repartitionByRange(*keys)
     rest = [c for c in source.columns if c not in keys]
     if rest:
         fp = row_fingerprint(source, rest)

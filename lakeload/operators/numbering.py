@@ -48,6 +48,7 @@ def number_rows(
     offset: int | DataFrame = 0,
     num_partitions: int | None = None,
     unique: bool = False,
+    by_range: bool = False,
 ) -> DataFrame:
     """Append ``name`` = ``offset`` + 1..n in ``order_by`` order (ascending, NULLs first), as bigint.
 
@@ -55,7 +56,7 @@ def number_rows(
 
     ``unique=True`` declares the order columns unique (no tie-breakers needed). Otherwise rows equal
     on ``order_by`` are ordered by a hash of all columns, identical rows in any order (the result is
-    the same multiset either way).
+    the same multiset either way). ``by_range=True``: ``df`` is range-partitioned on the unique order columns already.
     """
     if not order_by:
         raise ValueError("number_rows needs at least one order column")
@@ -74,9 +75,10 @@ def number_rows(
     # Without an explicit count the range exchange starts at spark.sql.shuffle.partitions and AQE
     # coalesces adjacent ranges to the advisory size; coalesced partitions stay contiguous and in
     # order, so (partition, position) still orders the rows globally.
+    if not (unique and by_range):
+        prepared = prepared.repartitionByRange(*([n] if num_partitions else []), *order)
     ranged = (
-        prepared.repartitionByRange(*([n] if num_partitions else []), *order)
-        .sortWithinPartitions(*order)
+        prepared.sortWithinPartitions(*order)
         .withColumn(_PID, F.spark_partition_id())
         # monotonically_increasing_id = (partition << 33) + position within the partition
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))

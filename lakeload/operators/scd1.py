@@ -19,11 +19,12 @@ def scd1_create(
     table_name: str | None = None,
     num_partitions: int | None = None,
     unique_keys: bool = False,
+    by_range: bool = False,
 ) -> DataFrame:
-    """Source rows plus ``SK_<name>`` = 1..n in key order (``unique_keys``: one row per key)."""
+    """Source rows plus ``SK_<name>`` = 1..n in key order (``unique_keys``: one row per key; ``by_range``: dealt out by ranges of it)."""
     ks = resolve_keys(df.columns, keys)
     name = sk or sk_name_for(table_name or "")
-    return number_rows(df, ks, name, 0, num_partitions, unique=unique_keys)
+    return number_rows(df, ks, name, 0, num_partitions, unique=unique_keys, by_range=by_range)
 
 
 def scd1_merge(

@@ -57,13 +57,15 @@ def scd2_create(
     table_name: str | None = None,
     num_partitions: int | None = None,
     unique_keys: bool = False,
+    by_range: bool = False,
 ) -> DataFrame:
     """Source rows + ``SK_<name>`` 1..n in key order + default validity (open since 1900).
 
-    ``unique_keys=True`` declares one row per key (e.g. after the merge-source check)."""
+    ``unique_keys=True`` declares one row per key (e.g. after the merge-source check), ``by_range=True`` that
+    the rows are dealt out by ranges of the keys."""
     ks = resolve_keys(df.columns, keys)
     name = sk or sk_name_for(table_name or "")
-    return number_rows(df, ks, name, 0, num_partitions, unique=unique_keys).withColumns(
+    return number_rows(df, ks, name, 0, num_partitions, unique=unique_keys, by_range=by_range).withColumns(
         {CREATED_COL: F.lit(DEFAULT_START), UPDATED_COL: F.lit(OPEN_END)}
     )
 

@@ -401,7 +401,8 @@ def _create_or_merge(
         else:
             sk, before = sk_name_for(table_name), 0
             create = scd1_create if kind == 1 else scd2_create
-            out = translate_errors(create, unique_rows(source, keys, allow_null_keys=False), keys, sk, unique_keys=True)
+            rows = unique_rows(source, keys, allow_null_keys=False, by_range=True)
+            out = translate_errors(create, rows, keys, sk, unique_keys=True, by_range=True)
         obs = Observation(f"gold_{table_name}")
         new = F.sum((F.col(sk) > F.lit(before)).cast("long"))
         out = out.observe(obs, F.count(F.lit(1)).alias("rows_out"), new.alias("inserted"))

@@ -12,6 +12,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Silver loads, gold tables and scratch frames: row hashes are hex text, which snappy leaves as it is and zstd halves.
+TABLE_CODEC = "zstd"
+
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -64,4 +67,4 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base}/lakeload/{label}-{uuid.uuid4().hex}"
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "DEFAULT_CONF", "TABLE_CODEC"]

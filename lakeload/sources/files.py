@@ -6,12 +6,13 @@ import re
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from lakeload.functions.dates import to_day
 from lakeload.plans.roles import LOAD_DATE_COL
+from lakeload.session import TABLE_CODEC
 from lakeload.sources.fs import delete_path, list_dir_names, move_path, path_exists, touch
 
 _DAY_FOLDER = re.compile(r"^\d{4}-\d{2}-\d{2}$")
@@ -96,6 +97,11 @@ def read_latest_snapshot(spark: SparkSession, base: str, name: str, until: str |
     return spark.read.parquet(f"{base.rstrip('/')}/{day}/{name}")
 
 
+def _writer(df: DataFrame, fmt: str) -> DataFrameWriter:
+    writer = df.write.format(fmt)
+    return writer.option("compression", TABLE_CODEC) if fmt == "parquet" else writer
+
+
 def append_silver(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Add one load to a silver table partitioned by ``LoadDate``.
 
@@ -105,7 +111,7 @@ def append_silver(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     if LOAD_DATE_COL not in df.columns:
         raise ValueError(f"silver rows need a {LOAD_DATE_COL} column")
     (
-        df.write.format(fmt)
+        _writer(df, fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD_DATE_COL)
@@ -117,7 +123,7 @@ def stage_load(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Write a load of the silver table at ``path`` beside it, where no reader looks; returns the staging folder."""
     base, _, name = path.rstrip("/").rpartition("/")
     staging = f"{base}/_staging/{name}-{uuid.uuid4().hex}"
-    df.write.format(fmt).partitionBy(LOAD_DATE_COL).save(staging)
+    _writer(df, fmt).partitionBy(LOAD_DATE_COL).save(staging)
     return staging
 
 
@@ -133,7 +139,7 @@ def publish_load(spark: SparkSession, staging: str, path: str) -> list[str]:
 
 def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Plain append: earlier rows of the same load stay."""
-    writer = df.write.format(fmt).mode("append")
+    writer = _writer(df, fmt).mode("append")
     (writer.partitionBy(LOAD_DATE_COL) if LOAD_DATE_COL in df.columns else writer).save(path)
 
 

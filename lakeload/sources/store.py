@@ -21,7 +21,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.session import scratch_path
+from lakeload.session import TABLE_CODEC, scratch_path
 from lakeload.sources.fs import delete_path, is_complete, list_dir_names, path_exists, touch
 
 _VERSION = re.compile(r"^v=(\d+)(?:_load=(.+))?$")
@@ -32,7 +32,7 @@ _scope = threading.local()
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression=TABLE_CODEC)
     created = getattr(_scope, "paths", None)
     if created is not None:
         created.append(path)
@@ -136,7 +136,7 @@ def write_table(df: DataFrame, table_path: str, load: str | None = None) -> str:
     if _closed_folders(spark, table_path):  # rows that were closed before are among those of ``df``
         touch(spark, f"{table_path.rstrip('/')}/closed/from={number}/_whole")
     path = _version_path(table_path, number, load or last_load(spark, table_path))
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=TABLE_CODEC)
     return path
 
 
@@ -149,10 +149,11 @@ def append_closed(closed: DataFrame | None, own: DataFrame, table_path: str, loa
     spark, number = own.sparkSession, _next_number(own.sparkSession, table_path)
     folder = closed_folder(spark, table_path, number) or f"{table_path.rstrip('/')}/closed/from={number}"
     if closed is not None:
-        closed.write.mode("overwrite").parquet(f"{folder}/n={number}")
+        closed.write.mode("overwrite").parquet(f"{folder}/n={number}", compression=TABLE_CODEC)
     else:
         delete_path(spark, f"{folder}/n={number}")
-    own.write.mode("overwrite").parquet(_version_path(table_path, number, load or last_load(spark, table_path)))
+    path = _version_path(table_path, number, load or last_load(spark, table_path))
+    own.write.mode("overwrite").parquet(path, compression=TABLE_CODEC)
 
 
 def observed(obs: Observation) -> dict:

@@ -2,12 +2,18 @@
 
 import contextlib
 import io
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pyspark.sql import Window
 
+from lakeload.operators._joins import translate_errors, unique_rows
 from lakeload.operators.numbering import number_rows
+from lakeload.operators.validate import DuplicateKeyError
+from lakeload.sources.files import append_silver
+from lakeload.sources.store import current_version_path, write_table
 
 SF01 = "/root/testdata/sf0.01"
 
@@ -65,3 +71,28 @@ def test_unique_keys_path_equals_global_row_number(spark):
     assert a.join(b, ["o_orderkey", "o_custkey"]).filter("sk != sk2").count() == 0
     plan = formatted(a)
     assert "_ll_tie" not in plan and "_ll_seq" not in plan
+
+
+def test_creation_moves_rows_once_and_keeps_the_checks(spark):
+    """The ranges that the numbering needs serve the key check too; copies collapse, different rows of a key fail."""
+    rows = [(None if k == 0 else k % 37, f"v{k % 37}" if k else "v") for k in range(37 * 4)]
+    df = spark.createDataFrame(rows, "KEY_k int, v string").filter("KEY_k is not null")
+    unique = unique_rows(df, ["KEY_k"], allow_null_keys=False, by_range=True)
+    plan = unique.sortWithinPartitions("KEY_k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Exchange rangepartitioning(KEY_k" in plan
+    got = {(r.KEY_k, r.v, r.sk) for r in number_rows(unique, ["KEY_k"], "sk", unique=True, by_range=True).collect()}
+    assert got == {(k, f"v{k}", k + 1) for k in range(37)}
+    for bad, name in (((3, "other"), "different rows"), ((None, "v"), "NULL value")):
+        more = df.unionByName(spark.createDataFrame([bad], df.schema))
+        with pytest.raises(DuplicateKeyError, match=name):
+            translate_errors(unique_rows(more, ["KEY_k"], allow_null_keys=False, by_range=True).collect)
+
+
+def test_tables_and_scratch_frames_halve_their_hashes(spark, tmp_base):
+    df = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("HASHCOLUMN"), F.lit("2024-03-09").alias("LoadDate"))
+    write_table(df, f"{tmp_base}/t")
+    append_silver(df, f"{tmp_base}/s")
+    for path in (current_version_path(spark, f"{tmp_base}/t"), f"{tmp_base}/s"):
+        size = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+        assert size < 45 * 20_000
+        assert spark.read.parquet(path).count() == 20_000
