@@ -2,6 +2,7 @@ import glob
 import gzip
 import hashlib
 import os
+import time
 import zlib
 
 import pytest
@@ -127,3 +128,25 @@ def test_archives_of_any_bytes(spark, tmp_base):
     assert got["http://a/"][1] in (latin, http) and latin in (got["http://a/"][1], got["http://d/"][1])
     rows = {r.url: r.payload_bytes for r in arc.read_warc(spark, f"{tmp_base}/warc").collect() if r.record_type == "response"}
     assert rows["http://b/"] == 1024
+
+
+def test_many_members_take_time_in_proportion():
+    def seconds(n):
+        data = b"".join([*(arc.member(os.urandom(2000)) for _ in range(n)), arc.LAST])
+        began = time.process_time()
+        assert len(arc._content(data)) == 2000 * n
+        return time.process_time() - began
+
+    one, four = seconds(1000), seconds(4000)
+    assert four < 8 * one + 0.2
+
+
+def test_members_padding_and_cut_archives():
+    a, b = os.urandom(100_000), b"short"
+    whole = arc.member(a) + arc.member(b"") + b"\0" * 700 + arc.member(b)
+    assert arc._content(whole) == a + b == arc._content(whole + b"\0" * 9)
+    for k in (1, 9, len(arc.member(b)) - 3):
+        with pytest.raises(EOFError):
+            arc._content(whole[:-k])
+    with pytest.raises(zlib.error):
+        arc._content(whole + b"no gzip")
