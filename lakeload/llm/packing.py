@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 CAPACITY, END_ID = 4096, 2
-CACHE_WORDS = 1_200_000  # about as many words and pieces a Python worker remembers the ids of
+# A Python worker remembers the ids of about as many words and pieces, and of so many bytes of them and their ids.
+# Workers stay for the stages that follow, so this is memory that an executor has less for them: about 60 MB each.
+CACHE_WORDS, CACHE_BYTES = 400_000, 32 << 20
 
 
 def default_tokenizer() -> str:
@@ -62,6 +64,7 @@ class WordTokenizer:
         for token, i in self.whole.get_vocab().items():
             self.ends[i] = token.endswith("</w>")  # the last id of a piece
         self.cache: dict[str, bytes] = {}
+        self.held = 0  # bytes of the words and ids in it
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
@@ -80,12 +83,15 @@ class WordTokenizer:
             for w, q in zip(part, (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()):
                 cache[w] = raw[p:q]
                 p = q
+            self.held += sum(map(len, part)) + len(raw)
         for w, ps in zip(new, cut):
-            cache[w] = cache[ps[0]] if len(ps) == 1 else b"".join([cache[p] for p in ps])
+            ids = cache[w] = cache[ps[0]] if len(ps) == 1 else b"".join([cache[p] for p in ps])
+            self.held += len(w) + len(ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.cache) > CACHE_WORDS:
+        if len(self.cache) > CACHE_WORDS or self.held > CACHE_BYTES:
             self.cache.clear()
+            self.held = 0
         get, found = self.cache.get, []
         for t in texts:
             if t and self._plain.fullmatch(t) and not any(s in t for s in self.special):

@@ -6,7 +6,7 @@ from zlib import crc32
 import numpy as np
 import pytest
 
-from lakeload.llm.packing import Packer, WordTokenizer, default_tokenizer, pack_documents
+from lakeload.llm.packing import CACHE_WORDS, Packer, WordTokenizer, default_tokenizer, pack_documents
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +38,16 @@ def test_small_cache_is_right_too(tokenizer, monkeypatch):
         assert np.frombuffer(tok.encode(part)[0], "<u4").tolist() == tokenizer.encode(part[0], add_special_tokens=False).ids
 
 
+def test_cache_is_bounded_in_words_and_bytes(tokenizer, monkeypatch):
+    monkeypatch.setattr("lakeload.llm.packing.CACHE_BYTES", 4000)
+    tok = WordTokenizer(default_tokenizer())
+    for k in range(30):  # few words, long ones
+        text = " ".join(f"{x}{k}" * 100 for x in "abc")
+        assert np.frombuffer(tok.encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert sum(len(w) + len(ids) for w, ids in tok.cache.items()) < 4000 + 3 * 6000
+    assert CACHE_WORDS <= 400_000  # the ids of 1.2 million words took 190 MB in each of an executor's workers
+
+
 def check(pieces, docs, capacity):
     """docs: id -> token ids. Every id lies in exactly one piece; sequences are gapless and within capacity."""
     by_doc, by_seq = defaultdict(list), defaultdict(list)
