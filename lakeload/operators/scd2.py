@@ -41,6 +41,7 @@ from lakeload.plans.roles import (
     sk_column,
     sk_name_for,
 )
+from lakeload.sources.store import materialize
 
 IGNORE = "ignore"
 CLOSE = "close"
@@ -216,14 +217,15 @@ def scd2_change(
     """Merge ``source`` into the open versions ``current`` (rules: :func:`scd2_merge`).
 
     ``closed``: the closed versions. Only their key columns are read, and only if keys without an open version
-    are inserted. ``max_sk``: the highest SK of both (default: a scalar of the plan, found when it runs)."""
+    are inserted. ``max_sk``: the highest SK of both (default: found and kept in a scratch file of one row)."""
     if on_same_hash not in (IGNORE, CLOSE):
         raise ValueError(f"on_same_hash must be {IGNORE!r} or {CLOSE!r}")
     ks = resolve_keys(current.columns, keys)
     sk = sk_column(current.columns)
     stamp = to_stamp(now)
     added = [c for c in source.columns if c not in current.columns]
-    base = max_frame(sk, current, closed) if max_sk is None else max_sk
+    # written like the numbering that takes it: a plan that holds its gold for each use would grow by a multiple per merge
+    base = translate_errors(materialize, max_frame(sk, current, closed), "highest") if max_sk is None else max_sk
     current = with_new_columns(current, source)
     data_cols = [c for c in current.columns if c not in (sk, CREATED_COL, UPDATED_COL)]
     missing = [c for c in data_cols if c not in source.columns]

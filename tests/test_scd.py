@@ -149,3 +149,11 @@ def test_null_safe_keys(spark):
     assert {(r["KEY_id"], r["val"], r["SK_t"]) for r in m1.collect()} == {(None, "v9", 1), ("A", "v1", 2), ("B", "b", 3)}
     with pytest.raises(DuplicateKeyError):
         scd2_merge(gold, src, now="2024-03-10")
+
+
+def test_a_chain_of_merges_does_not_blow_up_the_plan(spark):
+    leaves = lambda df: df._jdf.queryExecution().analyzed().collectLeaves().size()
+    one = scd2_merge(scd2_create(_src(spark, [("A", "v1")]), sk="SK_t"), _src(spark, [("A", "v2"), ("B", "v1")]), now="2024-03-10")
+    two = scd2_merge(one, _src(spark, [("A", "v3"), ("B", "v1")]), now="2024-03-11")
+    assert _rows(two, "KEY_id", "val", "SK_t") == [("A", "v1", 1), ("A", "v2", 2), ("A", "v3", 4), ("B", "v1", 3)]
+    assert leaves(two) <= 4 * leaves(one)
