@@ -20,12 +20,14 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 CAPACITY, END_ID = 4096, 2
-# A Python worker remembers the ids of about as many words and pieces, and of so many bytes of them and their ids.
+CHUNK = 2 << 20  # characters (or the 64 texts that pass it) whose words are looked up together, each once
+# A Python worker remembers the ids of about as many pieces, and of so many bytes of them and their ids.
 # Workers stay for the stages that follow, so this is memory that an executor has less for them: about 60 MB each.
 CACHE_WORDS, CACHE_BYTES = 400_000, 32 << 20
 
@@ -39,10 +41,10 @@ def default_tokenizer() -> str:
 class WordTokenizer:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The vocabulary merges within words only, so ids are looked up word by word. Words not met yet are cut as the
-    tokenizer's own pattern cuts them, and the pieces not met yet are encoded by ``tokenizers`` in batches. Texts
-    outside plain Latin-1, where normalisation could cross word borders, and texts with the special tokens'
-    strings go through ``tokenizers`` whole.
+    The vocabulary merges within words only, so Arrow splits texts into words and each different one is looked up once. Words
+    are cut as the tokenizer's own pattern cuts them, and the pieces not met yet are encoded by ``tokenizers`` in
+    batches. Texts outside plain Latin-1, where normalisation could cross word borders, and texts with the special
+    tokens' strings go through ``tokenizers`` whole.
     """
 
     _of: dict[str, WordTokenizer] = {}
@@ -64,7 +66,7 @@ class WordTokenizer:
         for token, i in self.whole.get_vocab().items():
             self.ends[i] = token.endswith("</w>")  # the last id of a piece
         self.cache: dict[str, bytes] = {}
-        self.held = 0  # bytes of the words and ids in it
+        self.held = 0  # bytes of the pieces and ids in it
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
@@ -73,44 +75,37 @@ class WordTokenizer:
             cls._of[path] = cls(path)
         return cls._of[path]
 
-    def _learn(self, new: list[str]) -> None:
-        cache, cut = self.cache, [self._piece.findall(w.lower()) for w in new]
-        pieces = list({p for ps in cut for p in ps if p not in cache})
-        parts = [pieces[k : k + 1000] for k in range(0, len(pieces), 1000)]
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """The ids of different words, by their pieces."""
+        cache = self.cache
+        cut = list(map(self._piece.findall, "\n".join(words).lower().split("\n")))
+        pieces = list(set().union(*cut).difference(cache))
+        parts = [pieces[k : k + 100] for k in range(0, len(pieces), 100)]
         for part, e in zip(parts, self.pieces.encode_batch_fast([" ".join(x) for x in parts], add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
-            raw, p = ids.tobytes(), 0
-            for w, q in zip(part, (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()):
-                cache[w] = raw[p:q]
-                p = q
+            raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            cache.update(zip(part, [raw[p:q] for p, q in zip([0, *ends], ends)]))
             self.held += sum(map(len, part)) + len(raw)
-        for w, ps in zip(new, cut):
-            ids = cache[w] = cache[ps[0]] if len(ps) == 1 else b"".join([cache[p] for p in ps])
-            self.held += len(w) + len(ids)
+        return [cache[ps[0]] if len(ps) == 1 else b"".join([cache[p] for p in ps]) for ps in cut]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.cache) > CACHE_WORDS or self.held > CACHE_BYTES:
             self.cache.clear()
             self.held = 0
-        get, found = self.cache.get, []
-        for t in texts:
-            if t and self._plain.fullmatch(t) and not any(s in t for s in self.special):
-                ws = t.split()
-                found.append((ws, list(map(get, ws))))
+        plain = [bool(t and self._plain.fullmatch(t) and not any(s in t for s in self.special)) for t in texts]
+        words = pc.ascii_split_whitespace(pa.array([t for t, p in zip(texts, plain) if p], pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        ids, of = self._ids(coded.dictionary.to_pylist()), coded.indices.to_numpy()
+        ends = iter(np.cumsum(pc.list_value_length(words).to_numpy()).tolist())
+        found, at = [], 0
+        for t, p in zip(texts, plain):
+            if p:
+                start, at = at, next(ends)
+                found.append(b"".join(map(ids.__getitem__, of[start:at].tolist())))
             else:
-                found.append(None)
-        unknown = [(ws, ids) for ws, ids in filter(None, found) if None in ids]
-        self._learn(list({w for ws, ids in unknown for w, i in zip(ws, ids) if i is None}))
-        for ws, ids in unknown:
-            for k, i in enumerate(ids):
-                if i is None:
-                    ids[k] = get(ws[k])
-        return [
-            b"".join(f[1])
-            if f
-            else np.array(self.whole.encode(t, add_special_tokens=False).ids if t else [], "<u4").tobytes()
-            for t, f in zip(texts, found)
-        ]
+                whole = self.whole.encode(t, add_special_tokens=False).ids if t else []
+                found.append(np.array(whole, "<u4").tobytes())
+        return found
 
 
 class Packer:
@@ -245,15 +240,28 @@ def pack_documents(
                 [pa.array(cols[0], kinds), *(pa.array(c, pa.int64()) for c in cols[1:])], names=schema.fieldNames()
             )
 
+        docs, texts, size = [], [], 0
+
+        def place():
+            for doc, ids in zip(docs, tok.encode(texts)):
+                packer.add(doc, ids + end)
+            docs.clear()
+            texts.clear()
+
         for b in batches:
             kinds = b.schema.field(0).type
             for k in range(0, b.num_rows, 64):
                 part = b.slice(k, 64)
-                for doc, ids in zip(part.column(0).to_pylist(), tok.encode(part.column(1).to_pylist())):
-                    packer.add(doc, ids + end)
+                docs += part.column(0).to_pylist()
+                texts += part.column(1).to_pylist()
+                size += sum(len(t) for t in texts[-part.num_rows :] if t)
+                if size >= CHUNK:
+                    place()
+                    size = 0
             if len(packer.out) >= 5000:
                 yield drain()
         if kinds is not None:
+            place()
             packer.finish()
             yield drain()
 

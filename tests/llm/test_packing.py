@@ -48,6 +48,32 @@ def test_cache_is_bounded_in_words_and_bytes(tokenizer, monkeypatch):
     assert CACHE_WORDS <= 400_000  # the ids of 1.2 million words took 190 MB in each of an executor's workers
 
 
+def test_each_different_word_is_cut_once(tokenizer):
+    cut, tok = [], WordTokenizer(default_tokenizer())
+
+    class Piece:
+        def findall(self, word):
+            cut.append(word)
+            return WordTokenizer._piece.findall(word)
+
+    tok._piece = Piece()
+    texts = [" Ab\x0b c'd\x0c\x0c Ab\t", "  ", None, "\u65e5 Ab", "c'd \xc4b\n\nAb " * 50] * 20
+    for _ in range(2):
+        for t, ids in zip(texts, tok.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == (tokenizer.encode(t, add_special_tokens=False).ids if t else [])
+    assert sorted(filter(None, cut)) == sorted(["ab", "c'd", "\xe4b"] * 2)
+    tok.cache.clear()
+    assert tok.encode([]) == [] and tok.encode([None, ""]) == [b"", b""]
+
+
+def test_chunks_keep_documents_in_order(make_docs, monkeypatch):
+    rows = [(i, f"word{i % 7} é {i} " * (i % 40)) for i in range(300)]
+    df = make_docs(rows).coalesce(1)
+    want = pack_documents(df).collect()
+    monkeypatch.setattr("lakeload.llm.packing.CHUNK", 1)
+    assert pack_documents(df).collect() == want and {r.doc_id for r in want} == {i for i, _ in rows}
+
+
 def check(pieces, docs, capacity):
     """docs: id -> token ids. Every id lies in exactly one piece; sequences are gapless and within capacity."""
     by_doc, by_seq = defaultdict(list), defaultdict(list)
