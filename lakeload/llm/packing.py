@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -75,8 +76,8 @@ class WordTokenizer:
             cls._of[path] = cls(path)
         return cls._of[path]
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """The ids of different words, by their pieces."""
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of different words, by their pieces: all ids in one array, where each word's begin and how many it has."""
         cache = self.cache
         cut = list(map(self._piece.findall, "\n".join(words).lower().split("\n")))
         pieces = list(set().union(*cut).difference(cache))
@@ -86,7 +87,9 @@ class WordTokenizer:
             raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
             cache.update(zip(part, [raw[p:q] for p, q in zip([0, *ends], ends)]))
             self.held += sum(map(len, part)) + len(raw)
-        return [cache[ps[0]] if len(ps) == 1 else b"".join([cache[p] for p in ps]) for ps in cut]
+        coded = list(map(cache.__getitem__, chain.from_iterable(cut)))
+        ends = np.cumsum([0, *map(len, coded)], dtype=np.int64)[np.cumsum([0, *map(len, cut)])] // 4
+        return np.frombuffer(b"".join(coded), "<u4"), ends[:-1], np.diff(ends)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.cache) > CACHE_WORDS or self.held > CACHE_BYTES:
@@ -95,13 +98,17 @@ class WordTokenizer:
         plain = [bool(t and self._plain.fullmatch(t) and not any(s in t for s in self.special)) for t in texts]
         words = pc.ascii_split_whitespace(pa.array([t for t, p in zip(texts, plain) if p], pa.large_string()))
         coded = words.flatten().dictionary_encode()
-        ids, of = self._ids(coded.dictionary.to_pylist()), coded.indices.to_numpy()
-        ends = iter(np.cumsum(pc.list_value_length(words).to_numpy()).tolist())
+        ids, begin, size = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        of = coded.indices.to_numpy()
+        sizes = size[of]
+        upto = np.cumsum(np.concatenate([[0], sizes]))  # ids before each word
+        ids = ids[np.repeat(begin[of] - upto[:-1], sizes) + np.arange(upto[-1])]
+        ends = iter(upto[np.cumsum(pc.list_value_length(words).to_numpy())].tolist())
         found, at = [], 0
         for t, p in zip(texts, plain):
             if p:
                 start, at = at, next(ends)
-                found.append(b"".join(map(ids.__getitem__, of[start:at].tolist())))
+                found.append(ids[start:at].tobytes())
             else:
                 whole = self.whole.encode(t, add_special_tokens=False).ids if t else []
                 found.append(np.array(whole, "<u4").tobytes())

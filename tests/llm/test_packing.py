@@ -66,6 +66,14 @@ def test_each_different_word_is_cut_once(tokenizer):
     assert tok.encode([]) == [] and tok.encode([None, ""]) == [b"", b""]
 
 
+def test_words_are_gathered_from_one_array(tokenizer):
+    tok, words = WordTokenizer(default_tokenizer()), ["don't", "\xc4b12", "plain", "x" * 300]
+    ids, begin, size = tok._ids(words)
+    for w, b, n in zip(words, begin, size):
+        assert ids[b : b + n].tolist() == tokenizer.encode(w, add_special_tokens=False).ids
+    assert len(ids) == size.sum() and len(tok._ids([])[0]) == 0
+
+
 def test_chunks_keep_documents_in_order(make_docs, monkeypatch):
     rows = [(i, f"word{i % 7} é {i} " * (i % 40)) for i in range(300)]
     df = make_docs(rows).coalesce(1)
