@@ -1,0 +1,129 @@
+"""Rows found by their number, hashes as bytes, and loads in key order that gold numbers and merges where they lie."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeload.functions.hashing import pack_hashes, unpack_hashes
+from lakeload.operators import _marks
+from lakeload.operators._marks import MARK, with_mark
+from lakeload.operators.scd2 import CLOSE, IGNORE, is_open_version, scd2_change
+from lakeload.operators.validate import DuplicateKeyError
+from lakeload.plans.layout import Layout
+from lakeload.plans.runs import SilverSpec, load_gold, merge_type2_table, run_silver
+from lakeload.sources.files import append_rows, load_is_ordered, read_load, write_snapshot
+from lakeload.sources.store import read_closed, read_own_rows, read_table, write_table
+
+SPEC = SilverSpec("DIM2_t", "s", "t", ["a", "b"], first_per_key=True)
+
+
+@pytest.mark.parametrize("blocks", [16_384, 1])
+def test_marks_and_ranks(spark, monkeypatch, blocks):
+    monkeypatch.setattr(_marks, "MAX_BLOCKS", blocks)
+    rnd = random.Random(3)
+    chosen = sorted({1, 2, 8, 9, 32_768, 32_769, 200_000, 1 << 40, *(rnd.randrange(1, 200_000) for _ in range(3000))})
+    tried = [None, 3, 10, 32_767, *chosen, *(rnd.randrange(1, 1 << 41) for _ in range(3000))]
+    df = spark.createDataFrame([(x,) for x in tried], "n long")
+    got = with_mark(df, "n", spark.createDataFrame([(x,) for x in chosen], "n long"), rank="r").collect()
+    assert len(got) == len(tried)
+    at = {x: i for i, x in enumerate(chosen, 1)}
+    assert all(r[MARK] == (r.n in at) and (not r[MARK] or r.r == at[r.n]) for r in got)
+    none = with_mark(df, "n", df.filter("n < 0"), rank="r")
+    assert none.filter(MARK).count() == 0 and none.count() == len(tried)
+
+
+def test_packed_hashes_come_back_as_they_were(spark):
+    hashes = ["0a" * 32, "0A" * 32, "0a" * 31, "text", "", None, "g" * 64]
+    df = spark.createDataFrame([(h, h, 1) for h in hashes], "HASHCOLUMN string, _s_HASHCOLUMN string, v int")
+    packed = pack_hashes(df, ["_s_HASHCOLUMN"])
+    assert dict(packed.dtypes)["_ll_raw_HASHCOLUMN"] == "binary" and packed.filter("_ll_raw_HASHCOLUMN is not null").count() == 1
+    assert [tuple(r) for r in unpack_hashes(packed).select(*df.columns).collect()] == [(h, h, 1) for h in hashes]
+    assert unpack_hashes(pack_hashes(df)).select(*df.columns).exceptAll(df).count() == 0
+
+
+def snapshot(spark, layout, day, rows):
+    write_snapshot(spark.createDataFrame(rows, "a string, b int, v string").repartition(5), layout.bronze("s"), day, "t")
+
+
+def dealt(seed, n=400):
+    rnd = random.Random(seed)
+    return [(f"k{rnd.randrange(60)}", rnd.randrange(4), f"v{rnd.randrange(3)}") for _ in range(n)]
+
+
+def test_a_load_of_first_rows_is_numbered_where_it_lies(spark, tmp_base):
+    layout, rows = Layout(tmp_base), dealt(1)
+    snapshot(spark, layout, "2024-03-01", rows)
+    audit = run_silver(spark, layout, [SPEC], "2024-03-01")[0]
+    first = {}
+    for a, b, v in sorted(rows):
+        first.setdefault((a, b), v)
+    assert (audit["rows_in"], audit["rows_out"]) == (400, len(first))
+    silver = layout.silver("DIM2_t")
+    assert load_is_ordered(spark, silver, "2024-03-01")
+    assert load_gold(spark, layout, "DIM2_t", "2024-03-01")["inserted"] == len(first)
+    got = [(r.KEY_a, r.KEY_b, r.v, r.SK_t) for r in read_table(spark, layout.gold("DIM2_t")).collect()]
+    assert sorted(got) == [(*k, first[k], i) for i, k in enumerate(sorted(first), 1)]
+    append_rows(read_load(spark, silver, "2024-03-01").limit(1), silver)
+    assert not load_is_ordered(spark, silver, "2024-03-01")
+
+
+def test_an_empty_load_of_first_rows_is_marked_empty(spark, tmp_base):
+    layout = Layout(tmp_base)
+    snapshot(spark, layout, "2024-03-01", [])
+    assert run_silver(spark, layout, [SPEC], "2024-03-01")[0]["rows_out"] == 0
+    assert load_gold(spark, layout, "DIM2_t", "2024-03-01")["status"] == "skipped"
+
+
+@pytest.mark.parametrize(("same_hash", "missing"), [(IGNORE, False), (CLOSE, True)])
+def test_merge_in_files_equals_the_merge_of_rows(spark, tmp_base, same_hash, missing):
+    layout = Layout(tmp_base)
+    for k, day in enumerate(("2024-03-01", "2024-03-02", "2024-03-03")):
+        snapshot(spark, layout, day, dealt(k + 5, 150 + 60 * (k % 2)))
+        run_silver(spark, layout, [SPEC], day)
+        load = read_load(spark, layout.silver("DIM2_t"), day)
+        if not k:
+            load_gold(spark, layout, "DIM2_t", day)
+            write_table(read_table(spark, layout.gold("DIM2_t")), f"{tmp_base}/rows")
+            continue
+        stamp = day.replace("-", "") + "0000"
+        counts = [
+            merge_type2_table(spark, path, load, ["KEY_a", "KEY_b"], stamp, same_hash, missing, in_files=in_files)
+            for path, in_files in ((layout.gold("DIM2_t"), True), (f"{tmp_base}/rows", False))
+        ]
+        assert counts[0] == counts[1] and counts[0]["inserted"] > 0
+        a, b = (read_table(spark, p) for p in (layout.gold("DIM2_t"), f"{tmp_base}/rows"))
+        assert a.columns == b.columns and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_a_merge_in_files_moves_no_whole_row(spark, tmp_base):
+    layout = Layout(tmp_base)
+    for day in ("2024-03-01", "2024-03-02"):
+        snapshot(spark, layout, day, dealt(int(day[-1])))
+        run_silver(spark, layout, [SPEC], day)
+    load_gold(spark, layout, "DIM2_t", "2024-03-01")
+    path = layout.gold("DIM2_t")
+    load = read_load(spark, layout.silver("DIM2_t"), "2024-03-02")
+    own = read_own_rows(spark, path)
+    change = scd2_change(own.filter(is_open_version()), load, read_closed(spark, path), now="202403020000", max_sk=own.count(), in_files=True)
+    assert not {"v", "_s_v", "HASHCOLUMN", "_s_HASHCOLUMN"} & set(change.changes.columns)
+    for rows in (change.open_rows(), change.ended()):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        moved = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(" in ln]
+        assert moved and all("(_groupingexpression" in ln or "(_ll_file" in ln for ln in moved), moved  # blocks, files
+
+
+def test_null_keys_of_an_ordered_load_fail(spark, tmp_base):
+    layout = Layout(tmp_base)
+    snapshot(spark, layout, "2024-03-01", [(None, 1, "x"), ("a", 1, "x")])
+    run_silver(spark, layout, [SPEC], "2024-03-01")
+    with pytest.raises(DuplicateKeyError, match="NULL value"):
+        load_gold(spark, layout, "DIM2_t", "2024-03-01")
+    snapshot(spark, layout, "2024-03-01", [("a", 1, "x")])
+    run_silver(spark, layout, [SPEC], "2024-03-01")
+    load_gold(spark, layout, "DIM2_t", "2024-03-01")
+    snapshot(spark, layout, "2024-03-02", [("b", None, "x"), ("a", 1, "y")])
+    run_silver(spark, layout, [SPEC], "2024-03-02")
+    with pytest.raises(DuplicateKeyError, match="NULL value"):
+        load_gold(spark, layout, "DIM2_t", "2024-03-02")
+    assert read_table(spark, layout.gold("DIM2_t")).count() == 1
