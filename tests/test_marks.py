@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeload.functions.hashing import pack_hashes, unpack_hashes
-from lakeload.operators import _marks
+from lakeload.operators import _marks, validate
 from lakeload.operators._marks import MARK, with_mark
 from lakeload.operators.scd2 import CLOSE, IGNORE, is_open_version, scd2_change
-from lakeload.operators.validate import DuplicateKeyError
+from lakeload.operators.validate import DuplicateKeyError, first_per_key
 from lakeload.plans.layout import Layout
 from lakeload.plans.runs import SilverSpec, load_gold, merge_type2_table, run_silver
 from lakeload.sources.files import append_rows, load_is_ordered, read_load, write_snapshot
@@ -127,3 +127,16 @@ def test_null_keys_of_an_ordered_load_fail(spark, tmp_base):
     with pytest.raises(DuplicateKeyError, match="NULL value"):
         load_gold(spark, layout, "DIM2_t", "2024-03-02")
     assert read_table(spark, layout.gold("DIM2_t")).count() == 1
+
+
+def test_hot_keys_travel_as_one_row_each(spark, monkeypatch):
+    rows = [(None, 1, f"n{i % 9}") for i in range(300)] + [("h", None, f"h{i % 7}") for i in range(300)] + dealt(2)
+    df = spark.createDataFrame(rows, "a string, b int, v string").repartition(3)
+    want = sorted(map(str, first_per_key(df, ["a", "b"]).collect()))
+    assert sorted(map(str, first_per_key(df, ["a", "b"], by_range=True).collect())) == want
+    monkeypatch.setattr(validate, "HOT_ROWS", 200)
+    monkeypatch.setattr(validate, "HOT_SAMPLE", 1.0)
+    got = first_per_key(df, ["a", "b"], by_range=True)
+    assert sorted(map(str, got.collect())) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
